@@ -118,7 +118,8 @@ def src_dir_scan(spark, d):
 def src_provider_from_filename(spark, d):
     m = Model(spark, d)
     df = files.scan_dir(spark, m.land_wide(), schema=inbox.wide_schema(WIDE_FILE_COLUMNS))
-    named = files.with_file_columns(df, CFG.fiscal_year_marker, marker_is_regex=True, from_folder=True)
+    named = files.with_file_columns(df, CFG.fiscal_year_marker, marker_is_regex=True,
+                                   folder_key="submission")
     return named.select("file_name", "provider").distinct()
 
 

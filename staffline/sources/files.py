@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
-from ..functions.text import base_name, decoded, parent_name, provider_from_name
+from ..functions.text import base_name, decoded, provider_from_name
 
 FACT_SCHEMA = StructType([
     StructField("maincode", StringType()),
@@ -31,14 +31,16 @@ def scan_dir(spark: SparkSession, path: str, fmt: str = "parquet", schema: Struc
 
 
 def with_file_columns(df: DataFrame, marker: str = "24-25", marker_is_regex: bool = False,
-                      from_folder: bool = False) -> DataFrame:
-    """Add ``file_name`` (decoded base name) and ``provider`` (text before the
-    fiscal-year marker). ``from_folder`` takes the workbook name from the folder
-    holding the file (one folder per workbook)."""
+                      folder_key: str | None = None) -> DataFrame:
+    """Add ``file_name`` (decoded workbook name) and ``provider`` (text before
+    the fiscal-year marker). With ``folder_key`` the workbook name is the value
+    of the ``<folder_key>=<name>`` folder in the path (one folder per workbook);
+    otherwise it is the file's base name."""
     path = decoded(F.col("_metadata.file_path"))
-    name = parent_name(path) if from_folder else base_name(path)
-    if from_folder:
-        name = F.regexp_replace(name, "^[^=]*=", "")  # partition folder 'key=value'
+    if folder_key:
+        name = F.regexp_extract(path, f"/{folder_key}=([^/]*)/", 1)
+    else:
+        name = base_name(path)
     return df.withColumns({"file_name": name, "provider": provider_from_name(name, marker, marker_is_regex)})
 
 
