@@ -29,8 +29,8 @@ HISTORIC_BEFORE = 199704  # first period of the current fiscal year in the stand
 class Model:
     """Lazily derived stand-in model frames for one data folder."""
 
-    def __init__(self, spark: SparkSession, d: str):
-        self.spark, self.d = spark, d
+    def __init__(self, spark: SparkSession, d: str, materialize: bool = False):
+        self.spark, self.d, self.materialize = spark, d, materialize
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -42,7 +42,13 @@ class Model:
 
     @cached_property
     def looked(self) -> DataFrame:
-        return lookup.lookup_all_sheets(self.fact, self.ref_long, ref_row_bound=REF_BOUND)
+        looked = lookup.lookup_all_sheets(self.fact, self.ref_long, ref_row_bound=REF_BOUND)
+        if not self.materialize:
+            return looked
+        # Many consumers: write once, partitioned by sheet, under the shared
+        # checkpoint folder; consumers become partition-pruned scans and a lost
+        # executor re-reads files instead of recomputing the fact.
+        return lookup.materialize_by_sheet(self.spark, looked, scratch_path(self.spark, "looked-up"))
 
     def t(self, sheet: int) -> DataFrame:
         return lookup.sheet_table(self.looked, sheet)
@@ -286,7 +292,7 @@ def join_left_renamed_key(spark, d):
 
 
 def _overview_subset(spark, d, pairs):
-    m = Model(spark, d)
+    m = Model(spark, d, materialize=True)
     g = grid.dense_grid(grid.systems_frame(spark, CFG.systems), pairs, CFG.grid_first_period,
                         min(CFG.grid_last_period, CFG.latest_month))
     return overview.grid_left_join(g, m.metric_facts, CFG)
@@ -482,7 +488,7 @@ def measure_vacancy_rate_system(spark, d):
 
 
 def measure_vacancies_combined(spark, d):
-    return Model(spark, d).vacancies
+    return Model(spark, d, materialize=True).vacancies
 
 
 def plan_by_type(spark, d):
@@ -513,7 +519,7 @@ def measure_actual_vs_plan(spark, d):
 
 
 def measure_staffing_plan_all(spark, d):
-    m = Model(spark, d)
+    m = Model(spark, d, materialize=True)
     return measures.staffing_plan_all(m.t(1), m.t(2), m.t(6), m.planned_staff, CFG)
 
 
@@ -527,7 +533,7 @@ def measure_variance_long(spark, d):
 
 
 def main_overview(spark, d):
-    return overview.main_overview(spark, Model(spark, d).metric_facts, CFG)
+    return overview.main_overview(spark, Model(spark, d, materialize=True).metric_facts, CFG)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

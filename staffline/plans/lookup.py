@@ -43,6 +43,12 @@ def lookup_all_sheets(fact: DataFrame, ref_long: DataFrame, ref_row_bound: int |
     return joined.withColumn("value", to_number("value"))
 
 
+def materialize_by_sheet(spark, looked_up: DataFrame, path: str) -> DataFrame:
+    """Write the looked-up fact once, partitioned by sheet, and read it back."""
+    looked_up.write.mode("overwrite").partitionBy("sheet").parquet(path)
+    return spark.read.parquet(path).select(*looked_up.columns)
+
+
 def sheet_table(looked_up: DataFrame, sheet: int, extra_columns=None) -> DataFrame:
     """One code-list sheet's lookup result with that sheet's own columns."""
     cols = list(C.SHEET_COLUMNS[sheet]) if extra_columns is None else list(extra_columns)

@@ -35,8 +35,7 @@ def compute(spark: SparkSession, inputs: RunInputs, cfg: RunConfig = RunConfig()
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
     looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound)
     if looked_up_path:
-        looked.write.mode("overwrite").partitionBy("sheet").parquet(looked_up_path)
-        looked = spark.read.parquet(looked_up_path)
+        looked = lookup.materialize_by_sheet(spark, looked, looked_up_path)
 
     tables = lookup.published_lookup_tables(looked)
     overall, staff_group = tables["Overall"], tables["Staff_Group"]

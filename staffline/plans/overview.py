@@ -47,38 +47,46 @@ def _slice(df: DataFrame, metric: str, value: str = "value", group=None) -> Data
                      F.col("yearmonth").alias("period"), F.col(value).cast("double").alias("value"))
 
 
+def _labelled(df: DataFrame, label_col: str, labels: dict[str, str]) -> DataFrame:
+    """Rows whose ``label_col`` is one of ``labels``, with ``metric`` set from it.
+    Lets two slices that read the same source share one scan."""
+    metric = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[F.col(label_col)]
+    return df.filter(F.col(label_col).isin(list(labels))).withColumn("metric", metric)
+
+
+def _slice_m(df: DataFrame, value: str = "value", group=None) -> DataFrame:
+    g = F.lit(C.ALL_STAFF_GROUP) if group is None else F.col(group)
+    return df.select("metric", g.alias("staff_group"), F.col("provider").alias("system"),
+                     F.col("yearmonth").alias("period"), F.col(value).cast("double").alias("value"))
+
+
 def metric_facts(overall: DataFrame, staff_group_tbl: DataFrame, bank_agency: DataFrame, vacancy: DataFrame,
                  vacancies: DataFrame, variance: DataFrame) -> DataFrame:
-    """The twelve metric sources stacked in grid coordinates."""
+    """The twelve metric sources stacked in grid coordinates.
+
+    Slices that differ only in one label of the same source (substantive/total
+    staff, bank/agency, sickness/turnover) are computed in one pass each.
+    """
     m = C.METRICS
     total = F.col("staff_type") == C.TOTAL_TYPE
-
-    def bank_or_agency(kind):
-        return bank_agency.filter((F.col("bank_agency") == kind) & total)
-
-    def summed(df):
-        return group_strict_sum(df, ["yearmonth", "provider"], "value")
-
-    def variance_actual(sheet):
-        return variance.filter((F.col("reference_sheet") == sheet) & (F.col("metric") == "Actual"))
+    wte = {C.SUBSTANTIVE_WTE: m[0], C.ALL_STAFF_WTE: m[7]}
+    usage = {C.BANK: m[1], C.AGENCY: m[2]}
+    rates = {C.SICKNESS_SHEET: m[5], C.TURNOVER_SHEET: m[6]}
+    ba = _labelled(bank_agency.filter(total), "bank_agency", usage)
 
     all_staff = [
-        _slice(overall.filter(F.col("summary_detail") == C.SUBSTANTIVE_WTE), m[0]),
-        _slice(summed(bank_or_agency(C.BANK)), m[1]),
-        _slice(summed(bank_or_agency(C.AGENCY)), m[2]),
+        _slice_m(_labelled(overall, "summary_detail", wte)),
+        _slice_m(group_strict_sum(ba, ["yearmonth", "provider", "metric"], "value")),
         _slice(vacancy.filter((F.col("staff_group") == C.ALL_ROLES) & total), m[3]),
         _slice(vacancies.filter(F.col("type") == C.MAIN_VACANCY), m[4], value="rate"),
-        _slice(variance_actual(C.SICKNESS_SHEET), m[5]),
-        _slice(variance_actual(C.TURNOVER_SHEET), m[6]),
-        _slice(overall.filter(F.col("summary_detail") == C.ALL_STAFF_WTE), m[7]),
+        _slice_m(_labelled(variance.filter(F.col("metric") == "Actual").drop("metric"), "reference_sheet", rates)),
     ]
     substantive = group_strict_sum(
         staff_group_tbl.filter(total & not_in("staff_group", C.EXCLUDED_SUBSTANTIVE_GROUPS)),
         ["provider", "yearmonth", "staff_group"], "value")
     by_group = [
         _slice(substantive, m[0], group="staff_group"),
-        _slice(bank_or_agency(C.BANK), m[1], group="staff_group"),
-        _slice(bank_or_agency(C.AGENCY), m[2], group="staff_group"),
+        _slice_m(ba, group="staff_group"),
         _slice(vacancy.filter(total & not_in("staff_group", C.EXCLUDED_VACANCY_GROUPS)), m[3], group="staff_group"),
     ]
     by_group = [d.filter(F.col("staff_group") != C.ALL_STAFF_GROUP) for d in by_group]

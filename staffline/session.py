@@ -20,6 +20,7 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # Stand-in dimension tables (nation/region) are tiny; keep Spark's own
     # size-checked broadcast threshold at its default 10 MB.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
