@@ -203,14 +203,21 @@ def code_expr(p_type="p_type", flag="l_returnflag", status="l_linestatus"):
 
 
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with customer region, order month and part type."""
+    """Line items with customer region, order month and part type.
+
+    The 25-row nation->region map is joined last (broadcast), so the size
+    estimates of the large joins are those of the scans themselves and Spark
+    picks broadcast or shuffle joins per side from real sizes.
+    """
     li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, d, "part").select("p_partkey", "p_type")
-    cp = customer_provider(spark, d)
+    nr = region_of_nation(spark, d)
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
-         .join(cp, o.o_custkey == cp.c_custkey)
-         .join(p, li.l_partkey == p.p_partkey))
+         .join(p, li.l_partkey == p.p_partkey)
+         .join(c, o.o_custkey == c.c_custkey)
+         .join(nr, c.c_nationkey == nr.n_nationkey))
     return j.select("provider", date_to_period("o_orderdate").alias("yearmonth"), "o_orderdate",
                     "p_type", "l_returnflag", "l_linestatus", "l_quantity")
 
@@ -256,8 +263,9 @@ def ref_long(spark: SparkSession, d: str) -> DataFrame:
 def supplier_lines(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
                                              "l_linestatus", "l_shipdate")
-    sp = supplier_provider(spark, d)
-    return li.join(sp, li.l_suppkey == sp.s_suppkey)
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    nr = region_of_nation(spark, d)
+    return li.join(s, li.l_suppkey == s.s_suppkey).join(nr, s.s_nationkey == nr.n_nationkey)
 
 
 def planned_staff_raw(spark: SparkSession, d: str) -> DataFrame:
