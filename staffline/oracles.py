@@ -186,10 +186,9 @@ def _ctes() -> list[tuple[str, str]]:
         f"{_int_text(signed_sum)} AS value, provider "
         "FROM order_lines GROUP BY provider, yearmonth, p_type, l_returnflag, l_linestatus")
     add("ref_book", _ref_book_values())
-    add("codes", "SELECT DISTINCT p_type, l_returnflag, l_linestatus FROM lineitem JOIN part ON l_partkey = p_partkey")
+    add("part_types", "SELECT DISTINCT p_type FROM part")
     add("ref_long", f"SELECT b.sheet, {code('b.p_type', 'b.flag', 'b.status')} AS maincode, "
-        + ", ".join(f"b.{c}" for c in REF_COLS) +
-        " FROM codes c JOIN ref_book b ON c.p_type = b.p_type AND c.l_returnflag = b.flag AND c.l_linestatus = b.status")
+        + ", ".join(f"b.{c}" for c in REF_COLS) + " FROM part_types t JOIN ref_book b ON t.p_type = b.p_type")
     add("joined", "SELECT f.maincode, f.yearmonth, f.value, f.provider, r.sheet, " + ", ".join(f"r.{c}" for c in REF_COLS)
         + " FROM fact f JOIN ref_long r ON f.maincode IS NOT DISTINCT FROM r.maincode")
     add("looked", f"SELECT maincode, yearmonth, {to_number('value')} AS value, provider, sheet, "
@@ -458,6 +457,7 @@ SELECTS: dict[str, str] = {
     "kpi_override": f"SELECT * FROM kpi_all WHERE yearmonth <= {L}",
     "measure_variance_long": "SELECT * FROM variance",
     "main_overview": "SELECT * FROM overview_final",
+    "monthly_run_published": "SELECT * FROM overview_final",
 }
 
 

@@ -59,10 +59,10 @@ def sheet_table(looked_up: DataFrame, sheet: int, extra_columns=None) -> DataFra
 
 
 def bank_agency(looked_up: DataFrame) -> DataFrame:
-    """Table 13: bank rows followed by agency rows (same columns)."""
-    bank = sheet_table(looked_up, C.SHEET_BANK)
-    agency = sheet_table(looked_up, C.SHEET_AGENCY)
-    return union_strict(bank, agency)
+    """Table 13: bank and agency rows (sheets 3 and 4 share their columns), one scan."""
+    cols = C.SHEET_COLUMNS[C.SHEET_BANK]
+    assert cols == C.SHEET_COLUMNS[C.SHEET_AGENCY]
+    return looked_up.filter(F.col("sheet").isin(C.SHEET_BANK, C.SHEET_AGENCY)).select(*FACT_COLUMNS, *cols)
 
 
 def published_lookup_tables(looked_up: DataFrame) -> dict[str, DataFrame]:

@@ -21,12 +21,11 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import RunConfig
 from ..functions.periods import period_to_date
-from ..functions.semantics import nan_to_null, sum_na_rm
+from ..functions.semantics import not_in, sum_na_rm
 from ..operators.aggregates import group_strict_sum
 from ..operators.filters import cutoff
 from ..operators.grid import dense_grid, systems_frame
 from ..operators.joins import broadcast_bounded
-from ..functions.semantics import not_in
 from ..operators.unions import union_fill_missing
 
 OUT_COLUMNS = ("metric", "staff_group", "system", "period", "value", "date")
@@ -141,6 +140,3 @@ def main_overview(spark: SparkSession, facts: DataFrame, cfg: RunConfig = RunCon
                   systems: DataFrame | None = None) -> DataFrame:
     return ics_rollup(grid_left_join(overview_grid(spark, cfg, systems), facts, cfg), cfg)
 
-
-__all__ = ["kept_pairs", "metric_facts", "overview_grid", "grid_left_join", "ics_rollup", "main_overview",
-           "nan_to_null"]

@@ -43,12 +43,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint directory; set a private one only when unset."""
+    """The shared checkpoint directory named by the session.
+
+    A private folder is created only in local mode (tests, single machine); on
+    a cluster a machine-local folder would not survive executor loss, so an
+    unset ``spark.checkpoint.dir`` is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/object storage)")
             current = tempfile.mkdtemp(prefix="staffline-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

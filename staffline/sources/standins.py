@@ -12,8 +12,8 @@ yearmonth           ``yyyymm`` of ``o_orderdate`` (actuals), ``l_shipdate`` (pla
 maincode            ``p_type-<returnflag><linestatus>`` (36 codes); the code
                     ``PROMO-RO`` is NULL in fact and code list alike
 value (text)        ``sum(l_quantity)`` as integer text; negative for flag R
-code list           distinct codes present in ``lineitem x part``, joined to
-                    the fixed code-list workbook ``REF_BOOK`` below
+code list           the fixed code-list workbook ``REF_BOOK`` below, for every
+                    part type present in ``part``
 planned staff       ``sum(l_quantity)`` by supplier region, ship month, plan type
 supplied rates      per order month and region: share of status F orders
                     (sickness) and of 1-URGENT orders (turnover), one column
@@ -248,16 +248,13 @@ def _code_from_book():
 
 
 def ref_long(spark: SparkSession, d: str) -> DataFrame:
-    """Code list of all sheets: ``(sheet, maincode, reference_sheet, ...)``;
-    only codes that occur in the data are listed."""
-    li = table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_linestatus")
-    p = table(spark, d, "part").select("p_partkey", "p_type")
-    codes = li.join(p, li.l_partkey == p.p_partkey).select("p_type", "l_returnflag", "l_linestatus").distinct()
-    book = broadcast_bounded(ref_book(spark).withColumnRenamed("p_type", "book_p_type"),
-                             len(ref_book_rows()), "fixed code-list workbook")
-    j = codes.join(book, (codes.p_type == book.book_p_type) & (codes.l_returnflag == book.flag)
-                   & (codes.l_linestatus == book.status))
-    return j.select("sheet", _code_from_book(), *REF_COLUMNS)
+    """Code list of all sheets: ``(sheet, maincode, reference_sheet, ...)`` for
+    every part type present in ``part`` (a code list also lists codes no
+    provider reported; those simply find no fact rows)."""
+    types = table(spark, d, "part").select("p_type").distinct()
+    book = broadcast_bounded(ref_book(spark), len(ref_book_rows()), "fixed code-list workbook")
+    j = types.join(book, "p_type")
+    return j.select("sheet", code_expr(flag="flag", status="status").alias("maincode"), *REF_COLUMNS)
 
 
 def supplier_lines(spark: SparkSession, d: str) -> DataFrame:
