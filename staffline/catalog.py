@@ -546,20 +546,17 @@ def main_overview(spark, d):
 
 def monthly_run_published(spark, d):
     """The whole run (C18): historic + current fact, lookup written once by
-    sheet, every measure, the overview, and all 18 tables published under the
-    shared folder; returns the published overview."""
-    m = Model(spark, d)
+    sheet, every measure and the overview published in dependency order under
+    the shared folder; returns the published overview."""
+    m = Model(spark, d, land_plans=True)
     f = m.fact
     inputs = monthly.RunInputs(
         current=projections.stamp_load_date(f.filter(F.col("yearmonth") >= HISTORIC_BEFORE), CFG.load_date),
         historic=f.filter(F.col("yearmonth") < HISTORIC_BEFORE),
         ref_long=m.ref_long, planned_staff=m.planned_staff, planned_rates=m.planned_rates,
         sickness_wide=m.sickness_wide, turnover_wide=m.turnover_wide)
-    out = monthly.compute(spark, inputs, CFG, looked_up_path=scratch_path(spark, "looked-up"),
-                          ref_row_bound=REF_BOUND)
-    location = scratch_path(spark, "published")
-    monthly.publish(out, location)
-    return sinks.read_published(spark, "Main_Overview", location)
+    out = monthly.run(spark, inputs, scratch_path(spark, "published"), CFG, ref_row_bound=REF_BOUND)
+    return out["Main_Overview"]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..config import RunConfig
-from ..sources.sinks import replace_table
+from ..sources.sinks import read_published, replace_table
 from . import lookup, measures, overview
 
 
@@ -67,3 +67,38 @@ def publish(outputs: dict[str, DataFrame], location: str | None = None) -> None:
     """Replace every published table (18 names)."""
     for name in (*C.PUBLISHED_LOOKUP_TABLES, *C.PUBLISHED_MEASURE_TABLES):
         replace_table(outputs[name], name, location)
+
+
+def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig = RunConfig(),
+        ref_row_bound: int | None = None) -> dict[str, DataFrame]:
+    """Compute and publish in dependency order under ``location`` (shared
+    storage). Every consumer reads what its producer published, so each stage's
+    lineage starts at files: a lost executor re-reads a table instead of
+    recomputing the run, and shared inputs are computed once."""
+    def published(name: str, df: DataFrame) -> DataFrame:
+        replace_table(df, name, location)
+        return read_published(spark, name, location)
+
+    fact = lookup.fact_union_historic(inputs.historic, inputs.current)
+    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound)
+    looked = lookup.materialize_by_sheet(spark, looked, f"{location.rstrip('/')}/_looked_up")
+
+    out = lookup.published_lookup_tables(looked)
+    out["HCSW_Vacancy_Rate"], out["HCSW"] = measures.hcsw_split(out["HCSW"], cfg)
+    out["KPI"] = measures.kpi_override(out["KPI"], inputs.sickness_wide, inputs.turnover_wide, cfg)
+    for name in (*C.PUBLISHED_LOOKUP_TABLES, "HCSW_Vacancy_Rate"):
+        out[name] = published(name, out[name])
+    overall, staff_group = out["Overall"], out["Staff_Group"]
+    vacancy, bank_agency = out["Vacancy"], out["Bank_Agency"]
+
+    out["Vacancy_Rate_Calc"] = published(
+        "Vacancy_Rate_Calc", measures.vacancies_combined(overall, staff_group, vacancy, cfg))
+    out["Staffing_Actual_Plan"] = published(
+        "Staffing_Actual_Plan", measures.staffing_plan_all(overall, staff_group, vacancy, inputs.planned_staff, cfg))
+    st_long = measures.sickness_turnover_long(inputs.sickness_wide, inputs.turnover_wide)
+    out["Sickness_Turnover"] = published(
+        "Sickness_Turnover", measures.variance_long(st_long, inputs.planned_rates, cfg))
+    facts = overview.metric_facts(overall, staff_group, bank_agency, vacancy, out["Vacancy_Rate_Calc"],
+                                  out["Sickness_Turnover"])
+    out["Main_Overview"] = published("Main_Overview", overview.main_overview(spark, facts, cfg))
+    return out

@@ -172,8 +172,17 @@ REF_BOOK_SCHEMA = ("sheet int, p_type string, flag string, status string, " +
 # Derivations
 # ---------------------------------------------------------------------------
 
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    """One input table; the scan (file listing, footer schema) is set up once per
+    application and reused by every query that reads it."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def region_of_nation(spark: SparkSession, d: str) -> DataFrame:

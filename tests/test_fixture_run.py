@@ -72,8 +72,7 @@ def _rates(spark, values):
     return spark.createDataFrame(values, f"date date, {cols}")
 
 
-@pytest.fixture(scope="module")
-def out(spark):
+def _inputs(spark):
     d = dt.date
     sick = _rates(spark, [(d(2024, 4, 1), 0.05, None, 0.0, 0.04, 0.03), (d(2024, 8, 1), 0.06, 0.0, 0.0, 0.0, 0.0)])
     turn = _rates(spark, [(d(2024, 4, 1), 0.10, None, 0.12, 0.11, 0.09)])
@@ -87,7 +86,23 @@ def out(spark):
         ref_long=spark.createDataFrame(REF, REF_SCHEMA),
         planned_staff=spark.createDataFrame(PLANNED, "yearmonth int, provider string, type string, plan double"),
         planned_rates=planned_rates, sickness_wide=sick, turnover_wide=turn)
-    return monthly.compute(spark, inputs, CFG)
+    return inputs
+
+
+@pytest.fixture(scope="module")
+def out(spark):
+    return monthly.compute(spark, _inputs(spark), CFG)
+
+
+def test_published_run_equals_lazy_run(spark, out):
+    import tempfile
+    published = monthly.run(spark, _inputs(spark), tempfile.mkdtemp(prefix="staffline-run-"), CFG)
+    assert set(published) == set(C.PUBLISHED_LOOKUP_TABLES) | set(C.PUBLISHED_MEASURE_TABLES)
+    for name in ("Main_Overview", "Staffing_Actual_Plan", "KPI", "HCSW", "Vacancy_Rate_Calc"):
+        a, b = published[name], out[name]
+        assert sorted(a.columns) == sorted(b.columns)
+        cols = sorted(a.columns)
+        assert sorted(map(repr, a.select(*cols).collect())) == sorted(map(repr, b.select(*cols).collect()))
 
 
 def _find(df, **eq):
