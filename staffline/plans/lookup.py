@@ -49,10 +49,21 @@ def materialize_by_sheet(spark, looked_up: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*looked_up.columns)
 
 
+def passthrough_columns(looked_up: DataFrame) -> list[str]:
+    """Code-list columns the model does not interpret (kept as landed)."""
+    known = set(FACT_COLUMNS) | {"sheet"} | set(C.REF_ATTRIBUTE_COLUMNS)
+    return [c for c in looked_up.columns if c not in known]
+
+
 def sheet_table(looked_up: DataFrame, sheet: int, extra_columns=None) -> DataFrame:
-    """One code-list sheet's lookup result with that sheet's own columns."""
+    """One code-list sheet's lookup result with that sheet's own columns, plus
+    any code-list columns the model does not know."""
     cols = list(C.SHEET_COLUMNS[sheet]) if extra_columns is None else list(extra_columns)
-    out = looked_up.filter(F.col("sheet") == sheet).select(*FACT_COLUMNS, *cols)
+    if sheet != C.SHEET_KPI:
+        # KPI rows are strictly row-bound with the supplied rates, which needs
+        # exactly the KPI sheet's own columns
+        cols += passthrough_columns(looked_up)
+    out = looked_up.filter(F.col("sheet") == sheet).select(*FACT_COLUMNS, *[f"`{c}`" for c in cols])
     if sheet == C.SHEET_VACANCY:
         out = out.withColumn("value", F.abs("value"))  # vacancies are reported as positives
     return out
@@ -60,9 +71,10 @@ def sheet_table(looked_up: DataFrame, sheet: int, extra_columns=None) -> DataFra
 
 def bank_agency(looked_up: DataFrame) -> DataFrame:
     """Table 13: bank and agency rows (sheets 3 and 4 share their columns), one scan."""
-    cols = C.SHEET_COLUMNS[C.SHEET_BANK]
-    assert cols == C.SHEET_COLUMNS[C.SHEET_AGENCY]
-    return looked_up.filter(F.col("sheet").isin(C.SHEET_BANK, C.SHEET_AGENCY)).select(*FACT_COLUMNS, *cols)
+    cols = list(C.SHEET_COLUMNS[C.SHEET_BANK]) + passthrough_columns(looked_up)
+    assert C.SHEET_COLUMNS[C.SHEET_BANK] == C.SHEET_COLUMNS[C.SHEET_AGENCY]
+    return looked_up.filter(F.col("sheet").isin(C.SHEET_BANK, C.SHEET_AGENCY)).select(
+        *FACT_COLUMNS, *[f"`{c}`" for c in cols])
 
 
 def published_lookup_tables(looked_up: DataFrame) -> dict[str, DataFrame]:
