@@ -180,7 +180,8 @@ def sink_replace_table(spark, d):
     m = Model(spark, d)
     loc = scratch_path(spark, "published")
     overall = m.t(C.SHEET_OVERALL)
-    sinks.replace_table(overall.limit(0), "Overall", loc)  # an older version to replace
+    # last month's publication (earlier periods only) is replaced by this month's
+    sinks.replace_table(overall.filter(F.col("yearmonth") < HISTORIC_BEFORE), "Overall", loc)
     sinks.replace_table(overall, "Overall", loc)
     return sinks.read_published(spark, "Overall", loc)
 

@@ -74,3 +74,14 @@ def test_streaming_ingest_two_runs(spark):
     left = [p for p, _, fs in os.walk(src) for f in fs if f.endswith(".parquet") and "ROH" in p]
     assert not left
     assert second.filter(F.col("load_date") == F.lit("2024-08-05").cast("date")).count() == 8
+
+
+def test_provider_from_real_file_names(spark):
+    d = tempfile.mkdtemp(prefix="staffline-names-")
+    for name in ("ROH 24-25 M04.csv", "BWCH 24-25+draft.csv", "NoMarker.csv"):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write("Maincode,M1\nC1,5\n")
+    df = files.scan_dir(spark, d, fmt="csv", header=True)
+    named = files.with_file_columns(df, "24-25")
+    assert rows(named.select("file_name", "provider")) == [
+        ("BWCH 24-25+draft.csv", "BWCH"), ("NoMarker.csv", "NoMarker.csv"), ("ROH 24-25 M04.csv", "ROH")]
