@@ -44,6 +44,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--fiscal-year-start", type=int, default=None,
                    help="label months of a one-year inbox by position (e.g. 2024 -> 202404..202503)")
     p.add_argument("--load-date", default=None)
+    p.add_argument("--overwrite-scope", default="fiscal_year", choices=sorted(inbox.OVERWRITE_SCOPES),
+                   help="what one run replaces in the fact: the whole fiscal year (default) or its providers")
     return p.parse_args(argv)
 
 
@@ -57,7 +59,7 @@ def main(argv=None) -> dict:
         c for c in spark.read.parquet(a.inbox).columns if c not in ("submission", "sheet_no")]
     inbox.stream_inbox(spark, a.inbox, a.fact_out, a.checkpoint or f"{a.fact_out.rstrip('/')}/_checkpoint",
                        columns, cfg.latest_month, archive=a.archive, marker=a.marker, month_labels=labels,
-                       load_date=a.load_date)
+                       load_date=a.load_date, scope=a.overwrite_scope)
     current = inbox.read_fact(spark, a.fact_out)
 
     if a.historic_jdbc_url:

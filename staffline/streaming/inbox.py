@@ -5,8 +5,9 @@ One transform (``submissions_long``) serves both paths:
 * batch: ``spark.read.parquet(inbox)`` -> transform -> write
 * incremental: ``readStream`` over the inbox with ``Trigger.AvailableNow``;
   each micro-batch is transformed and written with dynamic partition overwrite
-  by (fiscal year, provider), so a resubmitted workbook replaces its own slice
-  (snapshot semantics) and processed files are archived by the file source.
+  by fiscal year, so a fiscal year holds exactly the workbooks of the latest
+  run that touched it (the inbox snapshot), and processed files are archived
+  by the file source. Per-provider replacement is available as an option.
 
 The landing layout is one folder per workbook and sheet:
 ``<inbox>/submission=<workbook name>/sheet_no=<n>/*.parquet``; the 19 columns
@@ -78,24 +79,40 @@ def _with_fiscal_year(df: DataFrame) -> DataFrame:
     return df.withColumn("fiscal_year", (F.floor(ym / 100) - F.when(ym % 100 < 4, 1).otherwise(0)).cast("int"))
 
 
-def write_fact(df: DataFrame, out: str) -> None:
-    """Replace only the (fiscal year, provider) slices present in ``df``."""
+OVERWRITE_SCOPES = {
+    # each run's rows replace the whole fiscal year (snapshot of the inbox)
+    "fiscal_year": ("fiscal_year",),
+    # each run's rows replace only the providers present in it
+    "provider": ("fiscal_year", "provider"),
+}
+
+
+def write_fact(df: DataFrame, out: str, scope: str = "fiscal_year") -> None:
+    """Dynamic partition overwrite: only partitions present in ``df`` are
+    replaced. With the default scope a fiscal year holds exactly the workbooks
+    of the latest run that touched it; ``scope="provider"`` keeps providers that
+    were not resubmitted."""
     (_with_fiscal_year(df).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("fiscal_year", "provider").parquet(out))
+     .partitionBy(*OVERWRITE_SCOPES[scope]).parquet(out))
 
 
 def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, column_names,
                  latest_month: int, archive: str | None = None, marker: str = "24-25",
                  marker_is_regex: bool = False, month_labels=None, load_date: str | None = None,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, scope: str = "fiscal_year"):
     """Incremental ingest of new workbooks; returns the finished ``StreamingQuery``.
 
     ``archive`` moves processed files there (the file source archives files of
     a batch once a later batch has committed). The checkpoint must be on shared
     storage; a resubmission needs a new file name, because the source tracks
-    processed paths.
+    processed paths. With the fiscal-year snapshot scope all files of a run
+    must fall in one micro-batch, so ``max_files_per_trigger`` is only
+    allowed with ``scope="provider"`` (and then a workbook must not span
+    batches).
     """
+    if max_files_per_trigger and scope == "fiscal_year":
+        raise ValueError("splitting a run into several batches breaks the fiscal-year snapshot")
     reader = spark.readStream.schema(wide_schema(column_names)).option("basePath", inbox)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -105,7 +122,7 @@ def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, col
 
     def sink(batch: DataFrame, _epoch: int) -> None:
         long = submissions_long(batch, latest_month, marker, marker_is_regex, month_labels, load_date)
-        write_fact(long, out)
+        write_fact(long, out, scope)
 
     q = (wide.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

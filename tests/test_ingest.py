@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from staffline import config as C
@@ -53,12 +55,13 @@ def test_provider_from_landing_folder(spark):
         ("BWCH 24-25 M04", "BWCH"), ("NoMarker", "NoMarker")]
 
 
-def test_streaming_ingest_two_runs(spark):
+@pytest.mark.parametrize("scope", ["fiscal_year", "provider"])
+def test_streaming_ingest_two_runs(spark, scope):
     root = tempfile.mkdtemp(prefix="staffline-stream-")
     src, out, ckpt, arch = (os.path.join(root, n) for n in ("inbox", "fact", "ckpt", "archive"))
     _land(_wide(spark, "ROH 24-25 M04", 3, ["C1"]), src)
     kw = dict(column_names=HEADERS, latest_month=202407, archive=arch, marker="24-25",
-              month_labels=LABELS, load_date="2024-08-05")
+              month_labels=LABELS, load_date="2024-08-05", scope=scope)
     inbox.stream_inbox(spark, src, out, ckpt, **kw)
     first = inbox.read_fact(spark, out)
     assert rows(first.select("provider").distinct()) == [("ROH",)]
@@ -67,13 +70,16 @@ def test_streaming_ingest_two_runs(spark):
     _land(_wide(spark, "UHB 24-25 M04", 4, ["C2"]), src)
     inbox.stream_inbox(spark, src, out, ckpt, **kw)
     second = inbox.read_fact(spark, out)
-    assert rows(second.groupBy("provider").count()) == [("ROH", 4), ("UHB", 4)]
+    if scope == "fiscal_year":   # the second run's inbox held only UHB: it is the fiscal year's snapshot
+        assert rows(second.groupBy("provider").count()) == [("UHB", 4)]
+    else:                        # only UHB's slice was replaced
+        assert rows(second.groupBy("provider").count()) == [("ROH", 4), ("UHB", 4)]
     # the first workbook's files were archived once a later batch committed
     archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".parquet")]
     assert archived, "processed files should be moved to the archive folder"
     left = [p for p, _, fs in os.walk(src) for f in fs if f.endswith(".parquet") and "ROH" in p]
     assert not left
-    assert second.filter(F.col("load_date") == F.lit("2024-08-05").cast("date")).count() == 8
+    assert second.filter(F.col("load_date") == F.lit("2024-08-05").cast("date")).count() == second.count()
 
 
 def test_provider_from_real_file_names(spark):
