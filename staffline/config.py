@@ -160,8 +160,9 @@ class RunConfig:
     grid_last_period: int = 202503
     rate_metrics: tuple[str, ...] = RATE_METRICS
     load_date: str | None = None  # ISO date; None = current_date()
-    # Upper bound (rows) for a side we broadcast without measuring it.
-    broadcast_row_limit: int = 1_000_000
+    # Code lists up to this many rows are broadcast after a short-circuit
+    # row-count probe; larger ones are joined with a shuffle join.
+    broadcast_row_limit: int = 200_000
     extra: dict = field(default_factory=dict)
 
     @property

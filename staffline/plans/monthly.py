@@ -33,7 +33,8 @@ def compute(spark: SparkSession, inputs: RunInputs, cfg: RunConfig = RunConfig()
             looked_up_path: str | None = None, ref_row_bound: int | None = None) -> dict[str, DataFrame]:
     """All published outputs by name (lazy, except the optional looked-up table write)."""
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
-    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound)
+    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound,
+                                      probe_ref_rows=None if ref_row_bound else cfg.broadcast_row_limit)
     if looked_up_path:
         looked = lookup.materialize_by_sheet(spark, looked, looked_up_path)
 
@@ -80,7 +81,8 @@ def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig =
         return read_published(spark, name, location)
 
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
-    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound)
+    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound,
+                                      probe_ref_rows=None if ref_row_bound else cfg.broadcast_row_limit)
     looked = lookup.materialize_by_sheet(spark, looked, f"{location.rstrip('/')}/_looked_up")
 
     out = lookup.published_lookup_tables(looked)

@@ -89,3 +89,19 @@ def test_grid_without_cross_join(spark):
     g = grid.dense_grid(grid.systems_frame(spark, ["ICS", "A"]), [("m", "g1"), ("m", "g2")], 202401, 202403)
     assert g.count() == 2 * 2 * 3
     assert g.filter(F.col("period") == 202402).count() == 4
+
+
+def test_code_list_broadcast_policy(spark):
+    from staffline.plans import lookup
+    fact = spark.createDataFrame([("A", 202404, "1", "UHB")], "maincode string, yearmonth int, value string, provider string")
+    ref = spark.createDataFrame([(1, "A", "x")], "sheet int, maincode string, reference_sheet string")
+    small = lookup.lookup_all_sheets(fact, ref, probe_ref_rows=10)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = lookup.lookup_all_sheets(fact, ref, probe_ref_rows=0)   # probe says: too many rows
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
+        assert big.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
