@@ -58,21 +58,32 @@ def inner_null_safe(left: DataFrame, right: DataFrame, keys: KeySpec) -> DataFra
     )
 
 
-def full_outer_coalesced(left: DataFrame, right: DataFrame, keys: KeySpec) -> DataFrame:
-    """Full outer join, NULL keys match, key columns coalesced (left names)."""
+def full_outer_coalesced(left: DataFrame, right: DataFrame, keys: KeySpec, skew_safe: bool = True) -> DataFrame:
+    """Full outer join, NULL keys match, key columns coalesced (left names).
+
+    ``skew_safe`` evaluates it as left outer join + right rows without a match
+    (a left-anti join from the right). Both forms let AQE split a hot key's
+    partition, which it cannot do for a full outer join; the rows are the same.
+    """
     pairs = _pairs(keys)
-    l, r = left.alias("l"), right.alias("r")
-    joined = l.join(r, null_safe_on(l, r, pairs), "full")
     lkeys = {lk: rk for lk, rk in pairs}
     right_keys = set(lkeys.values())
-    out = []
-    for c in left.columns:
-        if c in lkeys:
-            out.append(F.coalesce(F.col(f"l.`{c}`"), F.col(f"r.`{lkeys[c]}`")).alias(c))
-        else:
-            out.append(F.col(f"l.`{c}`"))
-    out += [F.col(f"r.`{c}`") for c in right.columns if c not in right_keys]
-    return joined.select(*out)
+    right_rest = [c for c in right.columns if c not in right_keys]
+    if not skew_safe:
+        l, r = left.alias("l"), right.alias("r")
+        joined = l.join(r, null_safe_on(l, r, pairs), "full")
+        out = [F.coalesce(F.col(f"l.`{c}`"), F.col(f"r.`{lkeys[c]}`")).alias(c) if c in lkeys
+               else F.col(f"l.`{c}`") for c in left.columns]
+        return joined.select(*out, *[F.col(f"r.`{c}`") for c in right_rest])
+    matched_or_left = left_null_safe(left, right, pairs)
+    l, r = left.alias("l"), right.alias("r")
+    right_only = r.join(l, null_safe_on(r, l, [(rk, lk) for lk, rk in pairs]), "left_anti")
+    types = {f.name: f.dataType for f in left.schema.fields}
+    right_rows = right_only.select(
+        *[F.col(f"`{lkeys[c]}`").alias(c) if c in lkeys else F.lit(None).cast(types[c]).alias(c)
+          for c in left.columns],
+        *[F.col(f"`{c}`") for c in right_rest])
+    return matched_or_left.unionByName(right_rows)
 
 
 def left_null_safe(left: DataFrame, right: DataFrame, keys: KeySpec) -> DataFrame:

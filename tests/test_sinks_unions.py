@@ -105,3 +105,15 @@ def test_code_list_broadcast_policy(spark):
         assert big.count() == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_skew_safe_full_outer_equals_full_outer(spark):
+    l = spark.createDataFrame([("k1", 1, 1.0), ("k1", 1, 2.0), (None, 2, 3.0), ("k3", 3, 4.0), ("k1", None, 9.0)],
+                              "k string, m int, a double")
+    r = spark.createDataFrame([("k1", 1, "x"), (None, 2, "y"), ("k4", 4, "z"), ("k4", 4, "w"), ("k1", None, "v")],
+                              "k string, m int, b string")
+    safe = joins.full_outer_coalesced(l, r, ["k", "m"])
+    plain = joins.full_outer_coalesced(l, r, ["k", "m"], skew_safe=False)
+    assert safe.columns == plain.columns == ["k", "m", "a", "b"]
+    assert rows(safe) == rows(plain)
+    assert safe.count() == 7
