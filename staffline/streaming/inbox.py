@@ -58,8 +58,11 @@ def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25",
         *[F.col(f"`{m}`").cast("string").alias(str(i)) for i, m in enumerate(months, start=1)],
     )
     body = valid_codes(body, "maincode")
-    long = unpivot_keep_nulls(body, ["maincode", "provider", "fy"], [str(i) for i in range(1, 13)],
-                              "fiscal_month", "value")
+    month_idx = [str(i) for i in range(1, 13)]
+    if month_labels:
+        # months after the cut-off would only be generated to be filtered away
+        month_idx = [i for i in month_idx if int(month_labels[int(i) - 1]) <= latest_month] or month_idx
+    long = unpivot_keep_nulls(body, ["maincode", "provider", "fy"], month_idx, "fiscal_month", "value")
     if month_labels:
         labels = F.array(*[F.lit(int(x)) for x in month_labels])
         ym = F.element_at(labels, F.col("fiscal_month").cast("int"))

@@ -91,3 +91,10 @@ def test_provider_from_real_file_names(spark):
     named = files.with_file_columns(df, "24-25")
     assert rows(named.select("file_name", "provider")) == [
         ("BWCH 24-25+draft.csv", "BWCH"), ("NoMarker.csv", "NoMarker.csv"), ("ROH 24-25 M04.csv", "ROH")]
+
+
+def test_ingest_when_every_month_is_after_cutoff(spark):
+    d = tempfile.mkdtemp(prefix="staffline-inbox-")
+    _land(_wide(spark, "ROH 24-25 M04", 3, ["C1"]), d)
+    out = inbox.submissions_long(inbox.read_inbox(spark, d, HEADERS), 202401, "24-25", month_labels=LABELS)
+    assert out.count() == 0 and out.columns == list(inbox.LONG_COLUMNS)
