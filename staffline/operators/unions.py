@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import functools
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructType
+from pyspark.sql.types import DataType, DoubleType, NumericType, StructType
 
 from .projections import stamp_load_date
 
+log = logging.getLogger(__name__)
+
 
 class SchemaMismatch(ValueError):
     pass
@@ -56,6 +59,17 @@ def _compatible(a: DataType, b: DataType) -> bool:
     return a == b or (isinstance(a, NumericType) and isinstance(b, NumericType))
 
 
+_NUMERIC_RANK = {"tinyint": 0, "smallint": 1, "int": 2, "bigint": 3, "float": 4, "double": 5}
+
+
+def _wider(a: DataType, b: DataType) -> DataType:
+    """The wider of two numeric types (decimals and unknown ranks widen to double)."""
+    ra, rb = _NUMERIC_RANK.get(a.simpleString()), _NUMERIC_RANK.get(b.simpleString())
+    if ra is None or rb is None:
+        return DoubleType()
+    return a if ra >= rb else b
+
+
 def union_fill_missing(*dfs: DataFrame) -> DataFrame:
     """``bind_rows``: align by name, missing columns -> NULL, numeric types widen,
     any other type clash is an error raised here (not at run time)."""
@@ -65,8 +79,7 @@ def union_fill_missing(*dfs: DataFrame) -> DataFrame:
             t = seen.get(f.name)
             if t is not None and not _compatible(t, f.dataType):
                 raise SchemaMismatch(f"column {f.name!r}: {t.simpleString()} vs {f.dataType.simpleString()}")
-            if t is None or (t != f.dataType and f.dataType.simpleString() == "double"):
-                seen[f.name] = f.dataType
+            seen[f.name] = f.dataType if t is None else (t if t == f.dataType else _wider(t, f.dataType))
     aligned = []
     for d in dfs:
         types = _types(d)
@@ -82,6 +95,8 @@ def union_contracted(main: DataFrame, other: DataFrame, load_date: str | None =
     common column changes type; otherwise fill missing columns with NULL, union
     and stamp the load date."""
     if not types_match(main, other):
+        log.warning("contracted union refused: %s", "no common columns" if not common_columns(main, other)
+                    else "a common column changes type")
         return None
     cols = all_columns(main, other)
     ta, tb = _types(main), _types(other)

@@ -117,3 +117,11 @@ def test_skew_safe_full_outer_equals_full_outer(spark):
     assert safe.columns == plain.columns == ["k", "m", "a", "b"]
     assert rows(safe) == rows(plain)
     assert safe.count() == 7
+
+
+def test_fill_missing_union_widens_by_rank(spark):
+    a = spark.createDataFrame([(1,)], "x int")
+    b = spark.createDataFrame([(2**40,)], "x bigint")
+    out = unions.union_fill_missing(a, b)
+    assert out.schema["x"].dataType.simpleString() == "bigint"
+    assert sorted(r.x for r in out.collect()) == [1, 2**40]
