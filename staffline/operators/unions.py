@@ -83,6 +83,9 @@ def union_fill_missing(*dfs: DataFrame) -> DataFrame:
     aligned = []
     for d in dfs:
         types = _types(d)
+        if all(types[c] == seen[c] for c in d.columns):
+            aligned.append(d)  # nothing to cast: no extra projection
+            continue
         aligned.append(d.select(*[
             F.col(f"`{c}`").cast(seen[c]).alias(c) if types[c] != seen[c] else F.col(f"`{c}`")
             for c in d.columns
