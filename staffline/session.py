@@ -49,19 +49,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     a cluster a machine-local folder would not survive executor loss, so an
     unset ``spark.checkpoint.dir`` is an error there.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            if not sc.master.startswith("local"):
+            master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+            if not master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/object storage)")
-            current = tempfile.mkdtemp(prefix="staffline-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+            current = _LOCAL_ROOT.setdefault("dir", tempfile.mkdtemp(prefix="staffline-ckpt-"))
+        if sc is not None:
+            sc.setCheckpointDir(current)
+            current = sc.getCheckpointDir() or current
     return current
 
 
+_LOCAL_ROOT: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-application caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return str(getattr(spark, "session_id", id(spark)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")

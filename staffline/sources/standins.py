@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from ..config import RunConfig
 from ..functions.periods import date_to_period
 from ..operators.joins import broadcast_bounded
+from ..session import session_key
 
 # ---------------------------------------------------------------------------
 # Fixed values of the stand-in.
@@ -178,7 +179,7 @@ _TABLES: dict[tuple[str, str, str], DataFrame] = {}
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     """One input table; the scan (file listing, footer schema) is set up once per
     application and reused by every query that reads it."""
-    key = (spark.sparkContext.applicationId, d.rstrip("/"), name)
+    key = (session_key(spark), d.rstrip("/"), name)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
