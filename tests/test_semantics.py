@@ -131,3 +131,23 @@ def test_provider_from_file_name(spark):
     df = spark.createDataFrame([("ROH 24-25 M04.csv",), ("NoMarker.csv",), ("BWCH  24-25.xlsx",)], "f string")
     got = [r[0] for r in df.select(text.provider_from_name("f", "24-25")).collect()]
     assert got == ["ROH", "NoMarker.csv", "BWCH"]
+
+
+def test_n15_results_are_multisets(spark):
+    # no operator sorts; a repartitioned input gives the same multiset
+    a = spark.createDataFrame([(i % 3, float(i)) for i in range(30)], "k int, v double")
+    b = a.repartition(7)
+    agg = lambda d: rows(d.groupBy("k").agg(semantics.strict_sum("v").alias("s")))
+    assert agg(a) == agg(b)
+
+
+def test_n17_rates_are_fractions(spark):
+    from staffline.plans import measures
+    overall = spark.createDataFrame([("S", 202404, 90.0, "P", "Total WTE Substantive Staff")],
+                                    "maincode string, yearmonth int, value double, provider string, "
+                                    "summary_detail string")
+    vacancy = spark.createDataFrame([("V", 202404, 10.0, "P", "All Roles", "Total")],
+                                    "maincode string, yearmonth int, value double, provider string, "
+                                    "staff_group string, staff_type string")
+    r = measures.vacancy_rate(overall, vacancy).first()
+    assert r.rate == 0.1 and r.total == 100.0
