@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from staffline.session import get_session
 
-    s = get_session("local[4]", shuffle_partitions=4, app_name="staffline-tests")
+    warehouse = tempfile.mkdtemp(prefix="staffline-warehouse-")
+    s = get_session("local[4]", shuffle_partitions=4, app_name="staffline-tests",
+                    extra_conf={"spark.sql.warehouse.dir": warehouse})
     # tests run without a cluster checkpoint folder: use a private one
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="staffline-test-ckpt-"))

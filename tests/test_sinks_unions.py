@@ -125,3 +125,9 @@ def test_fill_missing_union_widens_by_rank(spark):
     out = unions.union_fill_missing(a, b)
     assert out.schema["x"].dataType.simpleString() == "bigint"
     assert sorted(r.x for r in out.collect()) == [1, 2**40]
+
+
+def test_replace_catalog_table(spark):
+    sinks.replace_table(spark.createDataFrame([(1,), (2,)], "x int"), "staffline_published_t")
+    sinks.replace_table(spark.createDataFrame([(3,)], "x int"), "staffline_published_t")
+    assert rows(spark.table("staffline_published_t")) == [(3,)]
