@@ -1,7 +1,7 @@
 """Benchmark the headline queries.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_QUERIES (comma list, optional), BENCH_REPEATS (default 2). One cold pass
+BENCH_QUERIES (comma list, optional), BENCH_REPEATS (default 3). One cold pass
 over all queries (reported as ``cold_*``), then BENCH_REPEATS timed passes; the
 metric is the sum of each query's best time. Each query is executed in full
 through the ``noop`` sink (no rows pulled to the driver). Prints one JSON line.
@@ -51,7 +51,7 @@ def main() -> None:
     # the metric is the best of the following passes (steady state of a
     # long-running cluster; this host's run-to-run noise is also large)
     cold = {name: round(run(name), 3) for name in names}
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     timings = {name: None for name in names}
     for _ in range(repeats):
         for name in names:
