@@ -111,3 +111,18 @@ def union_contracted(main: DataFrame, other: DataFrame, load_date: str | None =
         ])
 
     return stamp_load_date(fill(main, ta).unionByName(fill(other, tb)), load_date)
+
+
+def union_contracted_counted(main: DataFrame, other: DataFrame, load_date: str | None = None):
+    """``union_contracted`` plus the two row counts the append reports (rows of
+    ``main``, rows of the result) as ``Observation``s on the same plan: they are
+    filled by the next action on the result, without an extra job. Returns
+    ``(df, main_rows, result_rows)`` or ``(None, None, None)`` when refused."""
+    from .aggregates import observe_rows
+
+    counted_main, main_rows = observe_rows(main, "main_rows")
+    result = union_contracted(counted_main, other, load_date)
+    if result is None:
+        return None, None, None
+    result, result_rows = observe_rows(result, "result_rows")
+    return result, main_rows, result_rows

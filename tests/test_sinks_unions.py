@@ -131,3 +131,12 @@ def test_replace_catalog_table(spark):
     sinks.replace_table(spark.createDataFrame([(1,), (2,)], "x int"), "staffline_published_t")
     sinks.replace_table(spark.createDataFrame([(3,)], "x int"), "staffline_published_t")
     assert rows(spark.table("staffline_published_t")) == [(3,)]
+
+
+def test_contracted_union_reports_counts_without_extra_job(spark):
+    main = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
+    other = spark.createDataFrame([("c", 3.0, "x")], "k string, v double, extra string")
+    df, main_rows, result_rows = unions.union_contracted_counted(main, other, "2024-08-05")
+    df.write.format("noop").mode("overwrite").save()
+    assert main_rows.get["rows"] == 2 and result_rows.get["rows"] == 3
+    assert unions.union_contracted_counted(main, spark.createDataFrame([(1,)], "z int")) == (None, None, None)
