@@ -9,23 +9,22 @@ Design (equivalent to twelve slice joins plus a roll-up re-join):
   the grid with the stack equals the union of the twelve slice joins, fan-out
   included.
 * the system column (``ICS``) is replaced by the NA-ignoring sum of the other
-  systems from a grouped aggregate joined back by broadcast; the aggregate has
-  one row per grid cell key, a bound fixed by the configuration.
+  systems over a window partitioned by the grid key (instead of an aggregate
+  joined back to its own input, which would evaluate the overview twice).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import RunConfig
 from ..functions.periods import period_to_date
-from ..functions.semantics import not_in, sum_na_rm
+from ..functions.semantics import nan_to_null, not_in
 from ..operators.aggregates import group_strict_sum
 from ..operators.filters import cutoff
 from ..operators.grid import dense_grid, systems_frame
-from ..operators.joins import broadcast_bounded
 from ..operators.unions import union_fill_missing
 
 OUT_COLUMNS = ("metric", "staff_group", "system", "period", "value", "date")
@@ -118,21 +117,21 @@ def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig
 
 def ics_rollup(overview: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
     """System rows take the NA-ignoring sum of the other systems; rate metrics
-    are NULL there (rates do not add up). Adds the first-of-month date."""
+    are NULL there (rates do not add up). Adds the first-of-month date.
+
+    A window over the grid key replaces "aggregate, then join back": one pass
+    and one shuffle instead of evaluating the overview twice. A window
+    partition is one grid key, i.e. one row per system times the code-list
+    fan-out, so it is bounded by the configuration, not by the data volume.
+    """
     total_sys = cfg.grid_total_system
-    keys = ["period", "staff_group", "metric"]
-    sums = (
-        overview.filter(F.col("system") != total_sys)
-        .groupBy(*keys).agg(sum_na_rm("value").alias("sum_value"))
-        .withColumn("sum_value", F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double"))
-                    .otherwise(F.col("sum_value")))
-    )
-    bound = len(kept_pairs(cfg)) * 12 * max(1, (cfg.grid_last_period // 100 - cfg.grid_first_period // 100 + 1))
-    sums = broadcast_bounded(sums, bound, "one row per (period, staff group, metric) grid key")
-    out = overview.join(sums, keys, "left")
-    value = F.when(F.col("system") == total_sys, F.col("sum_value")).otherwise(F.col("value"))
-    out = out.select("metric", "staff_group", "system", "period", value.alias("value"),
-                     period_to_date("period").alias("date"))
+    w = Window.partitionBy("period", "staff_group", "metric")
+    others = F.when(F.col("system") != total_sys, nan_to_null("value"))
+    system_value = F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double")).otherwise(
+        F.coalesce(F.sum(others).over(w), F.lit(0.0)))
+    value = F.when(F.col("system") == total_sys, system_value).otherwise(F.col("value"))
+    out = overview.select("metric", "staff_group", "system", "period", value.alias("value"),
+                          period_to_date("period").alias("date"))
     return cutoff(out, cfg.latest_month, "period")
 
 
