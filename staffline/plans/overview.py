@@ -91,6 +91,15 @@ def metric_facts(overall: DataFrame, staff_group_tbl: DataFrame, bank_agency: Da
     return union_fill_missing(*all_staff, *by_group)
 
 
+def rejected_providers(facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
+    """Data-quality check: providers in the metric sources that are not grid
+    systems and so never reach the overview (the system-total label excepted),
+    with their row counts per metric."""
+    known = list(cfg.systems) + [cfg.system_total_label]
+    return (facts.filter(~F.coalesce(F.col("system").isin(known), F.lit(False)))
+            .groupBy("system", "metric").agg(F.count(F.lit(1)).alias("rows")))
+
+
 def overview_grid(spark: SparkSession, cfg: RunConfig = RunConfig(), systems: DataFrame | None = None) -> DataFrame:
     """Grid of kept pairs over all systems and months up to the cut-off."""
     sys_df = systems if systems is not None else systems_frame(spark, cfg.systems)

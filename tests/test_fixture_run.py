@@ -195,3 +195,16 @@ def test_main_overview(out):
     assert [r.date for r in ics] == [dt.date(2024, 4, 1)]
     # 36 pairs x 6 systems x 4 months, plus one extra row for the doubled bank code
     assert o.count() == 36 * 6 * 4 + 1
+
+
+def test_rejected_providers_are_reported(spark):
+    from staffline.plans import lookup, overview
+    i = _inputs(spark)
+    looked = lookup.lookup_all_sheets(lookup.fact_union_historic(i.historic, i.current), i.ref_long)
+    t = lookup.published_lookup_tables(looked)
+    facts = overview.metric_facts(t["Overall"], t["Staff_Group"], t["Bank_Agency"], t["Vacancy"],
+                                  spark.createDataFrame([], "provider string, yearmonth int, rate double, type string"),
+                                  spark.createDataFrame([], "provider string, yearmonth int, reference_sheet string, "
+                                                            "metric string, value double"))
+    got = sorted(tuple(r) for r in overview.rejected_providers(facts, CFG).collect())
+    assert got == [("OTHER", "Substantive Staff In Post", 1)]
