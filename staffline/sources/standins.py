@@ -250,7 +250,12 @@ def fact(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ref_book(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ref_book_rows(), REF_BOOK_SCHEMA)
+    """The fixed code-list workbook (created once per application)."""
+    key = (session_key(spark), "", "__ref_book__")
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.createDataFrame(ref_book_rows(), REF_BOOK_SCHEMA)
+    return df
 
 
 def _code_from_book():
