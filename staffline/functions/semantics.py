@@ -95,11 +95,19 @@ def nan_to_null_all(df: DataFrame) -> DataFrame:
 def parse_number(c) -> Column:
     """Lenient text -> double: NULL for text that is not a number.
 
-    Java's parser accepts a trailing type suffix (``'12d'``); numeric text never
-    ends that way, so such values are rejected first.
+    Accepts what a data-frame number parser accepts: decimal and exponent
+    forms, ``inf``/``infinity`` in any case with a sign, and hexadecimal
+    integers (``0x1A`` = 26). Java's parser also accepts a trailing type suffix
+    (``'12d'``); numeric text never ends that way, so such values are rejected.
     """
     s = F.trim(_col(c).cast("string"))
-    return F.when(s.rlike("[dDfF]$"), _null_double()).otherwise(s.try_cast("double"))
+    hex_digits = F.regexp_extract(s, "^[+-]?0[xX]([0-9a-fA-F]+)$", 1)
+    sign = F.when(s.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return (F.when(s.rlike("(?i)^[+]?inf(inity)?$"), F.lit(float("inf")))
+            .when(s.rlike("(?i)^-inf(inity)?$"), F.lit(float("-inf")))
+            .when(hex_digits != "", sign * F.conv(hex_digits, 16, 10).cast("double"))
+            .when(s.rlike("[dDfF]$"), _null_double())
+            .otherwise(s.try_cast("double")))
 
 
 def to_number(c) -> Column:

@@ -11,25 +11,26 @@ from staffline.functions import semantics
 NUMERIC_TEXT = st.one_of(
     st.integers(-10**6, 10**6).map(str),
     st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False).map(lambda f: f"{f:.3f}"),
-    st.sampled_from(["", " ", "n/a", "NaN", "1,234", "12d", "7F", " 42 ", "1e3", "-0", "abc"]),
+    st.sampled_from(["", " ", "n/a", "NaN", "1,234", "12d", "7F", " 42 ", "1e3", "-0", "abc", "Inf", "-INF",
+                     "infinity", "0x1f", "-0x10", "0xZZ"]),
     st.none(),
 )
 
 
 def py_to_number(s):
-    """Text -> number; anything missing or not a plain number -> 0."""
+    """Text -> number; anything missing or not a number -> 0 (NaN too)."""
     if s is None:
         return 0.0
     t = s.strip(" ")
-    if re.search(r"[dDfF]$", t):
+    if re.fullmatch(r"[+-]?0[xX][0-9a-fA-F]+", t):
+        return float(int(t, 16))
+    if re.search(r"[dDfF]$", t) and not re.fullmatch(r"(?i)[+-]?inf(inity)?", t):
         return 0.0
     try:
         v = float(t)
     except ValueError:
         return 0.0
-    if math.isnan(v) or t.lower() in ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"):
-        return 0.0 if math.isnan(v) else v
-    return v
+    return 0.0 if math.isnan(v) else v
 
 
 @settings(max_examples=25, deadline=None)

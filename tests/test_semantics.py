@@ -62,10 +62,12 @@ def test_n7_nan_to_null_keeps_inf(spark):
 
 
 def test_n8_lenient_number_parsing(spark):
-    vals = ["12", " 12 ", "1e3", "1,234", "n/a", "", "NaN", "12d", None]
+    vals = ["12", " 12 ", "1e3", "1,234", "n/a", "", "NaN", "12d", None,
+            "Inf", "-inf", "Infinity", "0x1A", "-0X10", "+7", ".5"]
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r[0] for r in df.select(semantics.to_number("s")).collect()]
-    assert got == [12.0, 12.0, 1000.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]
+    assert got == [12.0, 12.0, 1000.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0,
+                   math.inf, -math.inf, math.inf, 26.0, -16.0, 7.0, 0.5]
 
 
 def test_n9_unpivot_keeps_blank_cells(spark):
