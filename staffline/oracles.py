@@ -50,7 +50,12 @@ def sum_na_rm(x: str) -> str:
 
 
 def to_number(v: str) -> str:
-    p = f"(CASE WHEN regexp_matches(trim({v}), '[dDfF]$') THEN NULL ELSE TRY_CAST(trim({v}) AS DOUBLE) END)"
+    t = f"trim({v})"
+    p = (f"(CASE WHEN regexp_full_match({t}, '[+-]?0[xX][0-9a-fA-F]+') THEN "
+         f"(CASE WHEN starts_with({t}, '-') THEN -1.0 ELSE 1.0 END) * "
+         f"CAST(TRY_CAST(ltrim({t}, '+-') AS BIGINT) AS DOUBLE) "
+         f"WHEN regexp_full_match(lower({t}), '[+-]?inf(inity)?') THEN TRY_CAST({t} AS DOUBLE) "
+         f"WHEN regexp_matches({t}, '[dDfF]$') THEN NULL ELSE TRY_CAST({t} AS DOUBLE) END)")
     return f"coalesce(CASE WHEN isnan({p}) THEN 0.0 ELSE {p} END, 0.0)"
 
 
