@@ -350,8 +350,10 @@ def _ctes() -> list[tuple[str, str]]:
         f"AND o.metric = s.metric WHERE o.period <= {L}")
     # messy numbers and line ratios
     add("messy", "SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'n/a' WHEN 'signup' THEN NULL "
-        "WHEN 'view' THEN ' ' || d || ' ' WHEN 'click' THEN d || 'd' ELSE d || 'e1' END AS raw "
-        "FROM (SELECT event_id, event_type, regexp_extract(props, '[0-9]+', 0) AS d FROM events)")
+        "WHEN 'view' THEN ' ' || d || ' ' WHEN 'click' THEN d || 'd' ELSE (CASE WHEN value < 10 THEN '0x' || d "
+        "WHEN value < 20 THEN '-Infinity' WHEN value < 30 THEN '1,' || d WHEN value < 40 THEN 'NaN' "
+        "ELSE d || 'e1' END) END AS raw "
+        "FROM (SELECT event_id, event_type, value, regexp_extract(props, '[0-9]+', 0) AS d FROM events)")
     add("line_ratios", "SELECT l_orderkey, l_linenumber, l_tax + l_discount AS total, l_tax - l_discount AS difference, "
         f"{div('l_tax', 'l_discount')} AS ratio FROM lineitem")
     planted = (f"(provider = 'AMERICA' AND yearmonth = 199712 AND type = {lit(C.BANK_PLAN)}) "

@@ -22,8 +22,9 @@ planned rates       per ship month and supplier region: share of flag R
                     (sickness) and of status O (turnover) line items
 wide submissions    per (region, fiscal year, sheet, code): 12 monthly sums as
                     text, blank when the month is empty
-messy numbers       ``events``: digits of ``props`` padded/suffixed by type,
-                    ``'n/a'`` for error, NULL for signup
+messy numbers       ``events``: digits of ``props`` padded, suffixed, in exponent,
+                    hex or thousands form, ``'n/a'``, ``NaN``, ``-Infinity``,
+                    NULL -- by event type and value band
 ==================  ===========================================================
 """
 
@@ -360,13 +361,21 @@ def wide_submissions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def messy_values(spark: SparkSession, d: str) -> DataFrame:
-    """``(event_id, event_type, raw)`` text values in several broken formats."""
-    e = table(spark, d, "events").select("event_id", "event_type", "props")
+    """``(event_id, event_type, raw)`` text values in several broken formats:
+    the digits of ``props`` padded, suffixed, in exponent, hexadecimal or
+    thousands-separated form, or replaced by ``n/a``, ``NaN``, infinity or a
+    blank, chosen by event type and value band."""
+    e = table(spark, d, "events").select("event_id", "event_type", "props", "value")
     digits = F.regexp_extract("props", "[0-9]+", 0)
-    t = F.col("event_type")
+    t, v = F.col("event_type"), F.col("value")
+    purchase = (F.when(v < 10, F.concat(F.lit("0x"), digits))
+                .when(v < 20, F.lit("-Infinity"))
+                .when(v < 30, F.concat(F.lit("1,"), digits))
+                .when(v < 40, F.lit("NaN"))
+                .otherwise(F.concat(digits, F.lit("e1"))))
     raw = (F.when(t == "error", F.lit("n/a"))
            .when(t == "signup", F.lit(None).cast("string"))
            .when(t == "view", F.concat(F.lit(" "), digits, F.lit(" ")))
            .when(t == "click", F.concat(digits, F.lit("d")))
-           .otherwise(F.concat(digits, F.lit("e1"))))
+           .otherwise(purchase))
     return e.select("event_id", "event_type", raw.alias("raw"))
