@@ -16,6 +16,7 @@ of a sheet keep their positional contract (months at 6-17, code at 19).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -133,5 +134,12 @@ def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, col
     return q
 
 
+LONG_SCHEMA = "maincode string, yearmonth int, value string, provider string, load_date date"
+
+
 def read_fact(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.parquet(out).select(*LONG_COLUMNS)
+    """The long fact; empty when no run has written it yet (an empty inbox is a no-op)."""
+    try:
+        return spark.read.parquet(out).select(*LONG_COLUMNS)
+    except AnalysisException:  # path does not exist yet
+        return spark.createDataFrame([], LONG_SCHEMA)

@@ -98,3 +98,12 @@ def test_ingest_when_every_month_is_after_cutoff(spark):
     _land(_wide(spark, "ROH 24-25 M04", 3, ["C1"]), d)
     out = inbox.submissions_long(inbox.read_inbox(spark, d, HEADERS), 202401, "24-25", month_labels=LABELS)
     assert out.count() == 0 and out.columns == list(inbox.LONG_COLUMNS)
+
+
+def test_empty_inbox_is_a_no_op(spark):
+    root = tempfile.mkdtemp(prefix="staffline-empty-")
+    src, out, ckpt = (os.path.join(root, n) for n in ("inbox", "fact", "ckpt"))
+    os.makedirs(src)
+    inbox.stream_inbox(spark, src, out, ckpt, HEADERS, 202407, month_labels=LABELS)
+    fact = inbox.read_fact(spark, out)
+    assert fact.count() == 0 and fact.columns == list(inbox.LONG_COLUMNS)
