@@ -22,11 +22,6 @@ def base_name(path) -> Column:
     return F.element_at(F.split(_col(path), "/"), -1)
 
 
-def parent_name(path) -> Column:
-    """Folder holding the file (second to last path component)."""
-    return F.element_at(F.split(_col(path), "/"), -2)
-
-
 def provider_from_name(name, marker: str = "24-25", regex: bool = False) -> Column:
     """Text before the first fiscal-year marker, trimmed; the whole name if absent."""
     pattern = marker if regex else re.escape(marker)

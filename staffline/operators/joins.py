@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import null_safe_on
-from .projections import q
 
 KeySpec = Sequence[str | tuple[str, str]]
 
@@ -120,8 +119,3 @@ def join_with_suffixes(left: DataFrame, right: DataFrame, keys: KeySpec, how: st
             continue
         out.append(F.col(f"r.`{c}`").alias(c + suffixes[1] if c in clash else c))
     return joined.select(*out)
-
-
-def select_as(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Select and rename in one projection ``{source: target}``."""
-    return df.select(*[q(s).alias(t) for s, t in mapping.items()])
