@@ -90,3 +90,19 @@ def test_split_is_a_partition(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "k string")
     a, b = split_in(df, "k", ["a", "b"])
     assert sorted(map(repr, [r.k for r in a.collect()] + [r.k for r in b.collect()])) == sorted(map(repr, values))
+
+
+SIDE = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from([1, 2, None]),
+                          st.integers(0, 9)), max_size=12)
+
+
+@settings(max_examples=20, deadline=None)
+@given(SIDE, SIDE)
+def test_skew_safe_full_outer_join_is_a_full_outer_join(spark, left, right):
+    from staffline.operators import joins
+    l = spark.createDataFrame(left, "k string, m int, a int")
+    r = spark.createDataFrame(right, "k string, m int, b int")
+    safe = joins.full_outer_coalesced(l, r, ["k", "m"])
+    plain = joins.full_outer_coalesced(l, r, ["k", "m"], skew_safe=False)
+    key = lambda t: repr(t)
+    assert sorted(map(tuple, safe.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
