@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op2_language_id as op2
 from . import op9_sharding as op9
+from . import op10_toxicity as op10
 from .common import table
 
 
@@ -22,9 +23,15 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labels outside the held-out fold."""
+    return op10.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
