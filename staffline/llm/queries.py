@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import op2_language_id as op2
+from . import op3_decontamination as op3
 from . import op9_sharding as op9
 from . import op10_toxicity as op10
 from .common import table
@@ -18,6 +19,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) whose text the document holds within the error budget."""
+    return op3.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts, equal texts kept together where a shard holds them."""
     return op9.shard_documents(table(spark, sf_dir, "documents"))
@@ -30,6 +36,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
