@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op2_language_id as op2
 from . import op3_decontamination as op3
+from . import op5_token_counts as op5
+from . import op7_sentencepiece as op7
 from . import op9_sharding as op9
 from . import op10_toxicity as op10
 from .common import table
@@ -24,6 +26,16 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token count of every document."""
+    return op5.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    return op7.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts, equal texts kept together where a shard holds them."""
     return op9.shard_documents(table(spark, sf_dir, "documents"))
@@ -37,6 +49,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op5_token_counts": op5_token_counts,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
