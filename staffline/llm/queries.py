@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import op2_language_id as op2
 from . import op3_decontamination as op3
 from . import op5_token_counts as op5
+from . import op6_suffix_tree_lm as op6
 from . import op7_sentencepiece as op7
 from . import op9_sharding as op9
 from . import op10_toxicity as op10
@@ -31,6 +32,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and suffix-tree log10 probability of every document."""
+    return op6.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded into pieces and decoded again."""
     return op7.round_trip(table(spark, sf_dir, "documents"))
@@ -50,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
+    "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
