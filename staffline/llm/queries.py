@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import op2_language_id as op2
 from . import op3_decontamination as op3
+from . import op4_jaccard_join as op4
 from . import op5_token_counts as op5
 from . import op6_suffix_tree_lm as op6
 from . import op7_sentencepiece as op7
@@ -27,6 +28,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and link component of every document."""
+    return op4.join_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token count of every document."""
     return op5.token_counts(table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_token_counts": op5_token_counts,
     "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_sentencepiece": op7_sentencepiece,
@@ -62,4 +69,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), edges AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": JACCARD_SQL}

@@ -49,6 +49,10 @@ def mix_int(x: int) -> int:
     return int(mix(np.array([x & (2**64 - 1)], U64))[0])
 
 
+def mix_int_u(x: int) -> np.uint64:
+    return U64(mix_int(x))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
