@@ -12,6 +12,7 @@ from . import op4_jaccard_join as op4
 from . import op5_token_counts as op5
 from . import op6_suffix_tree_lm as op6
 from . import op7_sentencepiece as op7
+from . import op8_html_extraction as op8
 from . import op9_sharding as op9
 from . import op10_toxicity as op10
 from .common import table
@@ -48,6 +49,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return op8.main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal row counts, equal texts kept together where a shard holds them."""
     return op9.shard_documents(table(spark, sf_dir, "documents"))
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_suffix_tree_lm": op6_suffix_tree_lm,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_html_extraction": op8_html_extraction,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
