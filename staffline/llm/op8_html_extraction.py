@@ -6,8 +6,9 @@ and the same of its ancestors. Boosted trees (trained here, in numpy, on a
 bounded sample of pages) give each element log odds of being article text.
 Labels come from the pages themselves: elements inside an ``article`` or
 ``main`` element, or inside a marked menu, footer, advert and so on, in pages
-that use such marks. Every training element is used twice, the second time with
-all marks hidden, so that pages without marks are judged by density and place.
+that use such marks. Every training page is used three times: as it is, with all
+marks hidden (so that pages without marks are judged by density and place), and
+with its texts rearranged under other marks and layouts.
 
 Decoding chooses for each subtree: keep all, drop all, or let its parts decide,
 by dynamic programming over summed log odds. An element dropped as a whole
@@ -24,8 +25,10 @@ hides its text; repeated rows are extracted each time; extra columns are dropped
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections.abc import Iterator
+from html import escape
 
 import numpy as np
 import pyarrow as pa
@@ -186,13 +189,84 @@ def extract(htmls: list[str | None], model: boosting.Boosted | None) -> list[str
     return [text_of(p.page, keep_elements(p, v)) for p, v in zip(pages, logits, strict=True)]
 
 
+def rearranged(html: str, features: Features) -> str:
+    """The article texts of a page in another layout, with other marks from the word lists.
+
+    Shows the trees marks and layouts that few pages of the sample have; the
+    choice depends on the page alone.
+    """
+    rng = random.Random(zlib.crc32(html.encode("utf-8", "replace")))
+    blocks: dict[int, list[str]] = {}
+    for element, text, number in features.page.runs:
+        if features.label[element] == 1:
+            blocks.setdefault(number, []).append(text)
+    texts = [t for t in (" ".join("".join(b).split()) for b in blocks.values()) if t]
+    if not texts:
+        return ""
+
+    def some(n: int) -> str:
+        words = rng.choice(texts).split()
+        at = rng.randrange(len(words))
+        return escape(" ".join(words[at:at + n]))
+
+    def inside() -> str:
+        """Text of an element in one of the usual shapes: paragraphs, lists, tables, links."""
+        shape = rng.randrange(7)
+        if shape == 0:
+            return "".join(f"<p>{some(rng.choice((5, 40, 200)))}</p>" for _ in range(rng.randint(1, 4)))
+        if shape == 1:
+            return "<ul>" + "".join(f"<li>{some(rng.randint(2, 20))}</li>" for _ in range(rng.randint(2, 6))) + "</ul>"
+        if shape == 2:
+            return some(rng.choice((3, 15, 60)))
+        if shape == 3:
+            return f"<h{rng.randint(2, 4)}>{some(4)}</h3><p>{some(rng.choice((10, 80)))}</p><p>{some(60)} <a href=x>{some(2)}</a> {some(5)}</p>"
+        if shape == 4:
+            return "<table>" + "".join(f"<tr><td>{some(2)}</td><td>{some(3)}</td></tr>" for _ in range(3)) + "</table>"
+        if shape == 5:
+            return f"<blockquote>{some(30)}</blockquote><div>{some(rng.choice((8, 100)))}</div>"
+        return f"<div><span>{some(4)}</span> <b>{some(2)}</b></div><pre>{some(20)}</pre>"
+
+    def links() -> str:
+        return "<ul>" + "".join(f"<li><a href=x>{some(rng.randint(1, 4))}</a></li>" for _ in range(rng.randint(2, 8))) + "</ul>"
+
+    def aside() -> str:
+        tag = rng.choice(("div", "div", "section", "aside", "nav", "footer", "form", "p", "span"))
+        word = rng.choice(sorted(ASIDE_WORDS))
+        mark = rng.choice((f' class="{word}"', f' id="{word}"', f' class="x-{word} wide"', f' role="{word}"'))
+        body = links() if rng.random() < 0.4 else inside()
+        return f"<{tag}{mark}>{body}</{tag}>"
+
+    word = rng.choice(sorted(ARTICLE_WORDS - {"articlebody"}))
+    tag, mark = rng.choice((("article", ""), ("main", ""), ("div", f' class="{word}"'), ("section", f' id="{word}"')))
+    body = f"<h1>{some(6)}</h1>" + "".join(
+        aside() if rng.random() < 0.2 else f"<p>{escape(rng.choice(texts))}</p>" if rng.random() < 0.5 else inside()
+        for _ in range(rng.randint(2, 7)))
+    around = [aside() for _ in range(rng.randint(2, 6))]
+    cut = rng.randint(0, len(around))
+    wrap = rng.choice((("", ""), ("<div>", "</div>"), ('<div class="page"><div>', "</div></div>")))
+    return ("<html><body>" + wrap[0] + "".join(around[:cut]) + f"<{tag}{mark}>{body}</{tag}>" + "".join(around[cut:]) + wrap[1]
+            + "</body></html>")
+
+
+def training_rows(html: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Feature rows and labels of a page: as it is, with its marks hidden, and rearranged."""
+    features = Features(html)
+    out = []
+    for f, bare in ((features, False), (features, True), (Features(rearranged(html, features)), False)):
+        at = np.flatnonzero(f.label >= 0)
+        x = f.x[at].copy()
+        if bare:
+            x[:, MARKS] = 0
+        out.append((x, f.label[at]))
+    return out
+
+
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in tv.pieces(batches, "html", 1 << 20):
         for html in tv.column(part, "html").to_pylist():
-            f = Features(html or "")
-            at = np.flatnonzero(f.label >= 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r.tobytes() for r in f.x[at]], pa.binary()), pa.array(f.label[at].astype(np.int32))], ["x", "y"])
+            for x, y in training_rows(html or ""):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r.tobytes() for r in x], pa.binary()), pa.array(y.astype(np.int32))], ["x", "y"])
 
 
 def fit(pages: DataFrame, max_pages: int = MAX_TRAIN_PAGES) -> boosting.Boosted | None:
@@ -209,10 +283,7 @@ def fit(pages: DataFrame, max_pages: int = MAX_TRAIN_PAGES) -> boosting.Boosted
         return None
     # order of collected rows must not matter
     order = np.lexsort((*x.T, y))
-    x, y = x[order], y[order]
-    bare = x.copy()
-    bare[:, MARKS] = 0
-    return boosting.fit(np.concatenate([x, bare]), np.concatenate([y, y]))
+    return boosting.fit(x[order], y[order])
 
 
 def main_text(pages: DataFrame, max_train_pages: int = MAX_TRAIN_PAGES) -> DataFrame:
