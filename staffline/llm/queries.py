@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import op1_bm25_search as op1
 from . import op2_language_id as op2
 from . import op3_decontamination as op3
 from . import op4_jaccard_join as op4
@@ -18,6 +19,12 @@ from . import op10_toxicity as op10
 from .common import table
 
 
+def op1_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 100 (its whole text is the query)."""
+    docs = table(spark, sf_dir, "documents")
+    return op1.top_k(docs, docs.where("doc_id % 100 = 0"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of the labelled ids."""
     out = op2.identify(table(spark, sf_dir, "documents"))
@@ -65,6 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bm25_search": op1_bm25_search,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
@@ -103,4 +111,28 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_jaccard_join": JACCARD_SQL}
+BM25_SQL = rf"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+')) AS w
+  FROM documents
+), tf AS (
+  SELECT doc_id, w, count(*) AS tf FROM words GROUP BY ALL
+), lengths AS (
+  SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS n, (SELECT sum(dl) FROM lengths) / count(*) AS mean FROM documents
+), idf AS (
+  SELECT w, ln(1 + (n - df + 0.5) / (df + 0.5)) AS idf
+  FROM (SELECT w, count(*) AS df FROM tf GROUP BY w), totals
+), points AS (
+  SELECT q.doc_id AS query_id, d.doc_id,
+    sum(round(1e6 * idf * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * dl / mean)))::BIGINT)::BIGINT AS points
+  FROM tf q JOIN tf d USING (w) JOIN idf USING (w) JOIN lengths l ON l.doc_id = d.doc_id, totals
+  WHERE q.doc_id % 100 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY points DESC, doc_id)::INTEGER AS rank FROM points WHERE points > 0
+)
+SELECT query_id, rank, doc_id, points / 1e6 AS score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_bm25_search": BM25_SQL, "op4_jaccard_join": JACCARD_SQL}
