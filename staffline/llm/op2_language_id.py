@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textvec as tv
 from .common import fold
@@ -173,10 +174,11 @@ def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.nd
     return out, scores
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, text to doc_id, held_out, lang_pred, score; any other column is dropped."""
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "held_out")) -> DataFrame:
+    """The columns ``keep`` of every row with lang_pred and score (which replace columns so named)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
+    keep = tuple(c for c in keep if c not in ("lang_pred", "score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -184,11 +186,27 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             langs, scores = score_texts(tv.column(batch, "text").to_pylist(), m)
             yield pa.RecordBatch.from_arrays(
-                [tv.column(batch, "doc_id"), tv.column(batch, "held_out"), pa.array(langs, pa.string()),
-                 pa.array(scores)], ["doc_id", "held_out", "lang_pred", "score"])
+                [*(tv.column(batch, c) for c in keep), pa.array(langs, pa.string()), pa.array(scores)],
+                [*keep, "lang_pred", "score"])
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = docs.select(*keep, *(["text"] if "text" not in keep else []))
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
+
+
+def training_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
+def drop_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (all columns) in one of the learnt languages with at least ``least_score``."""
+    model = fit(training_texts(docs.where(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(True)))))
+    renamed = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).withColumn(
+        "text", F.col(f"c{docs.columns.index('text')}").cast("string"))
+    kept = predict(renamed, model, tuple(f"c{k}" for k in range(len(docs.columns))))
+    return (kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+            .drop("lang_pred", "score").toDF(*docs.columns))
 
 
 def identify(docs: DataFrame, held_out: Column | None = None) -> DataFrame:

@@ -233,3 +233,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERR
         return spark.createDataFrame([], schema)
     best = F.min(F.struct("distance", "match_start", "match_end")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR_SHARE) -> DataFrame:
+    """The rows of ``docs`` (all columns) that hold no benchmark item; one narrow pass per block of items."""
+    spark = docs.sparkSession
+    columns = docs.columns
+    rows = docs.toDF(*[f"c{k}" for k in range(len(columns))]).withColumn(
+        "text", F.col(f"c{columns.index('text')}").cast("string"))
+    for block in blocks(benchmark):
+        shared = spark.sparkContext.broadcast((block, error_share))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(*shared.value)
+            for part in tv.pieces(batches):
+                clean = np.ones(part.num_rows, bool)
+                clean[[row for row, *_ in matches(part, index)]] = False
+                yield part.filter(pa.array(clean))
+
+        rows = rows.mapInArrow(run, rows.schema)
+    return rows.drop("text").toDF(*columns)

@@ -85,11 +85,11 @@ def shingle_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     owner = words.owner()
     short = np.flatnonzero((counts > 0) & (counts < WIDTH))
     extra = np.zeros(len(short), _U)
-    for k, d in enumerate(short):
-        x = _SHORT
-        for w in h[words.first[d]:words.first[d + 1]]:
-            x = x * _STEP + w
-        extra[k] = x
+    for k in range(WIDTH - 1):
+        # the k-th word of every short text that has one
+        more = short[counts[short] > k]
+        at = np.searchsorted(short, more)
+        extra[at] = (extra[at] + _SHORT) * _STEP + h[words.first[more] + k]
     hashes = np.concatenate([value[full], tv.mix(extra)])
     docs = np.concatenate([owner[full], short])
     order = np.lexsort((hashes, docs))
@@ -479,3 +479,9 @@ def join_classes(docs: DataFrame) -> DataFrame:
     # a component's label is the smallest representative, which is the smallest id of its class
     return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
                       .otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) without those whose component has a smaller doc_id."""
+    gone = materialize(join_classes(docs).where("doc_id > component_id").select("doc_id").distinct(), "op4-gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
