@@ -22,9 +22,6 @@ from .sources import files, jdbc, sinks, standins
 from .sources.standins import STANDIN_CONFIG as CFG
 from .streaming import inbox
 
-# The derived code list is distinct codes inner-joined to the fixed workbook on
-# the workbook's own key columns, so it has at most as many rows as the workbook.
-REF_BOUND = len(standins.ref_book_rows())
 HISTORIC_BEFORE = 199704  # first period of the current fiscal year in the stand-in
 
 
@@ -44,7 +41,7 @@ class Model:
 
     @cached_property
     def looked(self) -> DataFrame:
-        looked = lookup.lookup_all_sheets(self.fact, self.ref_long, ref_row_bound=REF_BOUND)
+        looked = lookup.lookup_all_sheets(self.fact, self.ref_long)
         if not self.materialize:
             return looked
         # Many consumers: write once, partitioned by sheet, under the shared
@@ -276,7 +273,7 @@ def reshape_measures_long(spark, d):
 
 def join_code_lookup(spark, d):
     m = Model(spark, d)
-    ref = joins.broadcast_bounded(m.ref_long, REF_BOUND, "code list")
+    ref = m.ref_long
     return joins.inner_null_safe(m.fact, ref, ["maincode"])
 
 
@@ -556,7 +553,7 @@ def monthly_run_published(spark, d):
         historic=f.filter(F.col("yearmonth") < HISTORIC_BEFORE),
         ref_long=m.ref_long, planned_staff=m.planned_staff, planned_rates=m.planned_rates,
         sickness_wide=m.sickness_wide, turnover_wide=m.turnover_wide)
-    out = monthly.run(spark, inputs, scratch_path(spark, "published"), CFG, ref_row_bound=REF_BOUND)
+    out = monthly.run(spark, inputs, scratch_path(spark, "published"), CFG)
     return out["Main_Overview"]
 
 

@@ -14,7 +14,11 @@ from __future__ import annotations
 
 import argparse
 
-from .config import RunConfig, fiscal_year_labels
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .config import RunConfig, fiscal_year_labels, labels_of_marker
 from .plans import monthly
 from .session import get_session
 from .sources import jdbc, landing
@@ -49,18 +53,35 @@ def parse(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
+def inbox_columns(spark, path: str) -> list[str]:
+    """The sheet headers of the landed workbooks; none when nothing is landed."""
+    try:
+        found = spark.read.parquet(path).columns
+    except AnalysisException as e:
+        if e.getCondition() not in inbox.NOTHING_THERE:
+            raise
+        return []
+    return [c for c in found if c not in ("submission", "sheet_no")]
+
+
+def of_fiscal_year(fact: DataFrame, labels) -> DataFrame:
+    """The run's own fiscal year; earlier years come from the historic table, once."""
+    return fact.where(F.col("yearmonth").isin(list(labels))) if labels else fact
+
+
 def main(argv=None) -> dict:
     a = parse(argv)
     spark = get_session()
     cfg = RunConfig(latest_month=a.latest_month, fiscal_year_marker=a.marker, load_date=a.load_date)
     labels = fiscal_year_labels(a.fiscal_year_start) if a.fiscal_year_start else None
 
-    columns = a.sheet_columns.split(",") if a.sheet_columns else [
-        c for c in spark.read.parquet(a.inbox).columns if c not in ("submission", "sheet_no")]
-    inbox.stream_inbox(spark, a.inbox, a.fact_out, a.checkpoint or f"{a.fact_out.rstrip('/')}/_checkpoint",
-                       columns, cfg.latest_month, archive=a.archive, marker=a.marker, month_labels=labels,
-                       load_date=a.load_date, scope=a.overwrite_scope)
-    current = inbox.read_fact(spark, a.fact_out)
+    columns = a.sheet_columns.split(",") if a.sheet_columns else inbox_columns(spark, a.inbox)
+    year = labels or labels_of_marker(a.marker)
+    if columns:  # an empty inbox is a no-op
+        inbox.stream_inbox(spark, a.inbox, a.fact_out, a.checkpoint or f"{a.fact_out.rstrip('/')}/_checkpoint",
+                           columns, cfg.latest_month, archive=a.archive, marker=a.marker, month_labels=labels,
+                           load_date=a.load_date, scope=a.overwrite_scope, fallback_labels=year)
+    current = of_fiscal_year(inbox.read_fact(spark, a.fact_out), year)
 
     if a.historic_jdbc_url:
         historic = jdbc.read_historic(spark, a.historic_jdbc_url, a.historic_table)

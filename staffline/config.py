@@ -144,6 +144,14 @@ def fiscal_year_labels(start_year: int) -> tuple[int, ...]:
     )
 
 
+def labels_of_marker(marker: str) -> tuple[int, ...]:
+    """The periods of a ``yy-yy`` marker's fiscal year; none when it is no such marker."""
+    if len(marker) != 5 or marker[2] != "-" or not (marker[:2] + marker[3:]).isdigit():
+        return ()
+    yy = int(marker[:2])
+    return fiscal_year_labels(yy + (1900 if yy >= 50 else 2000))
+
+
 @dataclass(frozen=True)
 class RunConfig:
     """Parameters of one monthly run (all globals of the original scripts)."""
@@ -157,14 +165,16 @@ class RunConfig:
     metrics: tuple[str, ...] = METRICS
     staff_groups: tuple[str, ...] = STAFF_GROUPS
     grid_first_period: int = 202104
-    grid_last_period: int = 202503
+    grid_last_period: int | None = None  # None: the latest month
     rate_metrics: tuple[str, ...] = RATE_METRICS
     load_date: str | None = None  # ISO date; None = current_date()
-    # Code lists up to this many rows are broadcast after a short-circuit
-    # row-count probe; larger ones are joined with a shuffle join.
-    broadcast_row_limit: int = 200_000
     extra: dict = field(default_factory=dict)
 
+    @property
+    def last_period(self) -> int:
+        """End of the dashboard grid: the latest month, or an earlier configured end."""
+        return self.latest_month if self.grid_last_period is None else min(self.grid_last_period, self.latest_month)
+
     @property
     def systems(self) -> tuple[str, ...]:
         return (self.grid_total_system, *self.providers)

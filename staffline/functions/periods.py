@@ -23,8 +23,9 @@ def period_to_date(p) -> Column:
 
 
 def period_cast(c) -> Column:
-    """Text period -> int; text that is not an integer becomes NULL."""
-    return F.trim(_col(c).cast("string")).try_cast("int")
+    """Text period -> int, cut towards zero like ``'202404.0'`` -> 202404; other text becomes NULL."""
+    s = F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    return F.when(~s.rlike("[dDfF]$"), s.try_cast("double")).try_cast("int")
 
 
 def month_sequence(first, last) -> Column:

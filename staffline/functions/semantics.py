@@ -70,10 +70,12 @@ def ieee_div(n, d) -> Column:
     every number (``NaN > 0`` is true).
     """
     n, d = _col(n).cast("double"), _col(d).cast("double")
+    # a zero divisor keeps its sign: 1/-0.0 is -Inf
+    sign = F.when(d.cast("string").startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
     at_zero = (
         F.when(F.isnan(n), F.lit(float("nan")))
-        .when(n > 0, F.lit(float("inf")))
-        .when(n < 0, F.lit(float("-inf")))
+        .when(n > 0, sign * F.lit(float("inf")))
+        .when(n < 0, sign * F.lit(float("-inf")))
         .when(n == 0, F.lit(float("nan")))
     )
     return F.when(d.isNull() | n.isNull(), _null_double()).when(d == 0, at_zero).otherwise(n / d)
@@ -100,12 +102,17 @@ def parse_number(c) -> Column:
     integers (``0x1A`` = 26). Java's parser also accepts a trailing type suffix
     (``'12d'``); numeric text never ends that way, so such values are rejected.
     """
-    s = F.trim(_col(c).cast("string"))
-    hex_digits = F.regexp_extract(s, "^[+-]?0[xX]([0-9a-fA-F]+)$", 1)
+    s = F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$", "")
+    hex_digits = F.ltrim(F.regexp_extract(s, "^[+-]?0[xX]([0-9a-fA-F]+)$", 1), F.lit("0"))
+    is_hex = s.rlike("^[+-]?0[xX][0-9a-fA-F]+$")
+    # digit by digit, so that any number of digits fits a double
+    digits = F.transform(F.split(F.lower(hex_digits), ""), lambda d: F.instr(F.lit("0123456789abcdef"), d) - 1)
+    hex_value = F.aggregate(digits, F.lit(0.0), lambda acc, d: acc * 16 + F.greatest(d, F.lit(0)).cast("double"))
     sign = F.when(s.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
     return (F.when(s.rlike("(?i)^[+]?inf(inity)?$"), F.lit(float("inf")))
             .when(s.rlike("(?i)^-inf(inity)?$"), F.lit(float("-inf")))
-            .when(hex_digits != "", sign * F.conv(hex_digits, 16, 10).cast("double"))
+            .when(is_hex & (hex_digits == ""), sign * 0.0)
+            .when(is_hex, sign * hex_value)
             .when(s.rlike("[dDfF]$"), _null_double())
             .otherwise(s.try_cast("double")))
 

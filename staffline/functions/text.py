@@ -28,6 +28,14 @@ def provider_from_name(name, marker: str = "24-25", regex: bool = False) -> Colu
     return F.trim(F.element_at(F.split(_col(name), pattern), 1))
 
 
-def marker_in_name(name, marker_regex: str = r"[0-9]{2}-[0-9]{2}") -> Column:
-    """The first fiscal-year marker found in a name ('' when absent)."""
-    return F.regexp_extract(_col(name), f"({marker_regex})", 1)
+def marker_in_name(name, configured: str | None = None) -> Column:
+    """The fiscal-year marker of a workbook name, NULL when it has none.
+
+    The configured marker wins when the name holds it; otherwise the first
+    ``yy-yy`` of two consecutive years counts (``31-07`` is a date, not a year).
+    """
+    name = _col(name)
+    found = F.regexp_extract_all(name, F.lit(r"(?<![0-9])([0-9]{2}-[0-9]{2})(?![0-9])"), F.lit(1))
+    years = F.filter(found, lambda m: (m.substr(1, 2).cast("int") + 1) % 100 == m.substr(4, 2).cast("int"))
+    first = F.get(years, F.lit(0))
+    return first if configured is None else F.when(name.contains(configured), F.lit(configured)).otherwise(first)

@@ -1,10 +1,10 @@
 """Joins with data-frame key semantics (NULL matches NULL) and explicit
 broadcast policy.
 
-Broadcast policy: a side is broadcast only when its row count has a proven
-bound (``broadcast_bounded``) or after a cheap row-count probe
-(``broadcast_if_small``). Everything else is left to Catalyst's size-checked
-auto-broadcast plus AQE's runtime join re-planning and skew-join splitting.
+Broadcast policy: a side is forced to be broadcast only where the code itself
+bounds its rows (the dashboard grid, literal frames). Everything else is left
+to Catalyst's size-checked auto-broadcast plus AQE's runtime join re-planning
+and skew-join splitting.
 """
 
 from __future__ import annotations
@@ -23,28 +23,6 @@ def _pairs(keys: KeySpec) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in keys]
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int, reason: str) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction.
-
-    ``max_rows`` and ``reason`` document the bound (e.g. "one row per grid
-    cell: 8 x 8 x 48"); nothing is executed.
-    """
-    if max_rows > 5_000_000:
-        raise ValueError(f"bound {max_rows} too large to broadcast ({reason})")
-    return F.broadcast(df)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast after checking the row count with a short-circuiting probe.
-
-    Use for sides read from small files (code lists, plans): the probe reads at
-    most ``max_rows + 1`` rows. Larger sides are returned unchanged and joined
-    with a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def inner_null_safe(left: DataFrame, right: DataFrame, keys: KeySpec) -> DataFrame:
     """Inner equi-join, NULL keys match; one copy of each key (left names)."""
     pairs = _pairs(keys)
@@ -61,8 +39,9 @@ def full_outer_coalesced(left: DataFrame, right: DataFrame, keys: KeySpec, skew_
     """Full outer join, NULL keys match, key columns coalesced (left names).
 
     ``skew_safe`` evaluates it as left outer join + right rows without a match
-    (a left-anti join from the right). Both forms let AQE split a hot key's
-    partition, which it cannot do for a full outer join; the rows are the same.
+    (a left-anti join from the right); the rows are the same. AQE can then split
+    a key that is hot on the left side, which it cannot do for a full outer
+    join; a key hot on the right side is not split in the left outer half.
     """
     pairs = _pairs(keys)
     lkeys = {lk: rk for lk, rk in pairs}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.semantics import to_number
-from ..operators.joins import broadcast_bounded, broadcast_if_small, inner_null_safe
+from ..operators.joins import inner_null_safe
 from ..operators.unions import union_strict
 
 FACT_COLUMNS = ("maincode", "yearmonth", "value", "provider")
@@ -24,22 +24,15 @@ def fact_union_historic(historic: DataFrame, current: DataFrame) -> DataFrame:
     return union_strict(historic.select(*FACT_COLUMNS), cur.select(*FACT_COLUMNS))
 
 
-def lookup_all_sheets(fact: DataFrame, ref_long: DataFrame, ref_row_bound: int | None = None,
-                      probe_ref_rows: int | None = None) -> DataFrame:
+def lookup_all_sheets(fact: DataFrame, ref_long: DataFrame) -> DataFrame:
     """Inner join of the fact with every code-list sheet at once (many-to-many,
     NULL code matches NULL code), then text values -> double with missing = 0.
 
-    The code list is small by nature (codes x sheets). ``ref_row_bound`` asserts
-    a bound known by construction and broadcasts; ``probe_ref_rows`` checks the
-    row count first; with neither, Spark's size-checked auto-broadcast and AQE
-    decide. The fact side is never shuffled when the code list is broadcast.
+    The code list is small by nature (codes x sheets), so Spark's size-checked
+    auto-broadcast or AQE's runtime re-plan keeps the fact unshuffled; a code
+    list beyond the threshold is joined by shuffle, with hot codes split.
     """
-    ref = ref_long
-    if ref_row_bound is not None:
-        ref = broadcast_bounded(ref, ref_row_bound, "code list: codes x sheets")
-    elif probe_ref_rows is not None:
-        ref = broadcast_if_small(ref, probe_ref_rows)
-    joined = inner_null_safe(fact.select(*FACT_COLUMNS), ref, ["maincode"])
+    joined = inner_null_safe(fact.select(*FACT_COLUMNS), ref_long, ["maincode"])
     return joined.withColumn("value", to_number("value"))
 
 

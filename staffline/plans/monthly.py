@@ -30,11 +30,10 @@ class RunInputs:
 
 
 def compute(spark: SparkSession, inputs: RunInputs, cfg: RunConfig = RunConfig(),
-            looked_up_path: str | None = None, ref_row_bound: int | None = None) -> dict[str, DataFrame]:
+            looked_up_path: str | None = None) -> dict[str, DataFrame]:
     """All published outputs by name (lazy, except the optional looked-up table write)."""
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
-    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound,
-                                      probe_ref_rows=None if ref_row_bound else cfg.broadcast_row_limit)
+    looked = lookup.lookup_all_sheets(fact, inputs.ref_long)
     if looked_up_path:
         looked = lookup.materialize_by_sheet(spark, looked, looked_up_path)
 
@@ -70,8 +69,7 @@ def publish(outputs: dict[str, DataFrame], location: str | None = None) -> None:
         replace_table(outputs[name], name, location)
 
 
-def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig = RunConfig(),
-        ref_row_bound: int | None = None) -> dict[str, DataFrame]:
+def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig = RunConfig()) -> dict[str, DataFrame]:
     """Compute and publish in dependency order under ``location`` (shared
     storage). Every consumer reads what its producer published, so each stage's
     lineage starts at files: a lost executor re-reads a table instead of
@@ -81,8 +79,7 @@ def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig =
         return read_published(spark, name, location)
 
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
-    looked = lookup.lookup_all_sheets(fact, inputs.ref_long, ref_row_bound=ref_row_bound,
-                                      probe_ref_rows=None if ref_row_bound else cfg.broadcast_row_limit)
+    looked = lookup.lookup_all_sheets(fact, inputs.ref_long)
     looked = lookup.materialize_by_sheet(spark, looked, f"{location.rstrip('/')}/_looked_up")
 
     out = lookup.published_lookup_tables(looked)

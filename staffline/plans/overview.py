@@ -8,14 +8,16 @@ Design (equivalent to twelve slice joins plus a roll-up re-join):
   land in an all-staff cell. The slices partition the grid, so one left join of
   the grid with the stack equals the union of the twelve slice joins, fan-out
   included.
-* the system column (``ICS``) is replaced by the NA-ignoring sum of the other
-  systems over a window partitioned by the grid key (instead of an aggregate
-  joined back to its own input, which would evaluate the overview twice).
+* the facts are inner-joined with the broadcast grid, so they are not shuffled
+  and a hot cell needs no split; cells without a fact come from an anti join
+  with the distinct matched cells.
+* the system rows (``ICS``) take the NA-ignoring sum of the other systems from
+  an aggregate with a map-side partial, joined to the system rows only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -103,45 +105,57 @@ def rejected_providers(facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFr
 def overview_grid(spark: SparkSession, cfg: RunConfig = RunConfig(), systems: DataFrame | None = None) -> DataFrame:
     """Grid of kept pairs over all systems and months up to the cut-off."""
     sys_df = systems if systems is not None else systems_frame(spark, cfg.systems)
-    last = min(cfg.grid_last_period, cfg.latest_month)
+    last = cfg.last_period
     return dense_grid(sys_df, kept_pairs(cfg), cfg.grid_first_period, last)
 
 
+#: a grid larger than this is not broadcast
+MAX_GRID_CELLS = 1_000_000
+
+
 def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
-    """Grid (preserved) left-joined with the facts on all four coordinates.
+    """Every grid cell with its facts, or with NULL where it has none.
 
-    Facts outside the grid's domain cannot match; filtering them first with
-    literal predicates keeps the join input bounded by grid size x fan-out.
+    Facts outside the grid's domain cannot match and are dropped by literal
+    predicates first. The domain bounds the cells, so the grid is broadcast
+    behind a check of that bound; beyond it the join is left to Spark.
     """
-    last = min(cfg.grid_last_period, cfg.latest_month)
     domain = (
         F.col("system").isin(list(cfg.systems))
-        & F.col("period").between(cfg.grid_first_period, last)
+        & F.col("period").between(cfg.grid_first_period, cfg.last_period)
         & F.col("metric").isin(list(cfg.metrics))
         & F.col("staff_group").isin(list(cfg.staff_groups))
     )
     keys = ["metric", "staff_group", "system", "period"]
-    return grid.join(facts.filter(domain), keys, "left").select(*keys, "value")
+    months = (cfg.last_period // 100 - cfg.grid_first_period // 100) * 12 + cfg.last_period % 100 - cfg.grid_first_period % 100 + 1
+    cells = max(months, 0) * len(cfg.metrics) * len(cfg.staff_groups) * len(cfg.systems)
+    small = F.broadcast if cells <= MAX_GRID_CELLS else lambda df: df
+    # rows of the domain only, so the bound holds whatever grid is passed
+    inside = grid.filter(domain)
+    matched = facts.filter(domain).join(small(inside.distinct()), keys, "inner").select(*keys, "value")
+    # at most one row per cell after the partial aggregate
+    hit = matched.select(*keys).distinct()
+    empty = grid.join(small(hit), keys, "left_anti").select(*keys, F.lit(None).cast("double").alias("value"))
+    return matched.unionByName(empty)
 
 
 def ics_rollup(overview: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
     """System rows take the NA-ignoring sum of the other systems; rate metrics
     are NULL there (rates do not add up). Adds the first-of-month date.
 
-    A window over the grid key replaces "aggregate, then join back": one pass
-    and one shuffle instead of evaluating the overview twice. A window
-    partition is one grid key, i.e. one row per system times the code-list
-    fan-out, so it is bounded by the configuration, not by the data volume.
+    The sums are aggregated per grid key with a map-side partial and joined to
+    the system rows only, so no task holds the rows of a whole cell.
     """
+    keys = ["period", "staff_group", "metric"]
     total_sys = cfg.grid_total_system
-    w = Window.partitionBy("period", "staff_group", "metric")
-    others = F.when(F.col("system") != total_sys, nan_to_null("value"))
-    system_value = F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double")).otherwise(
-        F.coalesce(F.sum(others).over(w), F.lit(0.0)))
-    value = F.when(F.col("system") == total_sys, system_value).otherwise(F.col("value"))
-    out = overview.select("metric", "staff_group", "system", "period", value.alias("value"),
-                          period_to_date("period").alias("date"))
-    return cutoff(out, cfg.latest_month, "period")
+    is_total = F.coalesce(F.col("system") == total_sys, F.lit(False))
+    sums = overview.filter(~is_total).groupBy(*keys).agg(F.sum(nan_to_null("value")).alias("total"))
+    total = F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double")).otherwise(
+        F.coalesce(F.col("total"), F.lit(0.0)))
+    system_rows = overview.filter(is_total).drop("value").join(sums, keys, "left").withColumn("value", total)
+    columns = ["metric", "staff_group", "system", "period", "value"]
+    rows = overview.filter(~is_total).select(*columns).unionByName(system_rows.select(*columns))
+    return cutoff(rows.withColumn("date", period_to_date("period")), cfg.latest_month, "period")
 
 
 def main_overview(spark: SparkSession, facts: DataFrame, cfg: RunConfig = RunConfig(),

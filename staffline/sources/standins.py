@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from ..config import RunConfig
 from ..functions.periods import date_to_period
-from ..operators.joins import broadcast_bounded
 from ..session import session_key
 
 # ---------------------------------------------------------------------------
@@ -191,8 +190,8 @@ def region_of_nation(spark: SparkSession, d: str) -> DataFrame:
     """nation -> region name; 25 rows by the schema's definition."""
     n = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, d, "region").select("r_regionkey", "r_name")
-    nr = n.join(broadcast_bounded(r, 5, "region table"), n.n_regionkey == r.r_regionkey)
-    return broadcast_bounded(nr.select("n_nationkey", F.col("r_name").alias("provider")), 25, "nation table")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+    return nr.select("n_nationkey", F.col("r_name").alias("provider"))
 
 
 def customer_provider(spark: SparkSession, d: str) -> DataFrame:
@@ -268,7 +267,7 @@ def ref_long(spark: SparkSession, d: str) -> DataFrame:
     every part type present in ``part`` (a code list also lists codes no
     provider reported; those simply find no fact rows)."""
     types = table(spark, d, "part").select("p_type").distinct()
-    book = broadcast_bounded(ref_book(spark), len(ref_book_rows()), "fixed code-list workbook")
+    book = F.broadcast(ref_book(spark))  # a literal frame of len(ref_book_rows()) rows
     j = types.join(book, "p_type")
     return j.select("sheet", code_expr(flag="flag", status="status").alias("maincode"), *REF_COLUMNS)
 

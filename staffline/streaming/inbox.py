@@ -39,13 +39,15 @@ def wide_schema(column_names) -> StructType:
 
 
 def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25", marker_is_regex: bool = False,
-                     month_labels=None, load_date: str | None = None,
+                     month_labels=None, load_date: str | None = None, fallback_labels=None,
                      sheet_range: tuple[int, int] = C.SUBMISSION_SHEETS) -> DataFrame:
     """The per-sheet extract, for every workbook and sheet at once.
 
     ``month_labels`` (12 periods) renames the month columns by position, as for
     an inbox holding one fiscal year. Without labels each workbook's periods
-    follow from the ``yy-yy`` fiscal-year marker in its name.
+    follow from the ``yy-yy`` fiscal-year marker in its name (the configured
+    marker first); a workbook without one takes ``fallback_labels``, and
+    without those the run fails naming the workbook.
     """
     lo, hi = sheet_range
     w = wide.filter(F.col("sheet_no").between(lo, hi))  # partition pruning on the landing layout
@@ -55,7 +57,8 @@ def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25",
     body = w.select(
         F.col(f"`{code}`").alias("maincode"),
         provider.alias("provider"),
-        fiscal_year_start(marker_in_name("submission")).alias("fy"),
+        fiscal_year_start(marker_in_name("submission", None if marker_is_regex else marker)).alias("fy"),
+        F.col("submission").alias("workbook"),
         *[F.col(f"`{m}`").cast("string").alias(str(i)) for i, m in enumerate(months, start=1)],
     )
     body = valid_codes(body, "maincode")
@@ -63,12 +66,16 @@ def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25",
     if month_labels:
         # months after the cut-off would only be generated to be filtered away
         month_idx = [i for i in month_idx if int(month_labels[int(i) - 1]) <= latest_month] or month_idx
-    long = unpivot_keep_nulls(body, ["maincode", "provider", "fy"], month_idx, "fiscal_month", "value")
+    long = unpivot_keep_nulls(body, ["maincode", "provider", "fy", "workbook"], month_idx, "fiscal_month", "value")
     if month_labels:
         labels = F.array(*[F.lit(int(x)) for x in month_labels])
         ym = F.element_at(labels, F.col("fiscal_month").cast("int"))
     else:
-        ym = fiscal_period(F.col("fy"), F.col("fiscal_month"))
+        if fallback_labels:
+            other = F.element_at(F.array(*[F.lit(int(x)) for x in fallback_labels]), F.col("fiscal_month").cast("int"))
+        else:
+            other = F.raise_error(F.concat(F.lit("no fiscal-year marker in the workbook name: "), F.col("workbook"))).cast("int")
+        ym = F.when(F.col("fy").isNull(), other).otherwise(fiscal_period(F.col("fy"), F.col("fiscal_month")))
     out = long.select("maincode", ym.cast("int").alias("yearmonth"), "value", "provider")
     return cutoff(stamp_load_date(out, load_date), latest_month)
 
@@ -104,7 +111,7 @@ def write_fact(df: DataFrame, out: str, scope: str = "fiscal_year") -> None:
 def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, column_names,
                  latest_month: int, archive: str | None = None, marker: str = "24-25",
                  marker_is_regex: bool = False, month_labels=None, load_date: str | None = None,
-                 max_files_per_trigger: int | None = None, scope: str = "fiscal_year"):
+                 max_files_per_trigger: int | None = None, scope: str = "fiscal_year", fallback_labels=None):
     """Incremental ingest of new workbooks; returns the finished ``StreamingQuery``.
 
     ``archive`` moves processed files there (the file source archives files of
@@ -125,7 +132,8 @@ def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, col
     wide = reader.parquet(inbox)
 
     def sink(batch: DataFrame, _epoch: int) -> None:
-        long = submissions_long(batch, latest_month, marker, marker_is_regex, month_labels, load_date)
+        long = submissions_long(batch, latest_month, marker, marker_is_regex, month_labels, load_date,
+                                fallback_labels)
         write_fact(long, out, scope)
 
     q = (wide.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -134,12 +142,17 @@ def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, col
     return q
 
 
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 LONG_SCHEMA = "maincode string, yearmonth int, value string, provider string, load_date date"
 
 
 def read_fact(spark: SparkSession, out: str) -> DataFrame:
     """The long fact; empty when no run has written it yet (an empty inbox is a no-op)."""
     try:
-        return spark.read.parquet(out).select(*LONG_COLUMNS)
-    except AnalysisException:  # path does not exist yet
+        fact = spark.read.parquet(out)
+    except AnalysisException as e:
+        # nothing written yet; any other failure is the caller's to see
+        if e.getCondition() not in NOTHING_THERE:
+            raise
         return spark.createDataFrame([], LONG_SCHEMA)
+    return fact.select(*LONG_COLUMNS)

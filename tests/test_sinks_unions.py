@@ -95,16 +95,36 @@ def test_code_list_broadcast_policy(spark):
     from staffline.plans import lookup
     fact = spark.createDataFrame([("A", 202404, "1", "UHB")], "maincode string, yearmonth int, value string, provider string")
     ref = spark.createDataFrame([(1, "A", "x")], "sheet int, maincode string, reference_sheet string")
-    small = lookup.lookup_all_sheets(fact, ref, probe_ref_rows=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    looked = lookup.lookup_all_sheets(fact, ref)
+    plan = looked._jdf.queryExecution().optimizedPlan().toString()
+    assert "hint" not in plan.lower()          # the size decides, not the caller
+    assert looked.count() == 1
+
+
+def test_lookup_without_broadcast_splits_a_hot_code(spark):
+    from staffline.plans import lookup
+    low = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    before = {k: spark.conf.get(k, None) for k in low}
     try:
-        big = lookup.lookup_all_sheets(fact, ref, probe_ref_rows=0)   # probe says: too many rows
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan and "NestedLoop" not in plan
-        assert big.count() == 1
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        fact = spark.range(200_000, numPartitions=8).select(
+            F.when(F.col("id") % 10 < 9, "HOT").otherwise(F.concat(F.lit("C"), F.col("id") % 50)).alias("maincode"),
+            F.lit(202404).alias("yearmonth"), F.col("id").cast("string").alias("value"), F.lit("P").alias("provider"))
+        ref = spark.createDataFrame([(1, "HOT", "x"), (1, "C1", "y")], "sheet int, maincode string, reference_sheet string")
+        looked = lookup.lookup_all_sheets(fact, ref)
+        assert looked.count() >= 180_000
+        looked.write.format("noop").mode("overwrite").save()
+        agg = looked.groupBy().agg(F.sum("value"))
+        agg.collect()
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "skew=true" in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_skew_safe_full_outer_equals_full_outer(spark):
