@@ -365,12 +365,14 @@ def agg_distinct_profile(spark, d):
 
 
 def agg_row_count(spark, d):
+    """Row counts from the Observations of one action on the contracted union."""
     m = Model(spark, d)
-    main, other = m.t(1), m.t(6)
-    result = unions.union_contracted(main, other, CFG.load_date)
-    counted, _obs = aggregates.observe_rows(result, "union_rows")
-    return (main.agg(F.count(F.lit(1)).alias("rows")).withColumn("frame", F.lit("main"))
-            .unionByName(counted.agg(F.count(F.lit(1)).alias("rows")).withColumn("frame", F.lit("result"))))
+    result, main_rows, result_rows = unions.union_contracted_counted(m.t(1), m.t(6), CFG.load_date)
+    result.write.format("noop").mode("overwrite").save()
+    counts = spark.range(2).select(
+        F.when(F.col("id") == 0, F.lit(main_rows.get["rows"])).otherwise(F.lit(result_rows.get["rows"])).alias("rows"),
+        F.when(F.col("id") == 0, F.lit("main")).otherwise(F.lit("result")).alias("frame"))
+    return counts
 
 
 def union_strict(spark, d):

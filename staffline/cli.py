@@ -41,6 +41,12 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--historic", default=None)
     p.add_argument("--historic-jdbc-url", default=None)
     p.add_argument("--historic-table", default=None)
+    p.add_argument("--historic-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="connection option of the historic table (driver, user, ...); repeatable")
+    p.add_argument("--historic-partition-column", default=None, help="read the historic table in parallel slices")
+    p.add_argument("--historic-lower", type=int, default=None)
+    p.add_argument("--historic-upper", type=int, default=None)
+    p.add_argument("--historic-partitions", type=int, default=None)
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--publish", required=True)
     p.add_argument("--latest-month", type=int, default=RunConfig().latest_month)
@@ -84,7 +90,9 @@ def main(argv=None) -> dict:
     current = of_fiscal_year(inbox.read_fact(spark, a.fact_out), year)
 
     if a.historic_jdbc_url:
-        historic = jdbc.read_historic(spark, a.historic_jdbc_url, a.historic_table)
+        historic = jdbc.read_historic(
+            spark, a.historic_jdbc_url, a.historic_table, dict(x.split("=", 1) for x in a.historic_option),
+            a.historic_partition_column, a.historic_lower, a.historic_upper, a.historic_partitions)
     elif a.historic:
         historic = landing.fact_table(landing.read_landed(spark, a.historic, a.format))
     else:

@@ -36,7 +36,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("STAFFLINE_DRIVER_MEMORY", "16g"))
+    memory = os.environ.get("STAFFLINE_DRIVER_MEMORY")
+    if memory:  # else what the cluster or Spark's defaults say
+        builder = builder.config("spark.driver.memory", memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -13,7 +13,7 @@ def spark():
 
     warehouse = tempfile.mkdtemp(prefix="staffline-warehouse-")
     s = get_session("local[4]", shuffle_partitions=4, app_name="staffline-tests",
-                    extra_conf={"spark.sql.warehouse.dir": warehouse})
+                    extra_conf={"spark.sql.warehouse.dir": warehouse, "spark.driver.memory": "8g"})
     # tests run without a cluster checkpoint folder: use a private one
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="staffline-test-ckpt-"))

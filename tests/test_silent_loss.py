@@ -109,3 +109,14 @@ def test_hot_cell_is_neither_shuffled_nor_windowed(spark):
         assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_jdbc_options_need_bounds():
+    from staffline.sources import jdbc
+
+    plain = jdbc.read_options("jdbc:x", "t", {"driver": "d", "fetchsize": 10})
+    assert plain == {"url": "jdbc:x", "driver": "d", "fetchsize": "10", "query": "SELECT maincode, yearmonth, value, provider FROM t"}
+    sliced = jdbc.read_options("jdbc:x", "t", None, "yearmonth", 202001, 202412, 12)
+    assert (sliced["lowerBound"], sliced["upperBound"], sliced["numPartitions"]) == ("202001", "202412", "12")
+    with pytest.raises(ValueError, match="bounds"):
+        jdbc.read_options("jdbc:x", "t", None, "yearmonth")

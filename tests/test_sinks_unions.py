@@ -91,6 +91,20 @@ def test_grid_without_cross_join(spark):
     assert g.filter(F.col("period") == 202402).count() == 4
 
 
+def test_failed_publication_leaves_the_table_as_it_was(spark, tmp_path):
+    loc = str(tmp_path)
+    good = spark.createDataFrame([(1,), (2,)], "x int")
+    sinks.replace_table(good, "T", loc)
+    before = sinks.read_published(spark, "T", loc)
+    bad = good.select(F.when(F.col("x") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("x")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_table(bad, "T", loc)
+    assert rows(sinks.read_published(spark, "T", loc)) == [(1,), (2,)]
+    sinks.replace_table(good.filter("x = 2"), "T", loc)
+    assert rows(sinks.read_published(spark, "T", loc)) == [(2,)]
+    assert rows(before) == [(1,), (2,)]          # a reader of the version before still finds its files
+
+
 def test_code_list_broadcast_policy(spark):
     from staffline.plans import lookup
     fact = spark.createDataFrame([("A", 202404, "1", "UHB")], "maincode string, yearmonth int, value string, provider string")
