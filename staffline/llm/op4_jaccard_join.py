@@ -26,12 +26,13 @@ make no large groups, and no group of segments holds more than that share.
 Volume. Equal sets are one class from the start. Groups of near copies are
 linked early: classes that share a minimum hash are verified against the
 smallest of the group. In each signature group, members in one component need
-no pairs; only pairs of different components become candidates, and each is
-verified exactly. Components come from min-label rounds on the links.
+no pairs; only pairs of different components become candidates. Parity sketches
+of two bits a shingle drop candidates that provably differ too much, without any loss; the
+rest are verified exactly. Components come from min-label rounds on the links.
 
 Edge cases: null and empty texts have no shingles and stand alone; a text of
 fewer than five words is one shingle of all its words; every row gets a
-result, rows of one doc_id with different texts are compared by the smallest; null ids are kept as rows without links; extra columns are
+result, and rows of one doc_id link as one document if any of them does; null ids are kept as rows without links; extra columns are
 dropped.
 """
 
@@ -60,6 +61,8 @@ BUCKET_ROWS = 1_000_000
 SMALL_GROUP = 12
 CHUNK_BYTES = 4 << 20
 MINIMA = 3
+#: bits of the smallest sketch
+LEAST_SKETCH = 512
 FILTER_BITS = 1 << 23
 
 _U = np.uint64
@@ -143,28 +146,28 @@ def most_differences(high: int) -> int:
 def scheme_of(band: int, low: int, high: int) -> Scheme:
     """The cheapest scheme of a band: signatures written plus chance collisions expected."""
     need = most_differences(high) + 1
-    n = math.sqrt(low * max(high - 1, low))
+    n = float(low)
     best: tuple[float, Scheme] | None = None
     for share in (0.0, 0.25, 0.5, 1.0):
         loose = math.ceil(need * share / 2)
         exact = max(0, need - 2 * loose)
-        if exact + loose == 0:
-            continue
         spare = 0
-        if exact + loose > 1:
-            for _ in range(6):
-                segments = exact + loose + spare
-                empty = segments * math.exp(-n / segments)
-                spare = math.ceil(empty + 4 * math.sqrt(empty) + 1)
-                if spare > 2 * need + 8:
-                    break
+        # the smallest sets of the band have the most empty units; a whole set in one segment has none
+        while exact + loose > 1:
+            empty = (exact + spare + 2 * loose) * math.exp(-n / (exact + spare + loose))
+            enough = math.ceil(empty + 4 * math.sqrt(empty) + 1)
+            if enough <= spare or spare > 2 * need + 8:
+                break
+            spare = enough
         segments = exact + spare + loose
-        weight = n / max(segments, 1)
-        # a signature of one shingle is likelier to meet others by chance
-        written = exact + spare + loose * (weight + 1)
-        chance = written * math.exp(-weight) * 4
-        if best is None or written + chance < best[0]:
-            best = (written + chance, Scheme(band, low, high, exact + spare, loose, spare))
+        weight = n / segments
+        empty, alone = math.exp(-weight), weight * math.exp(-weight)
+        # rows written: filled segments, and one per shingle of the loose ones
+        written = segments * (1 - empty) + loose * (weight - alone)
+        # a signature of one shingle meets every set that holds it alone
+        cost = written + segments * alone / 2
+        if best is None or cost < best[0]:
+            best = (cost, Scheme(band, low, high, exact + spare, loose, spare))
     assert best is not None
     return best[1]
 
@@ -231,6 +234,40 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, rare: np.ndarray, band: np
 
 # -------------------------------------------------------------------- tasks
 
+def sketches(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Per text, the parity of its shingles in each of w cells, w a power of two of 2n or more.
+
+    A shingle that only one of two sets holds flips one bit, so two sketches
+    (the wider one folded) differ in at most as many bits as the sets in shingles.
+    """
+    out = []
+    cells = tv.mix(hashes + _U(555)) >> _U(32)
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        width = max(LEAST_SKETCH, 1 << (2 * (b - a) - 1).bit_length()) if b > a else LEAST_SKETCH
+        bits = np.bincount((cells[a:b] & _U(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1
+        out.append(np.packbits(bits).tobytes())
+    return out
+
+
+def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """Bits in which two sketches differ; the wider one is folded by halves."""
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches allow a link: linked sets differ in at most (n + m) / 7 shingles."""
+    for batch in batches:
+        n, m = (tv.column(batch, c).to_numpy() for c in ("n", "m"))
+        far = [sketch_distance(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8))
+               for x, y in zip(tv.column(batch, "left"), tv.column(batch, "right"), strict=True)]
+        keep = (NUM + DEN) * np.array(far, np.int64) <= (DEN - NUM) * (n + m)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per text (kind 0): size, digest, minima; and locally popular shingles (kind 1)."""
     for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
@@ -247,7 +284,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least[full] = np.minimum.reduceat(value, first[:-1][full])
             minima.append(least)
         n = part.num_rows
-        yield _profile_batch(tv.column(part, "doc_id"), np.zeros(n, np.int32), size, *digest, *minima)
+        yield _profile_batch(tv.column(part, "doc_id"), np.zeros(n, np.int32), size, *digest, *minima, sketch=sketches(hashes, first))
         distinct, counts = np.unique(hashes, return_counts=True)
         often = counts >= max(3, int(n * POPULAR_SHARE / 2))
         if often.any():
@@ -257,14 +294,15 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                  *[none] * (2 + MINIMA))
 
 
-def _profile_batch(ids, kind, size, *longs) -> pa.RecordBatch:
+def _profile_batch(ids, kind, size, *longs, sketch=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids).cast(pa.int64()) if not isinstance(ids, pa.Array) else ids, pa.array(kind),
-         pa.array(np.asarray(size, np.int64)), *(pa.array(x.view(np.int64)) for x in longs)], _PROFILE)
+        [ids, pa.array(kind), pa.array(np.asarray(size, np.int64)), *(pa.array(x.view(np.int64)) for x in longs),
+         pa.array(sketch or [None] * len(kind), pa.binary())], _PROFILE)
 
 
-_PROFILE = ["doc_id", "kind", "n_shingles", "digest_a", "digest_b", *[f"minimum_{k}" for k in range(MINIMA)]]
-_PROFILE_SCHEMA = ", ".join(f"{c} {'int' if c == 'kind' else 'long'}" for c in _PROFILE)
+_PROFILE = ["doc_id", "kind", "n_shingles", "digest_a", "digest_b", *[f"minimum_{k}" for k in range(MINIMA)], "sketch"]
+_PROFILE_TYPES = {"kind": "int", "sketch": "binary"}
+_PROFILE_SCHEMA = ", ".join(f"{c} {_PROFILE_TYPES.get(c, 'long')}" for c in _PROFILE)
 
 
 def _signed(part: pa.RecordBatch, popular: np.ndarray, prefix: bool):
@@ -391,7 +429,8 @@ def verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) of doc ids that link, written to the shared folder.
 
     Only texts that occur in a pair are read into sets: a bitmap of fixed size
-    (FILTER_BITS bits over the hashed ids) is broadcast, then an exact semi join.
+    (FILTER_BITS bits over the hashed ids) is broadcast; the joins drop the few
+    texts that only share a bit.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     wanted = materialize(wanted, f"{name}-wanted")
@@ -402,7 +441,7 @@ def verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     byte = F.conv(F.hex(F.substring("bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     some = (docs.join(F.broadcast(bitmap), F.bitmap_bucket_number(place) == F.col("bucket"))
             .where(F.getbit(byte, (at % 8).cast("int")) == 1).select("doc_id", "text"))
-    some = some.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    # sets of the few texts the bitmap lets through; texts themselves are never shuffled
     sets = materialize(some.mapInArrow(_set_rows, "doc_id long, tokens binary"), f"{name}-sets")
     joined = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left")), "a")
               .join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right")), "b")
@@ -412,6 +451,14 @@ def verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
 
 # ----------------------------------------------------------------- together
 
+def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs that the sketches of the profile do not rule out."""
+    left = texts.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("left"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("right"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "left", "right")
+    return both.mapInArrow(_not_ruled_out, "a long, b long").distinct()
+
+
 def _label(frame: DataFrame, column: str, labels: DataFrame, out: str) -> DataFrame:
     named = labels.select(F.col("id").alias(column), F.col("component").alias("found_"))
     return frame.join(named, column, "left").withColumn(out, F.coalesce("found_", column)).drop("found_")
@@ -434,7 +481,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     real = texts.where("n_shingles > 0 AND doc_id IS NOT NULL")
     key = ["n_shingles", "digest_a", "digest_b"]
     classes = materialize(real.groupBy(*key).agg(F.min("doc_id").alias("rep"),
-                                                 *[F.first(f"minimum_{k}").alias(f"minimum_{k}") for k in range(MINIMA)]),
+                                                 *[F.first(c).alias(c) for c in _PROFILE[5:5 + MINIMA]]),
                           "op4-classes")
     # near copies of large groups: against the smallest class with the same minimum
     early = None
@@ -446,7 +493,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
                 .where(f"{DEN} * least(n_shingles, m) >= {NUM} * greatest(n_shingles, m)")
                 .select("a", F.col("rep").alias("b")))
         early = near if early is None else early.unionByName(near)
-    early = materialize(early.distinct(), "op4-early")
+    early = materialize(plausible(early.distinct(), texts), "op4-early")
     found = verified(rows, early, "op4-early")
     labels = components(found, "op4-early")
 
@@ -469,7 +516,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
               .select(F.least("l.a", "r.a").alias("a"), F.greatest("l.a", "r.a").alias("b")))
     pairs = met.where("b >= 0").select("a", "b").distinct()
     pairs = _label(_label(pairs, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
-    candidates = materialize(pairs.unionByName(across).distinct(), "op4-candidates")
+    candidates = materialize(plausible(pairs.unionByName(across).distinct(), texts), "op4-candidates")
     late = verified(rows, candidates, "op4-late")
     labels = components(found.unionByName(late), "op4-all")
 
