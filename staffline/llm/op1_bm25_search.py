@@ -8,10 +8,11 @@ Queries come in blocks of bounded size that are broadcast. For each block the
 shards first add up the document frequencies of its terms, so every shard
 scores with the same global statistics (documents, mean length, frequencies).
 Then each shard runs block-max WAND over blocks of ``BLOCK_DOCS`` neighbouring
-documents: a term's bound in a block comes from its highest frequency and the
-shortest length there; blocks are visited by the sum of their terms' bounds,
-and a block whose sum is below the k-th best score so far is skipped whole.
-A task carries the threshold from shard to shard. The best k of all tasks are
+documents (ordered by their most frequent word and length, so that neighbours
+are alike), and over groups of blocks before those: a term's bound in a block is
+its largest weight there; a group or block whose terms' bounds sum to less than
+the k-th best score so far is skipped whole. A task carries the threshold from
+shard to shard. The best k of all tasks are
 merged by rank; nothing is approximate.
 
 score = sum over the query's distinct terms of
@@ -43,7 +44,9 @@ from .op6_suffix_tree_lm import expand, lookup, squeeze
 K = 10
 K1, B = 1.2, 0.75
 SHARD_BYTES = 6 << 20
-BLOCK_DOCS = 32
+BLOCK_DOCS = 16
+#: blocks whose common bound is tried first
+GROUP_BLOCKS = 8
 #: bounds of one broadcast block of queries
 BLOCK_QUERIES = 4096
 BLOCK_TERMS = 1_000_000
@@ -55,6 +58,19 @@ INDEX_SCHEMA = ("doc_ids array<long>, lengths binary, terms binary, counts binar
                 "n_docs long, n_words long")
 
 
+def arrange(terms: np.ndarray, docs: np.ndarray, tf: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Order of a shard's documents: by their most frequent word (mostly the language), then by length.
+
+    Neighbours are then alike, so the bounds of a block are close to its documents' scores.
+    """
+    most = np.zeros(len(lengths), tf.dtype)
+    np.maximum.at(most, docs, tf)
+    top = np.flatnonzero(tf == most[docs])
+    word = np.full(len(lengths), np.iinfo(np.uint64).max, _U)
+    np.minimum.at(word, docs[top], terms[top])
+    return np.lexsort((lengths, word))
+
+
 def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to shard rows."""
     for part in tv.pieces(batches, max_bytes=SHARD_BYTES):
@@ -70,9 +86,16 @@ def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.ones(len(h), bool)
         first[1:] = h[1:] != h[:-1]
         starts = np.flatnonzero(first)
+        place = arrange(h, o, tf, words.counts())
+        moved = np.empty(len(place), np.int64)
+        moved[place] = np.arange(len(place))
+        o = moved[o]
+        term = np.cumsum(first)
+        order = np.lexsort((o, term))
+        o, tf = o[order], tf[order]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([tv.column(part, "doc_id").to_pylist()], pa.list_(pa.int64())),
-             pa.array([squeeze(words.counts().astype(np.uint32))], pa.binary()),
+            [pa.array([tv.column(part, "doc_id").take(pa.array(place)).to_pylist()], pa.list_(pa.int64())),
+             pa.array([squeeze(words.counts()[place].astype(np.uint32))], pa.binary()),
              pa.array([h[starts].tobytes()], pa.binary()),
              pa.array([squeeze(np.diff(np.append(starts, len(h))).astype(np.uint32))], pa.binary()),
              pa.array([squeeze(o.astype(np.uint32))], pa.binary()), pa.array([squeeze(tf.astype(np.uint32))], pa.binary()),
@@ -153,22 +176,31 @@ class Shard:
         tf = expand(row["tfs"], "<u4").astype(float)
         norm = K1 * (1 - B + B * length / max(mean_length, 1e-9))
         self.weight = tf * (K1 + 1) / (tf + norm[self.docs])
-        ends = np.cumsum(counts)
-        block = self.docs // BLOCK_DOCS
-        fresh = np.ones(len(block), bool)
-        fresh[1:] = block[1:] != block[:-1]
-        fresh[(ends - counts)[counts > 0]] = True
+        starts = np.cumsum(counts) - counts
+        #: first posting of each term, and its largest weight
+        self.first = np.append(starts, len(self.docs))
+        self.top = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)
+        #: blocks of neighbouring documents, and groups of them
+        self.blocks = Blocks(self.docs // BLOCK_DOCS, starts, self.weight)
+        self.groups = Blocks(self.blocks.number // GROUP_BLOCKS, self.blocks.entry[:-1], self.blocks.bound)
+        self.n_groups = len(self.ids) // (BLOCK_DOCS * GROUP_BLOCKS) + 1
+
+
+class Blocks:
+    """Per term and block: the block's number, its first item (posting or block) and its largest weight.
+
+    ``entry[t]:entry[t + 1]`` are the blocks of term t.
+    """
+
+    def __init__(self, number: np.ndarray, term_starts: np.ndarray, weight: np.ndarray):
+        fresh = np.ones(len(number), bool)
+        fresh[1:] = number[1:] != number[:-1]
+        fresh[term_starts[term_starts < len(number)]] = True
         starts = np.flatnonzero(fresh)
-        #: per (term, block): block number, first posting, highest frequency with the shortest length
-        self.block = block[starts]
-        self.posting = np.append(starts, len(block))
-        if len(starts):
-            high, short = np.maximum.reduceat(tf, starts), np.minimum.reduceat(norm[self.docs], starts)
-            self.bound = high * (K1 + 1) / (high + short)
-        else:
-            self.bound = np.zeros(0)
-        self.entry = np.append(np.searchsorted(starts, ends - counts), len(starts))
-        self.n_blocks = len(self.ids) // BLOCK_DOCS + 1
+        self.number = number[starts]
+        self.first = np.append(starts, len(number))
+        self.bound = np.maximum.reduceat(weight, starts) if len(starts) else weight
+        self.entry = np.append(np.searchsorted(starts, term_starts), len(starts))
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,15 +212,15 @@ def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Best:
-    """The k best (score, doc id) of one query so far."""
+    """The k best (score, doc id) of one query so far; ``floor`` is a score that k documents are known to reach."""
 
-    def __init__(self, k: int):
-        self.k = k
+    def __init__(self, k: int, floor: float = 1.0):
+        self.k, self.floor = k, floor
         self.score, self.doc = np.zeros(0), np.zeros(0, np.int64)
 
     @property
     def threshold(self) -> float:
-        return self.score[-1] if len(self.score) == self.k else 1.0
+        return max(self.floor, self.score[-1]) if len(self.score) == self.k else self.floor
 
     def add(self, score: np.ndarray, doc: np.ndarray) -> None:
         score, doc = np.concatenate([self.score, score]), np.concatenate([self.doc, doc])
@@ -196,34 +228,64 @@ class Best:
         self.score, self.doc = score[order], doc[order]
 
 
+def _first_floor(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> None:
+    """A first threshold: the k-th best score within the group of blocks with the highest bound."""
+    groups, first = shard.groups, shard.blocks.first
+    at, of = ranges(groups.entry[terms], groups.entry[terms + 1])
+    upper = np.bincount(groups.number[at], idf[of] * groups.bound[at])
+    mine = np.flatnonzero(groups.number[at] == upper.argmax())
+    posting, part = ranges(first[groups.first[at[mine]]], first[groups.first[at[mine] + 1]])
+    total = np.bincount(shard.docs[posting], np.rint(SCALE * idf[of[mine]][part] * shard.weight[posting]))
+    total = np.sort(total[total > 0])
+    if len(total) >= best.k:
+        best.floor = max(best.floor, float(total[-best.k]))
+
+
 def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
-    """Update ``best`` with one query's terms (their places in the shard); returns the blocks scored."""
-    entries, of = ranges(shard.entry[terms], shard.entry[terms + 1])
-    bound = np.rint(SCALE * idf[of] * shard.bound[entries]) + 1
-    number = shard.block[entries]
-    upper = np.bincount(number, bound, shard.n_blocks)
-    order = np.argsort(-upper, kind="stable")
-    done = scored = 0
-    step = 1
-    while done < len(order):
-        threshold = best.threshold
-        chosen = order[done:done + step]
-        chosen = chosen[upper[chosen] >= threshold]
-        if not len(chosen):
-            break
-        mark = np.zeros(shard.n_blocks, bool)
-        mark[chosen] = True
+    """Update ``best`` with one query's terms (their places in the shard); returns the documents scored in full.
+
+    Pivot: in order of their bounds, the terms that together stay below the
+    threshold cannot lift a document over it, so a document needs one of the
+    others. Those are summed first; what the pivot's terms can add comes from
+    the group's and then the block's bounds, and only documents that can still
+    reach the threshold get all their terms.
+    """
+    groups, blocks = shard.groups, shard.blocks
+    if best.threshold <= 1:
+        _first_floor(shard, terms, idf, best)
+    threshold = best.threshold
+    bound = np.rint(SCALE * idf * shard.top[terms]) + 1
+    order = np.argsort(bound, kind="stable")
+    below = np.cumsum(bound[order]) < threshold
+    light, heavy = order[below], order[~below]
+    if not len(heavy):
+        return 0
+    posting, of = ranges(shard.first[terms[heavy]], shard.first[terms[heavy] + 1])
+    n = len(shard.ids)
+    total = np.bincount(shard.docs[posting], np.rint(SCALE * idf[heavy][of] * shard.weight[posting]), n)
+    docs = np.flatnonzero(total)
+    if len(light):
+        at, of = ranges(groups.entry[terms[light]], groups.entry[terms[light] + 1])
+        weight, number = idf[light][of], groups.number[at]
+        more = np.bincount(number, np.rint(SCALE * weight * groups.bound[at]) + 1, shard.n_groups)
+        docs = docs[total[docs] + more[docs // (BLOCK_DOCS * GROUP_BLOCKS)] >= threshold]
+        if not len(docs):
+            return 0
+        mark = np.zeros(shard.n_groups, bool)
+        mark[docs // (BLOCK_DOCS * GROUP_BLOCKS)] = True
+        mine = np.flatnonzero(mark[number])
+        inner, of = ranges(groups.first[at[mine]], groups.first[at[mine] + 1])
+        weight, number = weight[mine][of], blocks.number[inner]
+        more = np.bincount(number, np.rint(SCALE * weight * blocks.bound[inner]) + 1, n // BLOCK_DOCS + 1)
+        docs = docs[total[docs] + more[docs // BLOCK_DOCS] >= threshold]
+        mark = np.zeros(n // BLOCK_DOCS + 1, bool)
+        mark[docs // BLOCK_DOCS] = True
         mine = np.flatnonzero(mark[number])
-        at, part = ranges(shard.posting[entries[mine]], shard.posting[entries[mine] + 1])
-        gain = np.rint(SCALE * idf[of[mine]][part] * shard.weight[at])
-        docs = shard.docs[at]
-        total = np.bincount(docs, gain, len(shard.ids))
-        hit = np.flatnonzero(total >= threshold)
-        best.add(total[hit], shard.ids[hit])
-        done += step
-        scored += len(chosen)
-        step *= 4
-    return scored
+        posting, of = ranges(blocks.first[inner[mine]], blocks.first[inner[mine] + 1])
+        total += np.bincount(shard.docs[posting], np.rint(SCALE * weight[mine][of] * shard.weight[posting]), n)
+    hit = docs[total[docs] >= threshold]
+    best.add(total[hit], shard.ids[hit])
+    return len(docs)
 
 
 def _search(shared, mean_length: float, k: int):
