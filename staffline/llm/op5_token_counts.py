@@ -30,11 +30,19 @@ MEMO_ENTRIES = 300_000
 
 
 class Scores:
-    """Log score by piece text and what an uncovered character costs."""
+    """Piece trie (nested dicts by character, the score under "") and what an uncovered character costs."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.of = {p.decode(): s for _, p, s in vocabulary.pieces}
-        self.longest = max(map(len, self.of), default=1)
+        self.root: dict = {}
+        self.single: set[str] = set()
+        for _, piece, score in vocabulary.pieces:
+            node = self.root
+            text = piece.decode()
+            for c in text:
+                node = node.setdefault(c, {})
+            node[""] = score
+            if len(text) == 1:
+                self.single.add(text)
         self.unknown = vocabulary.unknown
 
 
@@ -58,32 +66,37 @@ class Trie:
     def counts(self, scores: Scores) -> dict[str, int]:
         """Tokens of every inserted word: one forward step per node."""
         out: dict[str, int] = {}
-        of, longest, unknown = scores.of.get, scores.longest, scores.unknown
-        path: list[str] = []
+        root, unknown, single = scores.root, scores.unknown, scores.single
         best, tokens = [0.0], [0]
+        # per depth: (start, piece node) of the pieces that can still end below, oldest start first
+        live: list[list[tuple[int, dict]]] = [[(0, root)]]
         stack: list[tuple[int, int, str]] = [(to, 1, c) for c, to in self.children[0].items()]
         if 0 in self.terminal:
             out[self.terminal[0]] = 0
         while stack:
             node, depth, char = stack.pop()
-            del path[depth - 1:], best[depth:], tokens[depth:]
-            path.append(char)
-            start = max(0, depth - longest)
-            tail = "".join(path[start:])
-            score, count = float("-inf"), 0
-            for i in range(start, depth):
-                got = of(tail[i - start:])
-                if got is not None and best[i] + got > score and char != MARKER:
-                    score, count = best[i] + got, tokens[i] + 1
-            if of(char) is None or char == MARKER:
-                fallback = best[depth - 1] + unknown
+            del best[depth:], tokens[depth:], live[depth:]
+            score, count, following = float("-inf"), 0, []
+            if char != MARKER:
+                for i, piece in live[-1]:
+                    to = piece.get(char)
+                    if to is not None:
+                        got = to.get("")
+                        if got is not None and best[i] + got > score:
+                            score, count = best[i] + got, tokens[i] + 1
+                        following.append((i, to))
+            if char not in single or char == MARKER:
+                fallback = best[-1] + unknown
                 if fallback > score:
-                    score, count = fallback, tokens[depth - 1] + len(char.encode("utf-8", "surrogatepass"))
+                    score, count = fallback, tokens[-1] + len(char.encode("utf-8", "surrogatepass"))
+            following.append((depth, root))
             best.append(score)
             tokens.append(count)
+            live.append(following)
             if node in self.terminal:
                 out[self.terminal[node]] = count
-            stack += [(to, depth + 1, c) for c, to in self.children[node].items()]
+            for c, to in self.children[node].items():
+                stack.append((to, depth + 1, c))
         return out
 
 
