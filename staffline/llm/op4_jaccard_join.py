@@ -54,7 +54,9 @@ from .graph import components
 WIDTH = 5
 #: a link needs at least NUM / DEN of the union
 NUM, DEN = 75, 100
-POPULAR_SHARE = 1 / 500
+POPULAR_SHARE = 1 / 4000
+#: shingles a task counts at a time
+COUNT_ROWS = 6_000_000
 #: signatures that meet in one bucket, about
 BUCKET_ROWS = 1_000_000
 #: groups up to this size give their pairs at once; larger ones first drop pairs of one component
@@ -269,7 +271,8 @@ def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per text (kind 0): size, digest, minima; and locally popular shingles (kind 1)."""
+    """One row per text (kind 0): size, digest, minima, sketch; and locally repeated shingles (kind 1)."""
+    seen, held = [], 0
     for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
         hashes, first = shingle_sets(part)
         size = np.diff(first)
@@ -285,13 +288,23 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             minima.append(least)
         n = part.num_rows
         yield _profile_batch(tv.column(part, "doc_id"), np.zeros(n, np.int32), size, *digest, *minima, sketch=sketches(hashes, first))
-        distinct, counts = np.unique(hashes, return_counts=True)
-        often = counts >= max(3, int(n * POPULAR_SHARE / 2))
-        if often.any():
-            m = int(often.sum())
-            none = np.zeros(m, _U)
-            yield _profile_batch(pa.array(distinct[often].view(np.int64)), np.ones(m, np.int32), counts[often],
-                                 *[none] * (2 + MINIMA))
+        seen.append(hashes)
+        held += len(hashes)
+        if held >= COUNT_ROWS:
+            yield from _repeated(seen)
+            seen, held = [], 0
+    yield from _repeated(seen)
+
+
+def _repeated(seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Shingles that several texts of a task hold, with the number of texts (kind 1)."""
+    if not seen:
+        return
+    distinct, counts = np.unique(np.concatenate(seen), return_counts=True)
+    often = counts > 1
+    m = int(often.sum())
+    none = np.zeros(m, _U)
+    yield _profile_batch(pa.array(distinct[often].view(np.int64)), np.ones(m, np.int32), counts[often], *[none] * (2 + MINIMA))
 
 
 def _profile_batch(ids, kind, size, *longs, sketch=None) -> pa.RecordBatch:
@@ -472,7 +485,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     texts = profile.where("kind = 0")
     seen = texts.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("t")).first()
     n, total = seen["n"], seen["t"] or 0
-    # a shingle counts as popular at n / 500 texts or more: at most 500 times the mean set size of them
+    # popular from n / 4000 texts on, so there are at most 4000 times the mean set size of them
     popular = (profile.where("kind = 1").groupBy("doc_id").agg(F.sum("n_shingles").alias("c"))
                .where(F.col("c") >= F.lit(max(8.0, n * POPULAR_SHARE))).select("doc_id").toPandas()["doc_id"]
                .to_numpy(np.int64).view(_U))
@@ -508,7 +521,17 @@ def join_classes(docs: DataFrame) -> DataFrame:
            .select(F.lit(-1).cast("long").alias("bucket"), "grp", "a", "n"))
     group = ["bucket", "grp"]
     large = met.where("b < 0").select("bucket", "grp", "a", "n").unionByName(odd)
-    large = materialize(_label(large, "a", labels, "comp"), "op4-members")
+    large = materialize(large, "op4-signed")
+    large = _label(large, "a", labels, "comp")
+    # per group and component its smallest member against the group's smallest: most near copies meet here
+    few = materialize(large.groupBy(*group, "comp").agg(F.min("a").alias("a")), "op4-few")
+    hub = materialize(few.groupBy(*group).agg(F.min("a").alias("hub"), F.count("*").alias("c")).where("c > 1"), "op4-few-hub")
+    star = few.join(hub, group).where("a <> hub").select(F.col("hub").alias("x"), "a")
+    star = materialize(plausible(star.select(F.least("x", "a").alias("a"), F.greatest("x", "a").alias("b")).distinct(), texts),
+                       "op4-star")
+    found = materialize(found.unionByName(verified(rows, star, "op4-star")), "op4-found")
+    labels = components(found, "op4-star")
+    large = materialize(_label(large.drop("comp"), "a", labels, "comp"), "op4-members")
     mixed = large.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
     large = materialize(large.join(mixed, group), "op4-large")
     across = (large.alias("l").join(large.alias("r"), group).where("l.comp < r.comp")
