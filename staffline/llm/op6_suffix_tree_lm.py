@@ -3,23 +3,24 @@
 Texts are packed once into chunks of about ``CHUNK_BYTES`` (ids into a chunk's
 own dictionary), written under the shared folder; every later pass reads those.
 
-1. Word counts: each chunk sends its distinct words with their training counts
-   to hash buckets; a bucket adds them up and answers every chunk, so no
-   vocabulary is ever broadcast or collected.
-2. Tree, level by level: a string of d words is a possible context when its
-   share of the training tokens is at least ``MIN_SHARE`` (so there are at most
-   1/MIN_SHARE of each length). Chunks count (context, next word) pairs, buckets
-   add them up and keep next words of share ``MIN_NEXT`` or more within their
-   context: at most 1/(MIN_SHARE * MIN_NEXT) rows a level, a bound that does not
-   depend on the corpus.
-3. Divergence test: a context stays when the next-word distribution differs
-   from that of its longest kept suffix by at least ``MIN_DIVERGENCE`` nats and
-   the G statistic is significant for its number of entries. Kept entries are
-   discounted; the mass left goes to the suffix state, down to the add-one
-   unigram root (words not seen share one more count), so every state is a
-   proper distribution.
-4. Scoring: each chunk is joined with the answers to its words; every token is
-   scored in the longest suffix state of its history.
+1. Strings of 1 to DEPTH + 1 tokens, one length after the other: each chunk sends
+   its distinct strings with their training counts to hash buckets; a bucket adds
+   them up and answers every chunk. A longer string is sent if its first words were
+   seen ``MIN_CONTEXT`` times (they are a possible context) and its last words
+   ``MIN_COUNT`` times (else it cannot be an entry). Both are absolute counts, so
+   contexts and entries grow with the corpus; none of them is collected or broadcast.
+2. Divergence test: the chunk that a bucket names for a string puts its terms into
+   the sums of its context, which a second set of buckets adds up. A context stays
+   when the next-word distribution differs from that of its longest kept suffix by
+   at least ``MIN_DIVERGENCE`` nats and the G statistic is significant for its number
+   of entries; each chunk is told what is left for the suffix. Kept entries are
+   discounted; the mass left goes to the suffix state, down to the add-one unigram
+   root (words not seen share one more count), so every state is a proper distribution.
+3. Scoring: every token is scored in the longest suffix state of its history, from
+   the answers to its chunk.
+
+The sums of length d travel with the strings of length d + 2, so DEPTH + 2 passes
+join the chunks with their answers.
 
 Edge cases: a null or empty text is the end token alone; without training rows
 every base probability is 1; words are told apart by 64-bit hashes; repeated
@@ -30,25 +31,29 @@ change any result; extra columns are dropped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .common import fold, materialize
 
 DEPTH = 3
-MIN_SHARE = 5e-5
+#: times a context, and a next word within it, are seen at least
+MIN_CONTEXT = 2
+MIN_COUNT = 2
 MIN_NEXT = 0.02
 MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.5
 CHUNK_BYTES = 4 << 20
-#: words or pairs of all chunks that meet in one bucket, about
+#: strings of all chunks that meet in one bucket, about
 BUCKET_ROWS = 400_000
 
 _U = np.uint64
@@ -112,29 +117,6 @@ class Chunk:
         self.first = np.concatenate(([0], np.cumsum(self.sizes)))
         self.train = np.repeat(~self.held, self.sizes)
 
-    def train_counts(self) -> np.ndarray:
-        return np.bincount(self.ids[self.train], minlength=len(self.words))
-
-    def contexts(self, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per length d: positions that have d words (start mark included) before them, and the hash of those."""
-        tokens = self.words[self.ids]
-        offset = np.arange(len(tokens)) - np.repeat(self.first[:-1], self.sizes)
-        before = np.empty(len(tokens), _U)
-        before[1:] = tokens[:-1]
-        before[offset == 0] = START
-        value, ok = before, np.ones(len(tokens), bool)
-        yield 1, ok, value
-        for d in range(2, depth + 1):
-            shifted = np.zeros(len(tokens), _U)
-            shifted[1:] = value[:-1]
-            value = shifted * _K + before
-            ok = offset >= d - 1
-            yield d, ok, value
-
-
-def buckets_of(hashes: np.ndarray, n: int) -> np.ndarray:
-    return ((tv.mix(hashes) >> _U(32)) % _U(n)).astype(np.int64)
-
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
@@ -142,257 +124,282 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-# -------------------------------------------------------------- word counts
+def cuts_of(keys: np.ndarray, n: int) -> np.ndarray:
+    """Where each of n equal ranges of the key space begins and ends in sorted keys."""
+    return np.searchsorted(keys, np.array([k * 2**64 // n for k in range(n)], _U)).tolist() + [len(keys)]
 
-def _send_words(n_buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            chunk = Chunk(row)
-            counts = chunk.train_counts().astype(np.uint32)
-            bucket = buckets_of(chunk.words, n_buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            out = [(b, chunk.words[order[lo:hi]].tobytes(), squeeze(counts[order[lo:hi]]))
-                   for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if hi > lo]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([row["chunk"]] * len(out), pa.int64()),
-                 pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())],
-                ["bucket", "chunk", "words", "counts"])
 
-    return run
+def lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Index of each value in a sorted table, -1 where it is not there."""
+    if not len(table):
+        return np.full(len(values), -1, np.int64)
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return np.where(table[at] == values, at, -1)
 
 
-def _add_words(least: float):
-    """Totals of a bucket's words: an answer per chunk, and one row (chunk -1) with the frequent words."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = [np.frombuffer(w, _U) for w in pdf["words"]]
-        counts = np.concatenate([expand(c, "<u4") for c in pdf["counts"]]).astype(np.int64)
-        distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
-        total = np.bincount(inverse, counts, minlength=len(distinct)).astype(np.int64)
-        ends = np.cumsum([len(w) for w in words])
-        answers = [squeeze(total[inverse[e - len(w):e]]) for e, w in zip(ends, words, strict=True)]
-        often = np.flatnonzero(total >= max(least, 1))
-        return pd.DataFrame({
-            "chunk": [*pdf["chunk"], -1], "bucket": int(pdf["bucket"].iloc[0]),
-            "totals": [*answers, total[often].tobytes()],
-            "words": [None] * len(answers) + [distinct[often].tobytes()],
-            "seen": [0] * len(answers) + [int((total > 0).sum())]})
+def lift(rest: np.ndarray) -> np.ndarray:
+    """log10, 0 where nothing is kept."""
+    return np.log10(np.where(rest > 0, rest, 1.0))
 
-    return run
 
+# ------------------------------------------------------------- one chunk
 
-# --------------------------------------------------------------------- tree
+@dataclass(frozen=True)
+class Model:
+    """What all chunks know: training tokens, texts and words, and the settings."""
 
-class Level:
-    """Possible contexts of one length d, by sorted hash: their counts, and ``shorter[j - 1]``, the hash of
-    their last j words (j < d)."""
+    n: int
+    texts: int
+    v: int
+    depth: int
+    least: float
+    min_next: float
+    min_divergence: float
+    word_buckets: int
+    buckets: int
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, shorter: list[np.ndarray]):
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order]
-        self.shorter = [x[order] for x in shorter]
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        return lookup(self.hashes, values)
+class Strings:
+    """Distinct strings of one length in a chunk by sorted key; ``at`` is the one that ends at a position, or -1."""
 
-    def longer(self, pairs: np.ndarray, context: np.ndarray, totals: np.ndarray) -> Level:
-        """The contexts made of a context and the word behind it."""
-        symbols = pairs - self.hashes[context] * _K
-        return Level(pairs, totals, [symbols, *(x[context] * _K + symbols for x in self.shorter)])
+    def __init__(self, raw: np.ndarray, ok: np.ndarray):
+        self.raw = raw
+        self.keys, self.first, inverse = np.unique(tv.mix(raw[ok]), return_index=True, return_inverse=True)
+        self.first = np.flatnonzero(ok)[self.first]
+        self.at = np.full(len(raw), -1, np.int64)
+        self.at[ok] = inverse
+        self.totals = self.owned = None
 
+    def answered(self, data: np.ndarray) -> None:
+        self.totals, self.owned = data >> 1, (data & 1).astype(bool)
 
-def lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Index of each value in a sorted table, -1 where it is not there."""
-    if not len(table):
-        return np.full(len(values), -1, np.int64)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return np.where(table[at] == values, at, -1)
+    def total_at(self) -> np.ndarray:
+        return np.append(self.totals, 0)[self.at]
+
+
+class Walk:
+    """The positions of a chunk, as many lengths on as there are answers (by step: 2d for strings of d context
+    words and the next one, 2d + 1 for the sums of the contexts of d words)."""
+
+    def __init__(self, chunk: Chunk, model: Model, answers: dict[int, list[bytes]]):
+        self.chunk, self.model, self.answers = chunk, model, answers
+        self.tokens = chunk.words[chunk.ids]
+        self.begins = np.zeros(len(self.tokens), bool)
+        self.begins[chunk.first[:-1]] = True
+        self.last = Strings(self.tokens, np.ones(len(self.tokens), bool))
+
+    def answer(self, step: int, dtype: str) -> np.ndarray:
+        return np.concatenate([np.zeros(0, dtype), *(expand(x, dtype) for x in self.answers.get(step, []))])
 
+    def before(self, values: np.ndarray, start) -> np.ndarray:
+        out = np.empty_like(values)
+        out[1:] = values[:-1]
+        out[self.begins] = start
+        return out
 
-def _send_pairs(level: Level, depth: int, n_buckets: int, shared):
+    def run(self, upto: int) -> list[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """Uses the answers of the passes before ``upto``; what this pass asks (step, keys, columns)."""
+        model, last = self.model, self.last
+        if upto == 0:
+            return [self.ask(0, last)]
+        last.answered(self.answer(0, "<i8"))
+        self.root = np.log10((last.total_at() + 1.0) / (model.n + model.v + 1.0))
+        self.known, self.logp = last.total_at() > 0, self.root
+        asked = []
+        for d in range(1, model.depth + 1):
+            if d > upto:
+                break
+            # the contexts of d words are the strings of that length that end one position before
+            start = len(last.keys) if d == 1 else -1
+            keys = np.append(last.keys, tv.mix(np.array([START], _U)))
+            sizes = np.append(last.totals, model.texts if d == 1 else 0)
+            context = self.before(last.at, start)
+            context[(context < 0) | (sizes[context] < max(model.least, MIN_COUNT if d > 1 else 1))] = -1
+            inside = context >= 0
+            now = Strings(self.before(last.raw, START) * _K + self.tokens, inside & (last.total_at() >= MIN_COUNT))
+            if d == upto:
+                asked.append(self.ask(2 * d, now))
+                break
+            now.answered(self.answer(2 * d, "<i8"))
+            of = context[now.first]
+            entry = (now.totals >= MIN_COUNT) & (now.totals >= model.min_next * sizes[of])
+            used = np.flatnonzero(np.bincount(context[inside], minlength=len(keys)))
+            used = used[np.argsort(keys[used])]
+            if d + 1 == upto:
+                asked.append(self.sums(2 * d + 1, keys, sizes, used, of, now, entry))
+            else:
+                rest = np.zeros(len(keys) + 1)
+                rest[used] = self.answer(2 * d + 1, "<f8")
+                rest = rest[context]
+                rest[~inside] = 0
+                own = np.append(np.where(entry, lift((now.totals - DISCOUNT) / np.maximum(sizes[of], 1)), np.nan), np.nan)[now.at]
+                self.logp = np.where(rest > 0, np.where(np.isnan(own), lift(rest) + self.logp, own), self.logp)
+            last = now
+        return asked
+
+    def ask(self, step: int, strings: Strings) -> tuple[int, np.ndarray, list[np.ndarray]]:
+        seen = np.bincount(strings.at[self.chunk.train & (strings.at >= 0)], minlength=len(strings.keys))
+        return step, strings.keys, [seen.astype(np.uint32)]
+
+    def sums(self, step: int, keys: np.ndarray, sizes: np.ndarray, used: np.ndarray, of: np.ndarray,
+             now: Strings, entry: np.ndarray) -> tuple[int, np.ndarray, list[np.ndarray]]:
+        """Terms of the divergence test from the entries that this chunk owns, for each context in it."""
+        mine = entry & now.owned
+        of, totals, q = of[mine], now.totals[mine], 10 ** self.logp[now.first[mine]]
+        p = totals / sizes[of]
+
+        def by(x: np.ndarray | None, dtype: str) -> np.ndarray:
+            return np.bincount(of, x, len(keys))[used].astype(dtype)
+
+        entries = by(None, "<i8")
+        return step, keys[used], [np.where(entries > 0, sizes[used], 0).astype("<i8"), entries, by(totals, "<i8"), by(q, "<f8"),
+                                  by(p * np.log(p / q), "<f8")]
+
+
+ASK_COLUMNS = ["step", "bucket", "chunk", "keys", "c0", "c1", "c2", "c3", "c4"]
+ASK_SCHEMA = "step int, bucket long, chunk long, keys binary, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary"
+ANSWER_SCHEMA = "step int, chunk long, bucket long, data binary, seen long"
+
+
+def _asked(number: int, asked: list[tuple[int, np.ndarray, list[np.ndarray]]], model: Model) -> pd.DataFrame:
+    out = []
+    for step, keys, columns in asked:
+        cuts = cuts_of(keys, model.buckets if step else model.word_buckets)
+        out += [(step, b, number, squeeze(keys[lo:hi]), *(squeeze(x[lo:hi]) for x in columns), *[None] * (5 - len(columns)))
+                for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if hi > lo]
+    return pd.DataFrame(out, columns=ASK_COLUMNS)
+
+
+def _ask_words(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        contexts = shared.value
+        schema = pa.schema([("step", pa.int32()), *((c, pa.int64()) for c in ASK_COLUMNS[1:3]), *((c, pa.binary()) for c in ASK_COLUMNS[3:])])
         for row in _rows(batches):
-            chunk = Chunk(row)
-            *_, (_, ok, value) = chunk.contexts(depth)
-            at = np.flatnonzero(ok & chunk.train)
-            context = contexts.find(value[at])
-            at, context = at[context >= 0], context[context >= 0]
-            pair = value[at] * _K + chunk.words[chunk.ids[at]]
-            distinct, first, counts = np.unique(pair, return_index=True, return_counts=True)
-            context = context[first]
-            bucket = buckets_of(distinct, n_buckets)
-            order = np.lexsort((context, bucket))
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            out = [(b, distinct[order[lo:hi]].tobytes(), squeeze(context[order[lo:hi]].astype(np.uint32)),
-                    squeeze(counts[order[lo:hi]].astype(np.uint32)))
-                   for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if hi > lo]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3))],
-                ["bucket", "pairs", "contexts", "counts"])
+            asked = Walk(Chunk(row), model, {}).run(0)
+            yield pa.RecordBatch.from_pandas(_asked(row["chunk"], asked, model), schema, preserve_index=False)
 
     return run
 
 
-def _add_pairs(shared, least: float, min_next: float):
-    """Total counts of a bucket's pairs; keeps those large within their context or within the corpus."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs = np.concatenate([np.frombuffer(p, _U) for p in pdf["pairs"]])
-        context = np.concatenate([expand(c, "<u4") for c in pdf["contexts"]]).astype(np.int64)
-        counts = np.concatenate([expand(c, "<u4") for c in pdf["counts"]])
-        distinct, first, inverse = np.unique(pairs, return_index=True, return_inverse=True)
-        total = np.bincount(inverse, counts, minlength=len(distinct)).astype(np.int64)
-        context = context[first]
-        keep = (total >= np.minimum(min_next * shared.value.counts[context], least)) & (total >= 2)
-        return pd.DataFrame({"pairs": [distinct[keep].tobytes()], "contexts": [context[keep].tobytes()],
-                             "totals": [total[keep].tobytes()]})
+def _walks(left: pd.DataFrame, right: pd.DataFrame, model: Model, upto: int) -> Iterator[tuple[dict, Walk, list]]:
+    for row in left.to_dict("records"):
+        answers: dict[int, list[bytes]] = {}
+        for step, data in right.sort_values(["step", "bucket"])[["step", "data"]].itertuples(index=False):
+            answers.setdefault(step, []).append(data)
+        walk = Walk(Chunk(row), model, answers)
+        yield row, walk, walk.run(upto)
+
+
+def _ask(model: Model, upto: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [_asked(row["chunk"], asked, model) for row, _, asked in _walks(left, right, model, upto)]
+        return pd.concat(out) if out else pd.DataFrame(columns=ASK_COLUMNS)
 
     return run
 
 
-class Tree:
-    """Kept contexts per length with their entries; the root is the add-one unigram."""
-
-    def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray):
-        order = np.argsort(words)
-        self.n, self.v, self.words, self.counts = n, v, words[order], counts[order]
-        # per length: sorted context hashes, log10 of what the suffix gets, sorted pair hashes, their log10
-        self.states: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 1.0) / (self.n + self.v + 1.0))
-
-    def log10(self, histories: list[np.ndarray], symbols: np.ndarray, root: np.ndarray,
-              valid: list[np.ndarray] | None = None) -> np.ndarray:
-        """log10 probability of symbols; ``histories[d - 1]`` hashes the last d words."""
-        out = np.zeros(len(symbols))
-        open_ = np.ones(len(symbols), bool)
-        for d in range(min(len(self.states), len(histories)), 0, -1):
-            contexts, rest, pairs, logp = self.states[d - 1]
-            todo = np.flatnonzero(open_ if valid is None else open_ & valid[d - 1])
-            value = histories[d - 1][todo]
-            state = lookup(contexts, value)
-            todo, value, state = todo[state >= 0], value[state >= 0], state[state >= 0]
-            entry = lookup(pairs, value * _K + symbols[todo])
-            hit = entry >= 0
-            out[todo[hit]] += logp[entry[hit]]
-            open_[todo[hit]] = False
-            out[todo[~hit]] += rest[state[~hit]]
-        out[open_] += root[open_]
-        return out
+# ------------------------------------------------------------- one bucket
 
-    def grow(self, level: Level, pairs: np.ndarray, context: np.ndarray, totals: np.ndarray,
-             min_next: float, min_divergence: float) -> None:
-        """Add the contexts of one length that pass the divergence test."""
-        keep = totals >= min_next * level.counts[context]
-        pairs, context, totals = pairs[keep], context[keep], totals[keep]
-        order = np.lexsort((pairs, context))
-        pairs, context, totals = pairs[order], context[order], totals[order].astype(float)
-        symbols = pairs - level.hashes[context] * _K
-        word = lookup(self.words, symbols)
-        root = self.root(np.where(word >= 0, self.counts[word] if len(self.counts) else 0, 0))
-        histories = [x[context] for x in level.shorter]
-        q = 10 ** self.log10(histories, symbols, root)
-        size = level.counts.astype(float)
-        n = len(size)
-        p = totals / size[context]
-        sum_p, sum_q = np.bincount(context, p, n), np.bincount(context, q, n)
-        entries = np.bincount(context, minlength=n)
-        gain = np.bincount(context, p * np.log(p / q), n)
-        rest_p, rest_q = np.maximum(1 - sum_p, 0), np.maximum(1 - sum_q, 1e-12)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain += np.where(rest_p > 1e-12, rest_p * np.log(rest_p / rest_q), 0)
-        g = 2 * size * gain
-        passed = (entries > 0) & (gain >= min_divergence) & (g >= entries + 3 * np.sqrt(2 * entries) + 6)
-        inside = passed[context]
-        discounted = (totals - DISCOUNT) / size[context]
-        rest = (1 - np.bincount(context, discounted, n)) / rest_q
-        own, logp = pairs[inside], np.log10(discounted[inside])
-        order = np.argsort(own)
-        self.states.append((level.hashes[passed], np.log10(rest[passed]), own[order], logp[order]))
+def _answer(model: Model):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("chunk")
+        keys = [expand(k, "<u8") for k in pdf["keys"]]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        step = int(pdf["step"].iloc[0])
+
+        def total(column: str, dtype: str) -> np.ndarray:
+            return np.bincount(inverse, np.concatenate([expand(x, dtype) for x in pdf[column]]), len(distinct))
+
+        if step % 2 == 0:
+            sums = total("c0", "<u4").astype(np.int64)
+            seen = int((sums > 0).sum())
+            answer = sums[inverse] << 1
+            answer[first] += 1  # the chunk that puts the string into its context's sums
+        else:
+            sizes = np.zeros(len(distinct), np.int64)
+            np.maximum.at(sizes, inverse, np.concatenate([expand(x, "<i8") for x in pdf["c0"]]))
+            rest = kept(np.maximum(sizes, 1).astype(float), total("c1", "<i8"), total("c2", "<i8"), total("c3", "<f8"), total("c4", "<f8"), model.min_divergence)
+            seen, answer = int((rest > 0).sum()), rest[inverse]
+        return pd.DataFrame({
+            "step": step, "chunk": [*pdf["chunk"], -1], "bucket": int(pdf["bucket"].iloc[0]),
+            "data": [*(squeeze(answer[e - len(k):e]) for e, k in zip(ends, keys, strict=True)), None],
+            "seen": [0] * len(keys) + [seen]})
 
+    return run
 
-# ----------------------------------------------------------------- together
 
-def _collect(frame: DataFrame, columns: list[tuple[str, str]]) -> list[np.ndarray]:
-    rows = frame.select(*[c for c, _ in columns]).collect()
-    return [np.concatenate([np.frombuffer(r[c], dtype) for r in rows]) if rows else np.zeros(0, dtype)
-            for c, dtype in columns]
+def kept(size: np.ndarray, entries: np.ndarray, covered: np.ndarray, sum_q: np.ndarray, gain: np.ndarray,
+         min_divergence: float) -> np.ndarray:
+    """The factor for the suffix state of each context that passes the divergence test, 0 for the others."""
+    rest_p, rest_q = np.maximum(size - covered, 0) / size, np.maximum(1 - sum_q, 1e-12)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = gain + np.where(rest_p > 1e-12, rest_p * np.log(rest_p / rest_q), 0)
+    g = 2 * size * gain
+    passed = (entries > 0) & (gain >= min_divergence) & (g >= entries + 3 * np.sqrt(2 * entries) + 6)
+    return np.where(passed, (size - covered + DISCOUNT * entries) / size / rest_q, 0.0)
 
 
-def _score(tree_shared, n_buckets: int):
+# ----------------------------------------------------------------- together
+
+def _score(model: Model):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        tree: Tree = tree_shared.value
         out = []
-        for row in left.to_dict("records"):
-            chunk = Chunk(row)
-            totals = np.zeros(len(chunk.words), np.int64)
-            order = np.argsort(buckets_of(chunk.words, n_buckets), kind="stable")
-            answers = right[right["chunk"] == row["chunk"]].sort_values("bucket")["totals"]
-            totals[order] = np.concatenate([expand(a, "<i8") for a in answers])
-            by_word = tree.root(totals)
-            root = by_word[chunk.ids]
-            valid, histories = [], []
-            for _, ok, value in chunk.contexts(max(1, len(tree.states))):
-                valid.append(ok)
-                histories.append(value)
-            logp = tree.log10(histories, chunk.words[chunk.ids], root, valid)
-            known = (totals > 0)[chunk.ids]
+        for row, walk, _ in _walks(left, right, model, model.depth + 2):
+            chunk = walk.chunk
             out.append(pd.DataFrame({
                 "doc_id": pd.array(list(row["doc_ids"]), "Int64"), "held_out": chunk.held, "n_tokens": chunk.sizes,
-                "n_known": tv.segment_sums(known, chunk.first), "train_tokens": tree.n,
-                "base_score": tv.segment_sums(root, chunk.first), "score": tv.segment_sums(logp, chunk.first)}))
+                "n_known": tv.segment_sums(walk.known, chunk.first), "train_tokens": model.n,
+                "base_score": tv.segment_sums(walk.root, chunk.first), "score": tv.segment_sums(walk.logp, chunk.first)}))
         return pd.concat(out) if out else pd.DataFrame(columns=SCORE_COLUMNS)
 
     return run
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the query that made them has ended: each pass is written, so none is read again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    former = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if former is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, former)
+
+
 SCORE_COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")
 
 
-def score_documents(docs: DataFrame, held_out: Column | None = None, depth: int = DEPTH, min_share: float = MIN_SHARE,
+def score_documents(docs: DataFrame, held_out: Column | None = None, depth: int = DEPTH, min_share: float = 0.0,
                     min_next: float = MIN_NEXT, min_divergence: float = MIN_DIVERGENCE) -> DataFrame:
-    """Learn from the rows that are not held out (crc32(doc_id) mod 7 = 2 by default), score all rows."""
-    spark = docs.sparkSession
+    """Learn from the rows that are not held out (crc32(doc_id) mod 7 = 2 by default), score all rows.
+
+    ``min_share`` (of the training tokens, for a context) cuts further by share; by default it cuts nothing.
+    """
     held = fold(F.col("doc_id"), 7) == 2 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.coalesce(held, F.lit(False)).alias("held_out"))
     chunks = materialize(rows.mapInArrow(pack, CHUNK_SCHEMA), "op6-chunks")
     seen = chunks.agg(F.sum("n_words").alias("w"), F.sum("n_train").alias("n"), F.sum("n_texts").alias("t")).first()
-    n, texts = seen["n"] or 0, seen["t"] or 0
-    n_buckets = max(1, -(-(seen["w"] or 0) // BUCKET_ROWS))
-    least = min_share * n
-    sent = chunks.select("chunk", "ids", "sizes", "words", "held_out").mapInArrow(
-        _send_words(n_buckets), "bucket long, chunk long, words binary, counts binary")
-    answers = materialize(
-        sent.groupBy("bucket").applyInPandas(_add_words(least * min_next),
-                                             "chunk long, bucket long, totals binary, words binary, seen long"), "op6-words")
-    v = answers.agg(F.sum("seen").alias("v")).first()["v"] or 0
-    words, counts = _collect(answers.where("chunk = -1"), [("words", "<u8"), ("totals", "<i8")])
-    tree = Tree(n, v, words, counts)
-
-    often = (counts >= max(least, 1)) & (words != END)
-    hashes, sizes = words[often], counts[often]
-    if texts >= max(least, 1):
-        hashes, sizes = np.append(hashes, START), np.append(sizes, texts)
-    level = Level(hashes, sizes, [])
-    for d in range(1, depth + 1):
-        if not len(level.hashes):
-            break
-        shared = spark.sparkContext.broadcast(level)
-        pair_buckets = max(1, -(-n // (2 * BUCKET_ROWS)))
-        pairs = (chunks.select("ids", "sizes", "words", "held_out")
-                 .mapInArrow(_send_pairs(level, d, pair_buckets, shared), "bucket long, pairs binary, contexts binary, counts binary")
-                 .groupBy("bucket").applyInPandas(_add_pairs(shared, least, min_next),
-                                                  "pairs binary, contexts binary, totals binary"))
-        found, context, totals = _collect(pairs, [("pairs", "<u8"), ("contexts", "<i8"), ("totals", "<i8")])
-        symbols = found - level.hashes[context] * _K
-        tree.grow(level, found, context, totals, min_next, min_divergence)
-        often = (totals >= max(least, 1)) & (symbols != END)
-        level = level.longer(found[often], context[often], totals[often])
-    shared_tree = spark.sparkContext.broadcast(tree)
-    scored = (chunks.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk"))
-              .applyInPandas(_score(shared_tree, n_buckets), SCORE_SCHEMA))
+    n = seen["n"] or 0
+    model = Model(n, seen["t"] or 0, 0, depth, max(min_share * n, MIN_CONTEXT), min_next, min_divergence,
+                  max(1, -(-(seen["w"] or 0) // BUCKET_ROWS)), max(1, -(-n // (2 * BUCKET_ROWS))))
+    packed = chunks.select("chunk", "ids", "sizes", "words", "held_out")
+    asked = packed.mapInArrow(_ask_words(model), ASK_SCHEMA)
+    answers = None
+    for upto in range(depth + 2):
+        if upto:
+            asked = packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_ask(model, upto), ASK_SCHEMA)
+        with shuffles_released(docs.sparkSession):
+            got = materialize(asked.groupBy("step", "bucket").applyInPandas(_answer(model), ANSWER_SCHEMA), "op6-answers")
+        if upto == 0:
+            model = replace(model, v=got.agg(F.sum("seen").alias("v")).first()["v"] or 0)
+        got = got.where("chunk >= 0").select("step", "chunk", "bucket", "data")
+        answers = got if answers is None else answers.unionByName(got)
+    scored = (chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score(model), SCORE_SCHEMA))
     return scored.select(*SCORE_COLUMNS)

@@ -239,6 +239,25 @@ def test_suffix_tree_equals_brute_force(spark):
         assert sum(prob(list(c), w) for w in count) + prob(list(c), "never seen") == pytest.approx(1, rel=1e-9)
 
 
+def check_production_scores(spark, rows, min_next):
+    """Scores with the production settings against the brute-force tree; returns its states."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    n = sum(len(tokens(t)) for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2)
+    prob, _, _, _, states = brute_tree(rows, 3, 2 / n, min_next, 0.01)
+    got = {r["doc_id"]: r["score"] for r in op6.score_documents(docs).collect()}
+    for i, text in rows:
+        seq = ["<start>", *tokens(text)]
+        want = sum(math.log10(prob(seq[max(0, k - 3):k], seq[k])) for k in range(1, len(seq)))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+    return states
+
+
+def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
+    """Contexts seen four or five times among 200,000 tokens."""
+    states = check_production_scores(spark, [(i, "a " * 1200 + f"c{i % 40} d{i % 40}") for i in range(200)], 0.02)
+    assert sum(c[0].startswith("c") for c in states) == 40
+
+
 def test_language_model_edges(spark):
     assert op6.score_documents(empty(spark)).count() == 0
     docs = awkward(spark)
