@@ -49,7 +49,6 @@ DEPTH = 3
 #: times a context, and a next word within it, are seen at least
 MIN_CONTEXT = 2
 MIN_COUNT = 2
-MIN_NEXT = 0.02
 MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.5
 CHUNK_BYTES = 4 << 20
@@ -376,10 +375,11 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, tra
 
 
 def score_documents(docs: DataFrame, held_out: Column | None = None, depth: int = DEPTH, min_share: float = 0.0,
-                    min_next: float = MIN_NEXT, min_divergence: float = MIN_DIVERGENCE) -> DataFrame:
+                    min_next: float = 0.0, min_divergence: float = MIN_DIVERGENCE) -> DataFrame:
     """Learn from the rows that are not held out (crc32(doc_id) mod 7 = 2 by default), score all rows.
 
-    ``min_share`` (of the training tokens, for a context) cuts further by share; by default it cuts nothing.
+    ``min_share`` (of the training tokens, for a context) and ``min_next`` (of its context, for a next word) cut
+    further by share; by default they cut nothing.
     """
     held = fold(F.col("doc_id"), 7) == 2 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),

@@ -254,10 +254,18 @@ def check_production_scores(spark, rows, min_next):
 
 def test_suffix_tree_keeps_rare_contexts_of_a_large_corpus(spark):
     """Contexts seen four or five times among 200,000 tokens."""
-    states = check_production_scores(spark, [(i, "a " * 1200 + f"c{i % 40} d{i % 40}") for i in range(200)], 0.02)
+    states = check_production_scores(spark, [(i, "a " * 1200 + f"c{i % 40} d{i % 40}") for i in range(200)], 0)
     assert sum(c[0].startswith("c") for c in states) == 40
 
 
+def test_suffix_tree_keeps_wide_contexts(spark):
+    """Next words far below one hundredth of their context, seen more than once."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"wide n{rng.randrange(150)}" if rng.random() < 0.5 else f"c{rng.randrange(300)}" for _ in range(80)))
+            for i in range(70)]
+    assert len(check_production_scores(spark, rows, 0)[("wide",)][0]) > 100
+
+
 def test_language_model_edges(spark):
     assert op6.score_documents(empty(spark)).count() == 0
     docs = awkward(spark)
