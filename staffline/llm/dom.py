@@ -7,12 +7,14 @@ from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: elements whose content is no markup
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-#: elements whose text is never page text
-HIDDEN = frozenset("head script style textarea title noscript template iframe select option button svg math object "
-                   "audio video canvas datalist xmp noembed noframes".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+#: elements whose text is never page text: no text on the page, or form controls; formulas and fallback texts are not among them
+HIDDEN = frozenset("head script style textarea title template iframe select option button datalist noembed noframes "
+                   "annotation annotation-xml desc metadata".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rb rp rt rtc ruby s "
-                   "samp small span strike strong sub sup time tt u var wbr".split())
+                   "samp small span strike strong sub sup time tt u var wbr "
+                   "math semantics mrow mi mo mn ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mfenced mstyle "
+                   "object noscript audio video canvas svg text tspan".split())
 #: start tags that end an open element of the given names, up to the border names
 CLOSES = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -24,7 +26,7 @@ CLOSES = {
 }
 ENDS_PARAGRAPH = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer "
                            "form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-PARAGRAPH = (frozenset(["p"]), frozenset(["button", "td", "th", "caption", "html", "table", "object"]))
+PARAGRAPH = (frozenset(["p"]), frozenset(["button", "td", "th", "caption", "html", "table", "object", "template"]))
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -73,6 +75,8 @@ class Page:
                 continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+                if name == "xmp":
+                    self.runs.append((len(self.tag) - 1, html[at:end.start() if end else len(html)], self._block))
                 at = end.end() if end else len(html)
                 continue
             stack.append(len(self.tag) - 1)

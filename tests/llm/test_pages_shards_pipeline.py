@@ -51,6 +51,17 @@ def test_main_text_of_other_layouts(model):
     assert op8.extract([page], model)[0] == f"A title {once} {once} & more lines"
 
 
+def test_formulas_and_fallback_texts_stay(model):
+    once = TEXT.strip()
+    page = (f"<head><noscript>Head only</noscript></head><body><nav><a href=/>Home</a></nav><article><h1>A title</h1>"
+            f"<p>{TEXT}Then <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2 again</annotation></semantics></math> holds.</p>"
+            f"<object data=a.pdf><p>{TEXT}</p></object><noscript><p>{TEXT}</p></noscript><p>{TEXT}<button>Send</button>"
+            f"<template><p>Inert <template>too</template> and this</p></template></article>")
+    assert op8.extract([page], model)[0] == f"A title {once} Then x=2 holds. {once} {once} {once}"
+    page = Page("<p>a<noscript><b>b</b></noscript><svg><text>c</text></svg><xmp>d<i>&amp;</xmp>")
+    assert [text for _, text, _ in page.runs] == ["a", "b", "c", "d<i>&amp;"]
+
+
 def test_page_edges(spark, model):
     assert op8.extract([None, "", "<p>", "<!-- x -->", "<script>a<b</script><style>p</style>", "a < b & c"], model)[:5] == [""] * 5
     rows = [(1, "u", "<article><p>One  two</p><p>three</article>", 9), (1, "u", "<article><p>One  two</p><p>three</article>", 9),
