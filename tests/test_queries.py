@@ -15,7 +15,8 @@ from staffline import catalog  # noqa: E402
 from staffline.plans import overview  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+#: the queries of the training-data operators have their own tests (tests/llm)
+QUERIES = catalog.QUERIES
 SQLS = E.oracle_sql()
 
 
@@ -25,7 +26,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQLS)
+    assert set(QUERIES) <= set(SQLS)
+    assert set(QUERIES) <= set(E.queries())
     assert len(QUERIES) >= 60
 
 

@@ -40,7 +40,7 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     out = argv[2] if len(argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                                                      "PLANS.md")
-    import __spark_entry__ as E
+    from staffline.catalog import QUERIES
     from staffline.session import get_session
 
     spark = get_session("local[8]", 8)
@@ -60,7 +60,7 @@ def main(argv):
         "| partition filters | table scans (static plan) | table scans (final plan) |",
         "| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |",
     ]
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         f = facts(formatted)
