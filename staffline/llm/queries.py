@@ -16,6 +16,9 @@ from . import op7_sentencepiece as op7
 from . import op8_html_extraction as op8
 from . import op9_sharding as op9
 from . import op10_toxicity as op10
+from . import op11_phrase_collocations as op11
+from . import op12_importance_resampling as op12
+from . import op13_quality_classifier as op13
 from .common import table
 
 
@@ -71,6 +74,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 first collocations of two and three words of each language."""
+    return op11.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, noisy score and draw of every document, towards the benchmark's words."""
+    out = op12.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels outside the held-out fold."""
+    return op13.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bm25_search": op1_bm25_search,
     "op2_language_id": op2_language_id,
@@ -82,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_quality_classifier": op13_quality_classifier,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -135,4 +157,85 @@ WITH words AS (
 SELECT query_id, rank, doc_id, points / 1e6 AS score FROM ranked WHERE rank <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_bm25_search": BM25_SQL, "op4_jaccard_join": JACCARD_SQL}
+COLLOCATION_SQL = rf"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), counts AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+    FROM words, (SELECT unnest([1, 2, 3]) AS m))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m >= 2 AND f >= 10
+), parts AS MATERIALIZED (
+  SELECT lang || chr(10) || phrase AS part, f FROM counts WHERE f >= 10
+), cut AS MATERIALIZED (
+  SELECT *, lang || chr(10) || array_to_string(w[1:k], ' ') AS head, lang || chr(10) || array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
+), heads AS MATERIALIZED (
+  SELECT cut.*, f AS l FROM cut JOIN parts ON part = head
+), cuts AS MATERIALIZED (
+  SELECT heads.*, f AS r, (1000000::HUGEINT * a * a // (l::HUGEINT * f))::BIGINT AS score FROM heads JOIN parts ON part = tail
+), lowest AS MATERIALIZED (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS MATERIALIZED (
+  SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a AS longer FROM candidates WHERE m = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM candidates WHERE m = 3
+), kept AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = p.lang AND i.phrase = p.phrase AND 100 * i.longer >= 50 * p.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+RESAMPLING_SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, 0 AS target, text FROM documents UNION ALL SELECT NULL, 1, text FROM benchmark
+), words AS (
+  SELECT doc_id, target, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM texts
+), buckets AS (
+  SELECT w, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(range(1, length(h) // 2 + 1), lambda i: ('0x' || h[2 * i - 1:2 * i])::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))),
+    4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w, hex(encode(w)) AS h FROM words)
+), counts AS (
+  SELECT bucket, count(*) FILTER (target = 0) AS s, count(*) FILTER (target = 1) AS t
+  FROM words JOIN buckets USING (w) GROUP BY bucket
+), totals AS (
+  SELECT sum(s)::DOUBLE AS big_s, sum(t)::DOUBLE AS big_t FROM counts
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (big_s + 10000) / ((s + 1)::DOUBLE * (big_t + 10000))))::BIGINT AS gain
+  FROM counts, totals
+), weights AS (
+  SELECT doc_id, count(*) AS n_features, sum(gain)::BIGINT AS total
+  FROM words JOIN buckets USING (w) JOIN gains USING (bucket) WHERE target = 0 GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features,
+    coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM documents LEFT JOIN weights USING (doc_id)
+), noisy AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored
+), drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM noisy WHERE n_features >= 20
+  QUALIFY rank <= 10 * (SELECT count(*) FROM noisy WHERE n_features >= 20) // 100
+)
+SELECT doc_id, n_features, weight, score, rank FROM noisy LEFT JOIN drawn USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_bm25_search": BM25_SQL,
+    "op4_jaccard_join": JACCARD_SQL,
+    "op11_phrase_collocations": COLLOCATION_SQL,
+    "op12_importance_resampling": RESAMPLING_SQL,
+}
