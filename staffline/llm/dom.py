@@ -45,6 +45,8 @@ class Page:
         self.runs: list[tuple[int, str, int]] = []
         self._block = 0
         stack = [0]
+        # places in the stack of the open elements of each name
+        self._open: dict[str, list[int]] = {}
         at = 0
         for m in TOKEN.finditer(html):
             if m.start() < at:
@@ -79,6 +81,7 @@ class Page:
                     self.runs.append((len(self.tag) - 1, html[at:end.start() if end else len(html)], self._block))
                 at = end.end() if end else len(html)
                 continue
+            self._open.setdefault(name, []).append(len(stack))
             stack.append(len(self.tag) - 1)
         if at < len(html):
             self._text(stack[-1], html[at:])
@@ -89,19 +92,24 @@ class Page:
     def _close(self, stack: list[int], name: str) -> None:
         if name not in INLINE:
             self._block += 1
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == name:
-                del stack[k:]
-                return
+        self._cut(stack, self._last(name))
 
     def _end(self, stack: list[int], names: frozenset[str], borders: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tag[stack[k]]
-            if tag in names:
-                del stack[k:]
-                return
-            if tag in borders:
-                return
+        found = max(map(self._last, names))
+        if found > max(map(self._last, borders), default=-1):
+            self._cut(stack, found)
+
+    def _last(self, name: str) -> int:
+        """Place in the stack of the innermost open element of a name, -1 without one."""
+        places = self._open.get(name)
+        return places[-1] if places else -1
+
+    def _cut(self, stack: list[int], at: int) -> None:
+        """Close the element at this place and all inside it; each element is closed once, so pages take linear time."""
+        if at > 0:
+            for element in stack[at:]:
+                self._open[self.tag[element]].pop()
+            del stack[at:]
 
 
 def attribute_tokens(attributes: str) -> set[str]:
@@ -109,3 +117,10 @@ def attribute_tokens(attributes: str) -> set[str]:
     if "=" not in attributes:
         return set()
     return {w.lower() for _, value in ATTRIBUTE.findall(attributes) for w in WORD.findall(value)}
+
+
+def attribute_names(attributes: str) -> set[str]:
+    """Whole lower-case names of class, id and role, as separated by white space."""
+    if "=" not in attributes:
+        return set()
+    return {w for _, value in ATTRIBUTE.findall(attributes) for w in value.strip("\"'").lower().split()}

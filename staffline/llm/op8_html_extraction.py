@@ -6,7 +6,8 @@ and the same of its ancestors. Boosted trees (trained here, in numpy, on a
 bounded sample of pages) give each element log odds of being article text.
 Labels come from the pages themselves: elements inside an ``article`` or
 ``main`` element, or inside a marked menu, footer, advert and so on, in pages
-that use such marks. Every training page is used three times: as it is, with all
+that use such marks (inside an article only whole names of containers count as
+marks, so ``related-work`` or ``article-header`` stay with the article). Every training page is used three times: as it is, with all
 marks hidden (so that pages without marks are judged by density and place), and
 with its texts rearranged under other marks and layouts.
 
@@ -37,10 +38,12 @@ from pyspark.sql import functions as F
 
 from . import boosting
 from . import textvec as tv
-from .dom import HIDDEN, INLINE, Page, attribute_tokens
+from .dom import HIDDEN, INLINE, Page, attribute_names, attribute_tokens
 
-#: bound of the training sample (documented parameter)
+#: bounds of the training sample (documented parameters): pages, bytes of a page, elements of each use of a page
 MAX_TRAIN_PAGES = 600
+MAX_TRAIN_HTML = 1 << 20
+MAX_TRAIN_ELEMENTS = 500
 TOKEN_BUCKETS = 8
 #: words of tags, classes, ids and roles that mark what is no article text (fixed values)
 ASIDE_WORDS = frozenset("""
@@ -92,8 +95,10 @@ class Features:
             for w in words:
                 tokens[i, zlib.crc32(w.encode()) % TOKEN_BUCKETS] = 1
             article[i] = int(tag in ARTICLE_WORDS or bool(words & ARTICLE_WORDS))
-            # a heading group inside an article belongs to it
-            aside[i] = int((tag in ASIDE_WORDS and not (tag == "header" and article_up[i])) or bool(words & ASIDE_WORDS))
+            # inside an article only whole names of containers count, and its heading group belongs to it
+            names = attribute_names(page.attributes[i]) if words & ASIDE_WORDS and article_up[i] else words
+            own_marks = (names | {tag}) & ASIDE_WORDS
+            aside[i] = int(bool(own_marks - {"header"} if article_up[i] else own_marks))
         for element, text, _ in page.runs:
             size = 0 if hidden[element] else len("".join(text.split()))
             if size:
@@ -254,6 +259,7 @@ def training_rows(html: str) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for f, bare in ((features, False), (features, True), (Features(rearranged(html, features)), False)):
         at = np.flatnonzero(f.label >= 0)
+        at = at[:: max(1, -(-len(at) // MAX_TRAIN_ELEMENTS))]
         x = f.x[at].copy()
         if bare:
             x[:, MARKS] = 0
@@ -273,7 +279,7 @@ def fit(pages: DataFrame, max_pages: int = MAX_TRAIN_PAGES) -> boosting.Boosted
     """Trees learnt from the marked elements of at most ``max_pages`` pages, in hash order of the id."""
     picked = (pages.where("page_id IS NOT NULL").select("page_id").distinct()
               .orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages))
-    sample = pages.join(F.broadcast(picked), "page_id").where(F.length("html") <= 1 << 20).select("html").distinct()
+    sample = pages.join(F.broadcast(picked), "page_id").where(F.length("html") <= MAX_TRAIN_HTML).select("html").distinct()
     rows = sample.mapInArrow(_training_rows, "x binary, y int").collect()
     if not rows:
         return None
