@@ -1,7 +1,9 @@
 """Toxicity with a noisy-channel deobfuscation step.
 
-A character language model (up to four characters) and a classifier over word
-features are learnt from a bounded sample of labelled rows. Every whole text is
+A character language model (up to four characters, hashed counts of fixed size)
+is counted over all texts; a classifier over word features is learnt from a
+bounded sample of labelled rows (at most ``MAX_TRAIN_ROWS`` rows; of the features
+with evidence of toxicity, the ``MAX_FEATURES`` strongest). Every whole text is
 then scored in one narrow pass: tokens that can hide a word (leetspeak signs
 between letters, letters spaced out or joined by separators, a letter three
 times in a row) become a character lattice that a Viterbi search restores under
@@ -23,6 +25,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,12 @@ from .common import documents, fold, materialize
 #: bounds of the model and of the labelled rows it is fitted on (documented parameters)
 MAX_TRAIN_ROWS = 20_000
 MAX_FEATURES = 50_000
-MAX_GRAMS = 200_000
+#: the character model: cells of each of two hash functions, cells of a shuffled block, least count of a seen gram
+GRAM_BITS = 20
+GRAM_BLOCK = 1 << 14
+GRAM_STEP = 0x100000001B3
+GRAM_HASHES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+LEAST_COUNT = 2
 FEATURE_BITS = 20
 PREFIXES = (4, 5, 6, 8)
 
@@ -62,24 +70,63 @@ SEPARATOR[[ord(c) for c in SEPARATORS if c != " "]] = True
 
 # ---------------------------------------------------------------- restoring
 
+def letter_units() -> np.ndarray:
+    """UTF-16 units that are letters stand for themselves, all others for a space."""
+    if "units" not in tv._TABLES:
+        keep = np.fromiter((chr(c).isalpha() for c in range(65536)), bool, 65536)
+        tv._TABLES["units"] = np.where(keep, np.arange(65536, dtype=np.uint64), _U(32))
+    return tv._TABLES["units"]
+
+
 class CharModel:
-    """Back-off character model: log probabilities of grams of 1 to 4 characters."""
+    """Back-off character model over hashed grams of 1 to 4 characters.
+
+    ``counts`` has a row of 2**GRAM_BITS counts for each of two hash functions;
+    a gram's count is the smaller of its two cells, and counts below LEAST_COUNT
+    are none, so that a gram that only shares cells with others stays unseen.
+    A dict of gram counts is accepted as well.
+    """
 
     BACKOFF = math.log(0.4)
 
-    def __init__(self, counts: dict[str, int]):
-        contexts: dict[str, int] = {}
-        for gram, n in counts.items():
-            contexts[gram[:-1]] = contexts.get(gram[:-1], 0) + n
-        self.logp = {g: math.log(n / contexts[g[:-1]]) for g, n in counts.items()}
-        self.floor = -math.log(contexts.get("", 0) + 256.0)
+    def __init__(self, counts: np.ndarray | dict[str, int]):
+        if isinstance(counts, dict):
+            given, counts = counts, np.zeros((2, 1 << GRAM_BITS), np.int64)
+            for gram, n in given.items():
+                counts[[0, 1], self.cells(gram)] += n
+                if len(gram) == 1:
+                    counts[[0, 1], self.cells("")] += n
+        self.counts = counts
+        self.total = max(self.count(""), 1)
+        self.floor = -math.log(self.total + 256.0)
+        self._memo: dict[str, float] = {}
+
+    @staticmethod
+    def cells(gram: str) -> list[int]:
+        value = 0
+        for c in gram:
+            value = (value * GRAM_STEP + (ord(c) if c.isalpha() and ord(c) < 65536 else 32)) & (2**64 - 1)
+        return [((value + len(gram)) * f & (2**64 - 1)) >> (64 - GRAM_BITS) for f in GRAM_HASHES]
+
+    def count(self, gram: str) -> int:
+        n = int(min(self.counts[k, c] for k, c in enumerate(self.cells(gram))))
+        return n if n >= LEAST_COUNT else 0
 
     def cost(self, context: str, char: str) -> float:
+        key = context + char
+        found = self._memo.get(key)
+        if found is None:
+            if len(self._memo) > 200_000:
+                self._memo.clear()
+            found = self._memo[key] = self._cost(context, char)
+        return found
+
+    def _cost(self, context: str, char: str) -> float:
         penalty = 0.0
         for k in range(len(context) + 1):
-            found = self.logp.get(context[k:] + char)
-            if found is not None:
-                return -(found + penalty)
+            n = self.count(context[k:] + char)
+            if n:
+                return -(math.log(n / max(n, self.count(context[k:]) or self.total)) + penalty)
             penalty += self.BACKOFF
         return -(self.floor + penalty)
 
@@ -89,6 +136,11 @@ def lattice(span: str) -> list[list[tuple[str, float, int]]]:
     out: list[list[tuple[str, float, int]]] = []
     n = len(span)
     single = [i for i in range(n) if span[i] not in SEPARATORS]
+    # end of the run of one character that each position stands in
+    ends = list(range(1, n + 1))
+    for i in range(n - 2, -1, -1):
+        if span[i] == span[i + 1]:
+            ends[i] = ends[i + 1]
     alone = {i for i in single if (i == 0 or span[i - 1] in SEPARATORS) and (i + 1 == n or span[i + 1] in SEPARATORS)}
     for i, c in enumerate(span):
         edges = []
@@ -101,11 +153,8 @@ def lattice(span: str) -> list[list[tuple[str, float, int]]]:
                 edges.append(("", COST_JOIN, i + 1))
         else:
             edges.append((c, 0.0, i + 1))
-            run = i
-            while run < n and span[run] == c:
-                run += 1
-            if run - i >= 3 and c.isalpha() and (i == 0 or span[i - 1] != c):
-                edges += [(c, COST_COLLAPSE, run), (c + c, COST_COLLAPSE, run)]
+            if (i == 0 or span[i - 1] != c) and ends[i] - i >= 3 and c.isalpha():
+                edges += [(c, COST_COLLAPSE, ends[i]), (c + c, COST_COLLAPSE, ends[i])]
         out.append(edges)
     return out
 
@@ -274,37 +323,57 @@ class Model:
 
 
 def _count_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str, int] = {}
-    for batch in batches:
-        for part in tv.pieces([batch]):
-            text = " ".join((t or "").lower() for t in tv.column(part, "text").to_pylist())
-            codes = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16).astype(_U)
-            letter = np.fromiter((chr(c).isalpha() for c in range(65536)), bool, 65536)
-            codes = np.where(letter[codes.astype(np.int64)], codes, _U(32))
-            keep = np.ones(len(codes), bool)
-            keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
-            codes = codes[keep]
-            value = np.zeros(len(codes), _U)
-            for n in range(1, 5):
-                if len(codes) < n:
-                    break
-                value = (value[:len(codes) - n + 1] << _U(16)) | codes[n - 1:]
-                grams, counts = np.unique(value, return_counts=True)
-                for g, c in zip(grams.tolist(), counts.tolist(), strict=True):
-                    key = "".join(chr((g >> (16 * (n - 1 - k))) & 0xFFFF) for k in range(n))
-                    total[key] = total.get(key, 0) + c
-    grams = [g for g in total if not any("\ud800" <= c <= "\udfff" for c in g)]
-    yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array([total[g] for g in grams], pa.int64())],
-                                     ["gram", "n"])
-
-
-def _count_features(chars: CharModel):
+    """Gram counts of a task, as blocks of GRAM_BLOCK cells of each hash function."""
+    total = np.zeros((2, 1 << GRAM_BITS), np.int64)
+    units, space = letter_units(), _U(32)
+    for part in tv.pieces(batches):
+        text = " ".join((t or "").lower() for t in tv.column(part, "text").to_pylist())
+        codes = units[np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)]
+        keep = np.ones(len(codes), bool)
+        keep[1:] = (codes[1:] != space) | (codes[:-1] != space)
+        codes = codes[keep]
+        value = np.zeros(len(codes), _U)
+        for k, c in enumerate(CharModel.cells("")):
+            total[k, c] += len(codes)
+        for n in range(1, 5):
+            if len(codes) < n:
+                break
+            value = value[:len(codes) - n + 1] * _U(GRAM_STEP) + codes[n - 1:]
+            for k, f in enumerate(GRAM_HASHES):
+                at = ((value + _U(n)) * _U(f)) >> _U(64 - GRAM_BITS)
+                total[k] += np.bincount(at.astype(np.int64), minlength=1 << GRAM_BITS)
+    blocks = total.reshape(-1, GRAM_BLOCK)
+    full = np.flatnonzero(blocks.any(1))
+    yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([blocks[b].tobytes() for b in full], pa.binary())],
+                                     ["block", "counts"])
+
+
+def _add_blocks(key: tuple, runs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    total = np.zeros(GRAM_BLOCK, np.int64)
+    for rows in runs:
+        for counts in rows["counts"]:
+            total += np.frombuffer(counts, np.int64)
+    yield pd.DataFrame({"block": [int(key[0])], "counts": [total.tobytes()]})
+
+
+def count_grams(docs: DataFrame) -> np.ndarray:
+    """Hashed gram counts of all texts, a table of fixed size (2 x 2**GRAM_BITS)."""
+    runs = docs.select("text").mapInArrow(_count_chars, "block int, counts binary")
+    total = np.zeros((2, 1 << GRAM_BITS), np.int64)
+    blocks = total.reshape(-1, GRAM_BLOCK)
+    # one row per block of the table
+    for r in runs.groupBy("block").applyInPandas(_add_blocks, "block int, counts binary").collect():
+        blocks[r["block"]] = np.frombuffer(r["counts"], np.int64)
+    return total
+
+
+def _count_features(language):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, 1 << FEATURE_BITS), np.int64)
         cache: dict[str, str] = {}
         for part in tv.pieces(batches):
             toxic = np.array(tv.column(part, "toxic").to_pylist(), np.int64)
-            features, texts = restored_features(part, chars, cache)
+            features, texts = restored_features(part, language.value, cache)
             for y in (0, 1):
                 rows = features[toxic[texts] == y]
                 of = np.broadcast_to(texts[toxic[texts] == y][:, None], rows.shape)[rows >= 0]
@@ -332,12 +401,19 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
-    """At most ``max_rows`` labelled texts outside the held-out fold, in hash order of the id."""
+    """About ``max_rows`` distinct labelled (doc_id, text) outside the held-out fold, by a hash threshold.
+
+    Labels meet their documents first, so labels without a document take no place.
+    """
     marks = (labels.where(F.col("toxic").isNotNull() & (fold(F.col("doc_id"), 5) != 0) & F.col("doc_id").isNotNull())
-             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+             .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
+    digest = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    pairs = materialize(docs.select("doc_id", digest.alias("digest")).join(marks, "doc_id").distinct(), "op10-pairs")
+    share = min(1.0, max_rows / max(1, pairs.count()))
+    picked = pairs.where(F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < int(share * (1 << 30)))
     # bounded by max_rows
-    return docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    texts = docs.select("doc_id", "text", digest.alias("digest")).join(F.broadcast(picked), ["doc_id", "digest"])
+    return texts.groupBy("doc_id", "digest", "toxic").agg(F.first("text").alias("text")).drop("digest")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -350,17 +426,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     base = sum(v for (y, _), v in seen.items() if y == 1) / n if n else 0.0
     if not all(seen.get((y, c)) for y in (0, 1) for c in (False, True)):
         return Model(None, {}, None, base)
-    grams = (rows.select("text").mapInArrow(_count_chars, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).collect())
-    chars = CharModel({r["gram"]: r["n"] for r in grams})
+    chars = CharModel(count_grams(docs))
     clean, toxic = (float(seen[y, False]) for y in (0, 1))
     odds = (F.log((F.col("toxic") + 0.5) / F.lit(toxic + 1)) - F.log((F.col("clean") + 0.5) / F.lit(clean + 1))
             - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)))
+    language = spark.sparkContext.broadcast(chars)
     picked = (rows.where("NOT calibrate").select("text", "toxic")
-              .mapInArrow(_count_features(chars), "feature long, clean long, toxic long")
+              .mapInArrow(_count_features(language), "feature long, clean long, toxic long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
               .where("toxic >= 3").withColumn("weight", odds).where("weight > 0.5")
               .orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).collect())
+    language.destroy()
     model = Model(chars, {r["feature"]: r["weight"] for r in picked}, None, base)
     shared = spark.sparkContext.broadcast(model)
 
@@ -373,11 +449,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     table = rows.where("calibrate").select("text", "toxic").mapInArrow(
         measure, "a double, b double, c double, d double, toxic int").toPandas().sort_values(["a", "b", "c", "d", "toxic"])
+    shared.destroy()
     model.coefficients = logistic(table[["a", "b", "c", "d"]].to_numpy(), table["toxic"].to_numpy(float))
     return model
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "held_out")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "held_out"), text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with its score and predicted label (which replace columns so named)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = tuple(c for c in keep if c not in ("score", "predicted"))
@@ -385,13 +462,13 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "h
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         weights, cache = m.dense(), {}
-        for part in tv.pieces(batches):
-            score = m.score(evidence(part, weights, m.chars, cache))
+        for part in tv.pieces(batches, text):
+            score = m.score(evidence(part.select([text]).rename_columns(["text"]), weights, m.chars, cache))
             yield pa.RecordBatch.from_arrays(
                 [*(tv.column(part, c) for c in keep), pa.array(score), pa.array((score >= 0.5).astype(np.int32))],
                 [*keep, "score", "predicted"])
 
-    rows = docs.select(*keep, *(["text"] if "text" not in keep else []))
+    rows = docs.select(*keep, *([text] if text not in keep else []))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType())])
     return rows.mapInArrow(run, schema)
@@ -400,9 +477,10 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "h
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that the model learnt from them does not call toxic."""
     model = fit(documents(docs), labels.select("doc_id", "toxic"))
-    renamed = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).withColumn(
-        "text", F.col(f"c{docs.columns.index('text')}").cast("string"))
-    kept = predict(renamed, model, tuple(f"c{k}" for k in range(len(docs.columns)))).where("predicted = 0")
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    renamed = docs.toDF(*names).withColumn(text, F.col(text).cast("string"))
+    kept = predict(renamed, model, tuple(names), text).where("predicted = 0")
     return kept.drop("score", "predicted").toDF(*docs.columns)
 
 
