@@ -6,7 +6,7 @@ matrix (languages x buckets, a fixed size) is broadcast; scoring is a narrow
 pass that adds matrix rows per text in numpy.
 
 Edge cases: a null text, or a text without any letter, gets ``und`` with score
-0; rows whose language is null (or empty) teach nothing; with no training row
+0; rows whose language is null teach nothing (an empty one is a language); with no training row
 every text gets ``und``; repeated rows are scored (and counted) each time; ties
 go to the first language in sort order. Only ``doc_id`` and ``text`` enter a
 prediction, so extra columns cannot clash.
@@ -128,7 +128,7 @@ class Model:
 
 def fit(texts: DataFrame, smoothing: float = 0.1) -> Model:
     """Learn from (lang, text) rows."""
-    rows = texts.where((F.col("lang") != "") & F.col("text").isNotNull()).select("lang", "text")
+    rows = texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = rows.mapInArrow(count_grams, "lang string, bucket long, n long")
     per_language = (counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
                     .groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")))
@@ -174,7 +174,7 @@ def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.nd
     return out, scores
 
 
-def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "held_out")) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "held_out"), text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with lang_pred and score (which replace columns so named)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -183,13 +183,13 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "h
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         m.matrix = np.asfortranarray(m.matrix)
-        for batch in batches:
-            langs, scores = score_texts(tv.column(batch, "text").to_pylist(), m)
+        for batch in tv.pieces(batches, text, 4 << 20):
+            langs, scores = score_texts(tv.column(batch, text).to_pylist(), m)
             yield pa.RecordBatch.from_arrays(
                 [*(tv.column(batch, c) for c in keep), pa.array(langs, pa.string()), pa.array(scores)],
                 [*keep, "lang_pred", "score"])
 
-    rows = docs.select(*keep, *(["text"] if "text" not in keep else []))
+    rows = docs.select(*keep, *([text] if text not in keep else []))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, schema)
@@ -202,9 +202,9 @@ def training_texts(docs: DataFrame) -> DataFrame:
 def drop_unknown(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (all columns) in one of the learnt languages with at least ``least_score``."""
     model = fit(training_texts(docs.where(F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(True)))))
-    renamed = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).withColumn(
-        "text", F.col(f"c{docs.columns.index('text')}").cast("string"))
-    kept = predict(renamed, model, tuple(f"c{k}" for k in range(len(docs.columns))))
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    text = names[docs.columns.index("text")]
+    kept = predict(docs.toDF(*names).withColumn(text, F.col(text).cast("string")), model, tuple(names), text)
     return (kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
             .drop("lang_pred", "score").toDF(*docs.columns))
 

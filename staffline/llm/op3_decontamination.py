@@ -11,7 +11,10 @@ Texts and items are compared lower-cased (A-Z and Latin-1 letters), every run
 of signs and white space being one space.
 
 Edge cases: null texts and items without a letter or digit match nothing;
-items of the same text are all reported; repeated rows give one match per
+an item too short
+for an edit (16 characters) matches as whole words only, and one under
+``LEAST_CHARS`` characters is reported but rejects no document in
+``drop_contaminated``; items of the same text are all reported; repeated rows give one match per
 (doc_id, item_id), the closest; null item ids are left out; ties go to the
 first place in the text; extra columns are dropped.
 """
@@ -32,6 +35,8 @@ from .op10_toxicity import lower_bytes
 ERROR_SHARE = 0.06
 #: bound of one broadcast block of benchmark text; larger benchmarks take several passes
 BLOCK_BYTES = 2 << 20
+#: items of fewer normalised characters say nothing about a text: they are reported, but reject no document
+LEAST_CHARS = 20
 _KEEP = np.zeros(256, bool)
 _KEEP[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 _CLASSES = (24, 16, 12, 10, 8, 6, 4, 3, 2, 1)
@@ -179,7 +184,14 @@ def _verify(data: bytes, lo: int, hi: int, row: int, start: int, number: int, in
     a = max(lo, lo + cell * slack - slack)
     b = min(hi, lo + (cell + 1) * slack + coded + slack)
     text = data[a:b].decode("utf-8", "ignore")
-    exact = text.find(item)
+    if k:
+        exact = text.find(item)
+    else:  # too short for an edit: it must stand as whole words (every text ends with a space)
+        lead = " " if a == lo else ""
+        found_at = (lead + text).find(f" {item} ")
+        if found_at < 0:
+            return
+        exact = found_at + 1 - len(lead)
     if exact >= 0:
         d, s = 0, exact
         e = exact + len(item)
@@ -235,21 +247,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERR
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR_SHARE) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERROR_SHARE,
+                      least_chars: int = LEAST_CHARS) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no benchmark item; one narrow pass per block of items."""
     spark = docs.sparkSession
     columns = docs.columns
-    rows = docs.toDF(*[f"c{k}" for k in range(len(columns))]).withColumn(
-        "text", F.col(f"c{columns.index('text')}").cast("string"))
+    names = [f"c{k}" for k in range(len(columns))]
+    text = names[columns.index("text")]
+    rows = docs.toDF(*names).withColumn(text, F.col(text).cast("string"))
     for block in blocks(benchmark):
+        block = [(i, t) for i, t in block if len(normal_text(t)) >= least_chars]
         shared = spark.sparkContext.broadcast((block, error_share))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(*shared.value)
-            for part in tv.pieces(batches):
+            for part in tv.pieces(batches, text):
                 clean = np.ones(part.num_rows, bool)
-                clean[[row for row, *_ in matches(part, index)]] = False
+                found = matches(part.select([text]).rename_columns(["text"]), index)
+                clean[[row for row, *_ in found]] = False
                 yield part.filter(pa.array(clean))
 
         rows = rows.mapInArrow(run, rows.schema)
-    return rows.drop("text").toDF(*columns)
+    return rows.toDF(*columns)
