@@ -552,6 +552,29 @@ def join_classes(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) without those whose component has a smaller doc_id."""
-    gone = materialize(join_classes(docs).where("doc_id > component_id").select("doc_id").distinct(), "op4-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` (all columns), one of each component: the smallest doc_id, null ids last.
+
+    Rows whose id is null or repeated get numbers of their own first (written, so
+    that they stay), so copies among them go as well.
+    """
+    odd_ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_"))
+    odd_ids = materialize(odd_ids, "op4-odd-ids")
+    same = F.col("doc_id").eqNullSafe(F.col("odd_"))
+    plain, largest = docs, docs.agg(F.max(F.col("doc_id").cast("long")).alias("m")).first()["m"]
+    rows = docs.select("*", F.col("doc_id").cast("long").alias("row_"))
+    if not odd_ids.isEmpty():
+        number = F.monotonically_increasing_id() + F.lit((largest or 0) + 1)
+        odd = materialize(docs.join(odd_ids, same, "left_semi").withColumn("row_", number), "op4-odd")
+        plain = docs.join(odd_ids, same, "left_anti")
+        rows = plain.withColumn("row_", F.col("doc_id").cast("long")).unionByName(odd)
+    classes = join_classes(rows.select(F.col("row_").alias("doc_id"), "text")).select(
+        F.col("doc_id").alias("row_"), "component_id")
+    if odd_ids.isEmpty():
+        gone = classes.where("row_ > component_id").select("row_")
+    else:
+        known = rows.select("row_", F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"))
+        classes = materialize(classes.join(known, "row_"), "op4-classes-by-row")
+        first = classes.groupBy("component_id").agg(F.min(F.struct("none", "id", "row_")).alias("best"))
+        gone = classes.join(first, "component_id").where("row_ <> best.row_").select("row_")
+    gone = materialize(gone, "op4-gone")
+    return rows.join(gone, "row_", "left_anti").select(*docs.columns)

@@ -124,7 +124,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = 2) -> D
         return base.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.lit(0).alias("shard"),
                            F.lit(0).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     key = ["digest", "size", "text_crc32"]
-    hubs = (base.where("size > 1").groupBy(*key).agg(F.min("row").alias("hub"), F.count("*").alias("copies"))
+    hubs = (base.groupBy(*key).agg(F.min("row").alias("hub"), F.count("*").alias("copies"))
             .where("copies > 1").drop("copies"))
     links = (base.select("row", *key).join(hubs, key).where("row <> hub")
              .select(F.col("row").alias("a"), F.col("hub").alias("b")))
