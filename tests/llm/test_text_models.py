@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from staffline.llm import op2_language_id as op2
 from staffline.llm import op5_token_counts as op5
@@ -77,7 +78,8 @@ def test_language_edges(spark):
     blank = {i for i, t in texts if not any(c.isalpha() for c in t or "")}
     assert {r["doc_id"] for r in got if r["lang_pred"] == "und"} == blank
     assert op2.identify(empty(spark)).count() == 0
-    untaught = docs.withColumn("lang", docs.lang.substr(9, 1))
+    assert {r["lang_pred"] for r in op2.identify(docs.withColumn("lang", docs.lang.substr(9, 1))).collect()} == {"", "und"}
+    untaught = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in op2.identify(untaught).collect()} == {"und"}
     kept = op2.drop_unknown(docs)
     assert kept.columns == docs.columns and not {r["doc_id"] for r in kept.collect()} & blank
@@ -320,6 +322,25 @@ def test_restore_is_the_cheapest_path():
         assert best[0] == pytest.approx(min(c for c, o in paths(0, "", 0.0, " ") if o == restored))
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    model = char_model("aab abba baab " * 5)
+    start = time.perf_counter()
+    assert len(op10.restore("a" * 300_000, model)) in (1, 2)
+    assert time.perf_counter() - start < 30
+
+
+def test_character_counts_cover_all_texts(spark):
+    """The character model counts every document, labelled or not, as a plain count does."""
+    docs = awkward(spark)
+    got = op10.CharModel(op10.count_grams(docs))
+    text = ["".join(c if c.isalpha() and ord(c) < 65536 else " " for c in (r["text"] or "").lower()) for r in docs.collect()]
+    for gram in ("t", "th", "the", "tion", "ü", "xxxx", "zq"):
+        want = sum(t[i:i + len(gram)] == gram for t in text for i in range(len(t)))
+        assert got.count(gram) == (want if want >= op10.LEAST_COUNT else 0), gram
+
+
 def test_suspicious_spans():
     batch = pa.RecordBatch.from_pydict({"text": ["hello i d i o t there 1d10t", "", "a b", "x", None, "m.o.r.o.n ok", "a", "b", "c", "d"]})
     found = op10.suspicious(op10.tv.words_of(batch))
