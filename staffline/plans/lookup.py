@@ -37,8 +37,12 @@ def lookup_all_sheets(fact: DataFrame, ref_long: DataFrame) -> DataFrame:
 
 
 def materialize_by_sheet(spark, looked_up: DataFrame, path: str) -> DataFrame:
-    """Write the looked-up fact once, partitioned by sheet, and read it back."""
-    looked_up.write.mode("overwrite").partitionBy("sheet").parquet(path)
+    """Write the looked-up fact once, partitioned by sheet, and read it back.
+
+    Rows are rebalanced by sheet first: each sheet in files of the advisory size
+    (large sheets are split, small ones share no task's many little files).
+    """
+    looked_up.hint("rebalance", "sheet").write.mode("overwrite").partitionBy("sheet").parquet(path)
     return spark.read.parquet(path).select(*looked_up.columns)
 
 

@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..config import RunConfig
-from ..sources.sinks import read_published, replace_table
+from ..operators.aggregates import observe_rows
+from ..sources.release import Release
+from ..sources.sinks import replace_table
 from . import lookup, measures, overview
+from .concurrent import PARALLEL_TABLES, run_along
 
 
 @dataclass
@@ -64,40 +67,61 @@ def compute(spark: SparkSession, inputs: RunInputs, cfg: RunConfig = RunConfig()
 
 
 def publish(outputs: dict[str, DataFrame], location: str | None = None) -> None:
-    """Replace every published table (18 names)."""
-    for name in (*C.PUBLISHED_LOOKUP_TABLES, *C.PUBLISHED_MEASURE_TABLES):
-        replace_table(outputs[name], name, location)
+    """Replace every published table (18 names): with a location as one release, else as catalog tables one by one."""
+    names = (*C.PUBLISHED_LOOKUP_TABLES, *C.PUBLISHED_MEASURE_TABLES)
+    if not location:
+        for name in names:
+            replace_table(outputs[name], name)
+        return
+    release = Release(outputs[names[0]].sparkSession, location)
+    for name in names:
+        release.write(name, outputs[name])
+    release.commit()
+
+
+def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig = RunConfig(),
+        parallel: int = PARALLEL_TABLES) -> dict[str, DataFrame]:
+    """Compute all 18 tables and publish them as one release under ``location`` (shared storage).
+
+    Independent tables are written by parallel jobs along their dependencies.
+    Every consumer reads what its producer wrote, so each stage's lineage starts
+    at files: a lost executor re-reads a table instead of recomputing the run,
+    and shared inputs are computed once. Readers see the release before this one
+    until all tables are written; then one commit switches them all. Row counts
+    come from observations on the writes and stand in the manifest.
+    """
+    release = Release(spark, location)
 
-
-def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig = RunConfig()) -> dict[str, DataFrame]:
-    """Compute and publish in dependency order under ``location`` (shared
-    storage). Every consumer reads what its producer published, so each stage's
-    lineage starts at files: a lost executor re-reads a table instead of
-    recomputing the run, and shared inputs are computed once."""
     def published(name: str, df: DataFrame) -> DataFrame:
-        replace_table(df, name, location)
-        return read_published(spark, name, location)
+        counted, rows = observe_rows(df, f"rows-{name}-{release.name}")
+        return release.write(name, counted, rows)
 
     fact = lookup.fact_union_historic(inputs.historic, inputs.current)
     looked = lookup.lookup_all_sheets(fact, inputs.ref_long)
-    looked = lookup.materialize_by_sheet(spark, looked, f"{location.rstrip('/')}/_looked_up")
-
-    out = lookup.published_lookup_tables(looked)
-    out["HCSW_Vacancy_Rate"], out["HCSW"] = measures.hcsw_split(out["HCSW"], cfg)
-    out["KPI"] = measures.kpi_override(out["KPI"], inputs.sickness_wide, inputs.turnover_wide, cfg)
-    for name in (*C.PUBLISHED_LOOKUP_TABLES, "HCSW_Vacancy_Rate"):
-        out[name] = published(name, out[name])
-    overall, staff_group = out["Overall"], out["Staff_Group"]
-    vacancy, bank_agency = out["Vacancy"], out["Bank_Agency"]
-
-    out["Vacancy_Rate_Calc"] = published(
-        "Vacancy_Rate_Calc", measures.vacancies_combined(overall, staff_group, vacancy, cfg))
-    out["Staffing_Actual_Plan"] = published(
-        "Staffing_Actual_Plan", measures.staffing_plan_all(overall, staff_group, vacancy, inputs.planned_staff, cfg))
+    looked = lookup.materialize_by_sheet(spark, looked, f"{location.rstrip('/')}/_looked_up/{release.name}")
+
+    tables = lookup.published_lookup_tables(looked)
+    tables["HCSW_Vacancy_Rate"], tables["HCSW"] = measures.hcsw_split(tables["HCSW"], cfg)
+    tables["KPI"] = measures.kpi_override(tables["KPI"], inputs.sickness_wide, inputs.turnover_wide, cfg)
     st_long = measures.sickness_turnover_long(inputs.sickness_wide, inputs.turnover_wide)
-    out["Sickness_Turnover"] = published(
-        "Sickness_Turnover", measures.variance_long(st_long, inputs.planned_rates, cfg))
-    facts = overview.metric_facts(overall, staff_group, bank_agency, vacancy, out["Vacancy_Rate_Calc"],
-                                  out["Sickness_Turnover"])
-    out["Main_Overview"] = published("Main_Overview", overview.main_overview(spark, facts, cfg))
+    tables["Sickness_Turnover"] = measures.variance_long(st_long, inputs.planned_rates, cfg)
+
+    def facts(out: dict[str, DataFrame]) -> DataFrame:
+        return overview.metric_facts(out["Overall"], out["Staff_Group"], out["Bank_Agency"], out["Vacancy"],
+                                     out["Vacancy_Rate_Calc"], out["Sickness_Turnover"])
+
+    def step(name: str, needs: tuple[str, ...], make):
+        return name, (needs, lambda out: published(name, make(out)))
+
+    parts = ("Overall", "Staff_Group", "Vacancy")
+    steps = dict([
+        *(step(name, (), lambda _out, df=df: df) for name, df in tables.items()),
+        step("Vacancy_Rate_Calc", parts, lambda out: measures.vacancies_combined(*(out[x] for x in parts), cfg)),
+        step("Staffing_Actual_Plan", parts,
+             lambda out: measures.staffing_plan_all(*(out[x] for x in parts), inputs.planned_staff, cfg)),
+        step("Main_Overview", (*parts, "Bank_Agency", "Vacancy_Rate_Calc", "Sickness_Turnover"),
+             lambda out: overview.main_overview(spark, facts(out), cfg)),
+    ])
+    out = run_along(spark, steps, parallel)
+    release.commit()
     return out

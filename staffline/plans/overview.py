@@ -9,10 +9,13 @@ Design (equivalent to twelve slice joins plus a roll-up re-join):
   the grid with the stack equals the union of the twelve slice joins, fan-out
   included.
 * the facts are inner-joined with the broadcast grid, so they are not shuffled
-  and a hot cell needs no split; cells without a fact come from an anti join
-  with the distinct matched cells.
-* the system rows (``ICS``) take the NA-ignoring sum of the other systems from
-  an aggregate with a map-side partial, joined to the system rows only.
+  and a hot cell needs no split. The matched rows are evaluated once and landed.
+* one aggregate over them and the tagged grid cells gives, per cell, how many
+  facts it has and the NA-ignoring total of its systems: each fact counts in its
+  own cell and adds its value to the system cell above it. There are at most as
+  many groups as grid cells, with a map-side partial.
+* the result is the matched rows, the cells without a fact, and for the system
+  (``ICS``) cells the totals.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from ..operators.aggregates import group_strict_sum
 from ..operators.filters import cutoff
 from ..operators.grid import dense_grid, systems_frame
 from ..operators.unions import union_fill_missing
+from ..session import scratch_path
 
 OUT_COLUMNS = ("metric", "staff_group", "system", "period", "value", "date")
 GROUP_METRICS = ("Substantive Staff In Post", "Bank Usage", "Agency Usage", "Vacancies")
@@ -109,12 +113,13 @@ def overview_grid(spark: SparkSession, cfg: RunConfig = RunConfig(), systems: Da
     return dense_grid(sys_df, kept_pairs(cfg), cfg.grid_first_period, last)
 
 
+CELL = ("metric", "staff_group", "system", "period")
 #: a grid larger than this is not broadcast
 MAX_GRID_CELLS = 1_000_000
 
 
-def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
-    """Every grid cell with its facts, or with NULL where it has none.
+def matched_facts(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
+    """The facts that lie in a grid cell.
 
     Facts outside the grid's domain cannot match and are dropped by literal
     predicates first. The domain bounds the cells, so the grid is broadcast
@@ -126,17 +131,48 @@ def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig
         & F.col("metric").isin(list(cfg.metrics))
         & F.col("staff_group").isin(list(cfg.staff_groups))
     )
-    keys = ["metric", "staff_group", "system", "period"]
     months = (cfg.last_period // 100 - cfg.grid_first_period // 100) * 12 + cfg.last_period % 100 - cfg.grid_first_period % 100 + 1
     cells = max(months, 0) * len(cfg.metrics) * len(cfg.staff_groups) * len(cfg.systems)
     small = F.broadcast if cells <= MAX_GRID_CELLS else lambda df: df
     # rows of the domain only, so the bound holds whatever grid is passed
     inside = grid.filter(domain)
-    matched = facts.filter(domain).join(small(inside.distinct()), keys, "inner").select(*keys, "value")
-    # at most one row per cell after the partial aggregate
-    hit = matched.select(*keys).distinct()
-    empty = grid.join(small(hit), keys, "left_anti").select(*keys, F.lit(None).cast("double").alias("value"))
-    return matched.unionByName(empty)
+    return facts.filter(domain).join(small(inside.distinct()), list(CELL), "inner").select(*CELL, "value")
+
+
+def cell_totals(grid: DataFrame, matched: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
+    """(cell, facts, total, cells): facts of each grid cell, for a system cell the NA-ignoring sum over the
+    other systems, and how often the grid holds the cell. One aggregate, one group per cell."""
+    system = F.lit(cfg.grid_total_system)
+    is_total = F.coalesce(F.col("system") == system, F.lit(False))
+    own = F.struct(F.col("system"), F.lit(1).alias("fact"), F.lit(None).cast("double").alias("part"))
+    above = F.struct(system.alias("system"), F.lit(0).alias("fact"), nan_to_null("value").alias("part"))
+    levels = F.when(is_total, F.array(own)).otherwise(F.array(own, above))
+    facts = matched.withColumn("level", F.explode(levels)).select(
+        "metric", "staff_group", "level.system", "period", "level.fact", "level.part", F.lit(0).alias("cell"))
+    cells = grid.select(*CELL, F.lit(0).alias("fact"), F.lit(None).cast("double").alias("part"), F.lit(1).alias("cell"))
+    summed = facts.unionByName(cells).groupBy(*CELL).agg(
+        F.sum("fact").alias("facts"), F.sum("part").alias("total"), F.sum("cell").alias("cells"))
+    return summed.filter(F.col("cells") > 0)
+
+
+def _landed(df: DataFrame, name: str) -> DataFrame:
+    """Evaluate once: written under the shared folder and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _empty_cells(cells: DataFrame, value) -> DataFrame:
+    """Every grid cell without a fact, as often as the grid holds it."""
+    return (cells.filter(F.col("facts") == 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("cells"))))
+            .select(*CELL, value.cast("double").alias("value")))
+
+
+def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
+    """Every grid cell with its facts, or with NULL where it has none; the facts are evaluated once."""
+    matched = _landed(matched_facts(grid, facts, cfg), "overview-matched")
+    return matched.unionByName(_empty_cells(cell_totals(grid, matched, cfg), F.lit(None)))
 
 
 def ics_rollup(overview: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
@@ -160,5 +196,20 @@ def ics_rollup(overview: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
 
 def main_overview(spark: SparkSession, facts: DataFrame, cfg: RunConfig = RunConfig(),
                   systems: DataFrame | None = None) -> DataFrame:
-    return ics_rollup(grid_left_join(overview_grid(spark, cfg, systems), facts, cfg), cfg)
+    """``ics_rollup(grid_left_join(grid, facts))`` from one evaluation of the facts.
 
+    The matched facts and the cell totals (at most one row per grid cell) are
+    landed; the result reads the facts twice and the totals twice.
+    """
+    grid = overview_grid(spark, cfg, systems)
+    matched = _landed(matched_facts(grid, facts, cfg), "overview-matched")
+    cells = _landed(cell_totals(grid, matched, cfg), "overview-cells")
+    is_total = F.coalesce(F.col("system") == cfg.grid_total_system, F.lit(False))
+    total = F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double")).otherwise(
+        F.coalesce(F.col("total"), F.lit(0.0)))
+    # as many rows as system cells of the grid
+    totals = cells.filter(is_total).select(*CELL, total.alias("value"))
+    system_rows = matched.filter(is_total).drop("value").join(totals, list(CELL), "inner")
+    rows = (matched.filter(~is_total).unionByName(system_rows.select(*CELL, "value"))
+            .unionByName(_empty_cells(cells, F.when(is_total, total))))
+    return cutoff(rows.withColumn("date", period_to_date("period")), cfg.latest_month, "period").select(*OUT_COLUMNS)
