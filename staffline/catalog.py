@@ -8,7 +8,7 @@ sources/sinks land their input under the shared checkpoint folder first.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,9 @@ from .operators import aggregates, filters, grid, joins, projections, reshape, u
 from .plans import lookup, measures, monthly, overview
 from .session import scratch_path
 from .sources import files, jdbc, sinks, standins
+from .sources.release import open_release
 from .sources.standins import STANDIN_CONFIG as CFG
-from .streaming import inbox
+from .streaming import inbox, resubmission
 
 HISTORIC_BEFORE = 199704  # first period of the current fiscal year in the stand-in
 
@@ -108,6 +109,15 @@ class Model:
         return path
 
 
+def _run_inputs(m: Model) -> monthly.RunInputs:
+    f = m.fact
+    return monthly.RunInputs(
+        current=projections.stamp_load_date(f.filter(F.col("yearmonth") >= HISTORIC_BEFORE), CFG.load_date),
+        historic=f.filter(F.col("yearmonth") < HISTORIC_BEFORE),
+        ref_long=m.ref_long, planned_staff=m.planned_staff, planned_rates=m.planned_rates,
+        sickness_wide=m.sickness_wide, turnover_wide=m.turnover_wide)
+
+
 WIDE_FILE_COLUMNS = ("Organisation", "Fiscal Year", "Sheet", "Staff Group", "Description",
                      *standins.WIDE_MONTH_HEADERS, "Year To Date", "Maincode")
 
@@ -173,6 +183,60 @@ def stream_inbox_ingest(spark, d):
     return inbox.read_fact(spark, out)
 
 
+def inbox_resubmitted(spark, d):
+    """Three runs that follow the content of the inbox: all workbooks; one provider's workbooks resent under
+    their old names with another first month; the same inbox again, which changes nothing."""
+    m = Model(spark, d)
+    src, out = m.land_wide(), scratch_path(spark, "fact-by-content")
+    settings = dict(marker=CFG.fiscal_year_marker, marker_is_regex=True, load_date=CFG.load_date)
+
+    def ingest():
+        wide = inbox.read_inbox(spark, src, WIDE_FILE_COLUMNS)
+        return resubmission.ingest_by_content(spark, wide, out, CFG.latest_month, **settings)
+
+    ingest()
+    resent = m.wide.where(F.col("submission").startswith("ASIA ")).withColumn(WIDE_FILE_COLUMNS[5], F.lit("7"))
+    (resent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("submission", "sheet_no").parquet(src))
+    ingest()
+    if ingest():
+        raise RuntimeError("an unchanged inbox was ingested again")
+    return resubmission.read_fact_by_content(spark, out)
+
+
+def inbox_csv_banner(spark, d):
+    """The wide submissions landed as CSV sheets with a banner line and a header line, ingested in one splittable scan."""
+    m = Model(spark, d)
+    src = scratch_path(spark, "inbox-csv")
+    cells = [F.coalesce(F.concat(F.lit('"'), F.regexp_replace(F.col(f"`{c}`"), '"', '""'), F.lit('"')), F.lit(""))
+             for c in WIDE_FILE_COLUMNS]
+    lines = m.wide.select(F.lit(2).alias("part"), F.concat_ws(",", *cells).alias("value"), "submission", "sheet_no")
+    head = F.explode(F.array(F.struct(F.lit(0).alias("part"), F.lit("Monthly return").alias("value")),
+                             F.struct(F.lit(1).alias("part"), F.lit(",".join(WIDE_FILE_COLUMNS)).alias("value"))))
+    heads = m.wide.select("submission", "sheet_no").distinct().select(head.alias("h"), "submission", "sheet_no").select(
+        "h.part", "h.value", "submission", "sheet_no")
+    # one file per workbook and sheet, as sheets are exported: the two head lines, then the rows
+    keys = ["submission", "sheet_no"]
+    (lines.unionByName(heads).repartition(*keys).sortWithinPartitions(*keys, "part").drop("part")
+     .write.partitionBy(*keys).text(src))
+    columns = inbox.landed_columns(spark, src, "csv")
+    return _ingest(inbox.read_inbox(spark, src, columns, "csv"))
+
+
+def monthly_tables_profile(spark, d):
+    """All 18 published tables of one release: rows, and the sum of the leading measure."""
+    location = scratch_path(spark, "published")
+    monthly.run(spark, _run_inputs(Model(spark, d, land_plans=True)), location, CFG)
+    published = open_release(spark, location)
+    parts = []
+    for name in (*C.PUBLISHED_LOOKUP_TABLES, *C.PUBLISHED_MEASURE_TABLES):
+        value = F.col({"Vacancy_Rate_Calc": "total", "Staffing_Actual_Plan": "plan"}.get(name, "value"))
+        finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+        parts.append(published.table(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                                               F.round(F.sum(finite), 4).alias("total")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def sink_replace_table(spark, d):
     m = Model(spark, d)
     loc = scratch_path(spark, "published")
@@ -546,17 +610,11 @@ def main_overview(spark, d):
 
 def monthly_run_published(spark, d):
     """The whole run (C18): historic + current fact, lookup written once by
-    sheet, every measure and the overview published in dependency order under
-    the shared folder; returns the published overview."""
-    m = Model(spark, d, land_plans=True)
-    f = m.fact
-    inputs = monthly.RunInputs(
-        current=projections.stamp_load_date(f.filter(F.col("yearmonth") >= HISTORIC_BEFORE), CFG.load_date),
-        historic=f.filter(F.col("yearmonth") < HISTORIC_BEFORE),
-        ref_long=m.ref_long, planned_staff=m.planned_staff, planned_rates=m.planned_rates,
-        sickness_wide=m.sickness_wide, turnover_wide=m.turnover_wide)
-    out = monthly.run(spark, inputs, scratch_path(spark, "published"), CFG)
-    return out["Main_Overview"]
+    sheet, every measure and the overview published as one release under the
+    shared folder; returns the published overview."""
+    location = scratch_path(spark, "published")
+    monthly.run(spark, _run_inputs(Model(spark, d, land_plans=True)), location, CFG)
+    return open_release(spark, location).table("Main_Overview")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

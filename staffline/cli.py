@@ -13,8 +13,8 @@ all 18 tables under ``--publish``. All paths should be on shared storage.
 from __future__ import annotations
 
 import argparse
+import warnings
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ from .config import RunConfig, fiscal_year_labels, labels_of_marker
 from .plans import monthly
 from .session import get_session
 from .sources import jdbc, landing
-from .streaming import inbox
+from .streaming import inbox, resubmission
 
 
 def parse(argv=None) -> argparse.Namespace:
@@ -47,6 +47,9 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--historic-lower", type=int, default=None)
     p.add_argument("--historic-upper", type=int, default=None)
     p.add_argument("--historic-partitions", type=int, default=None)
+    p.add_argument("--inbox-format", default="parquet", choices=["parquet", "csv"],
+                   help="csv: sheets with a banner line, then the headers")
+    p.add_argument("--no-banner", action="store_true", help="CSV sheets start with their headers")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--publish", required=True)
     p.add_argument("--latest-month", type=int, default=RunConfig().latest_month)
@@ -54,20 +57,16 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--fiscal-year-start", type=int, default=None,
                    help="label months of a one-year inbox by position (e.g. 2024 -> 202404..202503)")
     p.add_argument("--load-date", default=None)
-    p.add_argument("--overwrite-scope", default="fiscal_year", choices=sorted(inbox.OVERWRITE_SCOPES),
-                   help="what one run replaces in the fact: the whole fiscal year (default) or its providers")
+    p.add_argument("--overwrite-scope", default="fiscal_year", choices=[*sorted(inbox.OVERWRITE_SCOPES), "content"],
+                   help="what one run replaces in the fact: the whole fiscal year (default), its providers, or "
+                        "(content) the workbooks whose content is new or has changed, also under their old names")
     return p.parse_args(argv)
 
 
-def inbox_columns(spark, path: str) -> list[str]:
+def inbox_columns(spark, path: str, fmt: str = "parquet", banner: bool = True) -> list[str]:
     """The sheet headers of the landed workbooks; none when nothing is landed."""
-    try:
-        found = spark.read.parquet(path).columns
-    except AnalysisException as e:
-        if e.getCondition() not in inbox.NOTHING_THERE:
-            raise
-        return []
-    return [c for c in found if c not in ("submission", "sheet_no")]
+    found = inbox.landed_columns(spark, path, fmt, banner)
+    return [c for c in found.names if c not in inbox.LANDING_KEYS] if found is not None else []
 
 
 def of_fiscal_year(fact: DataFrame, labels) -> DataFrame:
@@ -75,19 +74,38 @@ def of_fiscal_year(fact: DataFrame, labels) -> DataFrame:
     return fact.where(F.col("yearmonth").isin(list(labels))) if labels else fact
 
 
+def lost_periods(fact: DataFrame, historic: DataFrame, labels) -> list[tuple[int, int]]:
+    """(period, rows) of the fact that belong to another fiscal year and are missing from the historic table as well."""
+    if not labels:
+        return []
+    other = fact.where(~F.col("yearmonth").isin(list(labels))).groupBy("yearmonth").agg(F.count(F.lit(1)).alias("n"))
+    missing = other.join(historic.select("yearmonth").distinct(), "yearmonth", "left_anti")
+    return sorted((r["yearmonth"], r["n"]) for r in missing.collect())  # one row per month
+
+
 def main(argv=None) -> dict:
     a = parse(argv)
     spark = get_session()
     cfg = RunConfig(latest_month=a.latest_month, fiscal_year_marker=a.marker, load_date=a.load_date)
     labels = fiscal_year_labels(a.fiscal_year_start) if a.fiscal_year_start else None
 
-    columns = a.sheet_columns.split(",") if a.sheet_columns else inbox_columns(spark, a.inbox)
+    banner = not a.no_banner
+    columns = a.sheet_columns.split(",") if a.sheet_columns else inbox.landed_columns(spark, a.inbox, a.inbox_format, banner)
     year = labels or labels_of_marker(a.marker)
-    if columns:  # an empty inbox is a no-op
-        inbox.stream_inbox(spark, a.inbox, a.fact_out, a.checkpoint or f"{a.fact_out.rstrip('/')}/_checkpoint",
-                           columns, cfg.latest_month, archive=a.archive, marker=a.marker, month_labels=labels,
-                           load_date=a.load_date, scope=a.overwrite_scope, fallback_labels=year)
-    current = of_fiscal_year(inbox.read_fact(spark, a.fact_out), year)
+    if a.overwrite_scope == "content":
+        if columns:
+            resubmission.ingest_by_content(
+                spark, inbox.read_inbox(spark, a.inbox, columns, a.inbox_format, banner), a.fact_out, cfg.latest_month,
+                marker=a.marker, month_labels=labels, load_date=a.load_date, fallback_labels=year)
+        fact = resubmission.read_fact_by_content(spark, a.fact_out)
+    else:
+        if columns:  # an empty inbox is a no-op
+            inbox.stream_inbox(spark, a.inbox, a.fact_out, a.checkpoint or f"{a.fact_out.rstrip('/')}/_checkpoint",
+                               columns, cfg.latest_month, archive=a.archive, marker=a.marker, month_labels=labels,
+                               load_date=a.load_date, scope=a.overwrite_scope, fallback_labels=year,
+                               fmt=a.inbox_format, banner=banner)
+        fact = inbox.read_fact(spark, a.fact_out)
+    current = of_fiscal_year(fact, year)
 
     if a.historic_jdbc_url:
         historic = jdbc.read_historic(
@@ -98,6 +116,11 @@ def main(argv=None) -> dict:
     else:
         historic = spark.createDataFrame([], "maincode string, yearmonth int, value string, provider string")
 
+    lost = lost_periods(fact, historic, year)
+    if lost:
+        warnings.warn("the fact holds months of another fiscal year that the historic table lacks; they are not published: "
+                      + ", ".join(f"{m} ({n} rows)" for m, n in lost), stacklevel=2)
+
     read = lambda p: landing.read_landed(spark, p, a.format)
     inputs = monthly.RunInputs(
         current=current, historic=historic.select(*jdbc.HISTORIC_COLUMNS),

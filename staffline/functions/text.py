@@ -39,3 +39,9 @@ def marker_in_name(name, configured: str | None = None) -> Column:
     years = F.filter(found, lambda m: (m.substr(1, 2).cast("int") + 1) % 100 == m.substr(4, 2).cast("int"))
     first = F.get(years, F.lit(0))
     return first if configured is None else F.when(name.contains(configured), F.lit(configured)).otherwise(first)
+
+
+def trimmed(text) -> F.Column:
+    """Text without white space around it; nothing is left of a blank one (NULL), as sheet readers do."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.nullif(F.btrim(c.cast("string"), F.lit(" \t\r\n")), F.lit(""))

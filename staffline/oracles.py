@@ -371,6 +371,16 @@ _GROUP_SLICES = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(9, 13))
 _KPI_PAIR = in_list([C.TURNOVER_KPI, C.SICKNESS_KPI])
 _HCSW = in_list(C.HCSW_RATE_MEASURES)
 
+#: published table, its relation and its leading measure
+_PUBLISHED = [
+    *((name, f"t{i}", "value") for i, name in enumerate(C.PUBLISHED_LOOKUP_TABLES, start=1) if name not in ("KPI", "HCSW")),
+    ("KPI", f"(SELECT * FROM kpi_all WHERE yearmonth <= {L})", "value"),
+    ("HCSW", f"(SELECT * FROM t12 WHERE NOT coalesce(measure_detail IN {_HCSW}, false))", "value"),
+    ("HCSW_Vacancy_Rate", f"(SELECT * FROM t12 WHERE measure_detail IN {_HCSW} AND yearmonth <= {L})", "value"),
+    ("Vacancy_Rate_Calc", "vacancies", "total"), ("Staffing_Actual_Plan", "staffing_all", "plan"),
+    ("Sickness_Turnover", "variance", "value"), ("Main_Overview", "overview_final", "value"),
+]
+
 SELECTS: dict[str, str] = {
     "src_dir_scan": "SELECT * FROM wide",
     "src_provider_from_filename": f"SELECT DISTINCT submission AS file_name, "
@@ -380,6 +390,12 @@ SELECTS: dict[str, str] = {
     "src_csv_roundtrip": f"SELECT *, DATE '{LOAD}' AS load_date FROM fact",
     "src_historic_query": "SELECT * FROM fact WHERE yearmonth < 199704",
     "stream_inbox_ingest": "SELECT * FROM ingest",
+    "inbox_resubmitted": "SELECT maincode, yearmonth, CASE WHEN provider = 'ASIA' AND yearmonth % 100 = 4 THEN '7' ELSE value END "
+                         "AS value, provider, load_date FROM ingest",
+    "inbox_csv_banner": "SELECT * FROM ingest",
+    "monthly_tables_profile": " UNION ALL ".join(
+        f"SELECT {lit(name)} AS table_name, count(*) AS n_rows, round(sum(CASE WHEN isfinite({value}) THEN {value} END), 4) AS total "
+        f"FROM {rel}" for name, rel, value in _PUBLISHED),
     "sink_replace_table": "SELECT * FROM t1",
     "proj_load_date": f"SELECT *, DATE '{LOAD}' AS load_date FROM fact",
     "proj_positional": "SELECT " + ", ".join(f'"{m}"' for m in MONTHS) + ', "Maincode" FROM wide',

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import period_cast
+from ..functions.text import trimmed
 
 # Original header -> model column.
 HEADER_MAP = {
@@ -52,8 +53,10 @@ def fact_table(df: DataFrame) -> DataFrame:
 
 
 def code_list(df: DataFrame) -> DataFrame:
-    """Code list with an integer ``sheet`` column (landed partitioned by sheet)."""
-    return df.withColumn("sheet", F.col("sheet").cast("int"))
+    """Code list with an integer ``sheet`` column (landed partitioned by sheet); codes and labels are
+    trimmed as the sheet reader does."""
+    texts = [c for c, kind in df.dtypes if kind == "string" and c in HEADER_MAP.values()]
+    return df.withColumns({c: trimmed(c) for c in texts}).withColumn("sheet", F.col("sheet").cast("int"))
 
 
 def planned(df: DataFrame) -> DataFrame:

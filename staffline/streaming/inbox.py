@@ -10,12 +10,16 @@ One transform (``submissions_long``) serves both paths:
   by the file source. Per-provider replacement is available as an option.
 
 The landing layout is one folder per workbook and sheet:
-``<inbox>/submission=<workbook name>/sheet_no=<n>/*.parquet``; the 19 columns
-of a sheet keep their positional contract (months at 6-17, code at 19).
+``<inbox>/submission=<workbook name>/sheet_no=<n>/`` with Parquet or CSV files
+(CSV with its banner line); the 19 columns of a sheet keep their positional
+contract (months at 6-17, code at 19).
 """
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,16 +27,22 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from .. import config as C
 from ..functions.periods import fiscal_period, fiscal_year_start
-from ..functions.text import marker_in_name, provider_from_name
+from ..functions.text import marker_in_name, provider_from_name, trimmed
 from ..operators.filters import cutoff, valid_codes
 from ..operators.projections import positional_names, stamp_load_date
 from ..operators.reshape import unpivot_keep_nulls
 
+#: columns that come from the path
+LANDING_KEYS = ("submission", "sheet_no")
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+LONG_SCHEMA = "maincode string, yearmonth int, value string, provider string, load_date date"
 LONG_COLUMNS = ("maincode", "yearmonth", "value", "provider", "load_date")
 
 
 def wide_schema(column_names) -> StructType:
-    """All sheet cells are landed as text; the landing keys come from the path."""
+    """Sheet cells are landed as text unless a schema says otherwise; the landing keys come from the path."""
+    if isinstance(column_names, StructType):
+        return column_names
     fields = [StructField(c, StringType()) for c in column_names]
     fields += [StructField("submission", StringType()), StructField("sheet_no", IntegerType())]
     return StructType(fields)
@@ -40,9 +50,12 @@ def wide_schema(column_names) -> StructType:
 
 def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25", marker_is_regex: bool = False,
                      month_labels=None, load_date: str | None = None, fallback_labels=None,
-                     sheet_range: tuple[int, int] = C.SUBMISSION_SHEETS) -> DataFrame:
+                     sheet_range: tuple[int, int] = C.SUBMISSION_SHEETS, keep_workbook: bool = False) -> DataFrame:
     """The per-sheet extract, for every workbook and sheet at once.
 
+    Cells may be text or numbers; codes are trimmed as the sheet reader does, and
+    a blank code is a missing one. ``keep_workbook`` adds the workbook's name.
+
     ``month_labels`` (12 periods) renames the month columns by position, as for
     an inbox holding one fiscal year. Without labels each workbook's periods
     follow from the ``yy-yy`` fiscal-year marker in its name (the configured
@@ -55,7 +68,7 @@ def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25",
     code = positional_names(w, [C.WIDE_CODE_POSITION])[0]
     provider = provider_from_name("submission", marker, regex=marker_is_regex)
     body = w.select(
-        F.col(f"`{code}`").alias("maincode"),
+        trimmed(F.col(f"`{code}`")).alias("maincode"),
         provider.alias("provider"),
         fiscal_year_start(marker_in_name("submission", None if marker_is_regex else marker)).alias("fy"),
         F.col("submission").alias("workbook"),
@@ -76,13 +89,57 @@ def submissions_long(wide: DataFrame, latest_month: int, marker: str = "24-25",
         else:
             other = F.raise_error(F.concat(F.lit("no fiscal-year marker in the workbook name: "), F.col("workbook"))).cast("int")
         ym = F.when(F.col("fy").isNull(), other).otherwise(fiscal_period(F.col("fy"), F.col("fiscal_month")))
-    out = long.select("maincode", ym.cast("int").alias("yearmonth"), "value", "provider")
+    out = long.select("maincode", ym.cast("int").alias("yearmonth"), "value", "provider", *["workbook"] * keep_workbook)
     return cutoff(stamp_load_date(out, load_date), latest_month)
 
 
-def read_inbox(spark: SparkSession, inbox: str, column_names) -> DataFrame:
-    """Batch scan of every workbook in the inbox (one distributed scan, no loop)."""
-    return spark.read.schema(wide_schema(column_names)).option("basePath", inbox).parquet(inbox)
+def _header_rows(column_names) -> F.Column:
+    """The line of sheet headers, which a file with a banner holds as its second line."""
+    names = [c for c in wide_schema(column_names).names if c not in LANDING_KEYS]
+    return reduce(lambda a, b: a & b, [F.coalesce(F.trim(F.col(f"`{c}`")) == c.strip(), F.lit(False)) for c in names])
+
+
+def _load(reader, inbox: str, column_names, fmt: str, banner: bool) -> DataFrame:
+    """Batch or streaming scan of the inbox.
+
+    CSV sheets start with a banner line and then the headers. ``header`` makes
+    Spark drop the first line of each file at file position 0, so the scan stays
+    splittable; the header line is the row whose cells are the headers.
+    """
+    reader = reader.schema(wide_schema(column_names)).option("basePath", inbox)
+    if fmt == "parquet":
+        return reader.parquet(inbox)
+    wide = reader.option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").csv(inbox)
+    return wide.where(~_header_rows(column_names)) if banner else wide
+
+
+def landed_columns(spark: SparkSession, inbox: str, fmt: str = "parquet", banner: bool = True) -> StructType | None:
+    """Headers and cell types of the landed sheets; None when nothing is landed.
+
+    Parquet keeps its cell types (numeric cells stay numbers until they are
+    melted); CSV cells are text, named by the header line of one file.
+    """
+    try:
+        if fmt == "parquet":
+            found = spark.read.option("basePath", inbox).parquet(inbox).schema
+            fields = [f for f in found.fields if f.name not in LANDING_KEYS]
+            return StructType(fields + wide_schema([]).fields) if fields else None
+        first = spark.read.text(inbox).select("value", "_metadata.file_path").limit(1 + banner).collect()
+    except AnalysisException as e:
+        if e.getCondition() not in NOTHING_THERE:
+            raise
+        return None
+    if len(first) < 1 + banner:
+        return None
+    return wide_schema(next(csv.reader([first[-1]["value"]])))
+
+
+def read_inbox(spark: SparkSession, inbox: str, column_names, fmt: str = "parquet", banner: bool = True) -> DataFrame:
+    """Batch scan of every workbook in the inbox (one distributed scan, no loop).
+
+    ``column_names``: the headers of a sheet, or its schema with cell types.
+    """
+    return _load(spark.read, inbox, column_names, fmt, banner)
 
 
 def _with_fiscal_year(df: DataFrame) -> DataFrame:
@@ -111,25 +168,26 @@ def write_fact(df: DataFrame, out: str, scope: str = "fiscal_year") -> None:
 def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, column_names,
                  latest_month: int, archive: str | None = None, marker: str = "24-25",
                  marker_is_regex: bool = False, month_labels=None, load_date: str | None = None,
-                 max_files_per_trigger: int | None = None, scope: str = "fiscal_year", fallback_labels=None):
+                 max_files_per_trigger: int | None = None, scope: str = "fiscal_year", fallback_labels=None,
+                 fmt: str = "parquet", banner: bool = True):
     """Incremental ingest of new workbooks; returns the finished ``StreamingQuery``.
 
     ``archive`` moves processed files there (the file source archives files of
     a batch once a later batch has committed). The checkpoint must be on shared
     storage; a resubmission needs a new file name, because the source tracks
-    processed paths. With the fiscal-year snapshot scope all files of a run
+    processed paths (``streaming.resubmission`` follows the content instead). With the fiscal-year snapshot scope all files of a run
     must fall in one micro-batch, so ``max_files_per_trigger`` is only
     allowed with ``scope="provider"`` (and then a workbook must not span
     batches).
     """
     if max_files_per_trigger and scope == "fiscal_year":
         raise ValueError("splitting a run into several batches breaks the fiscal-year snapshot")
-    reader = spark.readStream.schema(wide_schema(column_names)).option("basePath", inbox)
+    reader = spark.readStream
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    wide = reader.parquet(inbox)
+    wide = _load(reader, inbox, column_names, fmt, banner)
 
     def sink(batch: DataFrame, _epoch: int) -> None:
         long = submissions_long(batch, latest_month, marker, marker_is_regex, month_labels, load_date,
@@ -142,9 +200,6 @@ def stream_inbox(spark: SparkSession, inbox: str, out: str, checkpoint: str, col
     return q
 
 
-NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-LONG_SCHEMA = "maincode string, yearmonth int, value string, provider string, load_date date"
-
 
 def read_fact(spark: SparkSession, out: str) -> DataFrame:
     """The long fact; empty when no run has written it yet (an empty inbox is a no-op)."""
