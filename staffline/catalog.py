@@ -347,6 +347,13 @@ def join_inner_two_keys(spark, d):
     return joins.inner_null_safe(vac, sub, ["provider", "yearmonth"])
 
 
+def join_fan_out(spark, d):
+    """Exact rows per key of the vacancy join, before it is run."""
+    m = Model(spark, d)
+    vac, sub = measures.main_vacancy_parts(m.t(1), m.t(6))
+    return joins.fan_out(vac, sub, ["provider", "yearmonth"])
+
+
 def join_full_outer(spark, d):
     m = Model(spark, d)
     actual = measures.wte_by_type(m.t(1), C.AGENCY_WTE, cfg=CFG)

@@ -31,11 +31,41 @@ def system_total(df: DataFrame, value_columns: Sequence[str], label: str,
     return agg.withColumn(provider, F.lit(label))
 
 
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row ``times`` times; the column ``times`` goes. Arrays stay short however large the number."""
+    step = 10_000
+    n = F.col(times)
+    return (df.filter(n > 0)
+            .withColumn("block_", F.explode(F.sequence(F.lit(0).cast("long"), ((n - 1) / step).cast("long"))))
+            .withColumn("copy_", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(step), n - F.col("block_") * step))))
+            .drop(times, "block_", "copy_"))
+
+
+def with_totals(df: DataFrame, by: Sequence[str], member: str, value_columns: Sequence[str], label: str,
+                flag: str | None = None) -> DataFrame:
+    """All rows of ``df`` plus one row per ``by`` with the strict sums of the value columns and ``label`` as ``member``.
+
+    One pass over the source with two grouping sets: all columns with their number
+    of copies, which give the rows back, and ``by``. Columns that are neither are
+    NULL in the totals; ``flag`` names a boolean column that tells them apart.
+    """
+    rest = [c for c in df.columns if c != member]
+    sums = [strict_sum(q(v)).alias(f"sum_{k}_") for k, v in enumerate(value_columns)]
+    grouped = (df.groupingSets([[q(c) for c in df.columns], [q(c) for c in by]], *[q(c) for c in df.columns])
+               .agg(F.grouping(q(member)).alias("is_total_"), F.count(F.lit(1)).alias("copies_"), *sums))
+    is_total = F.col("is_total_") == 1
+    new = {member: F.when(is_total, F.lit(label)).otherwise(q(member)),
+           **{v: F.when(is_total, F.col(f"sum_{k}_")).otherwise(q(v)) for k, v in enumerate(value_columns)}}
+    out = grouped.select(*[new[c].alias(c) if c in new else q(c) for c in [*rest, member]],
+                         *([is_total.alias(flag)] if flag else []),
+                         F.when(is_total, F.lit(1)).otherwise(F.col("copies_")).alias("copies_"))
+    return repeated(out, "copies_").select(*[q(c) for c in df.columns], *([flag] if flag else []))
+
+
 def with_system_total(df: DataFrame, value_columns: Sequence[str], label: str,
                       period: str = "yearmonth", provider: str = "provider") -> DataFrame:
-    """Provider rows plus the appended system-total member."""
-    total = system_total(df, value_columns, label, period, provider)
-    return df.unionByName(total, allowMissingColumns=True)
+    """Provider rows plus the appended system-total member, from one evaluation of the rows."""
+    return with_totals(df, [period], provider, value_columns, label)
 
 
 def distinct_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:

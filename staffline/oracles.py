@@ -420,6 +420,10 @@ SELECTS: dict[str, str] = {
     "join_code_lookup": "SELECT * FROM joined",
     "join_inner_two_keys": "SELECT v.yearmonth, v.vacancy, v.provider, s.substantive FROM vac_main v JOIN sub_main s "
                            f"ON {nsafe('v', 's', ['provider', 'yearmonth'])}",
+    "join_fan_out": "SELECT v.provider, v.yearmonth, v.n AS left_rows, s.n AS right_rows, v.n * s.n AS rows FROM "
+                    "(SELECT provider, yearmonth, count(*) AS n FROM vac_main GROUP BY ALL) v JOIN "
+                    "(SELECT provider, yearmonth, count(*) AS n FROM sub_main GROUP BY ALL) s "
+                    f"ON {nsafe('v', 's', ['provider', 'yearmonth'])}",
     "join_full_outer": "SELECT coalesce(a.yearmonth, p.yearmonth) AS yearmonth, a.substantive, "
                        "coalesce(a.provider, p.provider) AS provider, p.plan FROM wte_agency a FULL JOIN agency_plan p "
                        f"ON {nsafe('a', 'p', ['provider', 'yearmonth'])}",

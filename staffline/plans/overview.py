@@ -31,7 +31,7 @@ from ..operators.aggregates import group_strict_sum
 from ..operators.filters import cutoff
 from ..operators.grid import dense_grid, systems_frame
 from ..operators.unions import union_fill_missing
-from ..session import scratch_path
+from ..session import landed
 
 OUT_COLUMNS = ("metric", "staff_group", "system", "period", "value", "date")
 GROUP_METRICS = ("Substantive Staff In Post", "Bank Usage", "Agency Usage", "Vacancies")
@@ -155,14 +155,6 @@ def cell_totals(grid: DataFrame, matched: DataFrame, cfg: RunConfig = RunConfig(
     return summed.filter(F.col("cells") > 0)
 
 
-def _landed(df: DataFrame, name: str) -> DataFrame:
-    """Evaluate once: written under the shared folder and read back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _empty_cells(cells: DataFrame, value) -> DataFrame:
     """Every grid cell without a fact, as often as the grid holds it."""
     return (cells.filter(F.col("facts") == 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("cells"))))
@@ -171,7 +163,7 @@ def _empty_cells(cells: DataFrame, value) -> DataFrame:
 
 def grid_left_join(grid: DataFrame, facts: DataFrame, cfg: RunConfig = RunConfig()) -> DataFrame:
     """Every grid cell with its facts, or with NULL where it has none; the facts are evaluated once."""
-    matched = _landed(matched_facts(grid, facts, cfg), "overview-matched")
+    matched = landed(matched_facts(grid, facts, cfg), "overview-matched")
     return matched.unionByName(_empty_cells(cell_totals(grid, matched, cfg), F.lit(None)))
 
 
@@ -202,8 +194,8 @@ def main_overview(spark: SparkSession, facts: DataFrame, cfg: RunConfig = RunCon
     landed; the result reads the facts twice and the totals twice.
     """
     grid = overview_grid(spark, cfg, systems)
-    matched = _landed(matched_facts(grid, facts, cfg), "overview-matched")
-    cells = _landed(cell_totals(grid, matched, cfg), "overview-cells")
+    matched = landed(matched_facts(grid, facts, cfg), "overview-matched")
+    cells = landed(cell_totals(grid, matched, cfg), "overview-cells")
     is_total = F.coalesce(F.col("system") == cfg.grid_total_system, F.lit(False))
     total = F.when(F.col("metric").isin(list(cfg.rate_metrics)), F.lit(None).cast("double")).otherwise(
         F.coalesce(F.col("total"), F.lit(0.0)))

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -84,3 +84,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/staffline-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Evaluate a frame once: written under the shared checkpoint folder and read back.
+
+    Cuts the lineage: a lost executor re-reads files instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -61,7 +61,7 @@ def test_observed_row_count(spark):
 def test_plan_selector_rejects_bad_combination(spark):
     planned = spark.createDataFrame([(202404, "UHB", "Bank Plan", 1.0)],
                                     "yearmonth int, provider string, type string, plan double")
-    with pytest.raises(ValueError, match="Invalid type supplied"):
+    with pytest.raises(ValueError, match="either by its type"):
         measures.plan_selector(planned, "Bank Plan", system=True)
     with pytest.raises(ValueError):
         measures.plan_selector(planned)
