@@ -17,7 +17,7 @@ from ..config import RunConfig
 from ..operators.aggregates import observe_rows
 from ..sources.release import Release
 from ..sources.sinks import replace_table
-from . import lookup, measures, overview
+from . import lookup, measures, overview, report
 from .concurrent import PARALLEL_TABLES, run_along
 
 
@@ -123,5 +123,7 @@ def run(spark: SparkSession, inputs: RunInputs, location: str, cfg: RunConfig =
              lambda out: overview.main_overview(spark, facts(out), cfg)),
     ])
     out = run_along(spark, steps, parallel)
+    # the report reads what was published; it stands in the release, not among the 18 tables
+    release.write(report.NAME, report.run_report(spark, looked, out, release.counts(), facts(out), cfg))
     release.commit()
     return out

@@ -84,6 +84,11 @@ class Release:
             self._written[name] = count
         return self.spark.read.format(self.fmt).load(path)
 
+    def counts(self) -> dict[str, int | None]:
+        """Observed rows of the tables written so far."""
+        with self._lock:
+            return dict(self._written)
+
     def commit(self) -> Published:
         """Make all tables written so far the current ones, by one file of the manifest."""
         versions = {**self.before.versions, **{t: self.name for t in self._written}}

@@ -7,12 +7,13 @@ import pytest
 
 from staffline import config as C
 from staffline.config import RunConfig
-from staffline.plans import concurrent, measures, monthly
+from staffline.plans import concurrent, measures, monthly, report
 from staffline.sources import release
 
 from test_fixture_run import FACT, HISTORIC, PLANNED, REF
 
 ALL_TABLES = set(C.PUBLISHED_LOOKUP_TABLES) | set(C.PUBLISHED_MEASURE_TABLES)
+WITH_REPORT = ALL_TABLES | {report.NAME}
 
 
 def test_a_release_is_seen_whole_or_not_at_all(spark, tmp_path):
@@ -57,8 +58,8 @@ def test_a_run_that_fails_between_two_tables_leaves_the_last_release(spark, tmp_
     loc, cfg = str(tmp_path / "out"), RunConfig()
     monthly.run(spark, inputs_of(spark), loc, cfg)
     before = release.open_release(spark, loc)
-    assert set(before.versions) == ALL_TABLES and set(before.versions.values()) == {before.name}
-    assert {t: before.table(t).count() for t in ALL_TABLES} == before.rows
+    assert set(before.versions) == WITH_REPORT and set(before.versions.values()) == {before.name}
+    assert {t: before.table(t).count() for t in ALL_TABLES} == {t: before.rows[t] for t in ALL_TABLES}
     shown = {t: sorted(map(repr, before.table(t).collect())) for t in ALL_TABLES}
 
     def broken(*_args):
@@ -77,6 +78,28 @@ def test_a_run_that_fails_between_two_tables_leaves_the_last_release(spark, tmp_
     assert {t: sorted(map(repr, again.table(t).collect())) for t in ALL_TABLES} == shown
 
 
+def test_the_run_reports_on_itself(spark, tmp_path):
+    loc = str(tmp_path / "out")
+    out = monthly.run(spark, inputs_of(spark), loc, RunConfig())
+    assert set(out) == ALL_TABLES
+    published = release.open_release(spark, loc)
+    got = {}
+    for r in published.table(report.NAME).collect():
+        got.setdefault(r["check"], []).append((r["subject"], r["provider"], r["yearmonth"], r["rows"]))
+    assert {s: n for s, _, _, n in got["rows of table"]} == {t: published.table(t).count() for t in ALL_TABLES}
+    profile = {s: n for s, _, _, n in got["sheet profile"]}
+    assert profile["3: Bank Staff"] == published.table("Bank_Staff").count() == 2
+    assert ("Substantive Staff In Post", "OTHER", None, 1) in got["rejected provider"]
+    # every key of the hand-made vacancies is single; repeat one vacancy row and the join of that month doubles
+    assert "vacancy fan-out" not in got
+    vacancy = out["Vacancy"].unionByName(out["Vacancy"].where("provider = 'UHB'"))
+    sizes = {(r["provider"], r["yearmonth"]): (r["left_rows"], r["right_rows"], r["rows"])
+             for r in report.vacancy_fan_out(out["Overall"], vacancy).collect()}
+    assert sizes == {("UHB", 202404): (2, 1, 2)}
+    joined = measures.vacancy_rate(out["Overall"], vacancy)
+    assert joined.where("provider = 'UHB' AND yearmonth = 202404").count() == 2
+
+
 def test_serial_and_parallel_runs_publish_the_same(spark, tmp_path):
     got = []
     for parallel in (1, 6):
