@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their pieces, and the text those decode to."""
     prepare(spark)
-    coded = op7.decode(op7.encode(docs.select("doc_id", "text", "lang", "source", "n_chars")))
+    coded = op7.encode_decode(docs.select("doc_id", "text", "lang", "source", "n_chars"))
     return coded.select("doc_id", F.col("decoded").alias("text"), "lang", "source", "n_chars",
                         F.size("ids").cast("long").alias("n_tokens"), "ids")
 

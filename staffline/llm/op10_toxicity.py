@@ -358,7 +358,7 @@ def _add_blocks(key: tuple, runs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFra
 
 def count_grams(docs: DataFrame) -> np.ndarray:
     """Hashed gram counts of all texts, a table of fixed size (2 x 2**GRAM_BITS)."""
-    runs = docs.select("text").mapInArrow(_count_chars, "block int, counts binary")
+    runs = docs.select("text").mapInArrow(tv.tidy(_count_chars), "block int, counts binary")
     total = np.zeros((2, 1 << GRAM_BITS), np.int64)
     blocks = total.reshape(-1, GRAM_BLOCK)
     # one row per block of the table
@@ -432,7 +432,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5)))
     language = spark.sparkContext.broadcast(chars)
     picked = (rows.where("NOT calibrate").select("text", "toxic")
-              .mapInArrow(_count_features(language), "feature long, clean long, toxic long")
+              .mapInArrow(tv.tidy(_count_features(language)), "feature long, clean long, toxic long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
               .where("toxic >= 3").withColumn("weight", odds).where("weight > 0.5")
               .orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).collect())
@@ -448,7 +448,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
                                              ["a", "b", "c", "d", "toxic"])
 
     table = rows.where("calibrate").select("text", "toxic").mapInArrow(
-        measure, "a double, b double, c double, d double, toxic int").toPandas().sort_values(["a", "b", "c", "d", "toxic"])
+        tv.tidy(measure), "a double, b double, c double, d double, toxic int").toPandas().sort_values(["a", "b", "c", "d", "toxic"])
     shared.destroy()
     model.coefficients = logistic(table[["a", "b", "c", "d"]].to_numpy(), table["toxic"].to_numpy(float))
     return model
@@ -471,7 +471,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "h
     rows = docs.select(*keep, *([text] if text not in keep else []))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("score", T.DoubleType()),
                            T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tv.tidy(run), schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

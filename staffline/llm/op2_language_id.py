@@ -129,7 +129,7 @@ class Model:
 def fit(texts: DataFrame, smoothing: float = 0.1) -> Model:
     """Learn from (lang, text) rows."""
     rows = texts.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = rows.mapInArrow(count_grams, "lang string, bucket long, n long")
+    counts = rows.mapInArrow(tv.tidy(count_grams), "lang string, bucket long, n long")
     per_language = (counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
                     .groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")))
     languages, tables, texts_seen = [], [], []
@@ -192,7 +192,7 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id", "h
     rows = docs.select(*keep, *([text] if text not in keep else []))
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tv.tidy(run), schema)
 
 
 def training_texts(docs: DataFrame) -> DataFrame:

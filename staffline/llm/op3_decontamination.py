@@ -239,7 +239,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float = ERR
                     [tv.column(part, "doc_id").take(pa.array(row)), pa.array(item), pa.array(d.astype(np.int32)),
                      pa.array(s), pa.array(e)], ["doc_id", "item_id", "distance", "match_start", "match_end"])
 
-        part = rows.mapInArrow(run, schema)
+        part = rows.mapInArrow(tv.tidy(run), schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], schema)
@@ -267,5 +267,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, error_share: float
                 clean[[row for row, *_ in found]] = False
                 yield part.filter(pa.array(clean))
 
-        rows = rows.mapInArrow(run, rows.schema)
+        rows = rows.mapInArrow(tv.tidy(run), rows.schema)
     return rows.toDF(*columns)

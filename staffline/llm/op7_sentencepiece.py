@@ -22,8 +22,8 @@ time; a text is never shortened; extra columns are kept by ``encode`` and
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -302,7 +302,7 @@ def encode(docs: DataFrame, text: str = "text", ids: str = "ids", model_path: st
             yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(pa.array(offsets), values)],
                                              [*part.schema.names, ids])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    return kept.mapInArrow(tv.tidy(run), T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(frame: DataFrame, ids: str = "ids", decoded: str = "decoded", model_path: str = MODEL_PATH) -> DataFrame:
@@ -320,28 +320,49 @@ def decode(frame: DataFrame, ids: str = "ids", decoded: str = "decoded", model_p
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              [*batch.schema.names, decoded])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(decoded, T.StringType())]))
+    return kept.mapInArrow(tv.tidy(run), T.StructType([*kept.schema.fields, T.StructField(decoded, T.StringType())]))
 
 
-def _digest(batches: Iterator[pa.RecordBatch], ids: str) -> Iterator[pa.RecordBatch]:
-    import zlib
+def encode_decode(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+                  model_path: str = MODEL_PATH) -> DataFrame:
+    """``decode(encode(docs))`` in one pass: the columns ``ids`` and ``decoded`` (replaced if there).
 
-    for batch in batches:
-        column = tv.column(batch, ids)
-        values = column.values.to_numpy(zero_copy_only=False).astype("<i4") if len(column) else np.zeros(0, "<i4")
-        offsets = column.offsets.to_numpy()
-        sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [tv.column(batch, "doc_id"), tv.column(batch, "n_chars"), pa.array(np.diff(offsets).astype(np.int64)),
-             pa.array(sums, pa.int64()), tv.column(batch, "round_trip")],
-            ["doc_id", "n_chars", "n_tokens", "ids_crc32", "round_trip"])
+    One Python worker a task instead of two that hold the text side by side.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model_of(model_path))
+    kept = docs.drop(ids, decoded)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, trie = shared.value
+        encoder, surfaces = Encoder(vocabulary, trie), vocabulary.surfaces()
+        for part in tv.pieces(batches, text):
+            coded = encoder.texts(tv.column(part, text).to_pylist())
+            texts = [decode_ids(np.frombuffer(c, "<i4"), surfaces) for c in coded]
+            offsets = np.concatenate(([0], np.cumsum([len(c) // 4 for c in coded]))).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(coded), "<i4"))
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.ListArray.from_arrays(pa.array(offsets), values), pa.array(texts, pa.string())],
+                [*part.schema.names, ids, decoded])
+
+    return kept.mapInArrow(tv.tidy(run), T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())),
+                                                       T.StructField(decoded, T.StringType())]))
 
 
 def round_trip(docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, n_chars, n_tokens, ids_crc32 (of the little-endian int32 ids), round_trip of every row."""
     rows = documents(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    coded = decode(encode(rows, model_path=model_path), model_path=model_path)
-    checked = coded.select("doc_id", F.char_length("text").cast("long").alias("n_chars"),
-                           (F.col("decoded") == F.col("text")).alias("round_trip"), "ids")
-    return checked.mapInArrow(partial(_digest, ids="ids"),
-                              "doc_id long, n_chars long, n_tokens long, ids_crc32 long, round_trip boolean")
+    shared = docs.sparkSession.sparkContext.broadcast(model_of(model_path))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, trie = shared.value
+        encoder, surfaces = Encoder(vocabulary, trie), vocabulary.surfaces()
+        for part in tv.pieces(batches):
+            texts = tv.column(part, "text").to_pylist()
+            coded = encoder.texts(texts)
+            same = [decode_ids(np.frombuffer(c, "<i4"), surfaces) == t for c, t in zip(coded, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [tv.column(part, "doc_id"), pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([zlib.crc32(c) for c in coded], pa.int64()),
+                 pa.array(same, pa.bool_())], ["doc_id", "n_chars", "n_tokens", "ids_crc32", "round_trip"])
+
+    return rows.mapInArrow(tv.tidy(run), "doc_id long, n_chars long, n_tokens long, ids_crc32 long, round_trip boolean")

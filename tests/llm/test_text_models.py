@@ -157,6 +157,11 @@ def test_token_counts_equal_encoding(spark, encoder):
     assert all(r["round_trip"] for r in trips)
     assert op5.token_counts(empty(spark)).count() == 0 and op7.round_trip(empty(spark)).count() == 0
     coded = op7.encode(docs)
+    clash = docs.withColumnRenamed("lang", "decoded")
+    both = op7.encode_decode(clash)
+    assert both.columns.count("ids") == both.columns.count("decoded") == 1
+    assert sorted(map(repr, both.select("doc_id", "text", "ids", "decoded").collect())) == sorted(
+        map(repr, op7.decode(op7.encode(clash)).select("doc_id", "text", "ids", "decoded").collect()))
     assert coded.columns == [*(c for c in docs.columns if c != "ids"), "ids"]
 
 
