@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+#: bound of an Arrow batch sent to a Python worker: whole texts vary too much to count rows
+BATCH_BYTES = 6 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers of a local session import this package by name."""
+    """Let Python workers import this package by name, and bound the batches they get by bytes.
+
+    A smaller bound that the session sets already stays.
+    """
+    given = spark.conf.get(BATCH_CONF, "").rstrip("b")
+    if not given.isdigit() or int(given) > BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if PACKAGE_ROOT not in paths:

@@ -66,6 +66,8 @@ MINIMA = 3
 #: bits of the smallest sketch
 LEAST_SKETCH = 512
 FILTER_BITS = 1 << 23
+#: bytes of a set's digest beside a signature; equal sets are those of one signature, digest and size
+DIGEST_BYTES = 6
 
 _U = np.uint64
 _STEP = _U(0x9E6C63D0876A9A4B)
@@ -318,6 +320,18 @@ _PROFILE_TYPES = {"kind": "int", "sketch": "binary"}
 _PROFILE_SCHEMA = ", ".join(f"{c} {_PROFILE_TYPES.get(c, 'long')}" for c in _PROFILE)
 
 
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each value, byte by byte, so that like bytes stand together and compress."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def from_planes(blob: bytes, width: int) -> np.ndarray:
+    found = np.frombuffer(blob, np.uint8).reshape(width, -1)
+    out = np.zeros((found.shape[1], 8), np.uint8)
+    out[:, :width] = found.T
+    return out.view("<u8").ravel()
+
+
 def _signed(part: pa.RecordBatch, popular: np.ndarray, prefix: bool):
     """(keys, text numbers, sizes, digests) of the signatures of a run of texts, under both bands of each."""
     hashes, first = shingle_sets(part)
@@ -351,7 +365,7 @@ def _sign(popular_shared, n_buckets: int):
                     low = key[lo:hi] & _U((1 << 48) - 1)
                     out.append((b, (low >> _U(16)).astype(np.uint32).tobytes(), low.astype(np.uint16).tobytes(),
                                 local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(),
-                                ids[used].tobytes(), digest[used].tobytes(), size[used].astype(np.uint32).tobytes()))
+                                planes(ids[used].view(_U), 8), planes(digest[used], DIGEST_BYTES), planes(size[used].astype(_U), 4)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in range(1, 7))],
                 ["bucket", "high", "low", "texts", "ids", "digests", "sizes"])
@@ -375,13 +389,13 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     """Signature groups of a bucket: pairs of small groups (group null), members of large ones (b null)."""
     keys, ids, digests, sizes = [], [], [], []
     for row in pdf.itertuples():
-        own = np.frombuffer(row.ids, np.int64)
+        own = from_planes(row.ids, 8).view(np.int64)
         high, low = np.frombuffer(row.high, np.uint32), np.frombuffer(row.low, np.uint16)
         local = np.frombuffer(row.texts, np.uint16 if len(row.texts) == 2 * len(high) else np.uint32)
         keys.append((high.astype(_U) << _U(16)) | low)
         ids.append(own[local])
-        digests.append(np.frombuffer(row.digests, _U)[local])
-        sizes.append(np.frombuffer(row.sizes, np.uint32)[local])
+        digests.append(from_planes(row.digests, DIGEST_BYTES)[local])
+        sizes.append(from_planes(row.sizes, 4)[local].astype(np.uint32))
     key, doc, digest, size = (np.concatenate(x) for x in (keys, ids, digests, sizes))
     order = np.argsort(key, kind="stable")
     key, doc, digest, size = key[order], doc[order], digest[order], size[order]
@@ -392,10 +406,10 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     again[:-1] |= same
     key, doc, digest, size = key[again], doc[again], digest[again], size[again]
     # one member per set: the smallest id of equal sets
-    order = np.lexsort((doc, digest, key))
+    order = np.lexsort((doc, size, digest, key))
     key, doc, digest, size = key[order], doc[order], digest[order], size[order]
     fresh = np.ones(len(key), bool)
-    fresh[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
+    fresh[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])
     key, doc, size = key[fresh], doc[fresh], size[fresh].astype(np.int64)
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
     counts = np.diff(np.append(starts, len(key)))
@@ -419,6 +433,12 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         "n": np.concatenate([np.zeros(len(pairs), np.int64), size[big]])})
 
 
+def _meet_and_release(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = _meet(pdf)
+    tv.release_memory()
+    return out
+
+
 # ------------------------------------------------------------- verification
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,11 +475,11 @@ def verified(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
     some = (docs.join(F.broadcast(bitmap), F.bitmap_bucket_number(place) == F.col("bucket"))
             .where(F.getbit(byte, (at % 8).cast("int")) == 1).select("doc_id", "text"))
     # sets of the few texts the bitmap lets through; texts themselves are never shuffled
-    sets = materialize(some.mapInArrow(_set_rows, "doc_id long, tokens binary"), f"{name}-sets")
+    sets = materialize(some.mapInArrow(tv.tidy(_set_rows), "doc_id long, tokens binary"), f"{name}-sets")
     joined = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("left")), "a")
               .join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("right")), "b")
               .select("a", "b", "left", "right"))
-    return materialize(joined.mapInArrow(_verify, "a long, b long"), f"{name}-links")
+    return materialize(joined.mapInArrow(tv.tidy(_verify), "a long, b long"), f"{name}-links")
 
 
 # ----------------------------------------------------------------- together
@@ -469,7 +489,7 @@ def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("left"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "left", "right")
-    return both.mapInArrow(_not_ruled_out, "a long, b long").distinct()
+    return both.mapInArrow(tv.tidy(_not_ruled_out), "a long, b long").distinct()
 
 
 def _label(frame: DataFrame, column: str, labels: DataFrame, out: str) -> DataFrame:
@@ -481,7 +501,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     rows = documents(docs)
     spark = rows.sparkSession
-    profile = materialize(rows.mapInArrow(_profile, _PROFILE_SCHEMA), "op4-profile")
+    profile = materialize(rows.mapInArrow(tv.tidy(_profile), _PROFILE_SCHEMA), "op4-profile")
     texts = profile.where("kind = 0")
     seen = texts.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("t")).first()
     n, total = seen["n"], seen["t"] or 0
@@ -512,11 +532,11 @@ def join_classes(docs: DataFrame) -> DataFrame:
 
     n_buckets = max(1, -(-int(total) // BUCKET_ROWS))
     met = materialize(
-        rows.mapInArrow(_sign(popular, n_buckets),
+        rows.mapInArrow(tv.tidy(_sign(popular, n_buckets)),
                         "bucket long, high binary, low binary, texts binary, ids binary, digests binary, sizes binary")
-        .groupBy("bucket").applyInPandas(_meet, "bucket long, grp long, a long, b long, n long"), "op4-groups")
+        .groupBy("bucket").applyInPandas(_meet_and_release, "bucket long, grp long, a long, b long, n long"), "op4-groups")
     # equal sets sign alike, so the member left of each set is the smallest id of its class
-    odd = (rows.mapInArrow(_sign_irregular(popular), "grp long, a long, digest long, n long")
+    odd = (rows.mapInArrow(tv.tidy(_sign_irregular(popular)), "grp long, a long, digest long, n long")
            .groupBy("grp", "digest").agg(F.min("a").alias("a"), F.first("n").alias("n"))
            .select(F.lit(-1).cast("long").alias("bucket"), "grp", "a", "n"))
     group = ["bucket", "grp"]
