@@ -21,7 +21,7 @@ def prepare(spark: SparkSession) -> None:
 
     A smaller bound that the session sets already stays.
     """
-    given = spark.conf.get(BATCH_CONF, "").rstrip("b")
+    given = spark.conf.get(BATCH_CONF, str(64 << 20)).rstrip("b")
     if not given.isdigit() or int(given) > BATCH_BYTES:
         spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
