@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from staffline import cli
@@ -12,7 +13,8 @@ from staffline import config as C
 from test_fixture_run import FACT, HISTORIC, PLANNED, REF
 
 
-def test_cli_run_on_landed_files(spark):
+@pytest.mark.parametrize("landing", ["parquet", "csv"])
+def test_cli_run_on_landed_files(spark, landing):
     root = tempfile.mkdtemp(prefix="staffline-cli-")
     p = lambda n: os.path.join(root, n)
     # one wide workbook, months 202404..202503 by position, code at column 19
@@ -20,7 +22,16 @@ def test_cli_run_on_landed_files(spark):
     wide = [("x", "24-25", "s", "g", "d", "100", "101", *[None] * 10, "201", "S1", "UHB 24-25 M04", 3),
             ("x", "24-25", "s", "g", "d", "-10", None, *[None] * 10, "-10", "V1", "UHB 24-25 M04", 3)]
     schema = ", ".join(f"`{h}` string" for h in heads) + ", submission string, sheet_no int"
-    spark.createDataFrame(wide, schema).write.partitionBy("submission", "sheet_no").parquet(p("inbox"))
+    if landing == "parquet":
+        spark.createDataFrame(wide, schema).write.partitionBy("submission", "sheet_no").parquet(p("inbox"))
+        how = ["--sheet-columns", ",".join(heads), "--archive", p("archive")]
+    else:  # as exported: a banner line, the headers, the rows; followed by content instead of by path
+        folder = os.path.join(p("inbox"), "submission=UHB 24-25 M04", "sheet_no=3")
+        os.makedirs(folder)
+        lines = ["Monthly workforce return", ",".join(heads), *(",".join("" if c is None else c for c in row[:-2]) for row in wide)]
+        with open(os.path.join(folder, "sheet.csv"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        how = ["--inbox-format", "csv", "--overwrite-scope", "content"]
     ref_cols = ["sheet", "Maincode", "Reference Sheet", "Summary Staff WTE Detail", "Staff Group", "Staff Type",
                 "Bank/Agency", "Workforce KPI", "Measure Detail"]
     ref = spark.createDataFrame(REF, ", ".join(f"`{c}` {'int' if c == 'sheet' else 'string'}" for c in ref_cols))
@@ -38,11 +49,10 @@ def test_cli_run_on_landed_files(spark):
             .write.parquet(p(n))
 
     out = cli.main([
-        "--inbox", p("inbox"), "--archive", p("archive"), "--fact-out", p("fact"), "--code-list", p("codes"),
+        "--inbox", p("inbox"), *how, "--fact-out", p("fact"), "--code-list", p("codes"),
         "--planned-staff", p("plan"), "--planned-rates", p("prates"), "--sickness", p("sick"),
         "--turnover", p("turn"), "--historic", p("historic"), "--publish", p("published"),
-        "--fiscal-year-start", "2024", "--load-date", "2024-08-05",
-        "--sheet-columns", ",".join(heads)])
+        "--fiscal-year-start", "2024", "--load-date", "2024-08-05"])
     assert set(out) == set(C.PUBLISHED_LOOKUP_TABLES) | set(C.PUBLISHED_MEASURE_TABLES)
     overall = out["Overall"]
     assert "Notes" in overall.columns                       # unknown code-list column passed through
