@@ -33,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..config import RunConfig
 from ..functions.periods import date_to_period
 from ..session import session_key
@@ -74,57 +75,57 @@ SHEET_FAMILIES = {
 # the code appears in several rows of that sheet.
 REF_ATTRIBUTES = {
     1: {  # summary_detail
-        "STANDARD": {"summary_detail": "Total WTE Substantive Staff"},
-        "ECONOMY": {"summary_detail": "Total WTE all Staff"},
-        "MEDIUM": {"summary_detail": "Agency Staff (including, agency and contract)"},
-        "LARGE": {"summary_detail": "Bank Staff"},
+        "STANDARD": {"summary_detail": C.SUBSTANTIVE_WTE},
+        "ECONOMY": {"summary_detail": C.ALL_STAFF_WTE},
+        "MEDIUM": {"summary_detail": C.AGENCY_WTE},
+        "LARGE": {"summary_detail": C.BANK_WTE},
         "PROMO": {"summary_detail": "Total WTE Medical Staff"},
         "SMALL": {"summary_detail": None},
     },
     2: {  # staff_group, staff_type
-        "STANDARD": {"staff_group": "Any Other Staff", "staff_type": "Total"},
-        "ECONOMY": {"staff_group": "Clinical Support", "staff_type": "Total"},
-        "MEDIUM": {"staff_group": "Nursing, midwifery and HV", "staff_type": "Total"},
-        "LARGE": {"staff_group": "Medical and dental", "staff_type": "Total"},
+        "STANDARD": {"staff_group": "Any Other Staff", "staff_type": C.TOTAL_TYPE},
+        "ECONOMY": {"staff_group": "Clinical Support", "staff_type": C.TOTAL_TYPE},
+        "MEDIUM": {"staff_group": C.NURSING_GROUP, "staff_type": C.TOTAL_TYPE},
+        "LARGE": {"staff_group": "Medical and dental", "staff_type": C.TOTAL_TYPE},
         "PROMO": {"staff_group": "NHS infrastructure support", "staff_type": "Registered"},
-        "SMALL": {"staff_group": "Obs & Gynae", "staff_type": "Total"},
+        "SMALL": {"staff_group": C.EXCLUDED_SUBSTANTIVE_GROUPS[0], "staff_type": C.TOTAL_TYPE},
     },
     3: {  # bank_agency, staff_group, staff_type
-        "STANDARD": {"bank_agency": "Bank", "staff_group": "Any Other Staff", "staff_type": "Total"},
-        "ECONOMY": [{"bank_agency": "Bank", "staff_group": "Clinical Support", "staff_type": "Total"},
-                    {"bank_agency": "Bank", "staff_group": "Clinical Support", "staff_type": "Total"}],
-        "MEDIUM": {"bank_agency": "Bank", "staff_group": "Nursing, midwifery and HV", "staff_type": "Total"},
-        "LARGE": {"bank_agency": "Bank", "staff_group": "Medical and dental", "staff_type": "Registered"},
-        "PROMO": {"bank_agency": "Bank", "staff_group": "Scientific, therapeutic and technical", "staff_type": "Total"},
-        "SMALL": {"bank_agency": "Bank", "staff_group": "All Staff", "staff_type": "Total"},
+        "STANDARD": {"bank_agency": C.BANK, "staff_group": "Any Other Staff", "staff_type": C.TOTAL_TYPE},
+        "ECONOMY": [{"bank_agency": C.BANK, "staff_group": "Clinical Support", "staff_type": C.TOTAL_TYPE},
+                    {"bank_agency": C.BANK, "staff_group": "Clinical Support", "staff_type": C.TOTAL_TYPE}],
+        "MEDIUM": {"bank_agency": C.BANK, "staff_group": C.NURSING_GROUP, "staff_type": C.TOTAL_TYPE},
+        "LARGE": {"bank_agency": C.BANK, "staff_group": "Medical and dental", "staff_type": "Registered"},
+        "PROMO": {"bank_agency": C.BANK, "staff_group": "Scientific, therapeutic and technical", "staff_type": C.TOTAL_TYPE},
+        "SMALL": {"bank_agency": C.BANK, "staff_group": C.ALL_STAFF_GROUP, "staff_type": C.TOTAL_TYPE},
     },
     4: {
-        "STANDARD": {"bank_agency": "Agency", "staff_group": "Any Other Staff", "staff_type": "Total"},
-        "ECONOMY": {"bank_agency": "Agency", "staff_group": "Clinical Support", "staff_type": "Total"},
-        "MEDIUM": {"bank_agency": "Agency", "staff_group": "Nursing, midwifery and HV", "staff_type": "Total"},
-        "LARGE": {"bank_agency": "Agency", "staff_group": "Medical and dental", "staff_type": "Total"},
-        "PROMO": {"bank_agency": "Agency", "staff_group": None, "staff_type": "Total"},
-        "SMALL": {"bank_agency": "Agency", "staff_group": "Ambulance Service Staff", "staff_type": "Total"},
+        "STANDARD": {"bank_agency": C.AGENCY, "staff_group": "Any Other Staff", "staff_type": C.TOTAL_TYPE},
+        "ECONOMY": {"bank_agency": C.AGENCY, "staff_group": "Clinical Support", "staff_type": C.TOTAL_TYPE},
+        "MEDIUM": {"bank_agency": C.AGENCY, "staff_group": C.NURSING_GROUP, "staff_type": C.TOTAL_TYPE},
+        "LARGE": {"bank_agency": C.AGENCY, "staff_group": "Medical and dental", "staff_type": C.TOTAL_TYPE},
+        "PROMO": {"bank_agency": C.AGENCY, "staff_group": None, "staff_type": C.TOTAL_TYPE},
+        "SMALL": {"bank_agency": C.AGENCY, "staff_group": "Ambulance Service Staff", "staff_type": C.TOTAL_TYPE},
     },
     5: {  # workforce_kpi
         "STANDARD": {"workforce_kpi": "Staff Appraisal Rate %"},
-        "ECONOMY": {"workforce_kpi": "All Staff Turnover  - 12 month rolling rate %"},
-        "LARGE": {"workforce_kpi": "Sickness Absence Rate  - 12 month rolling %"},
+        "ECONOMY": {"workforce_kpi": C.TURNOVER_KPI},
+        "LARGE": {"workforce_kpi": C.SICKNESS_KPI},
         "MEDIUM": {"workforce_kpi": None},
         "PROMO": {"workforce_kpi": "Mandatory Training Rate %"},
         "SMALL": {"workforce_kpi": "Stability Index %"},
     },
     6: {
-        "STANDARD": {"staff_group": "All Roles", "staff_type": "Total"},
-        "PROMO": {"staff_group": "All Roles", "staff_type": "Registered"},
-        "ECONOMY": {"staff_group": "Clinical Support", "staff_type": "Total"},
-        "MEDIUM": {"staff_group": "Nursing, midwifery and HV", "staff_type": "Total"},
-        "LARGE": {"staff_group": "Medical and dental", "staff_type": "Total"},
-        "SMALL": {"staff_group": "CC/ICU Nursing", "staff_type": "Total"},
+        "STANDARD": {"staff_group": C.ALL_ROLES, "staff_type": C.TOTAL_TYPE},
+        "PROMO": {"staff_group": C.ALL_ROLES, "staff_type": "Registered"},
+        "ECONOMY": {"staff_group": "Clinical Support", "staff_type": C.TOTAL_TYPE},
+        "MEDIUM": {"staff_group": C.NURSING_GROUP, "staff_type": C.TOTAL_TYPE},
+        "LARGE": {"staff_group": "Medical and dental", "staff_type": C.TOTAL_TYPE},
+        "SMALL": {"staff_group": C.EXCLUDED_VACANCY_GROUPS[2], "staff_type": C.TOTAL_TYPE},
     },
     12: {  # measure_detail
-        "STANDARD": {"measure_detail": "Health Care Support Worker reported Vacancy rate"},
-        "ECONOMY": {"measure_detail": "Maternity Support Worker reported Vacancy rate"},
+        "STANDARD": {"measure_detail": C.HCSW_RATE_MEASURES[0]},
+        "ECONOMY": {"measure_detail": C.HCSW_RATE_MEASURES[1]},
         "MEDIUM": {"measure_detail": "HCSW in post WTE"},
         "LARGE": {"measure_detail": None},
         "PROMO": {"measure_detail": "MSW in post WTE"},
@@ -133,10 +134,10 @@ REF_ATTRIBUTES = {
 }
 
 PLAN_TYPES = {
-    "STANDARD": "Substantive Plan",
-    "MEDIUM": "Nursing, Midwifery Plan",
-    "ECONOMY": "Agency Plan",
-    "LARGE": "Bank Plan",
+    "STANDARD": C.SUBSTANTIVE_PLAN,
+    "MEDIUM": C.NURSING_PLAN,
+    "ECONOMY": C.AGENCY_PLAN,
+    "LARGE": C.BANK_PLAN,
     "PROMO": "Other Plan",
     "SMALL": "Other Plan",
 }
