@@ -7,11 +7,13 @@ narrow pass (texts are not shuffled) and written to the shared folder.
 Queries come in blocks of bounded size that are broadcast. For each block the
 shards first add up the document frequencies of its terms, so every shard
 scores with the same global statistics (documents, mean length, frequencies).
-Then each shard runs block-max WAND over blocks of ``BLOCK_DOCS`` neighbouring
+Then each shard works term at a time over blocks of ``BLOCK_DOCS`` neighbouring
 documents (ordered by their most frequent word and length, so that neighbours
-are alike), and over groups of blocks before those: a term's bound in a block is
-its largest weight there; a group or block whose terms' bounds sum to less than
-the k-th best score so far is skipped whole. A task carries the threshold from
+are alike): the terms that alone can lift a document over the k-th best score
+so far (heavy terms) are summed in full, and a group or block whose bounds (a
+term's largest weight there) cannot reach it takes no postings of the others.
+This is block-max pruning as in MaxScore; WAND's pivot per document, which
+would skip blocks of heavy terms as well, is not built. A task carries the threshold from
 shard to shard. The best k of all tasks are
 merged by rank; nothing is approximate.
 
