@@ -2,8 +2,8 @@
 
 A character language model (up to four characters, hashed counts of fixed size)
 is counted over all texts; a classifier over word features is learnt from a
-bounded sample of labelled rows (at most ``MAX_TRAIN_ROWS`` rows; of the features
-with evidence of toxicity, the ``MAX_FEATURES`` strongest). Every whole text is
+bounded sample of labelled rows (at most ``MAX_TRAIN_ROWS`` rows; features are
+hashed, so at most ``2**FEATURE_BITS`` hold evidence). Every whole text is
 then scored in one narrow pass: tokens that can hide a word (leetspeak signs
 between letters, letters spaced out or joined by separators, a letter three
 times in a row) become a character lattice that a Viterbi search restores under
@@ -36,7 +36,6 @@ from .common import documents, fold, materialize
 
 #: bounds of the model and of the labelled rows it is fitted on (documented parameters)
 MAX_TRAIN_ROWS = 20_000
-MAX_FEATURES = 50_000
 #: the character model: cells of each of two hash functions, cells of a shuffled block, least count of a seen gram
 GRAM_BITS = 20
 GRAM_BLOCK = 1 << 14
@@ -435,7 +434,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
               .mapInArrow(tv.tidy(_count_features(language)), "feature long, clean long, toxic long")
               .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
               .where("toxic >= 3").withColumn("weight", odds).where("weight > 0.5")
-              .orderBy(F.desc("weight"), "feature").limit(MAX_FEATURES).collect())
+              .collect())  # hashed: 2**FEATURE_BITS rows at most
     language.destroy()
     model = Model(chars, {r["feature"]: r["weight"] for r in picked}, None, base)
     shared = spark.sparkContext.broadcast(model)
