@@ -15,6 +15,8 @@ U64 = np.uint64
 _RNG = np.random.RandomState(20240229)
 _P = U64(0x9E3779B97F4A7C15)
 _TABLES: dict[str, np.ndarray] = {}
+#: powers that a worker keeps between tasks
+KEPT_POWERS = 1 << 16
 
 #: white space of a word pattern [^\x20\x09-\x0D]+
 SPACE = np.zeros(256, bool)
@@ -27,7 +29,12 @@ BYTE_CODE[SPACE] = 0
 
 
 def release_memory() -> None:
-    """Give what a finished task has freed back to the system: workers are reused, and wait with what they hold."""
+    """Give what a finished task has freed back to the system: workers are reused, and wait with what they hold.
+
+    Powers beyond the usual run of texts go as well; the next task that needs them computes them anew.
+    """
+    if len(_TABLES.get("pow", ())) > KEPT_POWERS:
+        _TABLES.pop("pow"), _TABLES.pop("inv")
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
@@ -50,7 +57,7 @@ def tidy(run: Callable) -> Callable:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P**i and its inverse modulo 2**64, for i < n."""
     if "pow" not in _TABLES or len(_TABLES["pow"]) < n:
-        size = max(n, 1 << 16)
+        size = max(n, KEPT_POWERS)
         inverse = U64(pow(int(_P), -1, 2**64))
         for name, base in (("pow", _P), ("inv", inverse)):
             steps = np.full(size, base, U64)
