@@ -27,7 +27,8 @@ Volume. Equal sets are one class from the start. Groups of near copies are
 linked early: classes that share a minimum hash are verified against the
 smallest of the group. In each signature group, members in one component need
 no pairs; only pairs of different components become candidates. Parity sketches
-of two bits a shingle drop candidates that provably differ too much, without any loss; the
+drop candidates that provably differ too much, without any loss: folded to 512
+bits inside the join of the members, and at two bits a shingle after it; the
 rest are verified exactly. Components come from min-label rounds on the links.
 
 Edge cases: null and empty texts have no shingles and stand alone; a text of
@@ -63,8 +64,9 @@ BUCKET_ROWS = 1_000_000
 SMALL_GROUP = 12
 CHUNK_BYTES = 4 << 20
 MINIMA = 3
-#: bits of the smallest sketch
+#: bits of the smallest sketch, to which every sketch folds; they join as so many 64-bit words
 LEAST_SKETCH = 512
+FOLDED = [f"folded_{k}" for k in range(LEAST_SKETCH // 64)]
 FILTER_BITS = 1 << 23
 #: bytes of a set's digest beside a signature; equal sets are those of one signature, digest and size
 DIGEST_BYTES = 6
@@ -262,6 +264,19 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def folded(sketch: bytes) -> np.ndarray:
+    """A sketch folded to the width of the smallest one, as 64-bit words."""
+    bits = np.frombuffer(sketch, np.int64)
+    return np.bitwise_xor.reduce(bits.reshape(-1, len(FOLDED)), axis=0)
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = np.array([folded(x.as_buffer()) for x in tv.column(batch, "sketch")], np.int64).reshape(-1, len(FOLDED))
+        yield pa.RecordBatch.from_arrays([tv.column(batch, "a"), *(pa.array(words[:, k]) for k in range(len(FOLDED)))],
+                                         ["a", *FOLDED])
+
+
 def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches allow a link: linked sets differ in at most (n + m) / 7 shingles."""
     for batch in batches:
@@ -492,6 +507,25 @@ def plausible(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(tv.tidy(_not_ruled_out), "a long, b long").distinct()
 
 
+def across_components(large: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one signature group that lie in different components.
+
+    Sizes and folded sketches are compared inside the join, so pairs that
+    cannot link are never rows: linked sets differ in at most (n + m) / 7
+    shingles, and folded sketches in at most as many bits.
+    """
+    members = materialize(large.select("a").distinct(), "op4-mixed-members")
+    # rows that repeat an id bring one sketch each, and meet under all of them
+    sketched = members.join(texts.select(F.col("doc_id").alias("a"), "sketch"), "a").distinct()
+    words = materialize(sketched.mapInArrow(tv.tidy(_fold), "a long, " + ", ".join(f"{c} long" for c in FOLDED)), "op4-folded")
+    large = large.join(words, "a")
+    far = " + ".join(f"bit_count(l.{c} ^ r.{c})" for c in FOLDED)
+    apart = (F.expr("l.bucket = r.bucket AND l.grp = r.grp AND l.comp < r.comp")
+             & F.expr(f"{DEN} * least(l.n, r.n) >= {NUM} * greatest(l.n, r.n)")
+             & F.expr(f"{NUM + DEN} * ({far}) <= {DEN - NUM} * (l.n + r.n)"))
+    return large.alias("l").join(large.alias("r"), apart).select(F.least("l.a", "r.a").alias("a"), F.greatest("l.a", "r.a").alias("b"))
+
+
 def _label(frame: DataFrame, column: str, labels: DataFrame, out: str) -> DataFrame:
     named = labels.select(F.col("id").alias(column), F.col("component").alias("found_"))
     return frame.join(named, column, "left").withColumn(out, F.coalesce("found_", column)).drop("found_")
@@ -554,9 +588,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     large = materialize(_label(large.drop("comp"), "a", labels, "comp"), "op4-members")
     mixed = large.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
     large = materialize(large.join(mixed, group), "op4-large")
-    across = (large.alias("l").join(large.alias("r"), group).where("l.comp < r.comp")
-              .where(f"{DEN} * least(l.n, r.n) >= {NUM} * greatest(l.n, r.n)")
-              .select(F.least("l.a", "r.a").alias("a"), F.greatest("l.a", "r.a").alias("b")))
+    across = across_components(large, texts)
     pairs = met.where("b >= 0").select("a", "b").distinct()
     pairs = _label(_label(pairs, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")
     candidates = materialize(plausible(pairs.unionByName(across).distinct(), texts), "op4-candidates")

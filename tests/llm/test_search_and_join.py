@@ -215,6 +215,31 @@ def test_linked_sets_always_share_a_key():
     assert linked > 500
 
 
+def test_folded_sketches_never_exceed_the_difference():
+    rng = np.random.RandomState(5)
+    for size in (3, 120, 400, 3000):
+        left = np.unique(rng.randint(1, 2**62, size).astype(np.uint64))
+        right = np.unique(np.concatenate([left[size // 5:], rng.randint(1, 2**62, size // 3).astype(np.uint64)]))
+        both = [op4.folded(op4.sketches(x, np.array([0, len(x)]))[0]).view(np.uint64) for x in (left, right)]
+        assert np.bitwise_count(both[0] ^ both[1]).sum() <= len(np.setxor1d(left, right))
+
+
+def test_only_plausible_pairs_across_components(spark):
+    rng = np.random.RandomState(6)
+    base = np.unique(rng.randint(1, 2**62, 100).astype(np.uint64))
+    other = np.unique(rng.randint(1, 2**62, 100).astype(np.uint64))
+    sets = {1: base, 2: base[3:], 3: other, 4: base[2:]}
+    texts = spark.createDataFrame([(i, bytearray(op4.sketches(x, np.array([0, len(x)]))[0])) for i, x in sets.items()],
+                                  "doc_id long, sketch binary")
+    # 2 stands twice, once with the sketch of another text: any of its texts may link
+    texts = texts.unionByName(texts.where("doc_id = 3").selectExpr("2L AS doc_id", "sketch"))
+    large = spark.createDataFrame([(-1, 7, i, len(x), i) for i, x in sets.items()],
+                                  "bucket long, grp long, a long, n long, comp long")
+    large = large.withColumn("comp", F.when(F.col("a") == 4, 1).otherwise(F.col("comp")).cast("long"))
+    found = {tuple(r) for r in op4.across_components(large, texts).distinct().collect()}
+    assert found == {(1, 2), (2, 3), (2, 4)}
+
+
 def test_join_of_nothing(spark):
     assert op4.join_classes(empty(spark)).count() == 0
 
