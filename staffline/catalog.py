@@ -441,7 +441,7 @@ def agg_row_count(spark, d):
     result, main_rows, result_rows = unions.union_contracted_counted(m.t(1), m.t(6), CFG.load_date)
     result.write.format("noop").mode("overwrite").save()
     counts = spark.range(2).select(
-        F.when(F.col("id") == 0, F.lit(main_rows.get["rows"])).otherwise(F.lit(result_rows.get["rows"])).alias("rows"),
+        F.when(F.col("id") == 0, F.lit(main_rows.get["rows"])).otherwise(F.lit(result_rows.get["rows"])).cast("long").alias("rows"),
         F.when(F.col("id") == 0, F.lit("main")).otherwise(F.lit("result")).alias("frame"))
     return counts
 

@@ -179,17 +179,19 @@ M = C.METRICS
 def _ctes() -> list[tuple[str, str]]:
     t = []
     add = lambda name, body: t.append((name, body))
-    add("cust_prov", "SELECT c_custkey, r_name AS provider FROM customer JOIN nation ON c_nationkey = n_nationkey "
+    add("cust_prov", "SELECT c_custkey, r_name AS provider, "
+        f"CASE WHEN c_mktsegment = {lit(S.TRUST_SEGMENT)} THEN r_name ELSE r_name || ' ' || c_custkey END AS organisation "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey "
         "JOIN region ON n_regionkey = r_regionkey")
     add("supp_prov", "SELECT s_suppkey, r_name AS provider FROM supplier JOIN nation ON s_nationkey = n_nationkey "
         "JOIN region ON n_regionkey = r_regionkey")
-    add("order_lines", f"SELECT cp.provider, {period('o_orderdate')} AS yearmonth, o_orderdate, p_type, "
-        "l_returnflag, l_linestatus, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+    add("order_lines", f"SELECT cp.provider, cp.organisation, {period('o_orderdate')} AS yearmonth, o_orderdate, p_type, "
+        "l_shipdate, l_returnflag, l_linestatus, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
         "JOIN cust_prov cp ON o_custkey = cp.c_custkey JOIN part ON l_partkey = p_partkey")
     signed_sum = "sum(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END)"
     add("fact", f"SELECT {code('p_type', 'l_returnflag', 'l_linestatus')} AS maincode, yearmonth, "
-        f"{_int_text(signed_sum)} AS value, provider "
-        "FROM order_lines GROUP BY provider, yearmonth, p_type, l_returnflag, l_linestatus")
+        f"{_int_text(signed_sum)} AS value, organisation AS provider "
+        "FROM order_lines GROUP BY organisation, yearmonth, p_type, l_returnflag, l_linestatus")
     add("ref_book", _ref_book_values())
     add("part_types", "SELECT DISTINCT p_type FROM part")
     add("ref_long", f"SELECT b.sheet, {code('b.p_type', 'b.flag', 'b.status')} AS maincode, "
@@ -205,9 +207,11 @@ def _ctes() -> list[tuple[str, str]]:
     add("t13", "SELECT * FROM t3 UNION ALL SELECT * FROM t4")
     # plans
     add("planned_raw", f"SELECT CAST(ym AS VARCHAR) AS yearmonth, provider, type, plan FROM ("
-        f"SELECT sp.provider, {period('l_shipdate')} AS ym, {_plan_type_case('p_type')} AS type, "
-        "CAST(sum(l_quantity) AS DOUBLE) AS plan FROM lineitem JOIN supp_prov sp ON l_suppkey = sp.s_suppkey "
-        "JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3)")
+        f"SELECT provider, {period('l_shipdate')} AS ym, {_plan_type_case('p_type')} AS type, "
+        "CAST(sum(l_quantity) AS DOUBLE) AS plan FROM (SELECT sp.provider, l_shipdate, p_type, l_quantity "
+        "FROM lineitem JOIN supp_prov sp ON l_suppkey = sp.s_suppkey JOIN part ON l_partkey = p_partkey UNION ALL "
+        "SELECT organisation, l_shipdate, p_type, l_quantity FROM order_lines WHERE organisation <> provider) "
+        "GROUP BY 1, 2, 3)")
     add("planned", "SELECT TRY_CAST(trim(yearmonth) AS INTEGER) AS yearmonth, provider, type, plan FROM planned_raw")
     # supplied and planned rates
     add("orders_prov", "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, cp.provider, o_orderstatus, "

@@ -6,22 +6,24 @@ Spark* from the test tables (so its work grows with them):
 ==================  ===========================================================
 model               stand-in
 ==================  ===========================================================
-provider            customer region ``r_name`` (5 regions) for actuals,
-                    supplier region for plans
+provider            the region ``r_name`` of customers of the segment ``TRUST_SEGMENT``
+                    (5 regional trusts, the systems of the grid); every other
+                    customer is an organisation of its own, ``r_name`` and key
 yearmonth           ``yyyymm`` of ``o_orderdate`` (actuals), ``l_shipdate`` (plans)
 maincode            ``p_type-<returnflag><linestatus>`` (36 codes); the code
                     ``PROMO-RO`` is NULL in fact and code list alike
 value (text)        ``sum(l_quantity)`` as integer text; negative for flag R
 code list           the fixed code-list workbook ``REF_BOOK`` below, for every
                     part type present in ``part``
-planned staff       ``sum(l_quantity)`` by supplier region, ship month, plan type
+planned staff       ``sum(l_quantity)`` by ship month and plan type, for the trusts by
+                    supplier region, for the other organisations by customer
 supplied rates      per order month and region: share of status F orders
                     (sickness) and of 1-URGENT orders (turnover), one column
                     per region
 planned rates       per ship month and supplier region: share of flag R
                     (sickness) and of status O (turnover) line items
-wide submissions    per (region, fiscal year, sheet, code): 12 monthly sums as
-                    text, blank when the month is empty
+wide submissions    per (region of all customers, fiscal year, sheet, code): 12 monthly
+                    sums as text, blank when the month is empty
 messy numbers       ``events``: digits of ``props`` padded, suffixed, in exponent,
                     hex or thousands form, ``'n/a'``, ``NaN``, ``-Infinity``,
                     NULL -- by event type and value band
@@ -43,6 +45,7 @@ from ..session import session_key
 # ---------------------------------------------------------------------------
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 P_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+TRUST_SEGMENT = "BUILDING"                # customers that report through their region's trust
 NULL_CODE = ("PROMO", "R", "O")           # (p_type, flag, status) whose code is NULL
 
 STANDIN_CONFIG = RunConfig(
@@ -207,6 +210,12 @@ def supplier_provider(spark: SparkSession, d: str) -> DataFrame:
     return s.join(nr, s.s_nationkey == nr.n_nationkey).select("s_suppkey", "provider")
 
 
+def organisation(region: str = "provider"):
+    """The provider a customer reports as: its region's trust, or itself."""
+    own = F.concat_ws(" ", F.col(region), F.col("c_custkey").cast("string"))
+    return F.when(F.col("c_mktsegment") == TRUST_SEGMENT, F.col(region)).otherwise(own)
+
+
 def code_expr(p_type="p_type", flag="l_returnflag", status="l_linestatus"):
     p, f, s = F.col(p_type), F.col(flag), F.col(status)
     is_null = (p == NULL_CODE[0]) & (f == NULL_CODE[1]) & (s == NULL_CODE[2])
@@ -214,23 +223,24 @@ def code_expr(p_type="p_type", flag="l_returnflag", status="l_linestatus"):
 
 
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with customer region, order month and part type.
+    """Line items with customer region, organisation, order month and part type.
 
     The 25-row nation->region map is joined last (broadcast), so the size
     estimates of the large joins are those of the scans themselves and Spark
     picks broadcast or shuffle joins per side from real sizes.
     """
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag", "l_linestatus",
+                                           "l_shipdate")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     p = table(spark, d, "part").select("p_partkey", "p_type")
     nr = region_of_nation(spark, d)
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(p, li.l_partkey == p.p_partkey)
          .join(c, o.o_custkey == c.c_custkey)
          .join(nr, c.c_nationkey == nr.n_nationkey))
-    return j.select("provider", date_to_period("o_orderdate").alias("yearmonth"), "o_orderdate",
-                    "p_type", "l_returnflag", "l_linestatus", "l_quantity")
+    return j.select("provider", organisation().alias("organisation"), date_to_period("o_orderdate").alias("yearmonth"),
+                    "o_orderdate", "l_shipdate", "p_type", "l_returnflag", "l_linestatus", "l_quantity")
 
 
 def signed_quantity():
@@ -245,7 +255,7 @@ def int_text(c):
 def fact(spark: SparkSession, d: str) -> DataFrame:
     """``(maincode, yearmonth int, value string, provider)``."""
     ol = order_lines(spark, d)
-    agg = ol.groupBy("provider", "yearmonth", "p_type", "l_returnflag", "l_linestatus").agg(
+    agg = ol.groupBy(F.col("organisation").alias("provider"), "yearmonth", "p_type", "l_returnflag", "l_linestatus").agg(
         F.sum(signed_quantity()).alias("q"))
     return agg.select(code_expr().alias("maincode"), "yearmonth", int_text(F.col("q")).alias("value"), "provider")
 
@@ -286,8 +296,11 @@ def planned_staff_raw(spark: SparkSession, d: str) -> DataFrame:
     sl = supplier_lines(spark, d)
     p = table(spark, d, "part").select("p_partkey", "p_type")
     j = sl.join(p, sl.l_partkey == p.p_partkey)
+    trusts = j.select("provider", "l_shipdate", "p_type", "l_quantity")
+    others = (order_lines(spark, d).where(F.col("organisation") != F.col("provider"))
+              .select(F.col("organisation").alias("provider"), "l_shipdate", "p_type", "l_quantity"))
     ptype = F.create_map(*[F.lit(x) for kv in PLAN_TYPES.items() for x in kv])[F.col("p_type")]
-    agg = j.groupBy("provider", date_to_period("l_shipdate").alias("ym"), ptype.alias("type")).agg(
+    agg = trusts.unionByName(others).groupBy("provider", date_to_period("l_shipdate").alias("ym"), ptype.alias("type")).agg(
         F.sum("l_quantity").cast("double").alias("plan"))
     return agg.select(F.col("ym").cast("string").alias("yearmonth"), "provider", "type", "plan")
 
