@@ -62,6 +62,7 @@ COUNT_ROWS = 6_000_000
 BUCKET_ROWS = 1_000_000
 #: groups up to this size give their pairs at once; larger ones first drop pairs of one component
 SMALL_GROUP = 12
+#: text whose signatures are packed together
 CHUNK_BYTES = 4 << 20
 MINIMA = 3
 #: bits of the smallest sketch, to which every sketch folds; they join as so many 64-bit words
@@ -290,7 +291,7 @@ def _not_ruled_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per text (kind 0): size, digest, minima, sketch; and locally repeated shingles (kind 1)."""
     seen, held = [], 0
-    for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
+    for part in tv.pieces(batches):
         hashes, first = shingle_sets(part)
         size = np.diff(first)
         mixed = tv.mix(hashes + _U(99))
@@ -309,7 +310,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held += len(hashes)
         if held >= COUNT_ROWS:
             yield from _repeated(seen)
-            seen, held = [], 0
+            held = 0
     yield from _repeated(seen)
 
 
@@ -317,11 +318,18 @@ def _repeated(seen: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """Shingles that several texts of a task hold, with the number of texts (kind 1)."""
     if not seen:
         return
-    distinct, counts = np.unique(np.concatenate(seen), return_counts=True)
-    often = counts > 1
-    m = int(often.sum())
+    hashes = np.concatenate(seen)
+    seen.clear()
+    hashes.sort()  # in place: np.unique would hold several copies
+    again = np.flatnonzero(hashes[1:] == hashes[:-1])
+    # runs of positions whose successor is equal; a run of k of them is a shingle of k + 1 texts
+    starts = np.flatnonzero(np.diff(again, prepend=-2) != 1)
+    # neighbouring runs of different shingles never touch: the last text of a run has no equal successor
+    counts = np.diff(np.append(starts, len(again))) + 1
+    distinct = hashes[again[starts]]
+    m = len(distinct)
     none = np.zeros(m, _U)
-    yield _profile_batch(pa.array(distinct[often].view(np.int64)), np.ones(m, np.int32), counts[often], *[none] * (2 + MINIMA))
+    yield _profile_batch(pa.array(distinct.view(np.int64)), np.ones(m, np.int32), counts, *[none] * (2 + MINIMA))
 
 
 def _profile_batch(ids, kind, size, *longs, sketch=None) -> pa.RecordBatch:
@@ -457,7 +465,7 @@ def _meet_and_release(pdf: pd.DataFrame) -> pd.DataFrame:
 # ------------------------------------------------------------- verification
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
+    for part in tv.pieces(batches):
         hashes, first = shingle_sets(part)
         data = [hashes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
         yield pa.RecordBatch.from_arrays([tv.column(part, "doc_id"), pa.array(data, pa.binary())], ["doc_id", "tokens"])

@@ -224,6 +224,17 @@ def test_folded_sketches_never_exceed_the_difference():
         assert np.bitwise_count(both[0] ^ both[1]).sum() <= len(np.setxor1d(left, right))
 
 
+def test_repeated_shingles_of_a_task():
+    rng = np.random.RandomState(7)
+    for top in (3, 60, 4000):
+        parts = [np.unique(rng.randint(0, top, 200).astype(np.uint64)) for _ in range(5)]
+        wanted = {h: c for h, c in collections.Counter(np.concatenate(parts).tolist()).items() if c > 1}
+        found = [b for b in op4._repeated(list(parts))]
+        assert {i: n for b in found for i, n in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)} == wanted
+    assert list(op4._repeated([])) == []
+    assert [b.num_rows for b in op4._repeated([np.arange(4, dtype=np.uint64)])] == [0]
+
+
 def test_only_plausible_pairs_across_components(spark):
     rng = np.random.RandomState(6)
     base = np.unique(rng.randint(1, 2**62, 100).astype(np.uint64))
