@@ -23,9 +23,18 @@ in the other segments are still at most H, so nothing else changes; a text with
 few other shingles has many empty units and is irregular. So common passages
 make no large groups, and no group of segments holds more than that share.
 
+Cells. The segments of a band are dealt into parts, as many as keep the
+signatures of a part within ``BUCKET_ROWS``; a part's signatures meet in one
+task (a cell), where the segments that two sets have in common are counted. Of
+two linked sets, at most the H of *their* sizes and the empty units of one of them
+fall on all parts together, so in some part they agree in all units but a part's
+share of those; pairs that agree in fewer are given by no cell. Sets that only
+share a passage agree in few segments and are dropped there. A band too large
+for parts of one segment deals each segment by key ranges.
+
 Volume. Equal sets are one class from the start. Groups of near copies are
 linked early: classes that share a minimum hash are verified against the
-smallest of the group. In each signature group, members in one component need
+smallest of the group. In each large signature group, members in one component need
 no pairs; only pairs of different components become candidates. Parity sketches
 drop candidates that provably differ too much, without any loss: folded to 512
 bits inside the join of the members, and at two bits a shingle after it; the
@@ -61,7 +70,11 @@ COUNT_ROWS = 6_000_000
 #: signatures that meet in one bucket, about
 BUCKET_ROWS = 1_000_000
 #: groups up to this size give their pairs at once; larger ones first drop pairs of one component
-SMALL_GROUP = 12
+SMALL_GROUP = 64
+#: pairs that a bucket counts at most; beyond, the larger groups are treated as large ones
+MEET_PAIRS = 4_000_000
+#: segments of a band in one bucket at most: their number takes the lowest bits of a key
+SEGMENT_BITS = 8
 #: text whose signatures are packed together
 CHUNK_BYTES = 4 << 20
 MINIMA = 3
@@ -195,48 +208,118 @@ def is_rare(hashes: np.ndarray, popular: np.ndarray) -> np.ndarray:
     return popular[at] != hashes
 
 
+class Filled:
+    """The segments of the texts of one band: the rare shingles of each, and the units lost to a match."""
+
+    def __init__(self, b: int, hashes: np.ndarray, owner: np.ndarray, rare: np.ndarray, band: np.ndarray):
+        self.plan = plan = scheme(b)
+        self.texts = np.flatnonzero(band == b)
+        self.number = np.full(len(band), -1, np.int64)
+        self.number[self.texts] = np.arange(len(self.texts))
+        self.mine = np.flatnonzero(self.number[owner] >= 0)
+        mine_rare = self.mine[rare[self.mine]]
+        self.h, self.o = hashes[mine_rare], self.number[owner[mine_rare]]
+        self.segments = segments = plan.exact + plan.loose
+        self.salt = _U(tv.mix_int(1000 + b))
+        self.cell = self.o * segments + (tv.mix(self.h ^ self.salt) % _U(segments)).astype(np.int64)
+        self.filled = np.bincount(self.cell, minlength=len(self.texts) * segments)
+        self.loose = np.tile(np.arange(segments) >= plan.exact, len(self.texts))
+        # units that can agree without a signature: empty segments, and loose ones that lose their only shingle
+        self.lost = np.where(self.filled == 0, 1 + self.loose, (self.filled == 1) & self.loose).reshape(-1, segments).sum(1)
+
+
+def segment_signatures(hashes: np.ndarray, owner: np.ndarray, rare: np.ndarray, band: np.ndarray,
+                       ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(band, keys, owner, segment, lost units of the owner) under the scheme ``band[d]`` of each text (-1: none)."""
+    for b in np.unique(band[band >= 0]).tolist():
+        x = Filled(b, hashes, owner, rare, band)
+        code = tv.mix(x.h + x.salt)
+        total = np.zeros(len(x.filled), _U)
+        np.add.at(total, x.cell, code)
+        tag = tv.mix(np.tile(np.arange(x.segments), len(x.texts)).astype(_U) * _STEP + x.salt)
+        whole = np.flatnonzero(x.filled)
+        of = whole // x.segments
+        yield b, tv.mix(total[whole] ^ tag[whole]), x.texts[of], whole % x.segments, x.lost[of]
+        # with one shingle deleted; deleting the only one leaves nothing to sign
+        cut = np.flatnonzero(x.loose[x.cell] & (x.filled[x.cell] > 1))
+        if len(cut):
+            at = x.cell[cut]
+            yield b, tv.mix((total[at] - code[cut]) ^ tag[at]), x.texts[x.o[cut]], at % x.segments, x.lost[x.o[cut]]
+
+
 def signatures(hashes: np.ndarray, owner: np.ndarray, rare: np.ndarray, band: np.ndarray, prefix: bool,
                ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(keys, owner) under the scheme ``band[d]`` of each text (-1: none): of the segments, or with
     ``prefix`` the prefix keys of the irregular texts."""
-    for b in np.unique(band[band >= 0]):
-        plan = scheme(int(b))
-        texts = np.flatnonzero(band == b)
-        number = np.full(len(band), -1, np.int64)
-        number[texts] = np.arange(len(texts))
-        mine = np.flatnonzero(number[owner] >= 0)
-        mine_rare = mine[rare[mine]]
-        h, o = hashes[mine_rare], number[owner[mine_rare]]
-        segments = plan.exact + plan.loose
-        salt = _U(tv.mix_int(1000 + int(b)))
-        cell = o * segments + (tv.mix(h ^ salt) % _U(segments)).astype(np.int64)
-        filled = np.bincount(cell, minlength=len(texts) * segments)
-        loose = np.tile(np.arange(segments) >= plan.exact, len(texts))
-        if prefix:
-            # units that can agree without a signature: empty segments, and loose ones that lose their only shingle
-            lost = np.where(filled == 0, 1 + loose, (filled == 1) & loose).reshape(len(texts), segments).sum(1)
-            odd = lost > plan.units - most_differences(plan.high) - 1
-            pick = mine[odd[number[owner[mine]]]]
-            if len(pick):
-                ph, po, common = hashes[pick], number[owner[pick]], ~rare[pick]
-                size = np.bincount(po, minlength=len(texts))
-                # one fixed order for all texts: rare shingles first, then by hash
-                arranged = np.lexsort((ph, common, po))
-                first = np.searchsorted(po[arranged], np.arange(len(texts)))
-                rank = np.arange(len(ph)) - first[po[arranged]]
-                chosen = arranged[rank < (size - -(-NUM * size // DEN) + 1)[po[arranged]]]
-                yield tv.mix(ph[chosen] ^ tv.mix_int_u(7 + int(b))), texts[po[chosen]]
-            continue
-        code = tv.mix(h + salt)
-        total = np.zeros(len(filled), _U)
-        np.add.at(total, cell, code)
-        tag = tv.mix(np.tile(np.arange(segments), len(texts)).astype(_U) * _STEP + salt)
-        whole = np.flatnonzero(filled)
-        yield tv.mix(total[whole] ^ tag[whole]), texts[whole // segments]
-        # with one shingle deleted; deleting the only one leaves nothing to sign
-        cut = np.flatnonzero(loose[cell] & (filled[cell] > 1))
-        if len(cut):
-            yield tv.mix((total[cell[cut]] - code[cut]) ^ tag[cell[cut]]), texts[o[cut]]
+    if not prefix:
+        yield from ((key, text) for _, key, text, _, _ in segment_signatures(hashes, owner, rare, band))
+        return
+    for b in np.unique(band[band >= 0]).tolist():
+        x = Filled(b, hashes, owner, rare, band)
+        odd = x.lost > x.plan.units - most_differences(x.plan.high) - 1
+        pick = x.mine[odd[x.number[owner[x.mine]]]]
+        if len(pick):
+            ph, po, common = hashes[pick], x.number[owner[pick]], ~rare[pick]
+            size = np.bincount(po, minlength=len(x.texts))
+            # one fixed order for all texts: rare shingles first, then by hash
+            arranged = np.lexsort((ph, common, po))
+            first = np.searchsorted(po[arranged], np.arange(len(x.texts)))
+            rank = np.arange(len(ph)) - first[po[arranged]]
+            chosen = arranged[rank < (size - -(-NUM * size // DEN) + 1)[po[arranged]]]
+            yield tv.mix(ph[chosen] ^ tv.mix_int_u(7 + b)), x.texts[po[chosen]]
+
+
+# -------------------------------------------------------------------- cells
+
+class Cells:
+    """How the segments of each band are dealt: ``parts`` of them by their number, and each part into key ``ranges``.
+
+    Cells are numbered from ``first`` of their band, part by part. Bands without sets of their own have none:
+    their scheme would only match sets of the band above, which meet under that band's.
+    """
+
+    def __init__(self, sizes: np.ndarray, counts: np.ndarray, rows: int | None = None):
+        rows = rows or BUCKET_ROWS
+        own = np.bincount(np.searchsorted(band_table(int(sizes.max())), sizes, "right") - 1, counts) if len(sizes) else np.zeros(1)
+        self.parts, self.ranges = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+        for b in np.flatnonzero(own).tolist():
+            plan = scheme(b)
+            segments = plan.exact + plan.loose
+            # a text signs each segment, and the loose ones once more for each shingle
+            a_text = plan.exact + plan.loose * (1 + plan.high / segments)
+            total = (own[b] + (own[b + 1] if b + 1 < len(own) else 0)) * a_text
+            least = -(-segments >> SEGMENT_BITS)
+            self.parts[b] = min(max(math.ceil(total / rows), least, 1), segments)
+            self.ranges[b] = math.ceil(total / rows / self.parts[b]) if self.parts[b] == segments else 1
+        self.first = np.cumsum(self.parts * self.ranges) - self.parts * self.ranges
+
+    def of(self, b: int, key: np.ndarray, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each signature, and the 48 bits that tell it from others there."""
+        parts, ranges = self.parts[b], self.ranges[b]
+        at = (((key >> _U(32)) * _U(ranges)) >> _U(32)).astype(np.int64)
+        low = (key & _U((1 << (48 - SEGMENT_BITS)) - 1)) << _U(SEGMENT_BITS) | (segment // parts).astype(_U)
+        return self.first[b] + segment % parts * ranges + at, low
+
+    def place(self, cell: int) -> tuple[int, int]:
+        """Band and part of a cell."""
+        b = int(np.flatnonzero((self.parts > 0) & (self.first <= cell))[-1])
+        return b, int((cell - self.first[b]) // self.ranges[b])
+
+
+def units_of_parts(plan: Scheme, parts: int) -> np.ndarray:
+    segment = np.arange(plan.exact + plan.loose)
+    return np.bincount(segment % parts, 1 + (segment >= plan.exact), parts).astype(np.int64)
+
+
+def least_units(units: np.ndarray, part: int, spoiled: np.ndarray) -> np.ndarray:
+    """Units of a part in which pairs agree at least if no other part shows them.
+
+    ``spoiled``: units of all parts together that a pair's differences and one set's empty units spoil at most.
+    If every part u_j had min(u_j, t + 1) spoiled units, for a t where these add up to more than ``spoiled``,
+    that would be too many; so some part has fewer, and agrees in u_j - t or more (and at least one).
+    """
+    reach = np.array([np.minimum(units, t + 1).sum() for t in range(int(units.max()))])
+    return np.maximum(units[part] - np.searchsorted(reach, spoiled, "right"), 1)
 
 
 # -------------------------------------------------------------------- tasks
@@ -355,43 +438,45 @@ def from_planes(blob: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _signed(part: pa.RecordBatch, popular: np.ndarray, prefix: bool):
-    """(keys, text numbers, sizes, digests) of the signatures of a run of texts, under both bands of each."""
+def _banded(part: pa.RecordBatch, popular: np.ndarray):
+    """Shingles, owners, rare ones, sizes, digests and both bands of a run of texts."""
     hashes, first = shingle_sets(part)
     size = np.diff(first)
     owner = np.repeat(np.arange(len(size)), size)
     starts = np.array(band_table(int(size.max()) if len(size) else 1))
     own = np.searchsorted(starts, size, "right") - 1
     own[tv.column(part, "doc_id").is_null().to_numpy(zero_copy_only=False)] = -1
-    rare = is_rare(hashes, popular)
-    found = [x for band in (own, np.where(own > 0, own - 1, -1))
-             for x in signatures(hashes, owner, rare, band, prefix)]
-    keys = np.concatenate([k for k, _ in found]) if found else np.zeros(0, _U)
-    texts = np.concatenate([t for _, t in found]) if found else np.zeros(0, np.int64)
-    return keys, texts, size, tv.segment_sums(tv.mix(hashes + _U(99)), first)
+    digest = tv.segment_sums(tv.mix(hashes + _U(99)), first)
+    return hashes, owner, is_rare(hashes, popular), size, digest, (own, np.where(own > 0, own - 1, -1))
 
 
-def _sign(popular_shared, n_buckets: int):
-    """Segment signatures packed per bucket: key bits, text numbers, and the texts' digests and sizes."""
+def _sign(popular_shared, cells: Cells):
+    """Segment signatures packed per cell: key bits, text numbers, and the texts' digests, sizes and lost units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
-            key, text, size, digest = _signed(part, popular_shared.value, False)
-            bucket = (((key >> _U(32)) * _U(n_buckets)) >> _U(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            key, text = key[order], text[order]
-            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            hashes, owner, rare, size, digest, bands = _banded(part, popular_shared.value)
+            found = []
+            for band in bands:
+                dealt = np.where(band >= 0, cells.parts[np.maximum(band, 0)], 0) > 0
+                for b, key, text, segment, lost in segment_signatures(hashes, owner, rare, np.where(dealt, band, -1)):
+                    found.append((*cells.of(b, key, segment), text, lost))
+            if not found:
+                continue
+            cell, low, text, lost = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(cell, kind="stable")
+            cell, low, text, lost = cell[order], low[order], text[order], lost[order]
+            cuts = np.append(np.flatnonzero(np.diff(cell, prepend=-1)), len(cell)).tolist()
             ids = tv.column(part, "doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             out = []
-            for b, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if hi > lo:
-                    used, local = np.unique(text[lo:hi], return_inverse=True)
-                    low = key[lo:hi] & _U((1 << 48) - 1)
-                    out.append((b, (low >> _U(16)).astype(np.uint32).tobytes(), low.astype(np.uint16).tobytes(),
-                                local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(),
-                                planes(ids[used].view(_U), 8), planes(digest[used], DIGEST_BYTES), planes(size[used].astype(_U), 4)))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                used, at, local = np.unique(text[lo:hi], return_index=True, return_inverse=True)
+                out.append((int(cell[lo]), (low[lo:hi] >> _U(16)).astype(np.uint32).tobytes(), low[lo:hi].astype(np.uint16).tobytes(),
+                            local.astype(np.uint16 if len(used) < 65536 else np.uint32).tobytes(),
+                            planes(ids[used].view(_U), 8), planes(digest[used], DIGEST_BYTES), planes(size[used].astype(_U), 4),
+                            planes(lost[lo:hi][at].astype(_U), 4)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in range(1, 7))],
-                ["bucket", "high", "low", "texts", "ids", "digests", "sizes"])
+                [pa.array([x[0] for x in out], pa.int64()), *(pa.array([x[k] for x in out], pa.binary()) for k in range(1, 8))],
+                ["bucket", "high", "low", "texts", "ids", "digests", "sizes", "lost"])
 
     return run
 
@@ -400,7 +485,11 @@ def _sign_irregular(popular_shared):
     """Prefix keys of the irregular texts, one row each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
-            key, text, size, digest = _signed(part, popular_shared.value, True)
+            hashes, owner, rare, size, digest, bands = _banded(part, popular_shared.value)
+            found = [x for band in bands for x in signatures(hashes, owner, rare, band, True)]
+            if not found:
+                continue
+            key, text = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), tv.column(part, "doc_id").take(pa.array(text)),
                  pa.array(digest[text].view(np.int64)), pa.array(size[text].astype(np.int64))], ["grp", "a", "digest", "n"])
@@ -408,9 +497,12 @@ def _sign_irregular(popular_shared):
     return run
 
 
-def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Signature groups of a bucket: pairs of small groups (group null), members of large ones (b null)."""
-    keys, ids, digests, sizes = [], [], [], []
+def _meet(pdf: pd.DataFrame, cells: Cells) -> pd.DataFrame:
+    """Signature groups of a cell: pairs of small groups (group null), members of large ones (b null)."""
+    cell = int(pdf["bucket"].iloc[0])
+    band, part = cells.place(cell)
+    plan, parts = scheme(band), int(cells.parts[band])
+    keys, ids, digests, sizes, lost_units = [], [], [], [], []
     for row in pdf.itertuples():
         own = from_planes(row.ids, 8).view(np.int64)
         high, low = np.frombuffer(row.high, np.uint32), np.frombuffer(row.low, np.uint16)
@@ -419,47 +511,68 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         ids.append(own[local])
         digests.append(from_planes(row.digests, DIGEST_BYTES)[local])
         sizes.append(from_planes(row.sizes, 4)[local].astype(np.uint32))
-    key, doc, digest, size = (np.concatenate(x) for x in (keys, ids, digests, sizes))
+        lost_units.append(from_planes(row.lost, 4)[local].astype(np.uint32))
+    key, doc, digest, size, lost = (np.concatenate(x) for x in (keys, ids, digests, sizes, lost_units))
     order = np.argsort(key, kind="stable")
-    key, doc, digest, size = key[order], doc[order], digest[order], size[order]
     # only keys that occur again matter
-    same = key[1:] == key[:-1]
+    same = key[order[1:]] == key[order[:-1]]
     again = np.zeros(len(key), bool)
     again[1:] |= same
     again[:-1] |= same
-    key, doc, digest, size = key[again], doc[again], digest[again], size[again]
+    order = order[again]
+    key, doc, digest, size, lost = key[order], doc[order], digest[order], size[order], lost[order]
     # one member per set: the smallest id of equal sets
     order = np.lexsort((doc, size, digest, key))
-    key, doc, digest, size = key[order], doc[order], digest[order], size[order]
+    key, doc, digest, size, lost = key[order], doc[order], digest[order], size[order].astype(np.int64), lost[order]
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1]) | (size[1:] != size[:-1])
-    key, doc, size = key[fresh], doc[fresh], size[fresh].astype(np.int64)
+    key, doc, digest, size, lost = key[fresh], doc[fresh], digest[fresh], size[fresh], lost[fresh]
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
     counts = np.diff(np.append(starts, len(key)))
-    group, a, b = [], [], []
-    for n in np.unique(counts[(counts > 1) & (counts <= SMALL_GROUP)]):
-        members = starts[counts == n][:, None] + np.arange(n)
+    # the sets of the cell: equal ones have one number (they have the same member in every group)
+    _, at, number = np.unique(digest | size.astype(_U) << _U(8 * DIGEST_BYTES), return_index=True, return_inverse=True)
+    doc_of, size_of, lost_of = doc[at], size[at], lost[at].astype(np.int64)
+    met, made, limit = [np.zeros(0, np.int64)], 0, 1
+    for n in np.unique(counts[(counts > 1) & (counts <= SMALL_GROUP)]).tolist():
+        group = starts[counts == n]
+        made += len(group) * n * (n - 1) // 2
+        if made > MEET_PAIRS and n > 2:
+            break
+        limit = n
+        members = number[group[:, None] + np.arange(n)]
         x, y = np.triu_indices(n, 1)
         left, right = members[:, x].ravel(), members[:, y].ravel()
-        small, large = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-        near = DEN * small >= NUM * large
-        left, right = doc[left[near]], doc[right[near]]
-        group.append(np.full(len(left), -1))
-        a.append(np.minimum(left, right))
-        b.append(np.maximum(left, right))
-    big = np.repeat(counts, counts) > SMALL_GROUP
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
+        small, large = np.minimum(size_of[left], size_of[right]), np.maximum(size_of[left], size_of[right])
+        # two sets of the band above meet under that band's scheme
+        near = (DEN * small >= NUM * large) & (small < plan.high)
+        pair = np.minimum(left, right)[near] * len(at) + np.maximum(left, right)[near]
+        segment = np.repeat((key[group] & _U((1 << SEGMENT_BITS) - 1)).astype(np.int64), len(x))[near]
+        met.append(np.unique(pair << SEGMENT_BITS | segment))
+    # a loose segment counts once, whichever of its signatures agree
+    met = np.unique(np.concatenate(met))
+    pair = met >> SEGMENT_BITS
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    weight = 1 + ((met & ((1 << SEGMENT_BITS) - 1)) * parts + part >= plan.exact)
+    agreed = np.add.reduceat(weight, first) if len(first) else weight
+    left, right = np.divmod(pair[first], max(len(at), 1))
+    spoiled = (size_of[left] + size_of[right]) * (DEN - NUM) // (DEN + NUM) + np.minimum(lost_of[left], lost_of[right])
+    enough = agreed >= least_units(units_of_parts(plan, parts), part, spoiled)
+    a, b = doc_of[left[enough]], doc_of[right[enough]]
+    big = (np.repeat(counts, counts) > limit) & (np.repeat(np.minimum.reduceat(size, starts) if len(starts) else size, counts) < plan.high)
     return pd.DataFrame({
-        "bucket": int(pdf["bucket"].iloc[0]),
-        "grp": np.concatenate([np.full(len(pairs), -1), key[big].astype(np.int64)]),
-        "a": np.concatenate([pairs[:, 0], doc[big]]), "b": np.concatenate([pairs[:, 1], np.full(int(big.sum()), -1)]),
-        "n": np.concatenate([np.zeros(len(pairs), np.int64), size[big]])})
+        "bucket": cell,
+        "grp": np.concatenate([np.full(len(a), -1), key[big].astype(np.int64)]),
+        "a": np.concatenate([np.minimum(a, b), doc[big]]), "b": np.concatenate([np.maximum(a, b), np.full(int(big.sum()), -1)]),
+        "n": np.concatenate([np.zeros(len(a), np.int64), size[big]])})
 
 
-def _meet_and_release(pdf: pd.DataFrame) -> pd.DataFrame:
-    out = _meet(pdf)
-    tv.release_memory()
-    return out
+def _meet_and_release(cells: Cells):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = _meet(pdf, cells)
+        tv.release_memory()
+        return out
+
+    return run
 
 
 # ------------------------------------------------------------- verification
@@ -545,8 +658,8 @@ def join_classes(docs: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     profile = materialize(rows.mapInArrow(tv.tidy(_profile), _PROFILE_SCHEMA), "op4-profile")
     texts = profile.where("kind = 0")
-    seen = texts.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("t")).first()
-    n, total = seen["n"], seen["t"] or 0
+    sizes = texts.groupBy("n_shingles").agg(F.count("*").alias("n"), F.count("doc_id").alias("named")).toPandas().astype("int64")
+    n, real_sizes = int(sizes["n"].sum()), sizes[(sizes["n_shingles"] > 0) & (sizes["named"] > 0)]
     # popular from n / 4000 texts on, so there are at most 4000 times the mean set size of them
     popular = (profile.where("kind = 1").groupBy("doc_id").agg(F.sum("n_shingles").alias("c"))
                .where(F.col("c") >= F.lit(max(8.0, n * POPULAR_SHARE))).select("doc_id").toPandas()["doc_id"]
@@ -572,11 +685,11 @@ def join_classes(docs: DataFrame) -> DataFrame:
     found = verified(rows, early, "op4-early")
     labels = components(found, "op4-early")
 
-    n_buckets = max(1, -(-int(total) // BUCKET_ROWS))
+    cells = Cells(real_sizes["n_shingles"].to_numpy(), real_sizes["named"].to_numpy())
     met = materialize(
-        rows.mapInArrow(tv.tidy(_sign(popular, n_buckets)),
-                        "bucket long, high binary, low binary, texts binary, ids binary, digests binary, sizes binary")
-        .groupBy("bucket").applyInPandas(_meet_and_release, "bucket long, grp long, a long, b long, n long"), "op4-groups")
+        rows.mapInArrow(tv.tidy(_sign(popular, cells)),
+                        "bucket long, high binary, low binary, texts binary, ids binary, digests binary, sizes binary, lost binary")
+        .groupBy("bucket").applyInPandas(_meet_and_release(cells), "bucket long, grp long, a long, b long, n long"), "op4-groups")
     # equal sets sign alike, so the member left of each set is the smallest id of its class
     odd = (rows.mapInArrow(tv.tidy(_sign_irregular(popular)), "grp long, a long, digest long, n long")
            .groupBy("grp", "digest").agg(F.min("a").alias("a"), F.first("n").alias("n"))

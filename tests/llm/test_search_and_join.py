@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -215,6 +216,71 @@ def test_linked_sets_always_share_a_key():
     assert linked > 500
 
 
+class Shared:
+    def __init__(self, value):
+        self.value = value
+
+
+def met_in_cells(docs, rows, popular=()):
+    """Rows of all cells for (doc_id, text), with about ``rows`` signatures a cell."""
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs], pa.int64()), pa.array([t for _, t in docs], pa.string())],
+                                       ["doc_id", "text"])
+    sizes = np.diff(op4.shingle_sets(batch)[1])
+    cells = op4.Cells(*np.unique(sizes[sizes > 0], return_counts=True), rows=rows)
+    signed = pd.concat([b.to_pandas() for b in op4._sign(Shared(np.array(popular, np.uint64)), cells)([batch])])
+    return pd.concat([op4._meet(pdf, cells) for _, pdf in signed.groupby("bucket")]), cells
+
+
+@pytest.mark.parametrize("rows", [10**9, 3000, 300, 40])
+def test_cells_give_every_linked_pair_and_few_others(rows):
+    rng = random.Random(rows)
+    passage, texts = words(rng, 40), []
+    for n in (6, 9, 14, 40, 120, 400):
+        for _ in range(6):
+            base = words(rng, n).split()
+            for _ in range(8):
+                copy = base[:]
+                for _ in range(rng.randrange(1 + n // 60)):
+                    copy[rng.randrange(len(copy))] = words(rng, 1)
+                texts.append(" ".join(copy + words(rng, 1 + rng.randrange(1 + n // 10)).split()))
+    # these share a passage and are no copies
+    texts += [f"{words(rng, 60)} {passage} {words(rng, 60)}" for _ in range(12)]
+    docs = list(enumerate(texts))
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for w in (WORD.findall(lower(t)) for t in texts)]
+    linked = {(i, j) for j in range(len(sets)) for i in range(j)
+              if sets[i] != sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    met, cells = met_in_cells(docs, rows)
+    assert (cells.parts.max() > 1) == (rows < 10**9)
+    pairs = list(met[met["b"] >= 0][["a", "b"]].itertuples(index=False, name=None))
+    # equal sets stand for each other: the smallest id of each set
+    least = {}
+    for i, x in enumerate(sets):
+        least.setdefault(frozenset(x), i)
+    name = [least[frozenset(x)] for x in sets]
+    missing = {(min(name[i], name[j]), max(name[i], name[j])) for i, j in linked} - set(pairs)
+    odd = set(irregular(docs))
+    assert len(linked) > 60 and all(i in odd and j in odd for i, j in missing)
+    if rows > 1000:
+        assert not [p for p in pairs if min(p) >= len(texts) - 12]
+
+
+def irregular(docs):
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs], pa.int64()), pa.array([t for _, t in docs], pa.string())],
+                                       ["doc_id", "text"])
+    return [i for b in op4._sign_irregular(Shared(np.zeros(0, np.uint64)))([batch]) for i in b.column(1).to_pylist()]
+
+
+def test_least_units_of_a_part():
+    rng = np.random.RandomState(3)
+    for _ in range(3000):
+        units = rng.randint(1, 6, rng.randint(1, 7))
+        spoiled = np.minimum(rng.randint(0, 6, len(units)), units)
+        total = int(spoiled.sum()) + int(rng.randint(0, 3))
+        if total < units.sum():  # more units than can be spoiled: some part shows the pair
+            assert any(u - s >= op4.least_units(units, k, np.array([total]))[0]
+                       for k, (u, s) in enumerate(zip(units, spoiled, strict=True)))
+
+
 def test_folded_sketches_never_exceed_the_difference():
     rng = np.random.RandomState(5)
     for size in (3, 120, 400, 3000):
