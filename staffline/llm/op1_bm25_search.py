@@ -14,8 +14,9 @@ so far (heavy terms) are summed in full, and a group or block whose bounds (a
 term's largest weight there) cannot reach it takes no postings of the others.
 This is block-max pruning as in MaxScore; WAND's pivot per document, which
 would skip blocks of heavy terms as well, is not built. A task carries the threshold from
-shard to shard. The best k of all tasks are
-merged by rank; nothing is approximate.
+shard to shard. One shard in ``SEED_SHARE`` is searched first, and the k-th best
+score found there is the floor that the tasks of all other shards start with. The
+best k of all tasks are merged by rank; nothing is approximate.
 
 score = sum over the query's distinct terms of
 round(1e6 * ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) / 1e6,
@@ -53,6 +54,8 @@ GROUP_BLOCKS = 8
 BLOCK_QUERIES = 4096
 BLOCK_TERMS = 1_000_000
 SLICE = 1 << 15
+#: one shard in so many is searched before the others, for a first threshold
+SEED_SHARE = 8
 SCALE = 1e6
 _U = np.uint64
 
@@ -125,6 +128,8 @@ class Queries:
         self.first = np.concatenate(([0], np.cumsum([len(t) for t in every])))
         self.terms, self.places = np.unique(np.concatenate(every), return_inverse=True)
         self.idf = np.zeros(len(self.terms))
+        #: a score that k documents are known to reach, for each query
+        self.floor = np.ones(len(self.ids))
 
 
 def query_blocks(queries: DataFrame) -> Iterator[Queries]:
@@ -293,7 +298,7 @@ def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
 def _search(shared, mean_length: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries: Queries = shared.value
-        best = [Best(k) for _ in queries.ids]
+        best = [Best(k, floor) for floor in queries.floor]
         for batch in batches:
             for n in range(batch.num_rows):
                 shard = Shard(batch.slice(n, 1).to_pylist()[0], mean_length)
@@ -315,10 +320,29 @@ def _search(shared, mean_length: float, k: int):
     return run
 
 
+def _found(index: DataFrame, block: Queries, mean_length: float, k: int) -> DataFrame:
+    """The best k of each task over its shards, for the queries of a block."""
+    shared = index.sparkSession.sparkContext.broadcast(block)
+    return index.drop("seed").mapInArrow(_search(shared, mean_length, k), "query_id long, doc_id long, points long")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("points"), F.asc_nulls_last("doc_id"))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _floors(first: DataFrame, ids: np.ndarray, k: int) -> np.ndarray:
+    """The k-th best score of each query in ``first``, 1 where it has fewer."""
+    last = first.where(F.col("rank") == k).select("query_id", "points").toPandas()
+    floor = np.ones(len(ids))
+    floor[np.searchsorted(ids, last["query_id"].to_numpy(np.int64))] = last["points"].to_numpy(float)
+    return floor
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, doc_id, score: the k best rows of ``docs`` for every query (doc_id, text)."""
     spark = docs.sparkSession
-    index = build_index(docs)
+    index = build_index(docs).withColumn("seed", F.pmod(F.xxhash64("doc_ids"), F.lit(SEED_SHARE)) == 0)
     size = index.agg(F.sum("n_docs").alias("n"), F.sum("n_words").alias("w")).first()
     n, mean_length = size["n"] or 0, (size["w"] or 0) / max(size["n"] or 0, 1)
     found = None
@@ -328,11 +352,10 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                    .groupBy("slice").applyInPandas(_add, "slice long, n binary").orderBy("slice").collect())
         df = np.concatenate([np.frombuffer(r["n"], np.int64) for r in counted]).astype(float)
         block.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        shared = spark.sparkContext.broadcast(block)
-        part = index.mapInArrow(_search(shared, mean_length, k), "query_id long, doc_id long, points long")
+        first = materialize(_ranked(_found(index.where("seed"), block, mean_length, k), k), "op1-first")
+        block.floor = np.maximum(block.floor, _floors(first, block.ids, k))
+        part = first.drop("rank").unionByName(_found(index.where("NOT seed"), block, mean_length, k))
         found = part if found is None else found.unionByName(part)
     if found is None:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("points"), F.asc_nulls_last("doc_id"))
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", (F.col("points") / F.lit(SCALE)).alias("score")))
+    return _ranked(found, k).select("query_id", "rank", "doc_id", (F.col("points") / F.lit(SCALE)).alias("score"))

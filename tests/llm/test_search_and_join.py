@@ -74,6 +74,23 @@ def test_bm25_prunes_and_stays_exact():
     assert scored < np.count_nonzero(total)
 
 
+def test_bm25_floor_of_the_first_shards(spark, monkeypatch):
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, words(rng, rng.randint(5, 30))) for i in range(400)], "doc_id long, text string").repartition(8)
+    queries = docs.where("doc_id % 40 = 0")
+    floors, own = [], op1._floors
+    monkeypatch.setattr(op1, "_floors", lambda *x: floors.append(own(*x)) or floors[-1])
+    found = []
+    for share in (2, 1 << 60):  # with first shards, and without any
+        monkeypatch.setattr(op1, "SEED_SHARE", share)
+        found.append([tuple(r) for r in op1.top_k(docs, queries, 5).orderBy("query_id", "rank").collect()])
+    assert found[0] == found[1] and len(found[0]) == 50
+    fifth = {q: s for q, rank, _, s in found[0] if rank == 5}
+    # known before the other shards are searched, and never above the fifth best of all
+    assert (floors[0] > 1).any() and all(f <= 1e6 * fifth[q] + 0.5 for f, q in zip(floors[0], sorted(fifth), strict=True))
+    assert (floors[1] == 1).all()
+
+
 def test_bm25_of_nothing(spark):
     assert op1.top_k(empty(spark), empty(spark)).count() == 0
     assert op1.top_k(awkward(spark), empty(spark)).columns == ["query_id", "rank", "doc_id", "score"]
