@@ -213,9 +213,21 @@ class Blocks:
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All indices of the ranges one after the other, and the range each belongs to."""
     size = ends - starts
-    owner = np.repeat(np.arange(len(starts)), size)
-    shift = starts - np.concatenate(([0], np.cumsum(size)[:-1]))
-    return np.arange(len(owner)) + shift[owner], owner
+    return positions(starts, size), np.repeat(np.arange(len(starts)), size)
+
+
+def positions(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All indices of the ranges of these starts and sizes, one after the other."""
+    end = np.cumsum(size)
+    at = np.repeat(starts - end + size, size)
+    at += np.arange(len(at))
+    return at
+
+
+def points(weight: np.ndarray, at: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    """Rounded scores of the postings ``at``, from each one's scaled idf (overwritten)."""
+    scaled *= weight[at]
+    return np.rint(scaled, out=scaled)
 
 
 class Best:
@@ -267,9 +279,11 @@ def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
     light, heavy = order[below], order[~below]
     if not len(heavy):
         return 0
-    posting, of = ranges(shard.first[terms[heavy]], shard.first[terms[heavy] + 1])
+    first = shard.first[terms[heavy]]
+    size = shard.first[terms[heavy] + 1] - first
+    posting = positions(first, size)
     n = len(shard.ids)
-    total = np.bincount(shard.docs[posting], np.rint(SCALE * idf[heavy][of] * shard.weight[posting]), n)
+    total = np.bincount(shard.docs[posting], points(shard.weight, posting, np.repeat(SCALE * idf[heavy], size)), n)
     docs = np.flatnonzero(total)
     if len(light):
         at, of = ranges(groups.entry[terms[light]], groups.entry[terms[light] + 1])
@@ -289,7 +303,7 @@ def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
         mark[docs // BLOCK_DOCS] = True
         mine = np.flatnonzero(mark[number])
         posting, of = ranges(blocks.first[inner[mine]], blocks.first[inner[mine] + 1])
-        total += np.bincount(shard.docs[posting], np.rint(SCALE * weight[mine][of] * shard.weight[posting]), n)
+        total += np.bincount(shard.docs[posting], points(shard.weight, posting, SCALE * weight[mine][of]), n)
     hit = docs[total[docs] >= threshold]
     best.add(total[hit], shard.ids[hit])
     return len(docs)
