@@ -54,7 +54,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -73,11 +73,15 @@ BUCKET_ROWS = 1_000_000
 SMALL_GROUP = 64
 #: pairs that a bucket counts at most; beyond, the larger groups are treated as large ones
 MEET_PAIRS = 4_000_000
+#: groups before it that a member of a large group remembers: a pair that met in one of them is not given again
+REMEMBERED = 8
 #: segments of a band in one bucket at most: their number takes the lowest bits of a key
 SEGMENT_BITS = 8
 #: text whose signatures are packed together
 CHUNK_BYTES = 4 << 20
 MINIMA = 3
+#: what names a signature group
+GROUP = ["bucket", "grp"]
 #: bits of the smallest sketch, to which every sketch folds; they join as so many 64-bit words
 LEAST_SKETCH = 512
 FOLDED = [f"folded_{k}" for k in range(LEAST_SKETCH // 64)]
@@ -633,17 +637,22 @@ def across_components(large: DataFrame, texts: DataFrame) -> DataFrame:
 
     Sizes and folded sketches are compared inside the join, so pairs that
     cannot link are never rows: linked sets differ in at most (n + m) / 7
-    shingles, and folded sketches in at most as many bits.
+    shingles, and folded sketches in at most as many bits. The groups have one
+    order for all members; a pair that shares one of the last ``REMEMBERED``
+    groups of both has met before. The first group of a pair always gives it.
     """
     members = materialize(large.select("a").distinct(), "op4-mixed-members")
     # rows that repeat an id bring one sketch each, and meet under all of them
     sketched = members.join(texts.select(F.col("doc_id").alias("a"), "sketch"), "a").distinct()
     words = materialize(sketched.mapInArrow(tv.tidy(_fold), "a long, " + ", ".join(f"{c} long" for c in FOLDED)), "op4-folded")
+    before = Window.partitionBy("a", "n").orderBy("place").rowsBetween(-REMEMBERED, -1)
+    large = large.withColumn("place", F.xxhash64(*GROUP)).withColumn("earlier", F.collect_list("place").over(before)).drop("place")
     large = large.join(words, "a")
     far = " + ".join(f"bit_count(l.{c} ^ r.{c})" for c in FOLDED)
     apart = (F.expr("l.bucket = r.bucket AND l.grp = r.grp AND l.comp < r.comp")
              & F.expr(f"{DEN} * least(l.n, r.n) >= {NUM} * greatest(l.n, r.n)")
-             & F.expr(f"{NUM + DEN} * ({far}) <= {DEN - NUM} * (l.n + r.n)"))
+             & F.expr(f"{NUM + DEN} * ({far}) <= {DEN - NUM} * (l.n + r.n)")
+             & ~F.arrays_overlap("l.earlier", "r.earlier"))
     return large.alias("l").join(large.alias("r"), apart).select(F.least("l.a", "r.a").alias("a"), F.greatest("l.a", "r.a").alias("b"))
 
 
@@ -694,21 +703,20 @@ def join_classes(docs: DataFrame) -> DataFrame:
     odd = (rows.mapInArrow(tv.tidy(_sign_irregular(popular)), "grp long, a long, digest long, n long")
            .groupBy("grp", "digest").agg(F.min("a").alias("a"), F.first("n").alias("n"))
            .select(F.lit(-1).cast("long").alias("bucket"), "grp", "a", "n"))
-    group = ["bucket", "grp"]
     large = met.where("b < 0").select("bucket", "grp", "a", "n").unionByName(odd)
     large = materialize(large, "op4-signed")
     large = _label(large, "a", labels, "comp")
     # per group and component its smallest member against the group's smallest: most near copies meet here
-    few = materialize(large.groupBy(*group, "comp").agg(F.min("a").alias("a")), "op4-few")
-    hub = materialize(few.groupBy(*group).agg(F.min("a").alias("hub"), F.count("*").alias("c")).where("c > 1"), "op4-few-hub")
-    star = few.join(hub, group).where("a <> hub").select(F.col("hub").alias("x"), "a")
+    few = materialize(large.groupBy(*GROUP, "comp").agg(F.min("a").alias("a")), "op4-few")
+    hub = materialize(few.groupBy(*GROUP).agg(F.min("a").alias("hub"), F.count("*").alias("c")).where("c > 1"), "op4-few-hub")
+    star = few.join(hub, GROUP).where("a <> hub").select(F.col("hub").alias("x"), "a")
     star = materialize(plausible(star.select(F.least("x", "a").alias("a"), F.greatest("x", "a").alias("b")).distinct(), texts),
                        "op4-star")
     found = materialize(found.unionByName(verified(rows, star, "op4-star")), "op4-found")
     labels = components(found, "op4-star")
     large = materialize(_label(large.drop("comp"), "a", labels, "comp"), "op4-members")
-    mixed = large.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
-    large = materialize(large.join(mixed, group), "op4-large")
+    mixed = large.groupBy(*GROUP).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*GROUP)
+    large = materialize(large.join(mixed, GROUP), "op4-large")
     across = across_components(large, texts)
     pairs = met.where("b >= 0").select("a", "b").distinct()
     pairs = _label(_label(pairs, "a", labels, "ca"), "b", labels, "cb").where("ca <> cb").select("a", "b")

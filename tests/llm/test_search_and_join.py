@@ -334,6 +334,24 @@ def test_only_plausible_pairs_across_components(spark):
     assert found == {(1, 2), (2, 3), (2, 4)}
 
 
+def test_pairs_across_components_meet_in_few_of_their_groups(spark):
+    rng = random.Random(12)
+    base = np.unique(np.random.RandomState(7).randint(1, 2**62, 100).astype(np.uint64))
+    # every set is near every other one; odd ones share all groups, the others only some
+    texts = spark.createDataFrame([(i, bytearray(op4.sketches(base, np.array([0, len(base)]))[0])) for i in range(8)],
+                                  "doc_id long, sketch binary")
+    members = [(-1, g, i, len(base), i) for g in range(60) for i in range(8) if i % 2 or rng.random() < 0.04]
+    large = spark.createDataFrame(members, "bucket long, grp long, a long, n long, comp long")
+    held = collections.defaultdict(set)
+    for _, g, i, _, _ in members:
+        held[i].add(g)
+    shared = {(a, b): len(held[a] & held[b]) for a in held for b in held if a < b and held[a] & held[b]}
+    got = collections.Counter((r["a"], r["b"]) for r in op4.across_components(large, texts).collect())
+    assert set(got) == set(shared)
+    assert all(got[a, b] == 1 for a, b in got if a % 2 and b % 2)
+    assert sum(got.values()) < sum(shared.values()) / 3
+
+
 def test_join_of_nothing(spark):
     assert op4.join_classes(empty(spark)).count() == 0
 
