@@ -1,7 +1,8 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Texts are packed once into chunks of about ``CHUNK_BYTES`` (ids into a chunk's
-own dictionary), written under the shared folder; every later pass reads those.
+own dictionary), written in buckets under the shared folder; every later pass reads
+those where they lie, and only answers are shuffled to them.
 
 1. Strings of 1 to DEPTH + 1 tokens, one length after the other: each chunk sends
    its distinct strings with their training counts to hash buckets; a bucket adds
@@ -37,12 +38,14 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textvec as tv
+from ..session import scratch_path
 from .common import fold, materialize
 
 DEPTH = 3
@@ -51,7 +54,8 @@ MIN_CONTEXT = 2
 MIN_COUNT = 2
 MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.5
-CHUNK_BYTES = 4 << 20
+#: text of a chunk: strings that repeat within one are sent once, so larger chunks send fewer
+CHUNK_BYTES = 8 << 20
 #: strings of all chunks that meet in one bucket, about
 BUCKET_ROWS = 400_000
 
@@ -75,10 +79,28 @@ def expand(data: bytes, dtype: str) -> np.ndarray:
 
 # ------------------------------------------------------------------ packing
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``CHUNK_BYTES`` of text, across the batches of a task."""
+    held, size = [], 0
+
+    def together() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for part in tv.pieces(batches, max_bytes=max(CHUNK_BYTES // 8, 1)):
+        n = pc.sum(pc.binary_length(tv.column(part, "text"))).as_py() or 0
+        if held and size + n > CHUNK_BYTES:
+            yield together()
+            held, size = [], 0
+        held.append(part)
+        size += n
+    if held:
+        yield together()
+
+
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to chunks: word ids by frequency, one end token behind each text."""
     task, number = TaskContext.get().partitionId(), 0
-    for part in tv.pieces(batches, max_bytes=CHUNK_BYTES):
+    for part in gathered(batches):
         words = tv.words_of(part)
         counts = words.counts()
         stream = np.empty(len(words.hashes) + len(counts), _U)
@@ -291,6 +313,7 @@ def _walks(left: pd.DataFrame, right: pd.DataFrame, model: Model, upto: int) ->
 def _ask(model: Model, upto: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [_asked(row["chunk"], asked, model) for row, _, asked in _walks(left, right, model, upto)]
+        tv.release_memory()
         return pd.concat(out) if out else pd.DataFrame(columns=ASK_COLUMNS)
 
     return run
@@ -319,6 +342,7 @@ def _answer(model: Model):
             np.maximum.at(sizes, inverse, np.concatenate([expand(x, "<i8") for x in pdf["c0"]]))
             rest = kept(np.maximum(sizes, 1).astype(float), total("c1", "<i8"), total("c2", "<i8"), total("c3", "<f8"), total("c4", "<f8"), model.min_divergence)
             seen, answer = int((rest > 0).sum()), rest[inverse]
+        tv.release_memory()
         return pd.DataFrame({
             "step": step, "chunk": [*pdf["chunk"], -1], "bucket": int(pdf["bucket"].iloc[0]),
             "data": [*(squeeze(answer[e - len(k):e]) for e, k in zip(ends, keys, strict=True)), None],
@@ -349,6 +373,7 @@ def _score(model: Model):
                 "doc_id": pd.array(list(row["doc_ids"]), "Int64"), "held_out": chunk.held, "n_tokens": chunk.sizes,
                 "n_known": tv.segment_sums(walk.known, chunk.first), "train_tokens": model.n,
                 "base_score": tv.segment_sums(walk.root, chunk.first), "score": tv.segment_sums(walk.logp, chunk.first)}))
+        tv.release_memory()
         return pd.concat(out) if out else pd.DataFrame(columns=SCORE_COLUMNS)
 
     return run
@@ -369,6 +394,18 @@ def shuffles_released(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, former)
 
 
+def in_buckets(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+    """Written under the shared folder in ``n`` buckets of the key, so that joins on it need not shuffle it again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    # the files stay: only the name goes
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
 SCORE_COLUMNS = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                 "base_score double, score double")
@@ -384,13 +421,14 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, depth: int
     held = fold(F.col("doc_id"), 7) == 2 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.coalesce(held, F.lit(False)).alias("held_out"))
-    chunks = materialize(rows.mapInArrow(pack, CHUNK_SCHEMA), "op6-chunks")
+    with shuffles_released(docs.sparkSession):
+        chunks = in_buckets(rows.mapInArrow(tv.tidy(pack), CHUNK_SCHEMA), "op6-chunks", "chunk", max(1, rows.rdd.getNumPartitions()))
     seen = chunks.agg(F.sum("n_words").alias("w"), F.sum("n_train").alias("n"), F.sum("n_texts").alias("t")).first()
     n = seen["n"] or 0
     model = Model(n, seen["t"] or 0, 0, depth, max(min_share * n, MIN_CONTEXT), min_next, min_divergence,
                   max(1, -(-(seen["w"] or 0) // BUCKET_ROWS)), max(1, -(-n // (2 * BUCKET_ROWS))))
     packed = chunks.select("chunk", "ids", "sizes", "words", "held_out")
-    asked = packed.mapInArrow(_ask_words(model), ASK_SCHEMA)
+    asked = packed.mapInArrow(tv.tidy(_ask_words(model)), ASK_SCHEMA)
     answers = None
     for upto in range(depth + 2):
         if upto:

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -385,3 +386,25 @@ def test_toxicity_edges(spark):
     assert len(got) == docs.count() and {r["score"] for r in got} == {0.0}
     assert op10.score_documents(empty(spark), none).count() == 0
     assert op10.drop_toxic(docs, none).columns == docs.columns
+
+
+def test_chunks_gather_batches(monkeypatch):
+    monkeypatch.setattr(op6, "CHUNK_BYTES", 100)
+    texts = ["x" * 10, None, "y" * 30, "", "z" * 250, *["w" * 20] * 12]
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": pa.array([t], pa.string())}) for i, t in enumerate(texts)]
+    got = [b.to_pydict() for b in op6.gathered(iter(batches))]
+    assert [i for b in got for i in b["doc_id"]] == list(range(len(texts))) and [t for b in got for t in b["text"]] == texts
+    # one batch a row came in; runs hold as many rows as fit
+    assert [sum(len(t or "") for t in b["text"]) for b in got] == [40, 250, 100, 100, 40]
+
+
+def test_chunks_are_not_shuffled_again(spark):
+    rows = spark.range(40).select(F.col("id").alias("chunk"), F.array("id").alias("doc_ids"))
+    kept = op6.in_buckets(rows, "op6-test", "chunk", 4)
+    other = spark.range(40).select(F.col("id").alias("chunk"))
+    both = kept.groupBy("chunk").cogroup(other.groupBy("chunk")).applyInPandas(
+        lambda a, b: pd.DataFrame({"n": [len(a) + 10 * len(b)], "s": [sum(x[0] for x in a["doc_ids"])]}), "n long, s long")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert both.agg(F.sum("n"), F.sum("s"), F.count("*")).first()[:] == (440, 780, 40)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("op6_test")]
