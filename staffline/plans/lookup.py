@@ -14,7 +14,10 @@ from .. import config as C
 from ..functions.semantics import to_number
 from ..operators.joins import inner_null_safe
 from ..operators.unions import union_strict
+from ..session import HASHED_SIDE, settings
 
+#: sheets that a task writes side by side; rows of further ones are sorted by sheet first
+OPEN_SHEETS = 16
 FACT_COLUMNS = ("maincode", "yearmonth", "value", "provider")
 
 
@@ -26,23 +29,24 @@ def fact_union_historic(historic: DataFrame, current: DataFrame) -> DataFrame:
 
 def lookup_all_sheets(fact: DataFrame, ref_long: DataFrame) -> DataFrame:
     """Inner join of the fact with every code-list sheet at once (many-to-many,
-    NULL code matches NULL code), then text values -> double with missing = 0.
+    NULL code matches NULL code); text values -> double with missing = 0, before
+    the join gives a value to several sheets.
 
     The code list is small by nature (codes x sheets), so Spark's size-checked
     auto-broadcast or AQE's runtime re-plan keeps the fact unshuffled; a code
     list beyond the threshold is joined by shuffle, with hot codes split.
     """
-    joined = inner_null_safe(fact.select(*FACT_COLUMNS), ref_long, ["maincode"])
-    return joined.withColumn("value", to_number("value"))
+    return inner_null_safe(fact.select(*FACT_COLUMNS).withColumn("value", to_number("value")), ref_long, ["maincode"])
 
 
 def materialize_by_sheet(spark, looked_up: DataFrame, path: str) -> DataFrame:
     """Write the looked-up fact once, partitioned by sheet, and read it back.
 
-    Rows are rebalanced by sheet first: each sheet in files of the advisory size
-    (large sheets are split, small ones share no task's many little files).
+    Every task writes its own rows of each sheet with all sheets' files open, so
+    the looked-up rows, the largest frame of a run, are neither shuffled nor sorted for it.
     """
-    looked_up.hint("rebalance", "sheet").write.mode("overwrite").partitionBy("sheet").parquet(path)
+    with settings(spark, maxConcurrentOutputFileWriters=str(OPEN_SHEETS), adaptive_maxShuffledHashJoinLocalMapThreshold=HASHED_SIDE):
+        looked_up.write.mode("overwrite").partitionBy("sheet").parquet(path)
     return spark.read.parquet(path).select(*looked_up.columns)
 
 
