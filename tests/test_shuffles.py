@@ -87,6 +87,16 @@ def test_sheets_are_written_without_shuffle_or_sort(spark, tmp_path):
     assert spark.conf.get(key, None) == before
 
 
+def test_the_fill_missing_union_evaluates_fact_and_plans_once(spark, tables, monkeypatch):
+    taken = []
+    for name in ("vacancy_rate", "plan_selector", "wte_by_type"):
+        real = getattr(catalog.measures, name)
+        monkeypatch.setattr(catalog.measures, name, lambda *a, real=real, **k: taken.extend(x for x in a if hasattr(x, "inputFiles")) or real(*a, **k))
+    catalog.union_fill_missing(spark, tables)
+    assert len(taken) == 5
+    assert not any("lineitem" in f for df in taken for f in df.inputFiles())
+
+
 def test_a_model_of_some_sheets_and_plans_holds_all_their_rows(spark, tables):
     whole = catalog.Model(spark, tables)
     some = catalog.Model(spark, tables, materialize=True, land_plans=True, sheets=(1, 6), plan_types=(C.SUBSTANTIVE_PLAN,))
