@@ -31,9 +31,10 @@ change any result; extra columns are dropped.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -56,6 +57,8 @@ MIN_DIVERGENCE = 0.01
 DISCOUNT = 0.5
 #: text of a chunk: strings that repeat within one are sent once, so larger chunks send fewer
 CHUNK_BYTES = 8 << 20
+#: text whose words are hashed at a time
+HASH_BYTES = 1 << 19
 #: strings of all chunks that meet in one bucket, about
 BUCKET_ROWS = 400_000
 
@@ -97,19 +100,25 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield together()
 
 
+def word_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a chunk's texts and how many each has, hashed some texts at a time: that takes many bytes a byte of text."""
+    found = [(words.hashes, words.counts()) for words in map(tv.words_of, tv.pieces(iter([part]), max_bytes=HASH_BYTES))]
+    return np.concatenate([h for h, _ in found]), np.concatenate([c for _, c in found])
+
+
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to chunks: word ids by frequency, one end token behind each text."""
     task, number = TaskContext.get().partitionId(), 0
     for part in gathered(batches):
-        words = tv.words_of(part)
-        counts = words.counts()
-        stream = np.empty(len(words.hashes) + len(counts), _U)
+        hashes, counts = word_hashes(part)
+        stream = np.empty(len(hashes) + len(counts), _U)
         ends = np.cumsum(counts + 1) - 1
         inner = np.ones(len(stream), bool)
         inner[ends] = False
-        stream[inner] = words.hashes
+        stream[inner] = hashes
         stream[ends] = END
-        distinct, ids, seen = np.unique(stream, return_inverse=True, return_counts=True)
+        distinct, _, ids = grouped(stream)
+        seen = np.bincount(ids, minlength=len(distinct))
         order = np.argsort(-seen, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
@@ -150,6 +159,33 @@ def cuts_of(keys: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(keys, np.array([k * 2**64 // n for k in range(n)], _U)).tolist() + [len(keys)]
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct sorted keys, where each is first, which of them each key is), as ``np.unique`` gives them.
+
+    The highest bits of a key and its position are sorted as one integer, which takes a fraction of the time of
+    sorting positions by keys. Different keys that agree in those bits are few, and put right afterwards.
+    """
+    n = len(keys)
+    if not n:
+        return keys, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = _U((1 << max(n - 1, 1).bit_length()) - 1)
+    packed = (keys & ~place) | np.arange(n, dtype=_U)
+    packed.sort()
+    order = (packed & place).astype(np.int64)
+    packed &= ~place  # in place: a worker holds few arrays of all positions at a time
+    ordered = keys[order]
+    changes = ordered[1:] != ordered[:-1]
+    for at in np.unique(packed[1:][changes & (packed[1:] == packed[:-1])]):
+        lo, hi = np.searchsorted(packed, at), np.searchsorted(packed, at, "right")
+        order[lo:hi] = order[lo:hi][np.argsort(keys[order[lo:hi]], kind="stable")]
+        ordered[lo:hi] = keys[order[lo:hi]]
+        changes[lo:hi - 1] = ordered[lo + 1:hi] != ordered[lo:hi - 1]
+    starts = np.concatenate(([0], np.flatnonzero(changes) + 1))
+    which = np.empty(n, np.int64)
+    which[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+    return ordered[starts], order[starts], which
+
+
 def lookup(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """Index of each value in a sorted table, -1 where it is not there."""
     if not len(table):
@@ -183,20 +219,29 @@ class Model:
 class Strings:
     """Distinct strings of one length in a chunk by sorted key; ``at`` is the one that ends at a position, or -1."""
 
-    def __init__(self, raw: np.ndarray, ok: np.ndarray):
-        self.raw = raw
-        self.keys, self.first, inverse = np.unique(tv.mix(raw[ok]), return_index=True, return_inverse=True)
-        self.first = np.flatnonzero(ok)[self.first]
-        self.at = np.full(len(raw), -1, np.int64)
-        self.at[ok] = inverse
+    def __init__(self, raw: np.ndarray, keys: np.ndarray, at: np.ndarray, first: np.ndarray | None = None):
+        self.raw, self.keys, self.at, self.first = raw, keys, at, first
         self.totals = self.owned = None
 
+    @classmethod
+    def of_words(cls, chunk: Chunk) -> Strings:
+        """Single tokens: the chunk's dictionary is distinct already."""
+        keys = tv.mix(chunk.words)
+        order = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return cls(chunk.words[chunk.ids], keys[order], rank[chunk.ids])
+
+    @classmethod
+    def of_positions(cls, raw: np.ndarray, ok: np.ndarray) -> Strings:
+        keys, first, which = grouped(tv.mix(raw[ok]))
+        at = np.full(len(raw), -1, np.int64)
+        at[ok] = which
+        return cls(raw, keys, at, np.flatnonzero(ok)[first])
+
     def answered(self, data: np.ndarray) -> None:
         self.totals, self.owned = data >> 1, (data & 1).astype(bool)
 
-    def total_at(self) -> np.ndarray:
-        return np.append(self.totals, 0)[self.at]
-
 
 class Walk:
     """The positions of a chunk, as many lengths on as there are answers (by step: 2d for strings of d context
@@ -204,10 +249,11 @@ class Walk:
 
     def __init__(self, chunk: Chunk, model: Model, answers: dict[int, list[bytes]]):
         self.chunk, self.model, self.answers = chunk, model, answers
-        self.tokens = chunk.words[chunk.ids]
+        self.last = Strings.of_words(chunk)
+        self.tokens = self.last.raw
+        chunk.ids = None  # the walk goes on with places in sorted keys
         self.begins = np.zeros(len(self.tokens), bool)
         self.begins[chunk.first[:-1]] = True
-        self.last = Strings(self.tokens, np.ones(len(self.tokens), bool))
 
     def answer(self, step: int, dtype: str) -> np.ndarray:
         return np.concatenate([np.zeros(0, dtype), *(expand(x, dtype) for x in self.answers.get(step, []))])
@@ -224,8 +270,8 @@ class Walk:
         if upto == 0:
             return [self.ask(0, last)]
         last.answered(self.answer(0, "<i8"))
-        self.root = np.log10((last.total_at() + 1.0) / (model.n + model.v + 1.0))
-        self.known, self.logp = last.total_at() > 0, self.root
+        self.root = np.log10((last.totals + 1.0) / (model.n + model.v + 1.0))[last.at]
+        self.known, self.logp = (last.totals > 0)[last.at], self.root
         asked = []
         for d in range(1, model.depth + 1):
             if d > upto:
@@ -235,26 +281,28 @@ class Walk:
             keys = np.append(last.keys, tv.mix(np.array([START], _U)))
             sizes = np.append(last.totals, model.texts if d == 1 else 0)
             context = self.before(last.at, start)
-            context[(context < 0) | (sizes[context] < max(model.least, MIN_COUNT if d > 1 else 1))] = -1
+            context[(context < 0) | (sizes < max(model.least, MIN_COUNT if d > 1 else 1))[context]] = -1
             inside = context >= 0
-            now = Strings(self.before(last.raw, START) * _K + self.tokens, inside & (last.total_at() >= MIN_COUNT))
+            often = np.append(last.totals >= MIN_COUNT, False)[last.at]
+            now = Strings.of_positions(self.before(last.raw, START) * _K + self.tokens, inside & often)
             if d == upto:
                 asked.append(self.ask(2 * d, now))
                 break
             now.answered(self.answer(2 * d, "<i8"))
             of = context[now.first]
             entry = (now.totals >= MIN_COUNT) & (now.totals >= model.min_next * sizes[of])
-            used = np.flatnonzero(np.bincount(context[inside], minlength=len(keys)))
+            used = np.zeros(len(keys), bool)
+            used[context[inside]] = True
+            used = np.flatnonzero(used)
             used = used[np.argsort(keys[used])]
             if d + 1 == upto:
                 asked.append(self.sums(2 * d + 1, keys, sizes, used, of, now, entry))
             else:
                 rest = np.zeros(len(keys) + 1)
                 rest[used] = self.answer(2 * d + 1, "<f8")
-                rest = rest[context]
-                rest[~inside] = 0
+                kept_at = (rest > 0)[context] & inside
                 own = np.append(np.where(entry, lift((now.totals - DISCOUNT) / np.maximum(sizes[of], 1)), np.nan), np.nan)[now.at]
-                self.logp = np.where(rest > 0, np.where(np.isnan(own), lift(rest) + self.logp, own), self.logp)
+                self.logp = np.where(kept_at, np.where(np.isnan(own), lift(rest)[context] + self.logp, own), self.logp)
             last = now
         return asked
 
@@ -303,8 +351,9 @@ def _ask_words(model: Model):
 
 def _walks(left: pd.DataFrame, right: pd.DataFrame, model: Model, upto: int) -> Iterator[tuple[dict, Walk, list]]:
     for row in left.to_dict("records"):
+        held = [] if row["held"] is None else [(x["step"], x["bucket"], x["data"]) for x in row["held"]]
         answers: dict[int, list[bytes]] = {}
-        for step, data in right.sort_values(["step", "bucket"])[["step", "data"]].itertuples(index=False):
+        for step, _, data in sorted([*held, *right[["step", "bucket", "data"]].itertuples(index=False, name=None)], key=lambda x: x[:2]):
             answers.setdefault(step, []).append(data)
         walk = Walk(Chunk(row), model, answers)
         yield row, walk, walk.run(upto)
@@ -326,6 +375,7 @@ def _answer(model: Model):
         pdf = pdf.sort_values("chunk")
         keys = [expand(k, "<u8") for k in pdf["keys"]]
         ends = np.cumsum([len(k) for k in keys])
+        # every chunk's keys are sorted, which a merge sort makes use of
         distinct, first, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         step = int(pdf["step"].iloc[0])
 
@@ -421,23 +471,43 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, depth: int
     held = fold(F.col("doc_id"), 7) == 2 if held_out is None else held_out
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.coalesce(held, F.lit(False)).alias("held_out"))
+    n_files = max(1, rows.rdd.getNumPartitions())
     with shuffles_released(docs.sparkSession):
-        chunks = in_buckets(rows.mapInArrow(tv.tidy(pack), CHUNK_SCHEMA), "op6-chunks", "chunk", max(1, rows.rdd.getNumPartitions()))
+        chunks = in_buckets(rows.mapInArrow(tv.tidy(pack), CHUNK_SCHEMA), "op6-chunks", "chunk", n_files)
     seen = chunks.agg(F.sum("n_words").alias("w"), F.sum("n_train").alias("n"), F.sum("n_texts").alias("t")).first()
     n = seen["n"] or 0
     model = Model(n, seen["t"] or 0, 0, depth, max(min_share * n, MIN_CONTEXT), min_next, min_divergence,
                   max(1, -(-(seen["w"] or 0) // BUCKET_ROWS)), max(1, -(-n // (2 * BUCKET_ROWS))))
     packed = chunks.select("chunk", "ids", "sizes", "words", "held_out")
     asked = packed.mapInArrow(tv.tidy(_ask_words(model)), ASK_SCHEMA)
-    answers = None
+    beside, sent = [], None
     for upto in range(depth + 2):
         if upto:
-            asked = packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_ask(model, upto), ASK_SCHEMA)
+            asked = with_answers(packed, beside, sent, _ask(model, upto), ASK_SCHEMA)
+        answered = asked.groupBy("step", "bucket").applyInPandas(_answer(model), ANSWER_SCHEMA)
+        # the first answers are read by every pass: they lie beside the chunks. The last ones would be shuffled there
+        # while all that was asked is still on disk, which takes more than sending them to the one or two passes left
         with shuffles_released(docs.sparkSession):
-            got = materialize(asked.groupBy("step", "bucket").applyInPandas(_answer(model), ANSWER_SCHEMA), "op6-answers")
+            got = in_buckets(answered, "op6-answers", "chunk", n_files) if upto < max(depth, 1) else materialize(answered, "op6-answers")
         if upto == 0:
             model = replace(model, v=got.agg(F.sum("seen").alias("v")).first()["v"] or 0)
         got = got.where("chunk >= 0").select("step", "chunk", "bucket", "data")
-        answers = got if answers is None else answers.unionByName(got)
-    scored = (chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_score(model), SCORE_SCHEMA))
-    return scored.select(*SCORE_COLUMNS)
+        if upto < max(depth, 1):
+            beside.append(got)
+        else:
+            sent = got if sent is None else sent.unionByName(got)
+    return with_answers(chunks, beside, sent, _score(model), SCORE_SCHEMA).select(*SCORE_COLUMNS)
+
+
+def with_answers(chunks: DataFrame, beside: list[DataFrame], sent: DataFrame | None, run: Callable, schema: str) -> DataFrame:
+    """``run`` over each chunk and its answers: those in the chunks' own buckets, read in place, and those ``sent`` to them."""
+    lists = [got.groupBy("chunk").agg(F.collect_list(F.struct("step", "bucket", "data")).alias(f"held{k}"))
+             for k, got in enumerate(beside)]
+    # the first pass answers every chunk; the wide rows of the chunks join last
+    held = reduce(lambda a, b: a.join(b, "chunk", "left"), lists).select(
+        "chunk", F.concat(*[F.coalesce(F.col(f"held{k}"), F.array()) for k in range(len(beside))]).alias("held"))
+    left = chunks.join(held, "chunk", "left").select(*chunks.columns, "held").groupBy("chunk")
+    if sent is None:
+        none = pd.DataFrame(columns=["step", "chunk", "bucket", "data"])
+        return left.applyInPandas(lambda pdf: run(pdf, none), schema)
+    return left.cogroup(sent.groupBy("chunk")).applyInPandas(run, schema)

@@ -408,3 +408,36 @@ def test_chunks_are_not_shuffled_again(spark):
     assert plan.count("Exchange") == 1
     assert both.agg(F.sum("n"), F.sum("s"), F.count("*")).first()[:] == (440, 780, 40)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("op6_test")]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5000])
+def test_grouped_keys_equal_unique(n):
+    """Repeated keys, and keys that differ in the lowest bits alone, which give way to positions while sorting."""
+    rng = np.random.RandomState(n)
+    keys = rng.randint(0, 2**62, max(n // 20, 1)).astype(np.uint64)[rng.randint(0, max(n // 20, 1), n)]
+    keys[n // 2:] ^= rng.randint(0, 3, n - n // 2).astype(np.uint64)
+    want = np.unique(keys, return_index=True, return_inverse=True)
+    for got, expected in zip(op6.grouped(keys), want, strict=True):
+        assert (got == expected).all() and len(got) == len(expected)
+
+
+def test_first_answers_are_read_beside_the_chunks(spark):
+    docs = spark.createDataFrame([(k, "a b c a b c d " * (k + 1)) for k in range(12)], "doc_id long, text string")
+    scored = op6.score_documents(docs)
+    lines = scored._jdf.queryExecution().executedPlan().toString().splitlines()
+    # one exchange, of the last passes' answers; the tables beside the chunks and the chunks need none
+    assert sum("Exchange hashpartitioning" in x for x in lines) == 1
+    assert sum("op6_answers_" in x for x in lines) == op6.DEPTH
+    assert op6.score_documents(docs, depth=0).count() == 12
+
+
+def test_words_are_hashed_a_few_texts_at_a_time(monkeypatch):
+    texts = ["One two  two", None, "", "x" * 300 + " y", "two Three"]
+    part = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    whole = op6.tv.words_of(part)
+    sizes, real = [], op6.tv.words_of
+    monkeypatch.setattr(op6, "HASH_BYTES", 16)
+    monkeypatch.setattr(op6.tv, "words_of", lambda x: sizes.append(x.num_rows) or real(x))
+    hashes, counts = op6.word_hashes(part)
+    assert (hashes == whole.hashes).all() and (counts == whole.counts()).all()
+    assert len(sizes) > 1 and sum(sizes) == len(texts)
