@@ -7,16 +7,19 @@ narrow pass (texts are not shuffled) and written to the shared folder.
 Queries come in blocks of bounded size that are broadcast. For each block the
 shards first add up the document frequencies of its terms, so every shard
 scores with the same global statistics (documents, mean length, frequencies).
-Then each shard works term at a time over blocks of ``BLOCK_DOCS`` neighbouring
-documents (ordered by their most frequent word and length, so that neighbours
-are alike): the terms that alone can lift a document over the k-th best score
-so far (heavy terms) are summed in full, and a group or block whose bounds (a
-term's largest weight there) cannot reach it takes no postings of the others.
-This is block-max pruning as in MaxScore; WAND's pivot per document, which
-would skip blocks of heavy terms as well, is not built. A task carries the threshold from
-shard to shard. One shard in ``SEED_SHARE`` is searched first, and the k-th best
-score found there is the floor that the tasks of all other shards start with. The
-best k of all tasks are merged by rank; nothing is approximate.
+Then each shard takes the queries in batches, over blocks of ``BLOCK_DOCS``
+neighbouring documents (ordered by their most frequent word and length, so that
+neighbours are alike; so are the queries of a batch). Rare terms are summed by
+their postings. The block's best such sum and its largest weights of the frequent
+terms bound what a document there can score: blocks that cannot reach the k-th
+best score so far of any query of the batch are skipped, in the others the
+frequent terms' weights are multiplied as a matrix. This is block-max pruning as in
+MaxScore, with the rare terms as the essential ones, not WAND's pivot per document.
+Those sums are of limited precision and compared with slack; a document that can
+reach the threshold is scored in full. A task carries the threshold from shard to
+shard. One shard in ``SEED_SHARE`` is searched first, and the k-th best score found
+there is the floor that the tasks of all other shards start with. The best k of all
+tasks are merged by rank; nothing is approximate.
 
 score = sum over the query's distinct terms of
 round(1e6 * ln(1 + (N - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) / 1e6,
@@ -32,6 +35,7 @@ extra columns are dropped.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +51,14 @@ from .op6_suffix_tree_lm import expand, lookup, squeeze
 K = 10
 K1, B = 1.2, 0.75
 SHARD_BYTES = 6 << 20
-BLOCK_DOCS = 16
-#: blocks whose common bound is tried first
-GROUP_BLOCKS = 8
+BLOCK_DOCS = 8
+#: a term in this share of a shard's documents, and in so many, is frequent; cells of the matrix of frequent terms
+OFTEN, LEAST_OFTEN = 0.06, 8
+DENSE_CELLS = 4 << 20
+#: queries searched together, and sums and postings held at a time
+BATCH_QUERIES = 256
+BATCH_CELLS = 1 << 19
+BATCH_POSTINGS = 1 << 21
 #: bounds of one broadcast block of queries
 BLOCK_QUERIES = 4096
 BLOCK_TERMS = 1_000_000
@@ -128,9 +137,18 @@ class Queries:
         self.first = np.concatenate(([0], np.cumsum([len(t) for t in every])))
         self.terms, self.places = np.unique(np.concatenate(every), return_inverse=True)
         self.idf = np.zeros(len(self.terms))
+        #: 0 for the most frequent term
+        self.rank = np.arange(len(self.terms))
         #: a score that k documents are known to reach, for each query
         self.floor = np.ones(len(self.ids))
 
+    def together(self, most: int) -> Iterator[np.ndarray]:
+        """The queries in batches, those with the same most frequent word (mostly the language) next to each other."""
+        order = np.argsort(np.minimum.reduceat(self.rank[self.places], self.first[:-1]), kind="stable")
+        step = min(max(most, 1), BATCH_QUERIES)
+        for a in range(0, len(order), step):
+            yield order[a:a + step]
+
 
 def query_blocks(queries: DataFrame) -> Iterator[Queries]:
     """Queries (doc_id, text) in blocks of bounded size, by id."""
@@ -171,49 +189,45 @@ def _add(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 class Shard:
-    """Postings of a shard, with the blocks of every term."""
+    """Postings of a shard by term, and the weights of its frequent terms as a matrix with its blocks' largest weights."""
 
     def __init__(self, row: dict, mean_length: float):
         self.ids = np.array([np.iinfo(np.int64).max if i is None else i for i in row["doc_ids"]], np.int64)
-        self.null = np.array([i is None for i in row["doc_ids"]], bool)
         length = expand(row["lengths"], "<u4").astype(float)
         self.terms = np.frombuffer(row["terms"], _U)
-        counts = expand(row["counts"], "<u4").astype(np.int64)
+        self.counts = expand(row["counts"], "<u4").astype(np.int64)
         self.docs = expand(row["docs"], "<u4").astype(np.int64)
         tf = expand(row["tfs"], "<u4").astype(float)
         norm = K1 * (1 - B + B * length / max(mean_length, 1e-9))
         self.weight = tf * (K1 + 1) / (tf + norm[self.docs])
-        starts = np.cumsum(counts) - counts
-        #: first posting of each term, and its largest weight
-        self.first = np.append(starts, len(self.docs))
-        self.top = np.maximum.reduceat(self.weight, starts) if len(starts) else np.zeros(0)
-        #: blocks of neighbouring documents, and groups of them
-        self.blocks = Blocks(self.docs // BLOCK_DOCS, starts, self.weight)
-        self.groups = Blocks(self.blocks.number // GROUP_BLOCKS, self.blocks.entry[:-1], self.blocks.bound)
-        self.n_groups = len(self.ids) // (BLOCK_DOCS * GROUP_BLOCKS) + 1
-
-
-class Blocks:
-    """Per term and block: the block's number, its first item (posting or block) and its largest weight.
-
-    ``entry[t]:entry[t + 1]`` are the blocks of term t.
-    """
-
-    def __init__(self, number: np.ndarray, term_starts: np.ndarray, weight: np.ndarray):
-        fresh = np.ones(len(number), bool)
-        fresh[1:] = number[1:] != number[:-1]
-        fresh[term_starts[term_starts < len(number)]] = True
-        starts = np.flatnonzero(fresh)
-        self.number = number[starts]
-        self.first = np.append(starts, len(number))
-        self.bound = np.maximum.reduceat(weight, starts) if len(starts) else weight
-        self.entry = np.append(np.searchsorted(starts, term_starts), len(starts))
-
-
-def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All indices of the ranges one after the other, and the range each belongs to."""
-    size = ends - starts
-    return positions(starts, size), np.repeat(np.arange(len(starts)), size)
+        #: first posting of each term
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        n = len(self.ids)
+        often = np.flatnonzero(self.counts >= max(n * OFTEN, LEAST_OFTEN))
+        often = often[np.argsort(-self.counts[often], kind="stable")][:DENSE_CELLS // max(n, 1)]
+        #: column of each frequent term, -1 for the others
+        self.column = np.full(len(self.terms), -1)
+        self.column[often] = np.arange(len(often))
+        posting = positions(self.first[often], self.counts[often])
+        self.dense = np.zeros((n, len(often)), np.float32)
+        self.dense[self.docs[posting], np.repeat(np.arange(len(often)), self.counts[often])] = self.weight[posting]
+        self.block_starts = np.arange(0, n, BLOCK_DOCS)
+        self.block_top = np.maximum.reduceat(self.dense, self.block_starts, axis=0)
+        #: relative error of a sum of that many products of singles, twice over
+        self.slack = 2 * (len(often) + 8) * 2.0 ** -24
+
+    @functools.cached_property
+    def by_doc(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(term, weight) of all postings in order of their documents, and the first of each document."""
+        order = np.argsort(self.docs.astype(np.uint16 if len(self.ids) <= 1 << 16 else np.int64), kind="stable")
+        term = np.repeat(np.arange(len(self.terms)), self.counts)[order]
+        first = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids)))))
+        return term, self.weight[order], first
+
+    @functools.cached_property
+    def blank(self) -> np.ndarray:
+        """A zero for every term, lent to one query at a time."""
+        return np.zeros(len(self.terms))
 
 
 def positions(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -224,12 +238,6 @@ def positions(starts: np.ndarray, size: np.ndarray) -> np.ndarray:
     return at
 
 
-def points(weight: np.ndarray, at: np.ndarray, scaled: np.ndarray) -> np.ndarray:
-    """Rounded scores of the postings ``at``, from each one's scaled idf (overwritten)."""
-    scaled *= weight[at]
-    return np.rint(scaled, out=scaled)
-
-
 class Best:
     """The k best (score, doc id) of one query so far; ``floor`` is a score that k documents are known to reach."""
 
@@ -247,66 +255,79 @@ class Best:
         self.score, self.doc = score[order], doc[order]
 
 
-def _first_floor(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> None:
-    """A first threshold: the k-th best score within the group of blocks with the highest bound."""
-    groups, first = shard.groups, shard.blocks.first
-    at, of = ranges(groups.entry[terms], groups.entry[terms + 1])
-    upper = np.bincount(groups.number[at], idf[of] * groups.bound[at])
-    mine = np.flatnonzero(groups.number[at] == upper.argmax())
-    posting, part = ranges(first[groups.first[at[mine]]], first[groups.first[at[mine] + 1]])
-    total = np.bincount(shard.docs[posting], np.rint(SCALE * idf[of[mine]][part] * shard.weight[posting]))
-    total = np.sort(total[total > 0])
-    if len(total) >= best.k:
-        best.floor = max(best.floor, float(total[-best.k]))
+def _exact(shard: Shard, docs: np.ndarray, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Scores of some documents of a shard."""
+    term, weight, first = shard.by_doc
+    shard.blank[terms] = SCALE * idf
+    score = np.zeros(len(docs))
+    for i, (a, b) in enumerate(zip(first[docs], first[docs + 1], strict=True)):
+        part = shard.blank[term[a:b]]
+        part *= weight[a:b]
+        score[i] = np.rint(part, out=part).sum()
+    shard.blank[terms] = 0
+    return score
 
 
-def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
-    """Update ``best`` with one query's terms (their places in the shard); returns the documents scored in full.
+def search_many(shard: Shard, owner: np.ndarray, terms: np.ndarray, idf: np.ndarray, best: list[Best]) -> int:
+    """Update ``best`` of some queries; returns the pairs of query and document scored in full.
 
-    Pivot: in order of their bounds, the terms that together stay below the
-    threshold cannot lift a document over it, so a document needs one of the
-    others. Those are summed first; what the pivot's terms can add comes from
-    the group's and then the block's bounds, and only documents that can still
-    reach the threshold get all their terms.
+    Query ``owner[i]`` (ascending) holds the term at place ``terms[i]`` of the shard. The rare terms are summed
+    by their postings. With a block's largest weights of the frequent terms they bound what its documents can
+    reach; the frequent terms are summed only in the blocks that can reach the threshold of one of the queries.
+    Sums are of limited precision up to there, with the slack that takes; documents that can still reach a
+    query's threshold are scored in full.
     """
-    groups, blocks = shard.groups, shard.blocks
-    if best.threshold <= 1:
-        _first_floor(shard, terms, idf, best)
-    threshold = best.threshold
-    bound = np.rint(SCALE * idf * shard.top[terms]) + 1
-    order = np.argsort(bound, kind="stable")
-    below = np.cumsum(bound[order]) < threshold
-    light, heavy = order[below], order[~below]
-    if not len(heavy):
-        return 0
-    first = shard.first[terms[heavy]]
-    size = shard.first[terms[heavy] + 1] - first
-    posting = positions(first, size)
-    n = len(shard.ids)
-    total = np.bincount(shard.docs[posting], points(shard.weight, posting, np.repeat(SCALE * idf[heavy], size)), n)
-    docs = np.flatnonzero(total)
-    if len(light):
-        at, of = ranges(groups.entry[terms[light]], groups.entry[terms[light] + 1])
-        weight, number = idf[light][of], groups.number[at]
-        more = np.bincount(number, np.rint(SCALE * weight * groups.bound[at]) + 1, shard.n_groups)
-        docs = docs[total[docs] + more[docs // (BLOCK_DOCS * GROUP_BLOCKS)] >= threshold]
-        if not len(docs):
-            return 0
-        mark = np.zeros(shard.n_groups, bool)
-        mark[docs // (BLOCK_DOCS * GROUP_BLOCKS)] = True
-        mine = np.flatnonzero(mark[number])
-        inner, of = ranges(groups.first[at[mine]], groups.first[at[mine] + 1])
-        weight, number = weight[mine][of], blocks.number[inner]
-        more = np.bincount(number, np.rint(SCALE * weight * blocks.bound[inner]) + 1, n // BLOCK_DOCS + 1)
-        docs = docs[total[docs] + more[docs // BLOCK_DOCS] >= threshold]
-        mark = np.zeros(n // BLOCK_DOCS + 1, bool)
-        mark[docs // BLOCK_DOCS] = True
-        mine = np.flatnonzero(mark[number])
-        posting, of = ranges(blocks.first[inner[mine]], blocks.first[inner[mine] + 1])
-        total += np.bincount(shard.docs[posting], points(shard.weight, posting, SCALE * weight[mine][of]), n)
-    hit = docs[total[docs] >= threshold]
-    best.add(total[hit], shard.ids[hit])
-    return len(docs)
+    n, k = len(shard.ids), best[0].k
+    held = np.bincount(owner, minlength=len(best))
+    column = shard.column[terms]
+    rare = column < 0
+    size = shard.counts[terms[rare]]
+    if len(best) > 1 and size.sum() > BATCH_POSTINGS:
+        half = len(best) // 2
+        cut = np.searchsorted(owner, half)
+        return (search_many(shard, owner[:cut], terms[:cut], idf[:cut], best[:half])
+                + search_many(shard, owner[cut:] - half, terms[cut:], idf[cut:], best[half:]))
+    posting = positions(shard.first[terms[rare]], size)
+    key = np.repeat(owner[rare] * n, size)
+    key += shard.docs[posting]
+    part = np.repeat(idf[rare], size)
+    part *= shard.weight[posting]
+    sums = np.bincount(key, part, len(best) * n).astype(float, copy=False).reshape(len(best), n)
+    asked = np.zeros((len(best), shard.dense.shape[1]), np.float32)
+    asked[owner[~rare], column[~rare]] = idf[~rare]
+
+    # what a sum must reach; a document without any of the terms is no result
+    need = np.array([x.threshold for x in best])
+    need = np.maximum((need - 1 - 0.5 * held) / (SCALE * (1 + shard.slack)), 1e-7)
+    top = np.maximum.reduceat(sums, shard.block_starts, axis=1)
+    top += asked @ shard.block_top.T
+    starts = shard.block_starts[(top >= need[:, None]).any(axis=0)]
+    docs = positions(starts, np.minimum(starts + BLOCK_DOCS, n) - starts)
+    sums = sums[:, docs]
+    sums += asked @ shard.dense[docs].T
+    hit = sums >= need[:, None]
+
+    # k documents of many reach the k-th best sum less the slack
+    many = np.flatnonzero(hit.sum(axis=1) > 2 * k)
+    if len(many):
+        kth = np.partition(sums[many], len(docs) - k, axis=1)[:, len(docs) - k]
+        least = SCALE * kth * (1 - shard.slack) - 0.5 * held[many] - 1
+        need[many] = np.maximum(need[many], (least - 1 - 0.5 * held[many]) / (SCALE * (1 + shard.slack)))
+        hit[many] = sums[many] >= need[many, None]
+    at = np.concatenate(([0], np.cumsum(held)))
+    found = hit.sum(axis=1)
+    for q in np.flatnonzero(found):
+        mine = docs[hit[q]]
+        score = _exact(shard, mine, terms[at[q]:at[q + 1]], idf[at[q]:at[q + 1]])
+        enough = score >= best[q].threshold
+        if enough.any():
+            best[q].add(score[enough], shard.ids[mine[enough]])
+    return int(found.sum())
+
+
+def search(shard: Shard, terms: np.ndarray, idf: np.ndarray, best: Best) -> int:
+    """Update ``best`` with one query's terms (their places in the shard); returns the documents scored in full."""
+    return search_many(shard, np.zeros(len(terms), np.int64), terms, idf, [best])
 
 
 def _search(shared, mean_length: float, k: int):
@@ -317,12 +338,13 @@ def _search(shared, mean_length: float, k: int):
             for n in range(batch.num_rows):
                 shard = Shard(batch.slice(n, 1).to_pylist()[0], mean_length)
                 place = lookup(shard.terms, queries.terms)
-                for q, (a, b) in enumerate(zip(queries.first[:-1], queries.first[1:], strict=True)):
-                    mine = queries.places[a:b]
-                    at = place[mine]
+                for some in queries.together(BATCH_CELLS // len(shard.ids)):
+                    size = queries.first[some + 1] - queries.first[some]
+                    term = queries.places[positions(queries.first[some], size)]
+                    at = place[term]
                     there = at >= 0
-                    if there.any():
-                        search(shard, at[there], queries.idf[mine[there]], best[q])
+                    owner = np.repeat(np.arange(len(some)), size)[there]
+                    search_many(shard, owner, at[there], queries.idf[term[there]], [best[q] for q in some])
         if not best:
             return
         sizes = [len(x.score) for x in best]
@@ -366,6 +388,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                    .groupBy("slice").applyInPandas(_add, "slice long, n binary").orderBy("slice").collect())
         df = np.concatenate([np.frombuffer(r["n"], np.int64) for r in counted]).astype(float)
         block.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        block.rank = np.argsort(np.argsort(-df, kind="stable"))
         first = materialize(_ranked(_found(index.where("seed"), block, mean_length, k), k), "op1-first")
         block.floor = np.maximum(block.floor, _floors(first, block.ids, k))
         part = first.drop("rank").unionByName(_found(index.where("NOT seed"), block, mean_length, k))

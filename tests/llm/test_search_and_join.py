@@ -91,6 +91,53 @@ def test_bm25_floor_of_the_first_shards(spark, monkeypatch):
     assert (floors[1] == 1).all()
 
 
+def shard_of(texts, mean):
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    return op1.Shard(next(op1.build(iter([batch]))).to_pylist()[0], mean)
+
+
+def every_score(shard, terms, idf):
+    total = np.zeros(len(shard.ids))
+    for t, w in zip(terms, idf, strict=True):
+        a, b = shard.first[t], shard.first[t + 1]
+        total[shard.docs[a:b]] += np.rint(1e6 * w * shard.weight[a:b])
+    return total
+
+
+def test_bm25_scores_few_documents_in_full():
+    rng = random.Random(21)
+    shard = shard_of([words(rng, 60, ("the", "and", "of", "a", "in", "re")) for _ in range(600)], 60.0)
+    counts = np.diff(shard.first)
+    for _ in range(10):
+        # a whole text as the query: mostly terms of many documents
+        terms = np.sort(np.array(rng.sample(range(len(shard.terms)), 40) + np.argsort(-counts)[:30].tolist()))
+        terms = np.unique(terms)
+        idf = np.log(1 + 600 / counts[terms])
+        total = every_score(shard, terms, idf)
+        order = np.lexsort((shard.ids, -total))[:5]
+        best = op1.Best(5)
+        assert op1.search(shard, terms, idf, best) <= 20
+        assert best.doc.tolist() == shard.ids[order].tolist() and best.score.tolist() == total[order].tolist()
+
+
+@pytest.mark.parametrize("postings", [1 << 21, 50])
+def test_bm25_batch_equals_single_queries(monkeypatch, postings):
+    monkeypatch.setattr(op1, "BATCH_POSTINGS", postings)
+    rng = random.Random(22)
+    texts = [words(rng, rng.randint(1, 60)) for _ in range(300)] + [words(rng, 40)] * 30 + [None, "", "one"]
+    shard = shard_of(texts, 40.0)
+    asked = [np.sort(rng.sample(range(len(shard.terms)), n)) for n in (1, 80, 3, 200, 20)] + [np.zeros(0, np.int64)]
+    idf = [np.array([rng.random() + 0.01 for _ in t]) for t in asked]
+    best = [op1.Best(4, floor) for floor in (1.0, 1.0, 2e6, 1.0, 1e12, 1.0)]
+    owner = np.repeat(np.arange(len(asked)), [len(t) for t in asked])
+    op1.search_many(shard, owner, np.concatenate(asked).astype(np.int64), np.concatenate(idf), best)
+    for q, (t, w) in enumerate(zip(asked, idf, strict=True)):
+        total = every_score(shard, t, w)
+        floor = best[q].floor
+        order = [i for i in np.lexsort((shard.ids, -total)) if total[i] >= floor][:4]
+        assert best[q].doc.tolist() == shard.ids[order].tolist() and best[q].score.tolist() == total[order].tolist()
+
+
 def test_bm25_of_nothing(spark):
     assert op1.top_k(empty(spark), empty(spark)).count() == 0
     assert op1.top_k(awkward(spark), empty(spark)).columns == ["query_id", "rank", "doc_id", "score"]
