@@ -5,7 +5,9 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from staffline.llm import op11_phrase_collocations as op11
@@ -107,6 +109,83 @@ def test_local_support_keeps_every_frequent_phrase(spark):
         assert collocation_rows(op11.collocations(docs)) == want
 
 
+def phrase_batches(n=30):
+    rng = random.Random(21)
+    rows = [(words(rng, 120, ("a", "b", "é", "ou")) + (". " if i % 2 else "  \t") + "New  York", ("en", "de")[i % 2]) for i in range(n)]
+    rows += [("ab", "en"), ("cd", "en"), ("", "en"), (";", "fr")]
+    return rows, [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i:i + 4], strict=True)], ["text", "lang"]) for i in range(0, len(rows), 4)]
+
+
+def plain_counts(rows, max_words=3):
+    counts = collections.Counter()
+    for text, lang in rows:
+        counts[lang, ""] += 0
+        for p in pieces(text):
+            counts[lang, ""] += len(p)
+            counts.update((lang, " ".join(p[i:i + m])) for m in range(1, max_words + 1) for i in range(len(p) - m + 1))
+    return counts
+
+
+def every(hashes):
+    return np.arange(len(hashes))
+
+
+@pytest.mark.parametrize(("run", "chunk", "held"), [(1 << 21, 6 << 20, 24 << 20), (1, 1, 1 << 20), (300, 700, 2000)])
+def test_counted_phrases_leave_a_task_packed(monkeypatch, run, chunk, held):
+    """A task sends a few packed runs, not a row for each phrase of each run of texts."""
+    for name, value in (("RUN_BYTES", run), ("CHUNK_BYTES", chunk), ("HELD_BYTES", held), ("SENT_RUNS", 3)):
+        monkeypatch.setattr(op11, name, value)
+    rows, batches = phrase_batches()
+    want = plain_counts(rows)
+    sent = pa.Table.from_batches(list(op11.counted(iter(batches), every, 2, 3)))
+    flushes = sum(len(t.encode()) for t, _ in rows) // held + 1
+    assert sent.num_rows <= flushes * (4 * 2 + 3) < len(want)
+    got = {}
+    for bucket in set(sent["bucket"].to_pylist()):
+        group = op11._total(1)(sent.filter(pa.compute.equal(sent["bucket"], bucket)))
+        for r in group.to_pylist():
+            assert (r["lang"], r["phrase"]) not in got
+            assert r["words"] == len(r["phrase"].split())
+            got[r["lang"], r["phrase"]] = r["f"]
+    assert got == dict(want)
+
+
+def test_counts_are_added_up_by_text_and_language(monkeypatch):
+    """Phrases of one bucket stay apart whatever their hashes; the support holds for their sum."""
+    def packed(*found):
+        return op11.pack_counts(np.array([n for _, n in found]), np.array([len(p.encode()) for p, _ in found]), "".join(p for p, _ in found).encode())
+
+    runs = [("en", packed(("a b", 6), ("é", 300), ("x", 2))), ("de", packed(("a b", 70_000))), ("en", packed(("a b", 5), ("x", 7))), ("fr", packed(("", 0)))]
+    rows = pa.table({"bucket": pa.array([0] * 4, pa.int32()), "lang": [x for x, _ in runs], "run": pa.array([r for _, r in runs], pa.binary())})
+    want = [("de", 2, "a b", 70_000), ("en", 1, "é", 300), ("en", 2, "a b", 11), ("fr", 0, "", 0)]
+    for most in (1 << 28, 1):
+        monkeypatch.setattr(op11, "ARRAY_BYTES", most)
+        assert sorted(tuple(r.values()) for r in op11._total(10)(rows).to_pylist()) == sorted(want)
+
+
+def test_each_shard_is_mined_by_itself():
+    """Three of a shard and three of another are not four of one."""
+    def mined(*runs):
+        rows = pd.DataFrame({"shard": [s for s, _, _ in runs], "bucket": 0, "run": [op11.pack(np.array([k], np.uint64), np.array([n])) for _, k, n in runs]})
+        out = op11._frequent(0, 20, 4)(rows)
+        return int(out["frequent"].iloc[0]), np.flatnonzero(np.unpackbits(np.frombuffer(out["bits"].iloc[0], np.uint8), bitorder="little")).tolist()
+
+    key = 77 << (op11.HASH_BITS - 20)
+    assert mined((0, key, 3), (1, key, 3), (0, 5, 1)) == (0, [])
+    assert mined((0, key, 3), (1, key, 3), (0, key, 1)) == (1, [77])
+    assert mined((2, key, 400), (1, key, 4), (0, 0, 255)) == (3, [0, 77])
+
+
+def test_ranks_come_from_slices(spark, monkeypatch):
+    """Many tasks rank a language; its last ranking sees the first ``top`` of each slice alone."""
+    monkeypatch.setattr(op11, "SLICES", 3)
+    rows, docs = phrase_docs(spark)
+    got = op11.collocations(docs, support=2, top=7)
+    assert collocation_rows(got) == plain_collocations(rows, support=2, top=7)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "windowspecdefinition(lang" in plan and any("windowspecdefinition" in x and "slice#" in x for x in plan.splitlines())
+
+
 # ------------------------------------------------------------------ op 12
 
 def word_list(text):
